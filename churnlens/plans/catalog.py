@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from churnlens import schemas as S
 from churnlens.operators import features as FE
+from churnlens.operators import profile as PR
 from churnlens.operators import reports as RP
 from churnlens.params import TESTDATA_PARAMS as P
 from churnlens.plans import sql_reports
@@ -28,11 +29,40 @@ def _on_silver(fn) -> Query:
     return lambda spark, sf: fn(testdata_silver(spark, sf, P))
 
 
+def _on_raw(fn) -> Query:
+    return lambda spark, sf: fn(testdata_raw(spark, sf))
+
+
+def _on_raw_silver(fn) -> Query:
+    return lambda spark, sf: fn(testdata_raw(spark, sf), testdata_silver(spark, sf, P))
+
+
 def _on_gold(fn) -> Query:
     return lambda spark, sf: fn(testdata_gold(spark, sf, P))
 
 
 QUERIES: dict[str, Query] = {
+    # profiling of the raw tables
+    "profile_shape": _on_raw(PR.table_shapes),
+    "profile_head": _on_raw(lambda r: PR.head_rows(r[S.CUSTOMERS], 5)),
+    "profile_null_rates": _on_raw(PR.null_rates),
+    "profile_duplicates": _on_raw(PR.duplicates),
+    "profile_age": _on_raw(lambda r: PR.age_profile(r[S.CUSTOMERS])),
+    "profile_negative_ages": _on_raw(lambda r: PR.negative_age_values(r[S.CUSTOMERS])),
+    "profile_usage_signs": _on_raw(lambda r: PR.usage_signs(r[S.USAGE])),
+    "profile_date_formats": _on_raw(lambda r: PR.date_formats(r[S.CUSTOMERS])),
+    "profile_date_sample": _on_raw(lambda r: PR.date_sample(r[S.CUSTOMERS], 20)),
+    "profile_subscription_rules": _on_raw(lambda r: PR.subscription_rules(r[S.SUBSCRIPTIONS], P)),
+    "orphan_tickets": _on_raw(lambda r: PR.orphan_rows(r[S.TICKETS], r[S.CUSTOMERS])),
+    "orphan_usage": _on_raw(lambda r: PR.orphan_rows(r[S.USAGE], r[S.CUSTOMERS])),
+    "orphan_ticket_sample": _on_raw(lambda r: PR.orphan_sample(r[S.TICKETS], r[S.CUSTOMERS], 5)),
+    "quality_report": _on_raw(lambda r: PR.quality_report(r, P)),
+    # checks after cleaning
+    "profile_remaining_nulls": _on_silver(PR.remaining_nulls),
+    "profile_distinct": _on_silver(PR.distinct_values),
+    "profile_value_counts": _on_silver(PR.value_counts),
+    "profile_repairs": _on_raw_silver(PR.repairs),
+    "quality_findings": _on_raw_silver(PR.quality_findings),
     # cleaning (silver)
     "clean_customers": _silver(S.CUSTOMERS),
     "clean_subscriptions": _silver(S.SUBSCRIPTIONS),
