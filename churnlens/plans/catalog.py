@@ -16,29 +16,29 @@ from churnlens.operators import profile as PR
 from churnlens.operators import reports as RP
 from churnlens.params import TESTDATA_PARAMS as P
 from churnlens.plans import sql_reports
-from churnlens.plans.layers import testdata_gold, testdata_raw, testdata_silver
+from churnlens.plans.layers import gold_from_testdata, raw_from_testdata, silver_from_testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _silver(table: str) -> Query:
-    return lambda spark, sf: testdata_silver(spark, sf, P)[table]
+    return lambda spark, sf: silver_from_testdata(spark, sf, P)[table]
 
 
 def _on_silver(fn) -> Query:
-    return lambda spark, sf: fn(testdata_silver(spark, sf, P))
+    return lambda spark, sf: fn(silver_from_testdata(spark, sf, P))
 
 
 def _on_raw(fn) -> Query:
-    return lambda spark, sf: fn(testdata_raw(spark, sf))
+    return lambda spark, sf: fn(raw_from_testdata(spark, sf))
 
 
 def _on_raw_silver(fn) -> Query:
-    return lambda spark, sf: fn(testdata_raw(spark, sf), testdata_silver(spark, sf, P))
+    return lambda spark, sf: fn(raw_from_testdata(spark, sf), silver_from_testdata(spark, sf, P))
 
 
 def _on_gold(fn) -> Query:
-    return lambda spark, sf: fn(testdata_gold(spark, sf, P))
+    return lambda spark, sf: fn(gold_from_testdata(spark, sf, P))
 
 
 QUERIES: dict[str, Query] = {
@@ -73,7 +73,7 @@ QUERIES: dict[str, Query] = {
     "recent_logins": _on_silver(lambda s: FE.recent_logins(s[S.USAGE], P)),
     "ticket_features": _on_silver(lambda s: FE.ticket_features(s[S.TICKETS])),
     "recent_tickets": _on_silver(lambda s: FE.recent_tickets(s[S.TICKETS], P)),
-    "customer_features": lambda spark, sf: testdata_gold(spark, sf, P),
+    "customer_features": lambda spark, sf: gold_from_testdata(spark, sf, P),
     "summary_kpis": _on_gold(FE.summary_kpis),
     # reports over the star schema
     "churn_by_plan": _on_silver(lambda s: RP.churn_by_plan(s[S.SUBSCRIPTIONS])),

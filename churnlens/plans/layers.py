@@ -19,13 +19,13 @@ def gold_from_silver(silver: dict[str, DataFrame], params: ChurnParams) -> DataF
         silver[S.CUSTOMERS], silver[S.SUBSCRIPTIONS], silver[S.USAGE], silver[S.TICKETS], params)
 
 
-def testdata_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return raw_tables_from_testdata(spark, sf_dir)
 
 
-def testdata_silver(spark: SparkSession, sf_dir: str, params: ChurnParams) -> dict[str, DataFrame]:
-    return silver_from_raw(testdata_raw(spark, sf_dir), params)
+def silver_from_testdata(spark: SparkSession, sf_dir: str, params: ChurnParams) -> dict[str, DataFrame]:
+    return silver_from_raw(raw_from_testdata(spark, sf_dir), params)
 
 
-def testdata_gold(spark: SparkSession, sf_dir: str, params: ChurnParams) -> DataFrame:
-    return gold_from_silver(testdata_silver(spark, sf_dir, params), params)
+def gold_from_testdata(spark: SparkSession, sf_dir: str, params: ChurnParams) -> DataFrame:
+    return gold_from_silver(silver_from_testdata(spark, sf_dir, params), params)
