@@ -30,6 +30,12 @@ def _known(df: DataFrame) -> DataFrame:
     return df.where(~F.col("orphan_flag") & F.col("customer_id").isNotNull())
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """Rows with a customer key. Used where a later LEFT JOIN from customers drops unknown
+    customers anyway, so the orphan flag (a join against customers) need not be evaluated."""
+    return df.where(F.col("customer_id").isNotNull())
+
+
 def _cutoff(params: ChurnParams):
     return F.lit(params.cutoff)
 
@@ -54,10 +60,11 @@ def recent_logins(usage: DataFrame, params: ChurnParams) -> DataFrame:
         F.coalesce(F.sum("logins"), F.lit(0)).cast("long").alias("logins_last90d"))
 
 
-def usage_customer_agg(usage: DataFrame, params: ChurnParams) -> DataFrame:
+def usage_customer_agg(usage: DataFrame, params: ChurnParams, known_only: bool = True) -> DataFrame:
     """``usage_features`` and ``recent_logins`` in one pass over the usage facts."""
     in_window = F.col("month") >= _cutoff(params)
-    return _known(usage).groupBy("customer_id").agg(
+    rows = _known(usage) if known_only else _keyed(usage)
+    return rows.groupBy("customer_id").agg(
         *_usage_lifetime_aggs(),
         F.sum(F.when(in_window, F.col("logins"))).cast("long").alias("logins_last90d"),
     )
@@ -82,9 +89,10 @@ def recent_tickets(tickets: DataFrame, params: ChurnParams) -> DataFrame:
     return recent.groupBy("customer_id").agg(F.count(F.lit(1)).alias("tickets_last90d"))
 
 
-def ticket_customer_agg(tickets: DataFrame, params: ChurnParams) -> DataFrame:
+def ticket_customer_agg(tickets: DataFrame, params: ChurnParams, known_only: bool = True) -> DataFrame:
     """``ticket_features`` and ``recent_tickets`` in one pass over the ticket facts."""
-    return _known(tickets).groupBy("customer_id").agg(
+    rows = _known(tickets) if known_only else _keyed(tickets)
+    return rows.groupBy("customer_id").agg(
         *_ticket_lifetime_aggs(),
         F.count_if(F.col("created_date") >= _cutoff(params)).alias("tickets_last90d"),
     )
@@ -111,7 +119,9 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
     customers LEFT JOIN subscriptions (NULL key matches NULL key, like ``merge``), then the
     per-customer usage and ticket aggregates. Aggregates never hold a NULL key, so a plain
     equi-join on ``customer_id`` is exact there and keeps the hash partitioning of the
-    aggregates (no extra shuffle of the fact-side results).
+    aggregates (no extra shuffle of the fact-side results). Orphan fact rows aggregate under
+    ids that no customer has, so the LEFT JOIN from customers drops them: the result equals
+    filtering on ``orphan_flag`` first, without evaluating that flag's join.
     """
     cust = customers.select(
         *[F.col(c).alias(f"{c}_cust") if c in COLLIDING else F.col(c) for c in customers.columns])
@@ -120,8 +130,8 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
         *[F.col(c).alias(f"{c}_sub") if c in COLLIDING else F.col(c) for c in SUBSCRIPTION_COLUMNS])
     base = cust.join(subs, cust["customer_id"].eqNullSafe(subs["_sub_key"]), "left").drop("_sub_key")
     df = (base
-          .join(usage_customer_agg(usage, params), "customer_id", "left")
-          .join(ticket_customer_agg(tickets, params), "customer_id", "left"))
+          .join(usage_customer_agg(usage, params, known_only=False), "customer_id", "left")
+          .join(ticket_customer_agg(tickets, params, known_only=False), "customer_id", "left"))
 
     as_of = F.lit(params.as_of)
     churned = F.coalesce(F.col("status") == STATUS_CHURNED, F.lit(False))

@@ -1,7 +1,14 @@
-"""Bronze -> silver -> gold as lazy DataFrames (nothing is computed until an action)."""
+"""Bronze -> silver -> gold as lazy DataFrames (nothing is computed until an action).
+
+The test-data layers are defined once per session and directory and then shared by all
+queries, as a user defines source tables once per session: only the (client-side) plan
+objects are reused, every query still reads and processes the data in full.
+"""
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlens import schemas as S
@@ -9,6 +16,18 @@ from churnlens.operators import clean, features
 from churnlens.params import ChurnParams
 from churnlens.sources.testdata import raw_tables_from_testdata
 
+_DEFINED: dict[tuple, tuple[weakref.ref, object]] = {}
+
+
+def _once(kind: str, spark: SparkSession, sf_dir: str, params, build):
+    key = (kind, id(spark), sf_dir.rstrip("/"), params)
+    hit = _DEFINED.get(key)
+    if hit is not None and hit[0]() is spark:
+        return hit[1]
+    value = build()
+    _DEFINED[key] = (weakref.ref(spark), value)
+    return value
+
 
 def silver_from_raw(raw: dict[str, DataFrame], params: ChurnParams) -> dict[str, DataFrame]:
     return clean.clean_all(raw, params)
@@ -20,12 +39,14 @@ def gold_from_silver(silver: dict[str, DataFrame], params: ChurnParams) -> DataF
 
 
 def raw_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return raw_tables_from_testdata(spark, sf_dir)
+    return _once("raw", spark, sf_dir, None, lambda: raw_tables_from_testdata(spark, sf_dir))
 
 
 def silver_from_testdata(spark: SparkSession, sf_dir: str, params: ChurnParams) -> dict[str, DataFrame]:
-    return silver_from_raw(raw_from_testdata(spark, sf_dir), params)
+    return _once("silver", spark, sf_dir, params,
+                 lambda: silver_from_raw(raw_from_testdata(spark, sf_dir), params))
 
 
 def gold_from_testdata(spark: SparkSession, sf_dir: str, params: ChurnParams) -> DataFrame:
-    return gold_from_silver(silver_from_testdata(spark, sf_dir, params), params)
+    return _once("gold", spark, sf_dir, params,
+                 lambda: gold_from_silver(silver_from_testdata(spark, sf_dir, params), params))

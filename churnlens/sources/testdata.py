@@ -69,22 +69,22 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     signup = (F.when(k % 3 == 0, F.date_format("d", "MM-dd-yyyy"))
               .when(k % 3 == 1, F.date_format("d", "yyyy/MM/dd"))
               .otherwise(_iso(F.col("d"))))
+    # repeated rows (k % 100 = 1) arrive after the originals (seq 1) with a different region;
+    # generated from the same scan with explode instead of a second pass over customers
+    seq = F.explode(F.when(k % 100 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    b = b.select("*", seq.alias("seq"))
     rows = b.select(
-        k, F.lit(0).alias("seq"),
         F.col("c_name").alias("customer_id"),
         F.when(k % 86 == 5, F.lit(-5.0)).when(k % 60 == 7, F.lit(None).cast("double"))
          .otherwise((F.lit(18) + k % 60).cast("double")).alias("age"),
-        region.alias("region"),
+        F.when(F.col("seq") == 1, F.lit(DUPLICATE_REGION)).otherwise(region).alias("region"),
         signup.alias("signup_date"),
         _pick(PLANS, k % 4).alias("plan"),
         _pick(ACQ_CHANNELS, k % 5).alias("acq_channel"),
         F.when(k % 8 < 4, F.lit("monthly")).otherwise(F.lit("ANNUAL ")).alias("contract_type"),
+        F.struct("seq", "k").alias(S.INGEST_ORDER),
     )
-    # repeated rows (k % 100 = 1) arrive after the originals with a different region
-    repeats = (rows.where(k % 100 == 1)
-               .withColumn("seq", F.lit(1)).withColumn("region", F.lit(DUPLICATE_REGION)))
-    out = rows.unionByName(repeats)
-    return out.select(*S.RAW_COLUMNS[S.CUSTOMERS], F.struct("seq", "k").alias(S.INGEST_ORDER))
+    return rows
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
