@@ -1,0 +1,8 @@
+"""Structured Streaming: the customer-grain usage and ticket aggregates kept up to date as
+raw CSV drops arrive."""
+
+from churnlens.streaming.incremental import (
+    start_aggregate, ticket_features_stream, usage_features_stream,
+)
+
+__all__ = ["start_aggregate", "ticket_features_stream", "usage_features_stream"]
