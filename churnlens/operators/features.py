@@ -36,6 +36,17 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.where(F.col("customer_id").isNotNull())
 
 
+# Join key shared by every side of the flat-table joins: (coalesce(id, ''), isnull(id)).
+# NULL ids match each other (like pandas merge) and, because the pair is a real column on
+# every side, all four inputs are hash-partitioned on the same columns: the joins run
+# without re-shuffling the customer-grain result between them.
+JOIN_KEY = ("_jk", "_jk_null")
+
+
+def with_join_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
+    return df.withColumns({"_jk": F.coalesce(F.col(key), F.lit("")), "_jk_null": F.col(key).isNull()})
+
+
 def _cutoff(params: ChurnParams):
     return F.lit(params.cutoff)
 
@@ -60,11 +71,14 @@ def recent_logins(usage: DataFrame, params: ChurnParams) -> DataFrame:
         F.coalesce(F.sum("logins"), F.lit(0)).cast("long").alias("logins_last90d"))
 
 
-def usage_customer_agg(usage: DataFrame, params: ChurnParams, known_only: bool = True) -> DataFrame:
+def usage_customer_agg(usage: DataFrame, params: ChurnParams, known_only: bool = True,
+                       by: tuple[str, ...] = ("customer_id",)) -> DataFrame:
     """``usage_features`` and ``recent_logins`` in one pass over the usage facts."""
     in_window = F.col("month") >= _cutoff(params)
     rows = _known(usage) if known_only else _keyed(usage)
-    return rows.groupBy("customer_id").agg(
+    if by == JOIN_KEY:
+        rows = with_join_key(rows)
+    return rows.groupBy(*by).agg(
         *_usage_lifetime_aggs(),
         F.sum(F.when(in_window, F.col("logins"))).cast("long").alias("logins_last90d"),
     )
@@ -89,10 +103,13 @@ def recent_tickets(tickets: DataFrame, params: ChurnParams) -> DataFrame:
     return recent.groupBy("customer_id").agg(F.count(F.lit(1)).alias("tickets_last90d"))
 
 
-def ticket_customer_agg(tickets: DataFrame, params: ChurnParams, known_only: bool = True) -> DataFrame:
+def ticket_customer_agg(tickets: DataFrame, params: ChurnParams, known_only: bool = True,
+                        by: tuple[str, ...] = ("customer_id",)) -> DataFrame:
     """``ticket_features`` and ``recent_tickets`` in one pass over the ticket facts."""
     rows = _known(tickets) if known_only else _keyed(tickets)
-    return rows.groupBy("customer_id").agg(
+    if by == JOIN_KEY:
+        rows = with_join_key(rows)
+    return rows.groupBy(*by).agg(
         *_ticket_lifetime_aggs(),
         F.count_if(F.col("created_date") >= _cutoff(params)).alias("tickets_last90d"),
     )
@@ -117,21 +134,21 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
     """One row per customer (per matching subscription row), 32 columns.
 
     customers LEFT JOIN subscriptions (NULL key matches NULL key, like ``merge``), then the
-    per-customer usage and ticket aggregates. Aggregates never hold a NULL key, so a plain
-    equi-join on ``customer_id`` is exact there and keeps the hash partitioning of the
-    aggregates (no extra shuffle of the fact-side results). Orphan fact rows aggregate under
-    ids that no customer has, so the LEFT JOIN from customers drops them: the result equals
-    filtering on ``orphan_flag`` first, without evaluating that flag's join.
+    per-customer usage and ticket aggregates, all on ``JOIN_KEY``: one shuffle per input and
+    none between the joins. Customers are unique per key after deduplication, so no join can
+    pair many rows with many. Orphan fact rows aggregate under ids no customer has, so the
+    LEFT JOIN from customers drops them: the result equals filtering on ``orphan_flag`` first,
+    without evaluating that flag's join.
     """
-    cust = customers.select(
-        *[F.col(c).alias(f"{c}_cust") if c in COLLIDING else F.col(c) for c in customers.columns])
-    subs = subscriptions.select(
-        F.col("customer_id").alias("_sub_key"),
+    cust = with_join_key(customers.select(
+        *[F.col(c).alias(f"{c}_cust") if c in COLLIDING else F.col(c) for c in customers.columns]))
+    subs = with_join_key(subscriptions).select(
+        *JOIN_KEY,
         *[F.col(c).alias(f"{c}_sub") if c in COLLIDING else F.col(c) for c in SUBSCRIPTION_COLUMNS])
-    base = cust.join(subs, cust["customer_id"].eqNullSafe(subs["_sub_key"]), "left").drop("_sub_key")
-    df = (base
-          .join(usage_customer_agg(usage, params, known_only=False), "customer_id", "left")
-          .join(ticket_customer_agg(tickets, params, known_only=False), "customer_id", "left"))
+    keys = list(JOIN_KEY)
+    df = (cust.join(subs, keys, "left")
+          .join(usage_customer_agg(usage, params, known_only=False, by=JOIN_KEY), keys, "left")
+          .join(ticket_customer_agg(tickets, params, known_only=False, by=JOIN_KEY), keys, "left"))
 
     as_of = F.lit(params.as_of)
     churned = F.coalesce(F.col("status") == STATUS_CHURNED, F.lit(False))

@@ -51,3 +51,17 @@ def test_reports_windows_run_after_aggregation(spark, silver):
     from churnlens.operators.reports import churn_trend_monthly
     plan = _plan(churn_trend_monthly(silver[S.SUBSCRIPTIONS]))
     assert plan.index("Window") < plan.index("HashAggregate")  # window above the aggregate
+
+
+def test_flat_table_shuffles_each_input_once(spark, silver):
+    """Customers, subscriptions and the two fact aggregates are each shuffled once, on the
+    same key columns; the joins between them need no further exchange."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(gold_from_silver(silver, TESTDATA_PARAMS))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+    assert plan.count("Exchange hashpartitioning(") == 4
+    assert plan.count("Exchange hashpartitioning(_jk") == 4
