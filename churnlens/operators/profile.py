@@ -179,7 +179,7 @@ def date_sample(customers: DataFrame, n: int = 20, column: str = "signup_date")
     """The first ``n`` non-null raw date strings in ingest order, numbered from 1."""
     first = (customers.where(F.col(column).isNotNull())
              .orderBy(S.INGEST_ORDER).limit(n).select(S.INGEST_ORDER, column))
-    return first.select(F.row_number().over(Window.orderBy(S.INGEST_ORDER)).alias("position"), column)
+    return first.select(F.row_number().over(Window.orderBy(S.INGEST_ORDER)).cast("long").alias("position"), column)
 
 
 # ---------------------------------------------------------------------------

@@ -198,4 +198,4 @@ def channel_volume(features: DataFrame) -> DataFrame:
     """REP11: customers per acquisition channel, ranked by volume, with churn %."""
     seg = _segment_rates(features, "acq_channel")
     w = Window.orderBy(F.col("customers").desc(), F.col("acq_channel").asc_nulls_first())
-    return seg.withColumn("volume_rank", F.row_number().over(w)).orderBy("volume_rank")
+    return seg.withColumn("volume_rank", F.row_number().over(w).cast("long")).orderBy("volume_rank")

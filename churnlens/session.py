@@ -12,6 +12,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def build_session(app: str = "churnlens", cpus: int | None = None, shuffle_partitions: int | None = None,
                   driver_memory: str = "8g", extra: dict | None = None) -> SparkSession:
+    # CHURNLENS_SESSION_TZ lets the checks run under another session time zone
     """A local session for tests and benchmarks. On a cluster use the cluster's session and
     keep its settings; only ``session_defaults`` are applied there."""
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
@@ -21,7 +22,10 @@ def build_session(app: str = "churnlens", cpus: int | None = None, shuffle_parti
          .config("spark.driver.memory", driver_memory)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
+    conf = {**SESSION_DEFAULTS, **(extra or {})}
+    if os.environ.get("CHURNLENS_SESSION_TZ"):
+        conf["spark.sql.session.timeZone"] = os.environ["CHURNLENS_SESSION_TZ"]
+    for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
