@@ -150,14 +150,13 @@ def negative_age_values(customers: DataFrame) -> DataFrame:
 
 
 def usage_signs(usage: DataFrame) -> DataFrame:
-    """Negative and zero counts per usage metric (raw values)."""
+    """Negative and zero counts per usage metric (raw values): one aggregate, stacked."""
     pairs = []
     for c in USAGE_METRICS:
         pairs += [(f"{c}:neg", F.count_if(F.col(c) < 0)), (f"{c}:zero", F.count_if(F.col(c) == 0))]
     row = _one_row(usage, pairs)
-    parts = [row.select(F.lit(c).alias("column_name"), F.col(f"_v{2 * i}").alias("negatives"),
-                        F.col(f"_v{2 * i + 1}").alias("zeros")) for i, c in enumerate(USAGE_METRICS)]
-    return _union(parts)
+    args = ", ".join(f"'{c}', `_v{2 * i}`, `_v{2 * i + 1}`" for i, c in enumerate(USAGE_METRICS))
+    return row.select(F.expr(f"stack({len(USAGE_METRICS)}, {args}) AS (column_name, negatives, zeros)"))
 
 
 # ---------------------------------------------------------------------------

@@ -155,28 +155,36 @@ SEGMENTATIONS = (
 NO_VALUE = "(none)"
 
 
-def segment_gap(features: DataFrame, dims, within: str | None = None, name: str | None = None) -> DataFrame:
-    """REP10: worst and best churn segment, the rate gap (percentage points) and ratio.
-
-    Segments are the distinct values of ``dims`` (joined with " + ", NULL shown as "(none)");
-    with ``within`` the comparison runs inside each value of that column. Ties go to the
-    alphabetically first segment.
+def segment_gaps(features: DataFrame, segmentations=SEGMENTATIONS) -> DataFrame:
+    """REP10: per segmentation (and scope), the worst and best churn segment, the gap in
+    percentage points and the rate ratio.
+
+    ``segmentations`` are (name, dims, within): segments are the distinct values of ``dims``
+    (joined with " + ", NULL shown as "(none)"); with ``within`` the comparison runs inside each
+    value of that column. One pass: every row is exploded into its segment of each segmentation
+    (a fixed fan-out), aggregated once, and worst / best are picked per scope with row numbers
+    (ties go to the alphabetically first segment) and a conditional aggregate, without a join.
     """
-    label = F.concat_ws(" + ", *[F.coalesce(F.col(d), F.lit(NO_VALUE)) for d in dims])
-    scope = F.coalesce(F.col(within), F.lit(NO_VALUE)) if within else F.lit("all")
-    seg = (features.groupBy(scope.alias("scope"), label.alias("segment"))
+    labels = []
+    for name, dims, within in segmentations:
+        label = F.concat_ws(" + ", *[F.coalesce(F.col(d), F.lit(NO_VALUE)) for d in dims])
+        scope = F.coalesce(F.col(within), F.lit(NO_VALUE)) if within else F.lit("all")
+        labels.append(F.struct(F.lit(name).alias("segmentation"), scope.alias("scope"), label.alias("segment")))
+    rows = features.select(F.explode(F.array(*labels)).alias("s"), "churned").select("s.*", "churned")
+    seg = (rows.groupBy("segmentation", "scope", "segment")
            .agg(F.count(F.lit(1)).alias("n"), F.sum("churned").cast("long").alias("c"))
            .withColumn("rate", safe_ratio("c", "n")))
-    worst = Window.partitionBy("scope").orderBy(F.col("rate").desc(), F.col("segment"))
-    best = Window.partitionBy("scope").orderBy(F.col("rate").asc(), F.col("segment"))
-    ranked = seg.select("*", F.row_number().over(worst).alias("wr"), F.row_number().over(best).alias("br"))
-    w = ranked.where(F.col("wr") == 1).select("scope", F.col("segment").alias("worst_segment"),
-                                             F.col("rate").alias("worst_rate"))
-    b = ranked.where(F.col("br") == 1).select("scope", F.col("segment").alias("best_segment"),
-                                             F.col("rate").alias("best_rate"))
-    out = w.join(b, "scope")
-    return out.select(
-        F.lit(name or " x ".join(dims)).alias("segmentation"), "scope",
+    by_scope = Window.partitionBy("segmentation", "scope")
+    worst = (F.row_number().over(by_scope.orderBy(F.col("rate").desc(), F.col("segment"))) == 1)
+    best = (F.row_number().over(by_scope.orderBy(F.col("rate").asc(), F.col("segment"))) == 1)
+    ends = seg.select("*", worst.alias("is_worst"), best.alias("is_best")).where(F.col("is_worst") | F.col("is_best"))
+    picked = ends.groupBy("segmentation", "scope").agg(
+        F.max(F.when(F.col("is_worst"), F.col("segment"))).alias("worst_segment"),
+        F.max(F.when(F.col("is_worst"), F.col("rate"))).alias("worst_rate"),
+        F.max(F.when(F.col("is_best"), F.col("segment"))).alias("best_segment"),
+        F.max(F.when(F.col("is_best"), F.col("rate"))).alias("best_rate"))
+    return picked.select(
+        "segmentation", "scope",
         "worst_segment", (F.col("worst_rate") * F.lit(100.0)).alias("worst_rate_pct"),
         "best_segment", (F.col("best_rate") * F.lit(100.0)).alias("best_rate_pct"),
         ((F.col("worst_rate") - F.col("best_rate")) * F.lit(100.0)).alias("gap_pp"),
@@ -184,14 +192,9 @@ def segment_gap(features: DataFrame, dims, within: str | None = None, name: str
     )
 
 
-def segment_gaps(features: DataFrame) -> DataFrame:
-    """REP10 for the segmentations of the findings: plan, plan x contract, channel,
-    contract within each plan."""
-    parts = [segment_gap(features, dims, within, name) for name, dims, within in SEGMENTATIONS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def segment_gap(features: DataFrame, dims, within: str | None = None, name: str | None = None) -> DataFrame:
+    """REP10 for one segmentation."""
+    return segment_gaps(features, [(name or " x ".join(dims), tuple(dims), within)])
 
 
 def channel_volume(features: DataFrame) -> DataFrame:
