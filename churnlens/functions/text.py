@@ -10,23 +10,30 @@ from pyspark.sql import functions as F
 from churnlens.functions._util import as_col
 
 
+# Characters Python's str.strip() removes: Unicode White_Space plus the ASCII separators
+# U+001C..U+001F, which Python also treats as whitespace.
+_WS = r"[\p{IsWhite_Space}\x{1C}-\x{1F}]"
+
+
 def strip_ws(c) -> Column:
-    """Remove leading and trailing whitespace of every kind (``trim`` only removes spaces)."""
-    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace as ``str.strip`` does (``trim`` only removes spaces)."""
+    return F.regexp_replace(as_col(c), f"^{_WS}+|{_WS}+$", "")
 
 
 def title_case(c) -> Column:
-    """Upper-case the first letter after any non-letter, lower-case the rest.
+    """Like ``str.title``: a cased letter is upper (title) case when the character before it is
+    not a cased letter, lower case otherwise.
 
     ``initcap`` only starts a word after a space, so ``pro-plus`` would stay ``Pro-plus``.
-    Strings made of letters and spaces only (the usual case) take the cheap ``initcap`` path;
-    the rest are split after every non-letter and each piece is ``initcap``-ed.
+    Strings made of cased letters and spaces only (the usual case) take the cheap ``initcap``
+    path; the rest are split after every character that is not a cased letter (digits,
+    punctuation, uncased scripts) and each piece is ``initcap``-ed.
     """
     col = as_col(c)
     by_piece = F.array_join(
-        F.transform(F.split(col, r"(?<=\P{L})"), lambda piece: F.initcap(piece)), ""
+        F.transform(F.split(col, r"(?<=[^\p{Lu}\p{Ll}\p{Lt}])"), lambda piece: F.initcap(piece)), ""
     )
-    return F.when(col.rlike(r"[^\p{L} ]"), by_piece).otherwise(F.initcap(col))
+    return F.when(col.rlike(r"[^\p{Lu}\p{Ll}\p{Lt} ]"), by_piece).otherwise(F.initcap(col))
 
 
 def clean_text(c) -> Column:

@@ -25,6 +25,11 @@ def test_title_clean_matches_python_title(spark):
     assert got == [None if v is None else v.strip().title() for v in values]
 
 
+def test_strip_and_title_on_unicode(spark):
+    values = ["\u00a0pro\u2003", "\x1fbasic\t", "\u4e2dab cd", "e\u0301xy", "ǆemal", "x2y-z"]
+    assert _eval(spark, values, clean_text) == [v.strip().title() for v in values]
+
+
 def test_title_case_only_letters_and_spaces(spark):
     assert _eval(spark, ["paid search", "SOCIAL"], title_case) == ["Paid Search", "Social"]
 
