@@ -47,8 +47,13 @@ def with_join_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
     return df.withColumns({"_jk": F.coalesce(F.col(key), F.lit("")), "_jk_null": F.col(key).isNull()})
 
 
-def _cutoff(params: ChurnParams):
-    return F.lit(params.cutoff)
+def in_recency_window(c, params: ChurnParams):
+    """``c >= as_of - recency_days`` (inclusive); no upper bound unless ``recency_upper_bound``."""
+    col = F.col(c) if isinstance(c, str) else c
+    cond = col >= F.lit(params.cutoff)
+    if params.recency_upper_bound:
+        cond = cond & (col <= F.lit(params.as_of))
+    return cond
 
 
 def _usage_lifetime_aggs():
@@ -66,7 +71,7 @@ def usage_features(usage: DataFrame) -> DataFrame:
 
 def recent_logins(usage: DataFrame, params: ChurnParams) -> DataFrame:
     """Logins summed over months on or after as_of - recency_days (no upper bound)."""
-    recent = _known(usage).where(F.col("month") >= _cutoff(params))
+    recent = _known(usage).where(in_recency_window("month", params))
     return recent.groupBy("customer_id").agg(
         F.coalesce(F.sum("logins"), F.lit(0)).cast("long").alias("logins_last90d"))
 
@@ -74,7 +79,7 @@ def recent_logins(usage: DataFrame, params: ChurnParams) -> DataFrame:
 def usage_customer_agg(usage: DataFrame, params: ChurnParams, known_only: bool = True,
                        by: tuple[str, ...] = ("customer_id",)) -> DataFrame:
     """``usage_features`` and ``recent_logins`` in one pass over the usage facts."""
-    in_window = F.col("month") >= _cutoff(params)
+    in_window = in_recency_window("month", params)
     rows = _known(usage) if known_only else _keyed(usage)
     if by == JOIN_KEY:
         rows = with_join_key(rows)
@@ -99,7 +104,7 @@ def ticket_features(tickets: DataFrame) -> DataFrame:
 
 def recent_tickets(tickets: DataFrame, params: ChurnParams) -> DataFrame:
     """Tickets created on or after the cutoff, per customer."""
-    recent = _known(tickets).where(F.col("created_date") >= _cutoff(params))
+    recent = _known(tickets).where(in_recency_window("created_date", params))
     return recent.groupBy("customer_id").agg(F.count(F.lit(1)).alias("tickets_last90d"))
 
 
@@ -111,7 +116,7 @@ def ticket_customer_agg(tickets: DataFrame, params: ChurnParams, known_only: boo
         rows = with_join_key(rows)
     return rows.groupBy(*by).agg(
         *_ticket_lifetime_aggs(),
-        F.count_if(F.col("created_date") >= _cutoff(params)).alias("tickets_last90d"),
+        F.count_if(in_recency_window("created_date", params)).alias("tickets_last90d"),
     )
 
 

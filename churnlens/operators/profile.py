@@ -116,6 +116,18 @@ def _extra_rows(df: DataFrame, cols: list[str]) -> DataFrame:
                       F.count(F.lit(1)).alias("groups"))
 
 
+def duplicate_key_count(df: DataFrame, key: str) -> int:
+    """Rows beyond the first per key (one number to the driver)."""
+    return int(_extra_rows(df, [key]).first()["extra"])
+
+
+def assert_unique_key(df: DataFrame, key: str, what: str) -> None:
+    """Strict mode: stop when a table that should hold one row per key does not."""
+    n = duplicate_key_count(df, key)
+    if n:
+        raise ValueError(f"{what}: {n} rows repeat an existing {key}")
+
+
 def duplicates(raw: dict[str, DataFrame]) -> DataFrame:
     """Per table and check (full row, key): rows, duplicate rows, rows left after dedupe."""
     frames = []

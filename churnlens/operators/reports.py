@@ -38,13 +38,24 @@ def churn_by_plan(subscriptions: DataFrame) -> DataFrame:
     return _by_rate(out, "plan")
 
 
-def churn_trend_monthly(subscriptions: DataFrame) -> DataFrame:
+def churn_trend_monthly(subscriptions: DataFrame, dense_calendar: bool = False) -> DataFrame:
     """REP2: churned count and MRR lost per churn month, change vs previous month,
-    running totals. The window runs over the monthly aggregate (one row per month)."""
+    running totals. The window runs over the monthly aggregate (one row per month).
+
+    By default only months with churn appear and "previous month" is the previous such month
+    (as in the SQL). With ``dense_calendar`` every month between the first and the last churn
+    month is listed, months without churn count 0 and MRR 0.
+    """
     monthly = (subscriptions
                .where((F.col("status") == STATUS_CHURNED) & F.col("churn_date").isNotNull())
                .groupBy(F.trunc("churn_date", "MM").alias("churn_month"))
                .agg(F.count(F.lit(1)).alias("churned_count"), F.sum("mrr").alias("mrr_lost")))
+    if dense_calendar:
+        span = monthly.agg(F.min("churn_month").alias("lo"), F.max("churn_month").alias("hi"))
+        calendar = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("churn_month"))
+        monthly = (calendar.join(monthly, "churn_month", "left")
+                   .select("churn_month", F.coalesce("churned_count", F.lit(0)).alias("churned_count"),
+                           F.coalesce("mrr_lost", F.lit(0.0)).alias("mrr_lost")))
     w = Window.orderBy("churn_month")
     running = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return (monthly.select(

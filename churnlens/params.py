@@ -70,6 +70,16 @@ class ChurnParams:
     day_first_fallback: bool = True
     iso_date_format: str = ISO_DATE_FORMAT
     null_tokens: tuple[str, ...] = field(default=PANDAS_NULL_TOKENS)
+    # per-column overrides: ((table, column, tokens), ...), e.g. keep a region code "NA"
+    column_null_tokens: tuple[tuple[str, str, tuple[str, ...]], ...] = ()
+    # also bound the recency windows above by as_of (rows dated later are then left out)
+    recency_upper_bound: bool = False
+
+    def tokens_for(self, table: str, column: str) -> tuple[str, ...]:
+        for t, c, tokens in self.column_null_tokens:
+            if t == table and c == column:
+                return tokens
+        return self.null_tokens
 
     @property
     def cutoff(self) -> dt.date:

@@ -56,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "orphan_tickets": _on_raw(lambda r: PR.orphan_rows(r[S.TICKETS], r[S.CUSTOMERS])),
     "orphan_usage": _on_raw(lambda r: PR.orphan_rows(r[S.USAGE], r[S.CUSTOMERS])),
     "orphan_ticket_sample": _on_raw(lambda r: PR.orphan_sample(r[S.TICKETS], r[S.CUSTOMERS], 5)),
+    "orphan_subscriptions": _on_raw(lambda r: PR.orphan_rows(r[S.SUBSCRIPTIONS], r[S.CUSTOMERS])),
     "quality_report": _on_raw(lambda r: PR.quality_report(r, P)),
     # checks after cleaning
     "profile_remaining_nulls": _on_silver(PR.remaining_nulls),
@@ -78,6 +79,7 @@ QUERIES: dict[str, Query] = {
     # reports over the star schema
     "churn_by_plan": _on_silver(lambda s: RP.churn_by_plan(s[S.SUBSCRIPTIONS])),
     "churn_trend_monthly": _on_silver(lambda s: RP.churn_trend_monthly(s[S.SUBSCRIPTIONS])),
+    "churn_trend_monthly_dense": _on_silver(lambda s: RP.churn_trend_monthly(s[S.SUBSCRIPTIONS], dense_calendar=True)),
     "churn_by_plan_contract": _on_silver(
         lambda s: RP.churn_by_plan_contract(s[S.CUSTOMERS], s[S.SUBSCRIPTIONS])),
     "churn_by_ticket_bucket": _on_silver(

@@ -46,7 +46,10 @@ GOLD_REPORTS = {
 
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, params: ChurnParams,
-        csv_export: bool = True, profile: bool = True) -> dict[str, str]:
+        csv_export: bool = True, profile: bool = True, strict: bool = False) -> dict[str, str]:
+    """Write silver, gold, reports and (optionally) the profile. With ``strict`` the job stops
+    before the flat table when subscriptions repeat a customer (the flat table would then hold
+    more than one row per customer)."""
     session_defaults(spark)
     out = out.rstrip("/")
     written: dict[str, str] = {}
@@ -58,6 +61,11 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, params: ChurnP
     for t, df in silver_from_raw(raw, params).items():
         written[S.SILVER[t]] = write_table(df, f"{out}/{S.SILVER[t]}")
     silver = read_silver(spark, out)
+    if csv_export:
+        for t in S.TABLES:
+            written[f"{S.SILVER[t]}_csv"] = write_csv_export(silver[t], f"{out}/export/{S.SILVER[t]}_csv")
+    if strict:
+        PR.assert_unique_key(silver[S.SUBSCRIPTIONS], "customer_id", S.DIM_SUBSCRIPTIONS)
 
     gold_path = write_table(gold_from_silver(silver, params), f"{out}/{S.FEATURES}")
     written[S.FEATURES] = gold_path
@@ -84,12 +92,15 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=None, help="analysis date, YYYY-MM-DD")
     ap.add_argument("--recency-days", type=int, default=90)
     ap.add_argument("--no-csv", action="store_true")
+    ap.add_argument("--strict", action="store_true", help="fail when subscriptions repeat a customer")
+    ap.add_argument("--recency-upper-bound", action="store_true", help="count recent rows only up to as_of")
     a = ap.parse_args(argv)
     default_as_of = "2001-06-01" if a.testdata else "2025-06-01"
-    params = ChurnParams(as_of=dt.date.fromisoformat(a.as_of or default_as_of), recency_days=a.recency_days)
+    params = ChurnParams(as_of=dt.date.fromisoformat(a.as_of or default_as_of), recency_days=a.recency_days,
+                         recency_upper_bound=a.recency_upper_bound)
     spark = SparkSession.getActiveSession() or build_session("churnlens-job")
     raw = read_raw_tables(spark, a.raw_dir, params) if a.raw_dir else raw_tables_from_testdata(spark, a.testdata)
-    for name, path in run(spark, raw, a.out, params, csv_export=not a.no_csv).items():
+    for name, path in run(spark, raw, a.out, params, csv_export=not a.no_csv, strict=a.strict).items():
         print(f"{name}\t{path}")
 
 

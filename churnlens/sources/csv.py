@@ -17,14 +17,14 @@ from churnlens.functions.text import null_tokens_to_null
 from churnlens.params import ChurnParams
 
 
-def type_raw(df: DataFrame, table: str, null_tokens) -> DataFrame:
+def type_raw(df: DataFrame, table: str, params: ChurnParams) -> DataFrame:
     """Null tokens -> NULL, then typed columns via try_cast. Extra columns are carried through."""
     cols = []
     for name in df.columns:
         if name == S.INGEST_ORDER:
             cols.append(F.col(name))
             continue
-        c = null_tokens_to_null(F.col(name), null_tokens)
+        c = null_tokens_to_null(F.col(name), params.tokens_for(table, name))
         dtype = S.raw_type(table, name)
         if dtype.simpleString() != "string":
             c = c.try_cast(dtype)
@@ -46,7 +46,23 @@ def read_raw_csv(spark: SparkSession, path: str, table: str, params: ChurnParams
                 F.monotonically_increasing_id().alias("pos"),
             ),
         )
-    return type_raw(df, table, params.null_tokens)
+    return type_raw(df, table, params)
+
+
+def read_raw_text(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The raw file with every value as text, before null tokens and types are applied."""
+    return spark.read.option("header", True).schema(S.text_schema(table)).csv(path)
+
+
+def null_token_hits(text: DataFrame, table: str, params: ChurnParams | None = None) -> DataFrame:
+    """Per column: how many non-empty values the null-token rule turns into NULL
+    (table_name, column_name, token_hits). One aggregate over the text table."""
+    params = params or ChurnParams()
+    cols = [c for c in text.columns if c != S.INGEST_ORDER]
+    row = text.agg(*[F.count_if(F.col(c).isin([t for t in params.tokens_for(table, c) if t != ""])).alias(c)
+                     for c in cols])
+    return (row.unpivot([], cols, "column_name", "token_hits")
+            .select(F.lit(table).alias("table_name"), "column_name", "token_hits"))
 
 
 def read_raw_tables(spark: SparkSession, raw_dir: str, params: ChurnParams | None = None) -> dict[str, DataFrame]:

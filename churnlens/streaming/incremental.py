@@ -19,6 +19,7 @@ from churnlens.functions.dates import parse_date
 from churnlens.functions.numeric import clip_lower, np_round
 from churnlens.functions.text import clean_text
 from churnlens.operators.clean import TICKET_TEXT, USAGE_METRICS
+from churnlens.operators.features import in_recency_window
 from churnlens.params import PRIORITY_CRITICAL, RESOLVED_NO, ChurnParams
 from churnlens.sources.csv import type_raw
 
@@ -28,7 +29,7 @@ def _raw_stream(spark: SparkSession, folder: str, table: str, params: ChurnParam
     reader = spark.readStream.schema(S.text_schema(table)).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return type_raw(reader.csv(folder), table, params.null_tokens)
+    return type_raw(reader.csv(folder), table, params)
 
 
 def usage_features_stream(spark: SparkSession, folder: str, params: ChurnParams,
@@ -38,7 +39,7 @@ def usage_features_stream(spark: SparkSession, folder: str, params: ChurnParams,
         "month": parse_date("month", params.iso_date_format),
         **{c: clip_lower(c, 0) for c in USAGE_METRICS},
     }).where(F.col("customer_id").isNotNull())
-    recent = F.col("month") >= F.lit(params.cutoff)
+    recent = in_recency_window("month", params)
     agg = usage.groupBy("customer_id").agg(
         F.avg("logins").alias("_l"), F.avg("features_used").alias("_f"), F.avg("active_minutes").alias("_m"),
         F.count("month").alias("total_months_with_data"), F.max("month").alias("last_active_month"),
@@ -60,7 +61,7 @@ def ticket_features_stream(spark: SparkSession, folder: str, params: ChurnParams
         F.count("ticket_id").alias("total_tickets"),
         F.count_if(F.col("resolved") == RESOLVED_NO).alias("unresolved_tickets"),
         F.count_if(F.col("priority") == PRIORITY_CRITICAL).alias("critical_tickets"),
-        F.count_if(F.col("created_date") >= F.lit(params.cutoff)).alias("tickets_last90d"))
+        F.count_if(in_recency_window("created_date", params)).alias("tickets_last90d"))
 
 
 def start_aggregate(agg: DataFrame, table_path: str, checkpoint: str, available_now: bool = True,

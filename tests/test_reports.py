@@ -69,3 +69,22 @@ def test_invariants_on_test_data(spark):
     assert cust.where((F.col("age_flag") == "NEGATIVE_AGE") & F.col("age").isNotNull()).count() == 0
     assert cust.where(F.col("age") < 0).count() == 0
     assert silver[S.USAGE].where((F.col("logins") < 0) | (F.col("features_used") < 0)).count() == 0
+
+
+def test_dense_calendar_fills_months_without_churn(spark):
+    subs = spark.createDataFrame([
+        ("a", 10.0, D(2024, 1, 5), "Churned"), ("c", 5.0, D(2024, 3, 1), "Churned"),
+    ], "customer_id string, mrr double, churn_date date, status string")
+    rows = RP.churn_trend_monthly(subs, dense_calendar=True).collect()
+    assert [(r.churn_month, r.churned_count, r.change_vs_prev_month, r.cumulative_churned) for r in rows] == [
+        (D(2024, 1, 1), 1, None, 1), (D(2024, 2, 1), 0, -1, 1), (D(2024, 3, 1), 1, 1, 2)]
+
+
+def test_recency_upper_bound(spark):
+    from churnlens.operators.features import recent_logins
+    from churnlens.params import ChurnParams
+    usage = spark.createDataFrame([("a", D(2025, 4, 1), 3, False), ("a", D(2025, 7, 1), 5, False)],
+                                  "customer_id string, month date, logins long, orphan_flag boolean")
+    open_ended = recent_logins(usage, ChurnParams()).collect()[0].logins_last90d
+    bounded = recent_logins(usage, ChurnParams(recency_upper_bound=True)).collect()[0].logins_last90d
+    assert (open_ended, bounded) == (8, 3)

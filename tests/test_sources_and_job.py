@@ -13,7 +13,11 @@ from churnlens import schemas as S
 from churnlens.params import TESTDATA_PARAMS
 from churnlens.plans import job
 from churnlens.plans.layers import gold_from_silver, silver_from_raw
+import pytest
+
+from churnlens.params import ChurnParams
 from churnlens.sources import raw_tables_from_testdata, read_raw_csv, read_raw_tables
+from churnlens.sources.csv import null_token_hits, read_raw_text
 from tests.conftest import SF_SMALL
 
 
@@ -79,3 +83,25 @@ def test_job_writes_every_output(spark, tmp_dir):
     assert csv.count() == gold.count() and len(csv.columns) == 32
     # empty flags and NULLs are both written as nothing
     assert csv.where(F.col("age_flag") == "").count() == 0
+
+
+def test_per_column_null_tokens_and_hit_counts(spark, tmp_dir):
+    path = f"{tmp_dir}/customers.csv"
+    pd.DataFrame({"customer_id": ["a", "b", "c"], "age": ["30", "NA", "n/a"], "region": ["NA", "EU", "null"],
+                  "signup_date": ["2024-01-01"] * 3, "plan": ["basic"] * 3, "acq_channel": ["x"] * 3,
+                  "contract_type": ["m"] * 3}).to_csv(path, index=False)
+    keep_na = ChurnParams(column_null_tokens=(("customers", "region", ("", "null")),))
+    rows = read_raw_csv(spark, path, S.CUSTOMERS, keep_na).orderBy("customer_id").collect()
+    assert [r.region for r in rows] == ["NA", "EU", None]
+    assert [r.age for r in rows] == [30.0, None, None]
+    hits = {r.column_name: r.token_hits for r in null_token_hits(read_raw_text(spark, path, S.CUSTOMERS),
+                                                                  S.CUSTOMERS, keep_na).collect()}
+    assert hits["age"] == 2 and hits["region"] == 1 and hits["customer_id"] == 0
+
+
+def test_strict_mode_stops_on_repeated_subscription(spark, tmp_dir):
+    raw = dict(raw_tables_from_testdata(spark, SF_SMALL))
+    subs = raw[S.SUBSCRIPTIONS]
+    raw[S.SUBSCRIPTIONS] = subs.unionByName(subs.limit(1))
+    with pytest.raises(ValueError, match="repeat"):
+        job.run(spark, raw, f"{tmp_dir}/strict", TESTDATA_PARAMS, csv_export=False, profile=False, strict=True)
