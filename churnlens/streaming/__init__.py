@@ -2,7 +2,7 @@
 raw CSV drops arrive."""
 
 from churnlens.streaming.incremental import (
-    start_aggregate, ticket_features_stream, usage_features_stream,
+    read_latest, start_aggregate, ticket_features_stream, usage_features_stream,
 )
 
-__all__ = ["start_aggregate", "ticket_features_stream", "usage_features_stream"]
+__all__ = ["read_latest", "start_aggregate", "ticket_features_stream", "usage_features_stream"]

@@ -10,7 +10,7 @@ from churnlens.operators.clean import clean_tickets, clean_usage
 from churnlens.params import TESTDATA_PARAMS as P
 from churnlens.session import checkpoint_dir
 from churnlens.sources import raw_tables_from_testdata
-from churnlens.streaming import start_aggregate, ticket_features_stream, usage_features_stream
+from churnlens.streaming import read_latest, start_aggregate, ticket_features_stream, usage_features_stream
 from tests.conftest import SF_SMALL
 
 
@@ -43,5 +43,7 @@ def test_streaming_usage_and_ticket_aggregates_match_batch(spark, tmp_dir):
     customers = spark.createDataFrame([], "customer_id string")  # flags unused below
     usage_batch = FE.usage_customer_agg(clean_usage(raw[S.USAGE], customers, P), P, known_only=False)
     tickets_batch = FE.ticket_customer_agg(clean_tickets(raw[S.TICKETS], customers, P), P, known_only=False)
-    assert _rows(spark.read.parquet(f"{tmp_dir}/out/usage")) == _rows(usage_batch)
-    assert _rows(spark.read.parquet(f"{tmp_dir}/out/tickets")) == _rows(tickets_batch)
+    assert _rows(read_latest(spark, f"{tmp_dir}/out/usage")) == _rows(usage_batch)
+    assert _rows(read_latest(spark, f"{tmp_dir}/out/tickets")) == _rows(tickets_batch)
+    # one committed snapshot per trigger (three files, one file per trigger)
+    assert len([d for d in os.listdir(f"{tmp_dir}/out/usage") if d.startswith("v=")]) == 3
