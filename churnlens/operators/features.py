@@ -164,10 +164,11 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
         "plan_final": F.coalesce("plan_sub", "plan_cust"),
         "contract_type_final": F.coalesce("contract_type_sub", "contract_type_cust"),
         "churned": churned.cast("int"),
-        "tenure_days": tenure,
+        # whole days as DOUBLE: the column holds NULLs (pandas makes it float for that reason)
+        "tenure_days": tenure.cast("double"),
         "tenure_bucket": tenure_bucket(tenure),
         "engagement_tier": engagement_tier(F.coalesce(F.col("avg_monthly_logins"), F.lit(0.0))),
-        "days_since_last_active": F.datediff(as_of, F.col("last_active_month")),
+        "days_since_last_active": F.datediff(as_of, F.col("last_active_month")).cast("double"),
     })
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in ZERO_FILL})
     return df.select(*FEATURE_COLUMNS)

@@ -60,7 +60,8 @@ def churn_trend_monthly(subscriptions: DataFrame, dense_calendar: bool = False)
     running = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return (monthly.select(
         "churn_month", "churned_count", "mrr_lost",
-        (F.col("churned_count") - F.lag("churned_count", 1).over(w)).alias("change_vs_prev_month"),
+        # NULL for the first month; DOUBLE like the other nullable numeric outputs
+        (F.col("churned_count") - F.lag("churned_count", 1).over(w)).cast("double").alias("change_vs_prev_month"),
         F.sum("churned_count").over(running).alias("cumulative_churned"),
         F.sum("mrr_lost").over(running).alias("cumulative_mrr_lost"),
     ).orderBy("churn_month"))
@@ -119,22 +120,23 @@ def _segment_rates(features: DataFrame, label: str, rank_expr=None) -> DataFrame
 
 
 def _label_rank(label: str, labels) -> F.Column:
+    """Position of the label in its ordered category; a NULL label sorts last."""
     out = None
     for i, v in enumerate(labels):
         out = F.when(F.col(label) == v, F.lit(i)) if out is None else out.when(F.col(label) == v, F.lit(i))
-    return out
+    return out.otherwise(F.lit(len(labels)))
 
 
 def churn_by_tenure(features: DataFrame) -> DataFrame:
     """REP6: churn % per tenure bucket (NULL bucket kept: churned without a churn date)."""
     out = _segment_rates(features, "tenure_bucket", _label_rank("tenure_bucket", TENURE_LABELS))
-    return out.orderBy(F.col("tenure_bucket_rank").asc_nulls_last())
+    return out.orderBy("tenure_bucket_rank")
 
 
 def churn_by_engagement(features: DataFrame) -> DataFrame:
     """REP7: churn % per engagement tier."""
     out = _segment_rates(features, "engagement_tier", _label_rank("engagement_tier", ENGAGEMENT_LABELS))
-    return out.orderBy(F.col("engagement_tier_rank").asc_nulls_last())
+    return out.orderBy("engagement_tier_rank")
 
 
 def _churned_vs_active(features: DataFrame, column: str, scale: int) -> DataFrame:
