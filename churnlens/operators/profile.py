@@ -109,11 +109,28 @@ def remaining_nulls(silver: dict[str, DataFrame]) -> DataFrame:
 def _extra_rows(df: DataFrame, cols: list[str]) -> DataFrame:
     """Group rows with equal ``cols`` (NULLs equal): total rows, rows beyond the first of each
     group, and number of groups. Partial aggregation runs before the shuffle, so a heavily
-    repeated value is reduced per input partition first."""
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total"),
-                      F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("extra"),
-                      F.count(F.lit(1)).alias("groups"))
+    repeated value is reduced per input partition first.
+
+    For several columns (whole-row duplicates) the rows are first grouped by a 96-bit hash of
+    the columns, which shuffles a few bytes per row instead of the row; only rows whose hash
+    repeats are then grouped by their full values, so the count stays exact (a hash collision
+    can only add a candidate, never a duplicate).
+    """
+    if len(cols) == 1:
+        groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+        return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total"),
+                          F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("extra"),
+                          F.count(F.lit(1)).alias("groups"))
+    hashed = df.select(F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"), *cols)
+    by_hash = hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    totals = by_hash.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total"),
+                         F.lit(0).cast("long").alias("extra"))
+    candidates = hashed.join(by_hash.where(F.col("_n") > 1).select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
+    exact = (candidates.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+             .agg(F.lit(0).cast("long").alias("total"),
+                  F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("extra")))
+    both = totals.unionByName(exact).agg(F.sum("total").alias("total"), F.sum("extra").alias("extra"))
+    return both.select("total", "extra", (F.col("total") - F.col("extra")).alias("groups"))
 
 
 def duplicate_key_count(df: DataFrame, key: str) -> int:

@@ -89,3 +89,13 @@ def test_cleaning_is_idempotent(spark):
     once = clean_customers(_customers(spark, rows), P)
     again = clean_customers(once.drop("age_flag").withColumn("signup_date", once.signup_date.cast("string")), P)
     assert once.collect() == again.collect()
+
+
+def test_full_row_duplicates_exact_with_nulls(spark):
+    from churnlens.operators.profile import _extra_rows
+    rows = [("a", None, 1), ("a", None, 1), (None, "a", 1), ("a", "b", 2), ("a", "b", 2), ("a", "b", 2), ("c", "d", 3)]
+    df = spark.createDataFrame(rows, "x string, y string, z int")
+    r = _extra_rows(df, ["x", "y", "z"]).collect()[0]
+    assert (r.total, r.extra, r.groups) == (7, 3, 4)
+    k = _extra_rows(df, ["x"]).collect()[0]
+    assert (k.total, k.extra, k.groups) == (7, 4, 3)
