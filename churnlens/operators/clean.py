@@ -87,11 +87,13 @@ def clean_usage(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> Da
 
 
 def clean_all(raw: dict[str, DataFrame], params: ChurnParams) -> dict[str, DataFrame]:
-    """All four silver tables; orphan flags are checked against the deduplicated customers."""
-    customers = clean_customers(raw[S.CUSTOMERS], params)
+    """All four silver tables. Orphan flags check against the customer ids, which are the same
+    before and after deduplication, so they are taken from the raw table (a cheap distinct)
+    rather than from the deduplicated rows."""
+    customer_ids = raw[S.CUSTOMERS].select("customer_id")
     return {
-        S.CUSTOMERS: customers,
+        S.CUSTOMERS: clean_customers(raw[S.CUSTOMERS], params),
         S.SUBSCRIPTIONS: clean_subscriptions(raw[S.SUBSCRIPTIONS], params),
-        S.TICKETS: clean_tickets(raw[S.TICKETS], customers, params),
-        S.USAGE: clean_usage(raw[S.USAGE], customers, params),
+        S.TICKETS: clean_tickets(raw[S.TICKETS], customer_ids, params),
+        S.USAGE: clean_usage(raw[S.USAGE], customer_ids, params),
     }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.buckets import engagement_tier, tenure_bucket
 from churnlens.functions.numeric import clip_lower, np_round
+from churnlens.operators.joins import JOIN_KEY, with_join_key
 from churnlens.params import PRIORITY_CRITICAL, RESOLVED_NO, STATUS_CHURNED, ChurnParams
 
 USAGE_AVERAGES = {
@@ -36,17 +37,6 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.where(F.col("customer_id").isNotNull())
 
 
-# Join key shared by every side of the flat-table joins: (coalesce(id, ''), isnull(id)).
-# NULL ids match each other (like pandas merge) and, because the pair is a real column on
-# every side, all four inputs are hash-partitioned on the same columns: the joins run
-# without re-shuffling the customer-grain result between them.
-JOIN_KEY = ("_jk", "_jk_null")
-
-
-def with_join_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
-    return df.withColumns({"_jk": F.coalesce(F.col(key), F.lit("")), "_jk_null": F.col(key).isNull()})
-
-
 def in_recency_window(c, params: ChurnParams):
     """``c >= as_of - recency_days`` (inclusive); no upper bound unless ``recency_upper_bound``."""
     col = F.col(c) if isinstance(c, str) else c

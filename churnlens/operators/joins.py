@@ -12,15 +12,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def flag_missing_key(facts: DataFrame, unique_keys: DataFrame, key: str, flag: str) -> DataFrame:
-    """Add ``flag`` = True where ``facts[key]`` has no match in ``unique_keys[key]``.
+# A null-safe join key as two real columns: (coalesce(id, ''), isnull(id)). NULL ids match
+# each other (like pandas merge / isin); because the pair is a column on every side, an
+# aggregate grouped by it and a join on it share one hash partitioning (no re-shuffle between
+# them), which a plain ``<=>`` condition would not give.
+JOIN_KEY = ("_jk", "_jk_null")
 
-    NULL matches NULL, as ``Series.isin`` does. ``unique_keys`` must hold each key once
-    (true for deduplicated customers), so the left join cannot multiply fact rows.
+
+def with_join_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
+    return df.withColumns({"_jk": F.coalesce(F.col(key), F.lit("")), "_jk_null": F.col(key).isNull()})
+
+
+def flag_missing_key(facts: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
+    """Add ``flag`` = True where ``facts[key]`` has no match among ``keys[key]`` (NULL matches
+    NULL, as ``Series.isin`` does).
+
+    The key side is reduced to its distinct keys with a hash aggregate on ``JOIN_KEY``, so the
+    left join cannot multiply fact rows and the aggregate's partitioning is the join's: only
+    the facts are shuffled for it (or nothing, when AQE broadcasts a small key set).
     """
-    k = unique_keys.select(F.col(key).alias("_key"), F.lit(True).alias("_hit"))
-    joined = facts.join(k, facts[key].eqNullSafe(k["_key"]), "left")
-    return joined.withColumn(flag, F.col("_hit").isNull()).drop("_key", "_hit")
+    known = with_join_key(keys.select(key)).select(*JOIN_KEY).distinct().withColumn("_hit", F.lit(True))
+    joined = with_join_key(facts).join(known, list(JOIN_KEY), "left")
+    return joined.withColumn(flag, F.col("_hit").isNull()).drop("_hit").select(*facts.columns, flag)
 
 
 def rows_missing_key(facts: DataFrame, keys: DataFrame, key: str) -> DataFrame:

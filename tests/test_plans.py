@@ -71,3 +71,17 @@ def test_flat_table_shuffles_each_input_once(spark, silver):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
     assert plan.count("Exchange hashpartitioning(") == 4
     assert plan.count("Exchange hashpartitioning(_jk") == 4
+
+
+def test_orphan_flag_joins_on_the_key_aggregate_partitioning(spark):
+    from churnlens.operators.clean import clean_tickets
+    raw = raw_tables_from_testdata(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(clean_tickets(raw[S.TICKETS], raw[S.CUSTOMERS].select("customer_id"), TESTDATA_PARAMS))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+    assert plan.count("Exchange hashpartitioning(_jk") == 2
+    assert "SortAggregate" not in plan
