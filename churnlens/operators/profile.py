@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens import schemas as S
-from churnlens.functions.dates import parse_date
+from churnlens.functions.dates import parse_date, parse_mixed_date
 from churnlens.functions.numeric import np_round
 from churnlens.operators.joins import rows_missing_key
 from churnlens.params import (
@@ -266,8 +266,36 @@ def value_counts(silver: dict[str, DataFrame]) -> DataFrame:
                    for t, cols in VALUE_COUNT_COLUMNS.items() for c in cols])
 
 
-def repairs(raw: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
+DATE_COLUMNS = {
+    S.CUSTOMERS: ("signup_date",),
+    S.SUBSCRIPTIONS: ("signup_date", "churn_date"),
+    S.TICKETS: ("created_date",),
+    S.USAGE: ("month",),
+}
+
+
+def _date_losses(raw: dict[str, DataFrame], params: ChurnParams) -> list[DataFrame]:
+    """Per date column: raw values that do not parse (set to NULL), and for customer signup
+    dates, values read only through the day-first / timestamp fallback."""
+    frames = []
+    for t, cols in DATE_COLUMNS.items():
+        pairs = []
+        for c in cols:
+            raw_c = F.col(c)
+            if t == S.CUSTOMERS:
+                parsed = parse_mixed_date(c, params.customer_date_formats, params.day_first_fallback)
+                strict = parse_mixed_date(c, params.customer_date_formats, False)
+                pairs.append((f"{c}_day_first", F.count_if(strict.isNull() & parsed.isNotNull())))
+            else:
+                parsed = parse_date(c, params.iso_date_format)
+            pairs.append((f"{c}_lost", F.count_if(raw_c.isNotNull() & parsed.isNull())))
+        frames.append(long_metrics(raw[t], t, pairs))
+    return frames
+
+
+def repairs(raw: dict[str, DataFrame], silver: dict[str, DataFrame], params: ChurnParams | None = None) -> DataFrame:
     """Rows touched by each cleaning rule (table_name, rule, n_rows)."""
+    params = params or ChurnParams()
     def rows(df, table, pairs):
         return long_metrics(df, table, pairs).select(
             F.col("section").alias("table_name"), F.col("metric").alias("rule"),
@@ -287,7 +315,9 @@ def repairs(raw: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFram
     tix = rows(silver[S.TICKETS], S.TICKETS, [("orphan_flag", F.count_if(F.col("orphan_flag")))])
     usage_raw = rows(raw[S.USAGE], S.USAGE, [(f"clip_{c}", F.count_if(F.col(c) < 0)) for c in USAGE_METRICS])
     usage = rows(silver[S.USAGE], S.USAGE, [("orphan_flag", F.count_if(F.col("orphan_flag")))])
-    return _union([cust_raw, cust, subs, tix, usage_raw, usage])
+    dates = [d.select(F.col("section").alias("table_name"), F.col("metric").alias("rule"),
+                      F.col("value").cast("long").alias("n_rows")) for d in _date_losses(raw, params)]
+    return _union([cust_raw, cust, subs, tix, usage_raw, usage, *dates])
 
 
 # ---------------------------------------------------------------------------

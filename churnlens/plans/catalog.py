@@ -62,7 +62,7 @@ QUERIES: dict[str, Query] = {
     "profile_remaining_nulls": _on_silver(PR.remaining_nulls),
     "profile_distinct": _on_silver(PR.distinct_values),
     "profile_value_counts": _on_silver(PR.value_counts),
-    "profile_repairs": _on_raw_silver(PR.repairs),
+    "profile_repairs": _on_raw_silver(lambda r, s: PR.repairs(r, s, P)),
     "quality_findings": _on_raw_silver(PR.quality_findings),
     # cleaning (silver)
     "clean_customers": _silver(S.CUSTOMERS),

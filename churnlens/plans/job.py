@@ -78,7 +78,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, params: ChurnP
     for name, fn in GOLD_REPORTS.items():
         written[name] = write_table(fn(gold), f"{out}/reports/{name}")
     if profile:
-        written["repairs"] = write_table(PR.repairs(raw, silver), f"{out}/profile/repairs")
+        written["repairs"] = write_table(PR.repairs(raw, silver, params), f"{out}/profile/repairs")
         written["findings"] = write_table(PR.quality_findings(raw, silver), f"{out}/profile/findings")
     return written
 

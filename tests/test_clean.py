@@ -99,3 +99,20 @@ def test_full_row_duplicates_exact_with_nulls(spark):
     assert (r.total, r.extra, r.groups) == (7, 3, 4)
     k = _extra_rows(df, ["x"]).collect()[0]
     assert (k.total, k.extra, k.groups) == (7, 4, 3)
+
+
+def test_repairs_count_lost_and_day_first_dates(spark):
+    from churnlens.operators.profile import _date_losses
+    rows = [("c1", 1.0, "x", "03-04-2024", "b", "s", "m", (0, 1)),
+            ("c2", 1.0, "x", "13-04-2024", "b", "s", "m", (0, 2)),
+            ("c3", 1.0, "x", "junk", "b", "s", "m", (0, 3)),
+            ("c4", 1.0, "x", None, "b", "s", "m", (0, 4))]
+    subs = spark.createDataFrame([("c1", "b", 1.0, "m", "2024-01-01", "31/12/2024", "Churned")], SUB_SCHEMA)
+    empty = {"ticket_id": "string", "customer_id": "string", "created_date": "string"}
+    tix = spark.createDataFrame([("1", "c1", "2024-01-01")], ", ".join(f"{k} {v}" for k, v in empty.items()))
+    usage = spark.createDataFrame([("c1", "2024-13-01")], "customer_id string, month string")
+    raw = {S.CUSTOMERS: _customers(spark, rows), S.SUBSCRIPTIONS: subs, S.TICKETS: tix, S.USAGE: usage}
+    got = {(r.section, r.metric): r.value for df in _date_losses(raw, P) for r in df.collect()}
+    assert got[("customers", "signup_date_day_first")] == 1 and got[("customers", "signup_date_lost")] == 1
+    assert got[("subscriptions", "churn_date_lost")] == 1 and got[("subscriptions", "signup_date_lost")] == 0
+    assert got[("tickets", "created_date_lost")] == 0 and got[("usage", "month_lost")] == 1
