@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.buckets import engagement_tier, tenure_bucket
 from churnlens.functions.numeric import clip_lower, np_round
-from churnlens.operators.joins import JOIN_KEY, with_join_key
+from churnlens.operators.joins import JOIN_KEY, hot_keys, with_join_key
 from churnlens.params import PRIORITY_CRITICAL, RESOLVED_NO, STATUS_CHURNED, ChurnParams
 
 USAGE_AVERAGES = {
@@ -128,10 +128,10 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
                       tickets: DataFrame, params: ChurnParams) -> DataFrame:
     """One row per customer (per matching subscription row), 32 columns.
 
-    customers LEFT JOIN subscriptions (NULL key matches NULL key, like ``merge``), then the
-    per-customer usage and ticket aggregates, all on ``JOIN_KEY``: one shuffle per input and
-    none between the joins. Customers are unique per key after deduplication, so no join can
-    pair many rows with many. Orphan fact rows aggregate under ids no customer has, so the
+    customers LEFT JOIN the per-customer usage and ticket aggregates, then LEFT JOIN
+    subscriptions (NULL key matches NULL key, like ``merge``), all on ``JOIN_KEY``: one shuffle
+    per input and none between the joins. Customers are unique per key after deduplication,
+    so no join can pair many rows with many. Orphan fact rows aggregate under ids no customer has, so the
     LEFT JOIN from customers drops them: the result equals filtering on ``orphan_flag`` first,
     without evaluating that flag's join.
     """
@@ -141,9 +141,22 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
         *JOIN_KEY,
         *[F.col(c).alias(f"{c}_sub") if c in COLLIDING else F.col(c) for c in SUBSCRIPTION_COLUMNS])
     keys = list(JOIN_KEY)
-    df = (cust.join(subs, keys, "left")
-          .join(usage_customer_agg(usage, params, known_only=False, by=JOIN_KEY), keys, "left")
-          .join(ticket_customer_agg(tickets, params, known_only=False, by=JOIN_KEY), keys, "left"))
+    # customer grain first: customers and both fact aggregates are unique per key, so these
+    # joins cannot be skewed and run co-partitioned
+    cust = (cust
+            .join(usage_customer_agg(usage, params, known_only=False, by=JOIN_KEY), keys, "left")
+            .join(ticket_customer_agg(tickets, params, known_only=False, by=JOIN_KEY), keys, "left"))
+
+    # Skew split of the one join that can be skewed: a key holding a large share of the
+    # subscription rows would put them all in one join task. Such keys (bounded in number)
+    # join their customer row by broadcast, where the subscription rows already are; all
+    # other keys take the co-partitioned sort-merge join. Every hot key has subscription
+    # rows, so the inner join there equals the LEFT JOIN from customers.
+    hot = F.broadcast(hot_keys(subs, keys, params.hot_key_rows, params.hot_key_sample, params.hot_key_max))
+    cold = cust.join(hot, keys, "left_anti").join(subs.join(hot, keys, "left_anti"), keys, "left")
+    hot_part = (subs.join(hot, keys, "left_semi")
+                .join(F.broadcast(cust.join(hot, keys, "left_semi")), keys, "inner"))
+    df = cold.unionByName(hot_part.select(*cold.columns))
 
     as_of = F.lit(params.as_of)
     churned = F.coalesce(F.col("status") == STATUS_CHURNED, F.lit(False))

@@ -40,3 +40,18 @@ def rows_missing_key(facts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Fact rows whose key is absent from ``keys`` (null-safe anti join; keys need not be unique)."""
     k = keys.select(F.col(key).alias("_key"))
     return facts.join(k, facts[key].eqNullSafe(k["_key"]), "left_anti")
+
+
+def hot_keys(df: DataFrame, keys, min_rows: int, sample_fraction: float, max_keys: int, seed: int = 17) -> DataFrame:
+    """Keys that look like they hold at least ``min_rows`` rows, from a sample of ``df``.
+
+    At most ``max_keys`` keys are returned (most frequent first), so the result, and anything
+    reduced to one row per returned key, has a proven size bound and may be broadcast.
+    Sampling only chooses which keys take the broadcast path; callers stay exact for any
+    choice (keys not returned go through the ordinary shuffle join). The sample is seeded, so a
+    recomputed task picks the same keys.
+    """
+    threshold = max(1, int(min_rows * sample_fraction))
+    sampled = df.select(*keys) if sample_fraction >= 1.0 else df.select(*keys).sample(False, sample_fraction, seed)
+    counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= threshold)
+    return counts.orderBy(F.col("_n").desc(), *keys).limit(max_keys).select(*keys)

@@ -74,6 +74,11 @@ class ChurnParams:
     column_null_tokens: tuple[tuple[str, str, tuple[str, ...]], ...] = ()
     # also bound the recency windows above by as_of (rows dated later are then left out)
     recency_upper_bound: bool = False
+    # a subscription key with at least this many rows is joined by broadcast (skew split);
+    # found on a sample of this fraction; at most this many such keys
+    hot_key_rows: int = 1_000_000
+    hot_key_sample: float = 0.01
+    hot_key_max: int = 1000
 
     def tokens_for(self, table: str, column: str) -> tuple[str, ...]:
         for t, c, tokens in self.column_null_tokens:

@@ -105,3 +105,29 @@ def test_strict_mode_stops_on_repeated_subscription(spark, tmp_dir):
     raw[S.SUBSCRIPTIONS] = subs.unionByName(subs.limit(1))
     with pytest.raises(ValueError, match="repeat"):
         job.run(spark, raw, f"{tmp_dir}/strict", TESTDATA_PARAMS, csv_export=False, profile=False, strict=True)
+
+
+def test_keep_first_follows_file_order_across_many_splits(spark, tmp_dir):
+    """One CSV read as many splits: the kept row per id is the first in the file, as
+    pandas drop_duplicates(keep="first") keeps it."""
+    import random
+    from churnlens.operators.clean import dedupe_first
+    rnd = random.Random(7)
+    rows = [{"customer_id": f"c{rnd.randrange(300)}", "age": str(i), "region": f"r{i}", "signup_date": "2024-01-01",
+             "plan": "basic", "acq_channel": "x", "contract_type": "m"} for i in range(3000)]
+    folder = f"{tmp_dir}/customers_csv"
+    os.makedirs(folder)
+    pdf = pd.DataFrame(rows)
+    pdf.to_csv(f"{folder}/part-a.csv", index=False)
+    pdf.iloc[::-1].to_csv(f"{folder}/part-b.csv", index=False)   # later file: never wins
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        raw = read_raw_csv(spark, folder, S.CUSTOMERS)
+        assert raw.rdd.getNumPartitions() > 5
+        got = {r.customer_id: r.region for r in dedupe_first(raw, "customer_id", S.INGEST_ORDER).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = pdf.drop_duplicates(subset="customer_id", keep="first").set_index("customer_id")["region"].to_dict()
+    assert got == want
