@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.buckets import engagement_tier, tenure_bucket
 from churnlens.functions.numeric import clip_lower, np_round
-from churnlens.operators.joins import JOIN_KEY, hot_keys, with_join_key
+from churnlens.operators.joins import JOIN_KEY, left_join_split_hot, with_join_key
 from churnlens.params import PRIORITY_CRITICAL, RESOLVED_NO, STATUS_CHURNED, ChurnParams
 
 USAGE_AVERAGES = {
@@ -147,16 +147,8 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
             .join(usage_customer_agg(usage, params, known_only=False, by=JOIN_KEY), keys, "left")
             .join(ticket_customer_agg(tickets, params, known_only=False, by=JOIN_KEY), keys, "left"))
 
-    # Skew split of the one join that can be skewed: a key holding a large share of the
-    # subscription rows would put them all in one join task. Such keys (bounded in number)
-    # join their customer row by broadcast, where the subscription rows already are; all
-    # other keys take the co-partitioned sort-merge join. Every hot key has subscription
-    # rows, so the inner join there equals the LEFT JOIN from customers.
-    hot = F.broadcast(hot_keys(subs, keys, params.hot_key_rows, params.hot_key_sample, params.hot_key_max))
-    cold = cust.join(hot, keys, "left_anti").join(subs.join(hot, keys, "left_anti"), keys, "left")
-    hot_part = (subs.join(hot, keys, "left_semi")
-                .join(F.broadcast(cust.join(hot, keys, "left_semi")), keys, "inner"))
-    df = cold.unionByName(hot_part.select(*cold.columns))
+    # the one join whose right side can be skewed (a key with many subscription rows)
+    df = left_join_split_hot(cust, subs, keys, params.hot_key_rows, params.hot_key_sample, params.hot_key_max)
 
     as_of = F.lit(params.as_of)
     churned = F.coalesce(F.col("status") == STATUS_CHURNED, F.lit(False))

@@ -55,3 +55,22 @@ def hot_keys(df: DataFrame, keys, min_rows: int, sample_fraction: float, max_key
     sampled = df.select(*keys) if sample_fraction >= 1.0 else df.select(*keys).sample(False, sample_fraction, seed)
     counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= threshold)
     return counts.orderBy(F.col("_n").desc(), *keys).limit(max_keys).select(*keys)
+
+
+def left_join_split_hot(left: DataFrame, right: DataFrame, keys, min_rows: int, sample_fraction: float,
+                        max_keys: int) -> DataFrame:
+    """``left LEFT JOIN right USING (keys)`` that stays balanced when a few keys hold a large
+    share of ``right``; ``left`` must hold each key at most once.
+
+    AQE can split a skewed *left* side of a left outer join, not the right. So keys that
+    ``hot_keys`` finds frequent in ``right`` (at most ``max_keys``) are handled apart: their
+    ``left`` rows - at most one per key, a proven size bound - are broadcast to the ``right``
+    rows where they already are. Every other key takes the ordinary shuffle join. Each hot key
+    has ``right`` rows, so the inner join there equals the left join. With no hot key AQE
+    removes the broadcast branch at run time.
+    """
+    keys = list(keys)
+    hot = F.broadcast(hot_keys(right, keys, min_rows, sample_fraction, max_keys))
+    cold = left.join(hot, keys, "left_anti").join(right.join(hot, keys, "left_anti"), keys, "left")
+    hot_part = right.join(hot, keys, "left_semi").join(F.broadcast(left.join(hot, keys, "left_semi")), keys, "inner")
+    return cold.unionByName(hot_part.select(*cold.columns))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.buckets import ticket_bucket
 from churnlens.functions.numeric import exact_mean, pct_half_up, safe_ratio
+from churnlens.operators.joins import left_join_split_hot
 from churnlens.params import ENGAGEMENT_LABELS, STATUS_CHURNED, TENURE_LABELS, ChurnParams
 
 def _is_churned():
@@ -67,17 +68,20 @@ def churn_trend_monthly(subscriptions: DataFrame, dense_calendar: bool = False)
     ).orderBy("churn_month"))
 
 
-def _customers_with_subscription(customers: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def _customers_with_subscription(customers: DataFrame, subscriptions: DataFrame, params: ChurnParams) -> DataFrame:
+    """customers LEFT JOIN subscriptions ON customer_id = customer_id (SQL equality: NULL ids do
+    not match), split for keys with many subscription rows."""
     c = customers.select("customer_id", "plan", "contract_type", "acq_channel")
     s = subscriptions.select(
-        F.col("customer_id").alias("s_customer_id"), F.col("plan").alias("s_plan"),
-        F.col("contract_type").alias("s_contract_type"), "status", "mrr", "signup_date", "churn_date")
-    return c.join(s, c["customer_id"] == s["s_customer_id"], "left")
+        "customer_id", F.col("plan").alias("s_plan"), F.col("contract_type").alias("s_contract_type"),
+        "status", "mrr", "signup_date", "churn_date")
+    return left_join_split_hot(c, s, ["customer_id"], params.hot_key_rows, params.hot_key_sample, params.hot_key_max)
 
 
-def churn_by_plan_contract(customers: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def churn_by_plan_contract(customers: DataFrame, subscriptions: DataFrame,
+                           params: ChurnParams | None = None) -> DataFrame:
     """REP3: churn % and mean MRR per (plan, contract), subscription values first."""
-    j = _customers_with_subscription(customers, subscriptions)
+    j = _customers_with_subscription(customers, subscriptions, params or ChurnParams())
     out = (j.groupBy(F.coalesce("s_plan", "plan").alias("plan_final"),
                      F.coalesce("s_contract_type", "contract_type").alias("contract_type_final"))
            .agg(*_rate_aggs(), F.round(F.avg("mrr"), 0).alias("avg_mrr")))
@@ -97,7 +101,7 @@ def churn_by_ticket_bucket(subscriptions: DataFrame, tickets: DataFrame) -> Data
 def channel_performance(customers: DataFrame, subscriptions: DataFrame, params: ChurnParams) -> DataFrame:
     """REP5: per acquisition channel: customers, churn %, mean tenure (to churn date or
     as_of, not clipped) and mean MRR."""
-    j = _customers_with_subscription(customers, subscriptions)
+    j = _customers_with_subscription(customers, subscriptions, params)
     tenure = F.datediff(F.coalesce(F.col("churn_date"), F.lit(params.as_of)), F.col("signup_date"))
     out = (j.groupBy("acq_channel")
            .agg(*_rate_aggs(churned_name=None),

@@ -81,7 +81,7 @@ QUERIES: dict[str, Query] = {
     "churn_trend_monthly": _on_silver(lambda s: RP.churn_trend_monthly(s[S.SUBSCRIPTIONS])),
     "churn_trend_monthly_dense": _on_silver(lambda s: RP.churn_trend_monthly(s[S.SUBSCRIPTIONS], dense_calendar=True)),
     "churn_by_plan_contract": _on_silver(
-        lambda s: RP.churn_by_plan_contract(s[S.CUSTOMERS], s[S.SUBSCRIPTIONS])),
+        lambda s: RP.churn_by_plan_contract(s[S.CUSTOMERS], s[S.SUBSCRIPTIONS], P)),
     "churn_by_ticket_bucket": _on_silver(
         lambda s: RP.churn_by_ticket_bucket(s[S.SUBSCRIPTIONS], s[S.TICKETS])),
     "channel_performance": _on_silver(

@@ -30,7 +30,7 @@ from churnlens.sources import raw_tables_from_testdata, read_raw_tables, read_si
 STAR_REPORTS = {
     "churn_by_plan": lambda s, p: RP.churn_by_plan(s[S.SUBSCRIPTIONS]),
     "churn_trend_monthly": lambda s, p: RP.churn_trend_monthly(s[S.SUBSCRIPTIONS]),
-    "churn_by_plan_contract": lambda s, p: RP.churn_by_plan_contract(s[S.CUSTOMERS], s[S.SUBSCRIPTIONS]),
+    "churn_by_plan_contract": lambda s, p: RP.churn_by_plan_contract(s[S.CUSTOMERS], s[S.SUBSCRIPTIONS], p),
     "churn_by_ticket_bucket": lambda s, p: RP.churn_by_ticket_bucket(s[S.SUBSCRIPTIONS], s[S.TICKETS]),
     "channel_performance": lambda s, p: RP.channel_performance(s[S.CUSTOMERS], s[S.SUBSCRIPTIONS], p),
 }

@@ -116,3 +116,14 @@ def test_repairs_count_lost_and_day_first_dates(spark):
     assert got[("customers", "signup_date_day_first")] == 1 and got[("customers", "signup_date_lost")] == 1
     assert got[("subscriptions", "churn_date_lost")] == 1 and got[("subscriptions", "signup_date_lost")] == 0
     assert got[("tickets", "created_date_lost")] == 0 and got[("usage", "month_lost")] == 1
+
+
+def test_left_join_split_hot_equals_left_join(spark):
+    from churnlens.operators.joins import left_join_split_hot
+    left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, l int")
+    right_rows = [("a", i) for i in range(50)] + [("b", 1), ("zz", 7), (None, 8), (None, 9)]
+    right = spark.createDataFrame(right_rows, "k string, r int")
+    plain = left.join(right, ["k"], "left")
+    for min_rows, fraction in ((10, 1.0), (1, 1.0), (10 ** 9, 0.01)):
+        split = left_join_split_hot(left, right, ["k"], min_rows, fraction, 100)
+        assert sorted(split.collect(), key=repr) == sorted(plain.collect(), key=repr)
