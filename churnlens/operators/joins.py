@@ -63,14 +63,17 @@ def left_join_split_hot(left: DataFrame, right: DataFrame, keys, min_rows: int,
     share of ``right``; ``left`` must hold each key at most once.
 
     AQE can split a skewed *left* side of a left outer join, not the right. So keys that
-    ``hot_keys`` finds frequent in ``right`` (at most ``max_keys``) are handled apart: their
-    ``left`` rows - at most one per key, a proven size bound - are broadcast to the ``right``
-    rows where they already are. Every other key takes the ordinary shuffle join. Each hot key
-    has ``right`` rows, so the inner join there equals the left join. With no hot key AQE
-    removes the broadcast branch at run time.
+    ``hot_keys`` finds frequent in ``right`` are handled apart. Their values (at most
+    ``max_keys`` rows of key columns, a proven bound) are fetched once, and their ``left``
+    rows (at most one per key) are broadcast to the ``right`` rows where those already are.
+    Every other key takes the ordinary shuffle join. Each hot key has ``right`` rows, so the
+    inner join there equals the left join. With no hot key this is the plain left join.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(right, keys, min_rows, sample_fraction, max_keys))
+    hot_rows = hot_keys(right, keys, min_rows, sample_fraction, max_keys).collect()
+    if not hot_rows:
+        return left.join(right, keys, "left")
+    hot = F.broadcast(left.sparkSession.createDataFrame(hot_rows, right.select(*keys).schema))
     cold = left.join(hot, keys, "left_anti").join(right.join(hot, keys, "left_anti"), keys, "left")
     hot_part = right.join(hot, keys, "left_semi").join(F.broadcast(left.join(hot, keys, "left_semi")), keys, "inner")
     return cold.unionByName(hot_part.select(*cold.columns))

@@ -69,8 +69,8 @@ def test_reports_windows_run_after_aggregation(spark, silver):
 
 def test_flat_table_shuffles_each_input_once(spark, silver):
     """Customers, subscriptions and the two fact aggregates are each shuffled once, on the
-    same key columns, and the joins between them need no further exchange. With no hot key,
-    AQE drops the hot-key branch (and its joins) once the broadcast hot-key set is empty."""
+    same key columns, and the joins between them need no further exchange (no hot key in the
+    test data, so no broadcast branch)."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
