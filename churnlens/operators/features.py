@@ -2,7 +2,8 @@
 
 Fact tables are reduced to one row per customer *before* any join (no fan-out), each in a
 single scan: lifetime and 90-day figures come out of one aggregate with conditional
-columns. All joins and groupings use the same key, ``customer_id``.
+columns. In the flat table every grouping and join uses the same key columns (``JOIN_KEY``),
+so the inputs share one hash partitioning.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def usage_features(usage: DataFrame) -> DataFrame:
 
 
 def recent_logins(usage: DataFrame, params: ChurnParams) -> DataFrame:
-    """Logins summed over months on or after as_of - recency_days (no upper bound)."""
+    """Logins summed over months on or after as_of - recency_days (see ``in_recency_window``)."""
     recent = _known(usage).where(in_recency_window("month", params))
     return recent.groupBy("customer_id").agg(
         F.coalesce(F.sum("logins"), F.lit(0)).cast("long").alias("logins_last90d"))
@@ -131,9 +132,9 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
     customers LEFT JOIN the per-customer usage and ticket aggregates, then LEFT JOIN
     subscriptions (NULL key matches NULL key, like ``merge``), all on ``JOIN_KEY``: one shuffle
     per input and none between the joins. Customers are unique per key after deduplication,
-    so no join can pair many rows with many. Orphan fact rows aggregate under ids no customer has, so the
-    LEFT JOIN from customers drops them: the result equals filtering on ``orphan_flag`` first,
-    without evaluating that flag's join.
+    so no join can pair many rows with many. Orphan fact rows aggregate under ids no customer
+    has, so the LEFT JOIN from customers drops them: the result equals filtering on
+    ``orphan_flag`` first, without evaluating that flag's join.
     """
     cust = with_join_key(customers.select(
         *[F.col(c).alias(f"{c}_cust") if c in COLLIDING else F.col(c) for c in customers.columns]))

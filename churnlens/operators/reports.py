@@ -15,6 +15,7 @@ from churnlens.functions.numeric import exact_mean, pct_half_up, safe_ratio
 from churnlens.operators.joins import left_join_split_hot
 from churnlens.params import ENGAGEMENT_LABELS, STATUS_CHURNED, TENURE_LABELS, ChurnParams
 
+
 def _is_churned():
     return F.when(F.col("status") == STATUS_CHURNED, F.lit(1)).otherwise(F.lit(0))
 
