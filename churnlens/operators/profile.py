@@ -274,50 +274,57 @@ DATE_COLUMNS = {
 }
 
 
+def _date_loss_pairs(table: str, params: ChurnParams) -> list[tuple[str, Column]]:
+    """Per date column of a raw table: values that do not parse (set to NULL), and for customer
+    signup dates, values read only through the day-first / timestamp fallback."""
+    pairs = []
+    for c in DATE_COLUMNS[table]:
+        if table == S.CUSTOMERS:
+            parsed = parse_mixed_date(c, params.customer_date_formats, params.day_first_fallback)
+            strict = parse_mixed_date(c, params.customer_date_formats, False)
+            pairs.append((f"{c}_day_first", F.count_if(strict.isNull() & parsed.isNotNull())))
+        else:
+            parsed = parse_date(c, params.iso_date_format)
+        pairs.append((f"{c}_lost", F.count_if(F.col(c).isNotNull() & parsed.isNull())))
+    return pairs
+
+
 def _date_losses(raw: dict[str, DataFrame], params: ChurnParams) -> list[DataFrame]:
-    """Per date column: raw values that do not parse (set to NULL), and for customer signup
-    dates, values read only through the day-first / timestamp fallback."""
-    frames = []
-    for t, cols in DATE_COLUMNS.items():
-        pairs = []
-        for c in cols:
-            raw_c = F.col(c)
-            if t == S.CUSTOMERS:
-                parsed = parse_mixed_date(c, params.customer_date_formats, params.day_first_fallback)
-                strict = parse_mixed_date(c, params.customer_date_formats, False)
-                pairs.append((f"{c}_day_first", F.count_if(strict.isNull() & parsed.isNotNull())))
-            else:
-                parsed = parse_date(c, params.iso_date_format)
-            pairs.append((f"{c}_lost", F.count_if(raw_c.isNotNull() & parsed.isNull())))
-        frames.append(long_metrics(raw[t], t, pairs))
-    return frames
+    return [long_metrics(raw[t], t, _date_loss_pairs(t, params)) for t in DATE_COLUMNS]
 
 
 def repairs(raw: dict[str, DataFrame], silver: dict[str, DataFrame], params: ChurnParams | None = None) -> DataFrame:
-    """Rows touched by each cleaning rule (table_name, rule, n_rows)."""
+    """Rows touched by each cleaning rule (table_name, rule, n_rows): one aggregate per raw
+    table (before-cleaning counts, date-parse losses) and one per silver table (flags)."""
     params = params or ChurnParams()
+
     def rows(df, table, pairs):
         return long_metrics(df, table, pairs).select(
             F.col("section").alias("table_name"), F.col("metric").alias("rule"),
             F.col("value").cast("long").alias("n_rows"))
 
     n = F.count(F.lit(1))
-    cust_raw = rows(raw[S.CUSTOMERS], S.CUSTOMERS, [("rows_before_dedupe", n)])
-    cust = rows(silver[S.CUSTOMERS], S.CUSTOMERS, [
-        ("rows_after_dedupe", n),
-        (NEGATIVE_AGE, F.count_if(F.col("age_flag") == NEGATIVE_AGE)),
-        ("signup_date_unparsed", F.count_if(F.col("signup_date").isNull())),
-    ])
-    subs = rows(silver[S.SUBSCRIPTIONS], S.SUBSCRIPTIONS, [
-        (ACTIVE_WITH_CHURN_DATE, F.count_if(F.col("sub_flag") == ACTIVE_WITH_CHURN_DATE)),
-        (CHURN_BEFORE_SIGNUP, F.count_if(F.col("sub_flag") == CHURN_BEFORE_SIGNUP)),
-    ])
-    tix = rows(silver[S.TICKETS], S.TICKETS, [("orphan_flag", F.count_if(F.col("orphan_flag")))])
-    usage_raw = rows(raw[S.USAGE], S.USAGE, [(f"clip_{c}", F.count_if(F.col(c) < 0)) for c in USAGE_METRICS])
-    usage = rows(silver[S.USAGE], S.USAGE, [("orphan_flag", F.count_if(F.col("orphan_flag")))])
-    dates = [d.select(F.col("section").alias("table_name"), F.col("metric").alias("rule"),
-                      F.col("value").cast("long").alias("n_rows")) for d in _date_losses(raw, params)]
-    return _union([cust_raw, cust, subs, tix, usage_raw, usage, *dates])
+    raw_metrics = {
+        S.CUSTOMERS: [("rows_before_dedupe", n)],
+        S.SUBSCRIPTIONS: [],
+        S.TICKETS: [],
+        S.USAGE: [(f"clip_{c}", F.count_if(F.col(c) < 0)) for c in USAGE_METRICS],
+    }
+    parts = [rows(raw[t], t, pairs + _date_loss_pairs(t, params)) for t, pairs in raw_metrics.items()]
+    parts += [
+        rows(silver[S.CUSTOMERS], S.CUSTOMERS, [
+            ("rows_after_dedupe", n),
+            (NEGATIVE_AGE, F.count_if(F.col("age_flag") == NEGATIVE_AGE)),
+            ("signup_date_unparsed", F.count_if(F.col("signup_date").isNull())),
+        ]),
+        rows(silver[S.SUBSCRIPTIONS], S.SUBSCRIPTIONS, [
+            (ACTIVE_WITH_CHURN_DATE, F.count_if(F.col("sub_flag") == ACTIVE_WITH_CHURN_DATE)),
+            (CHURN_BEFORE_SIGNUP, F.count_if(F.col("sub_flag") == CHURN_BEFORE_SIGNUP)),
+        ]),
+        rows(silver[S.TICKETS], S.TICKETS, [("orphan_flag", F.count_if(F.col("orphan_flag")))]),
+        rows(silver[S.USAGE], S.USAGE, [("orphan_flag", F.count_if(F.col("orphan_flag")))]),
+    ]
+    return _union(parts)
 
 
 # ---------------------------------------------------------------------------
