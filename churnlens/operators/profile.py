@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from churnlens import schemas as S
 from churnlens.functions.dates import parse_date, parse_mixed_date
 from churnlens.functions.numeric import np_round
-from churnlens.operators.joins import rows_missing_key
+from churnlens.operators.joins import flag_missing_key, rows_missing_key
 from churnlens.params import (
     ACTIVE_WITH_CHURN_DATE, CHURN_BEFORE_SIGNUP, FINDINGS, NEGATIVE_AGE, NULL_RATE_HIGH,
     NULL_RATE_MEDIUM, STATUS_ACTIVE, STATUS_CHURNED, ChurnParams,
@@ -347,7 +347,8 @@ def quality_report(raw: dict[str, DataFrame], params: ChurnParams) -> DataFrame:
     mixed = long_metrics(shapes, S.CUSTOMERS, [("mixed_date_formats", (F.count(F.lit(1)) > 1).cast("double"))])
     churn = parse_date("churn_date", params.iso_date_format)
     signup = parse_date("signup_date", params.iso_date_format)
-    orphans = long_metrics(orphan_rows(tix, cust), S.TICKETS, [("orphan_records", n)])
+    flagged = flag_missing_key(tix, cust.select("customer_id"), "customer_id", "_orphan")
+    tickets = long_metrics(flagged, S.TICKETS, [("total_rows", n), ("orphan_records", F.count_if(F.col("_orphan")))])
     parts = [
         long_metrics(cust, S.CUSTOMERS, [
             ("total_rows", n), ("null_region_%", pct_null("region")), ("null_age_%", pct_null("age")),
@@ -358,7 +359,7 @@ def quality_report(raw: dict[str, DataFrame], params: ChurnParams) -> DataFrame:
             ("active_with_churn_date", F.count_if((F.col("status") == STATUS_ACTIVE) & F.col("churn_date").isNotNull())),
             ("churn_before_signup", F.count_if(churn < signup)),
             ("null_churn_date_%", pct_null("churn_date"))]),
-        long_metrics(tix, S.TICKETS, [("total_rows", n)]), orphans,
+        tickets,
         long_metrics(usage, S.USAGE, [("total_rows", n)]),
     ]
     return _union(parts)
