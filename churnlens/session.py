@@ -12,9 +12,9 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def build_session(app: str = "churnlens", cpus: int | None = None, shuffle_partitions: int | None = None,
                   driver_memory: str = "8g", extra: dict | None = None) -> SparkSession:
-    # CHURNLENS_SESSION_TZ lets the checks run under another session time zone
     """A local session for tests and benchmarks. On a cluster use the cluster's session and
-    keep its settings; only ``session_defaults`` are applied there."""
+    keep its settings; only ``session_defaults`` are applied there. ``CHURNLENS_SESSION_TZ``
+    runs the checks under another session time zone."""
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.ui.enabled", "false")

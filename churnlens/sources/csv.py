@@ -4,7 +4,10 @@
 * pandas' null tokens become NULL (configurable);
 * numeric columns are typed with ``try_cast`` (bad numbers -> NULL, never an error);
 * customers get an ingest-order key (file, split start, row position inside the split),
-  so "keep the first duplicate" means first in file order, even across many files/splits.
+  so "keep the first duplicate" means first in file order, even across many files/splits;
+* quotes inside quoted fields are doubled (""), as pandas writes them;
+* records stay one per line (``multiLine`` off) so large files split across tasks; a quoted
+  field with a line break would need ``multiLine``, which reads each file in one task.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ def type_raw(df: DataFrame, table: str, params: ChurnParams) -> DataFrame:
 
 def read_raw_csv(spark: SparkSession, path: str, table: str, params: ChurnParams | None = None) -> DataFrame:
     params = params or ChurnParams()
-    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
               .option("multiLine", False).schema(S.text_schema(table)))
     df = reader.csv(path)
     if table == S.CUSTOMERS:
@@ -51,7 +54,7 @@ def read_raw_csv(spark: SparkSession, path: str, table: str, params: ChurnParams
 
 def read_raw_text(spark: SparkSession, path: str, table: str) -> DataFrame:
     """The raw file with every value as text, before null tokens and types are applied."""
-    return spark.read.option("header", True).schema(S.text_schema(table)).csv(path)
+    return spark.read.option("header", True).option("escape", '"').schema(S.text_schema(table)).csv(path)
 
 
 def null_token_hits(text: DataFrame, table: str, params: ChurnParams | None = None) -> DataFrame:

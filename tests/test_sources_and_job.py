@@ -131,3 +131,12 @@ def test_keep_first_follows_file_order_across_many_splits(spark, tmp_dir):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     want = pdf.drop_duplicates(subset="customer_id", keep="first").set_index("customer_id")["region"].to_dict()
     assert got == want
+
+
+def test_csv_quotes_written_by_pandas(spark, tmp_dir):
+    path = f"{tmp_dir}/support_tickets.csv"
+    pd.DataFrame({"ticket_id": ["1", "2"], "customer_id": ['a "quoted" id', "b, with comma"],
+                  "created_date": ["2024-01-01", "2024-01-02"], "priority": ["low", "high"],
+                  "category": ["x", "y"], "resolved": ["No", "Yes"]}).to_csv(path, index=False)
+    rows = read_raw_csv(spark, path, S.TICKETS).orderBy("ticket_id").collect()
+    assert [r.customer_id for r in rows] == ['a "quoted" id', "b, with comma"]
