@@ -43,3 +43,34 @@ def test_np_round_equals_numpy(spark, xs):
     got = [r[0] for r in df.orderBy("i").select(np_round("x", 2)).collect()]
     want = [float(np.round(x, 2)) for x in xs]
     assert all(g == w or (g == 0 and w == 0) for g, w in zip(got, want))
+
+
+def _date_text(draw):
+    import datetime as dt
+    d = draw(st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2030, 12, 31)))
+    pad = draw(st.booleans())
+    m, dd = (f"{d.month:02d}", f"{d.day:02d}") if pad else (str(d.month), str(d.day))
+    layout = draw(st.sampled_from(["mdy", "ymd_slash", "iso", "dmy", "junk"]))
+    if layout == "mdy":
+        return f"{m}-{dd}-{d.year}"
+    if layout == "ymd_slash":
+        return f"{d.year}/{m}/{dd}"
+    if layout == "iso":
+        return f"{d.year}-{m}-{dd}"
+    if layout == "dmy":   # only day-first readable when the day is above 12
+        return f"{dd}-{m}-{d.year}"
+    return draw(st.sampled_from(["junk", "", "2024-13-45", "31-31-2024", "n/a"]))
+
+
+@SETTINGS
+@given(st.lists(st.composite(lambda draw: _date_text(draw))(), min_size=1, max_size=120))
+def test_mixed_dates_equal_pandas_mixed_parser(spark, values):
+    import pandas as pd
+    from churnlens.functions import parse_mixed_date
+    from churnlens.params import CUSTOMER_DATE_FORMATS
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = [r[0] for r in df.orderBy("i").select(parse_mixed_date(F.col("v"), CUSTOMER_DATE_FORMATS, True)).collect()]
+    # each value parsed alone: pandas' mixed parser decides per element
+    want = [pd.to_datetime(pd.Series([v]), format="mixed", dayfirst=False, errors="coerce").iloc[0] for v in values]
+    want = [None if pd.isna(w) else w.date() for w in want]
+    assert got == want
