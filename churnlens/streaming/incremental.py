@@ -69,14 +69,18 @@ def start_aggregate(agg: DataFrame, table_path: str, checkpoint: str, available_
     """Publish the aggregate after every trigger as a new snapshot ``table_path/v=<batch>``.
 
     Complete mode hands each trigger the full current state (one row per customer, held in
-    the state store). Each snapshot goes to its own folder, so a failed write never damages the
-    previous one and replaying a batch after a failure rewrites only its own folder; readers
-    take the newest snapshot that has committed (``read_latest``).
+    the state store). Each snapshot goes to its own folder and is recorded in
+    ``table_path/commits`` only after its write succeeded, so a failed write never damages the
+    previous snapshot and replaying a batch after a failure rewrites only its own folder;
+    readers take the newest committed snapshot (``read_latest``).
     """
     root = table_path.rstrip("/")
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/v={batch_id:012d}")
+        spark = batch.sparkSession
+        spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")) \
+            .write.mode("append").parquet(f"{root}/commits")
 
     w = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
@@ -84,17 +88,10 @@ def start_aggregate(agg: DataFrame, table_path: str, checkpoint: str, available_
 
 
 def read_latest(spark: SparkSession, table_path: str) -> DataFrame:
-    """The newest committed snapshot written by ``start_aggregate``.
-
-    Lists the snapshot folders through Hadoop's FileSystem API (works on HDFS / object stores)
-    and picks the highest version that holds the ``_SUCCESS`` marker of a committed write.
-    """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = sorted((st.getPath().getName() for st in fs.listStatus(path)
-                       if st.isDirectory() and st.getPath().getName().startswith("v=")), reverse=True)
-    for v in versions:
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{v}/_SUCCESS")):
-            return spark.read.parquet(f"{table_path.rstrip('/')}/{v}")
-    raise FileNotFoundError(f"no committed snapshot under {table_path}")
+    """The newest committed snapshot written by ``start_aggregate`` (one number, the highest
+    committed batch id, comes to the driver)."""
+    root = table_path.rstrip("/")
+    latest = spark.read.parquet(f"{root}/commits").agg(F.max("batch_id").alias("b")).first()["b"]
+    if latest is None:
+        raise FileNotFoundError(f"no committed snapshot under {table_path}")
+    return spark.read.parquet(f"{root}/v={latest:012d}")
