@@ -110,3 +110,21 @@ def test_forced_hot_path_on_test_data_equals_normal_path(spark):
     normal = customer_features(*args, TESTDATA_PARAMS)
     assert forced.exceptAll(normal).count() == 0 and normal.exceptAll(forced).count() == 0
     assert forced.count() == normal.count()
+
+
+def test_standalone_usage_and_ticket_aggregates(spark):
+    from churnlens.operators.features import recent_logins, recent_tickets, ticket_features, usage_features
+    _, _, usage, tickets = _tables(spark)
+    usage = usage.unionByName(spark.createDataFrame(
+        [("c", D(2025, 4, 1), None, None, None, False), (None, D(2025, 4, 1), 5, 5, 5.0, False)],
+        usage.schema))
+    u = {r.customer_id: r for r in usage_features(usage).collect()}
+    assert set(u) == {"a", "c"}                        # orphan and NULL key left out
+    assert (u["a"].avg_monthly_logins, u["a"].total_months_with_data, u["a"].last_active_month) == (6.5, 3, D(2025, 5, 1))
+    assert (u["c"].avg_monthly_logins, u["c"].total_months_with_data) == (0.0, 2)
+    r = {x.customer_id: x.logins_last90d for x in recent_logins(usage, P).collect()}
+    assert r == {"a": 3, "c": 0}                       # a NULL-only sum is 0, as in pandas
+    t = {x.customer_id: (x.total_tickets, x.unresolved_tickets, x.critical_tickets)
+         for x in ticket_features(tickets).collect()}
+    assert t == {"a": (2, 1, 1)}
+    assert {x.customer_id: x.tickets_last90d for x in recent_tickets(tickets, P).collect()} == {"a": 1}
