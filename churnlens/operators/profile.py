@@ -64,6 +64,19 @@ def table_shapes(raw: dict[str, DataFrame]) -> DataFrame:
                    for t, df in raw.items()])
 
 
+def column_types(raw: dict[str, DataFrame]) -> DataFrame:
+    """Per table and column: the Spark type and the non-null count (one aggregate per table)."""
+    frames = []
+    for t, df in raw.items():
+        cols = data_columns(df)
+        counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols])
+        types = F.create_map(*[F.lit(x) for c in cols for x in (c, df.schema[c].dataType.simpleString())])
+        frames.append(counts.unpivot([], cols, "column_name", "non_null")
+                      .select(F.lit(t).alias("table_name"), "column_name",
+                              F.element_at(types, F.col("column_name")).alias("data_type"), "non_null"))
+    return _union(frames)
+
+
 def head_rows(df: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` rows in ingest order (a distributed top-n, not a sort of the table)."""
     order = S.INGEST_ORDER if S.INGEST_ORDER in df.columns else data_columns(df)[0]

@@ -44,6 +44,7 @@ def _on_gold(fn) -> Query:
 QUERIES: dict[str, Query] = {
     # profiling of the raw tables
     "profile_shape": _on_raw(PR.table_shapes),
+    "profile_columns": _on_raw(PR.column_types),
     "profile_head": _on_raw(lambda r: PR.head_rows(r[S.CUSTOMERS], 5)),
     "profile_null_rates": _on_raw(PR.null_rates),
     "profile_duplicates": _on_raw(PR.duplicates),
