@@ -140,3 +140,14 @@ def test_csv_quotes_written_by_pandas(spark, tmp_dir):
                   "category": ["x", "y"], "resolved": ["No", "Yes"]}).to_csv(path, index=False)
     rows = read_raw_csv(spark, path, S.TICKETS).orderBy("ticket_id").collect()
     assert [r.customer_id for r in rows] == ['a "quoted" id', "b, with comma"]
+
+
+def test_job_command_line_on_csv_drop(spark, tmp_dir):
+    _write_csv_drop(spark, f"{tmp_dir}/raw")
+    job.main(["--raw-dir", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/out", "--as-of", "2001-06-01", "--strict"])
+    gold = spark.read.parquet(f"{tmp_dir}/out/{S.FEATURES}")
+    expected = gold_from_silver(silver_from_raw(raw_tables_from_testdata(spark, SF_SMALL), TESTDATA_PARAMS),
+                                TESTDATA_PARAMS)
+    assert gold.exceptAll(expected).count() == 0 and expected.exceptAll(gold).count() == 0
+    plan = {r.plan: r.total_customers for r in spark.read.parquet(f"{tmp_dir}/out/reports/churn_by_plan").collect()}
+    assert sum(plan.values()) == spark.read.parquet(f"{tmp_dir}/out/{S.DIM_SUBSCRIPTIONS}").count()
