@@ -1,8 +1,10 @@
-"""The batch job: raw -> silver (star schema) -> gold (flat table) -> reports.
+"""The batch job: raw -> bronze -> silver (star schema) -> gold (flat table) -> reports.
 
 Each layer is written as Parquet and read back before the next one, which cuts the plan
 lineage at the layer boundary (a recomputation after a lost executor restarts from the last
-written layer, not from the raw files) and lets every report reuse the written tables.
+written layer, not from the raw files) and lets every report reuse the written tables. Bronze
+is the raw data typed, once: the raw CSV is parsed a single time, and profiling and cleaning
+then read only the Parquet columns they need.
 
     python -m churnlens.plans.job --raw-dir RAW --out OUT [--as-of 2025-06-01]
     python -m churnlens.plans.job --testdata /root/testdata/sf0.1 --out OUT
@@ -47,12 +49,15 @@ GOLD_REPORTS = {
 
 def run(spark: SparkSession, raw: dict[str, DataFrame], out: str, params: ChurnParams,
         csv_export: bool = True, profile: bool = True, strict: bool = False) -> dict[str, str]:
-    """Write silver, gold, reports and (optionally) the profile. With ``strict`` the job stops
-    before the flat table when subscriptions repeat a customer (the flat table would then hold
-    more than one row per customer)."""
+    """Write bronze, silver, gold, reports and (optionally) the profile. With ``strict`` the job
+    stops before the flat table when subscriptions repeat a customer (the flat table would then
+    hold more than one row per customer)."""
     session_defaults(spark)
     out = out.rstrip("/")
     written: dict[str, str] = {}
+    for t, df in raw.items():
+        written[f"bronze_{t}"] = write_table(df, f"{out}/bronze/{t}")
+    raw = {t: spark.read.parquet(f"{out}/bronze/{t}") for t in S.TABLES}
     if profile:
         written["quality_report"] = write_quality_json(PR.quality_report(raw, params), f"{out}/quality_report")
         written["null_rates"] = write_table(PR.null_rates(raw), f"{out}/profile/null_rates")
