@@ -13,12 +13,15 @@ from pyspark.sql import types as T
 from churnlens import schemas as S
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> str:
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite",
+                sort_within: list[str] | None = None) -> str:
     """Parquet table. With ``partition_by`` rows are first sorted by the partition columns
-    inside each task, so a task keeps one open file at a time."""
+    inside each task, so a task keeps one open file at a time. ``sort_within`` sorts each task's
+    rows (no shuffle) so Parquet row-group min/max statistics are narrow on those columns and a
+    range filter on them skips most row groups."""
     w = df
-    if partition_by:
-        w = df.sortWithinPartitions(*partition_by)
+    if partition_by or sort_within:
+        w = df.sortWithinPartitions(*(list(partition_by or []) + list(sort_within or [])))
     writer = w.write.mode(mode).option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
