@@ -21,11 +21,18 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    got = QUERIES[name](spark, SF_SMALL).toPandas()
-    want = duck.sql(ORACLE[name]).df()
-    status, detail = compare(got, want)
+    sdf = QUERIES[name](spark, SF_SMALL)
+    rel = duck.sql(ORACLE[name])
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    status, detail = compare(sdf.toPandas(), rel.df())
     assert status == "OK", detail
 
 
