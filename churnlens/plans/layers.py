@@ -40,22 +40,35 @@ def _once(kind: str, spark: SparkSession, sf_dir: str, params, build):
 
 
 def _shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's shared checkpoint folder; in local mode one is set up if none is named."""
-    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    """The cluster's shared checkpoint folder; in local mode one is set up if none is named.
+    None when neither applies (bronze then stays a lazy plan)."""
+    named = spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        return named
+    named = named or sc.getCheckpointDir()
     if named:
         return named
-    if spark.sparkContext.master.startswith("local"):
+    if sc.master.startswith("local"):
         return checkpoint_dir(spark)
     return None
 
 
+def _session_tag(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"session-{id(spark):x}"
+
+
 def _bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = raw_tables_from_testdata(spark, sf_dir)
     folder = _shared_folder(spark)
     if folder is None:
         return raw
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    base = f"{folder.rstrip('/')}/churnlens-bronze/{spark.sparkContext.applicationId}/{tag}"
+    base = f"{folder.rstrip('/')}/churnlens-bronze/{_session_tag(spark)}/{tag}"
     out = {}
     for t, df in raw.items():
         write_table(df, f"{base}/{t}")
