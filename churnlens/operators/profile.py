@@ -267,9 +267,15 @@ VALUE_COUNT_COLUMNS = {S.CUSTOMERS: ("age_flag",), S.SUBSCRIPTIONS: ("sub_flag",
 
 
 def distinct_values(silver: dict[str, DataFrame]) -> DataFrame:
-    return _union([silver[t].select(F.col(c).cast("string").alias("value")).distinct()
-                   .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "value")
-                   for t, cols in DISTINCT_COLUMNS.items() for c in cols])
+    """Distinct values of the listed text columns: per table one scan, each row exploded into
+    (column, value) pairs, then one distinct."""
+    frames = []
+    for t, cols in DISTINCT_COLUMNS.items():
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                          for c in cols])
+        frames.append(silver[t].select(F.explode(pairs).alias("p")).select("p.*").distinct()
+                      .select(F.lit(t).alias("table_name"), "column_name", "value"))
+    return _union(frames)
 
 
 def value_counts(silver: dict[str, DataFrame]) -> DataFrame:
