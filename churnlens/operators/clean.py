@@ -65,7 +65,7 @@ def clean_subscriptions(raw: DataFrame, params: ChurnParams) -> DataFrame:
     return df.withColumns({
         "sub_flag": flag,
         "churn_date": F.when(active_dated | before_signup, F.lit(None).cast("date")).otherwise(churn),
-    })
+    }).drop(S.INGEST_ORDER)
 
 
 def clean_tickets(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> DataFrame:
@@ -74,7 +74,7 @@ def clean_tickets(raw: DataFrame, customers: DataFrame, params: ChurnParams) ->
         "created_date": parse_date("created_date", params.iso_date_format),
         **{c: clean_text(c) for c in TICKET_TEXT},
     })
-    return flag_missing_key(df, customers.select("customer_id"), "customer_id", "orphan_flag")
+    return flag_missing_key(df, customers.select("customer_id"), "customer_id", "orphan_flag").drop(S.INGEST_ORDER)
 
 
 def clean_usage(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> DataFrame:
@@ -83,7 +83,7 @@ def clean_usage(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> Da
         "month": parse_date("month", params.iso_date_format),
         **{c: clip_lower(c, 0) for c in USAGE_METRICS},
     })
-    return flag_missing_key(df, customers.select("customer_id"), "customer_id", "orphan_flag")
+    return flag_missing_key(df, customers.select("customer_id"), "customer_id", "orphan_flag").drop(S.INGEST_ORDER)
 
 
 def clean_all(raw: dict[str, DataFrame], params: ChurnParams) -> dict[str, DataFrame]:

@@ -245,12 +245,17 @@ def subscription_rules(subscriptions: DataFrame, params: ChurnParams) -> DataFra
 
 def orphan_rows(facts: DataFrame, customers: DataFrame) -> DataFrame:
     """Fact rows whose customer_id is not a known customer (NULL matches NULL)."""
-    return rows_missing_key(facts, customers.select("customer_id"), "customer_id")
+    return rows_missing_key(facts, customers.select("customer_id"), "customer_id").select(*data_columns(facts))
 
 
 def orphan_sample(facts: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:
-    """Up to ``n`` distinct unknown customer ids (smallest first)."""
-    ids = orphan_rows(facts, customers).select("customer_id").distinct()
+    """Up to ``n`` distinct unknown customer ids: the first seen in file order when the rows
+    carry an ingest order, else the smallest. A distributed top-n over one row per id."""
+    orphans = rows_missing_key(facts, customers.select("customer_id"), "customer_id")
+    if S.INGEST_ORDER in facts.columns:
+        first = orphans.groupBy("customer_id").agg(F.min(S.INGEST_ORDER).alias("_first"))
+        return first.orderBy("_first").limit(n).select("customer_id")
+    ids = orphans.select("customer_id").distinct()
     return ids.orderBy(F.col("customer_id").asc_nulls_first()).limit(n)
 
 

@@ -3,8 +3,9 @@
 * explicit all-text schema: no inference pass, nothing rejected for a bad value;
 * pandas' null tokens become NULL (configurable);
 * numeric columns are typed with ``try_cast`` (bad numbers -> NULL, never an error);
-* customers get an ingest-order key (file, split start, row position inside the split),
-  so "keep the first duplicate" means first in file order, even across many files/splits;
+* every row gets an ingest-order key (file, split start, row position inside the split), so
+  "keep the first duplicate" / "first seen" mean first in file order, even across many
+  files/splits (cleaning drops the key from the silver tables);
 * quotes inside quoted fields are doubled (""), as pandas writes them;
 * records stay one per line (``multiLine`` off) so large files split across tasks; a quoted
   field with a line break would need ``multiLine``, which reads each file in one task.
@@ -39,16 +40,14 @@ def read_raw_csv(spark: SparkSession, path: str, table: str, params: ChurnParams
     params = params or ChurnParams()
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
               .option("multiLine", False).schema(S.text_schema(table)))
-    df = reader.csv(path)
-    if table == S.CUSTOMERS:
-        df = df.withColumn(
-            S.INGEST_ORDER,
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("split"),
-                F.monotonically_increasing_id().alias("pos"),
-            ),
-        )
+    df = reader.csv(path).withColumn(
+        S.INGEST_ORDER,
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("pos"),
+        ),
+    )
     return type_raw(df, table, params)
 
 

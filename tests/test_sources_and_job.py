@@ -151,3 +151,18 @@ def test_job_command_line_on_csv_drop(spark, tmp_dir):
     assert gold.exceptAll(expected).count() == 0 and expected.exceptAll(gold).count() == 0
     plan = {r.plan: r.total_customers for r in spark.read.parquet(f"{tmp_dir}/out/reports/churn_by_plan").collect()}
     assert sum(plan.values()) == spark.read.parquet(f"{tmp_dir}/out/{S.DIM_SUBSCRIPTIONS}").count()
+
+
+def test_orphan_sample_is_first_seen_in_file_order(spark, tmp_dir):
+    from churnlens.operators.profile import orphan_rows, orphan_sample
+    cust = f"{tmp_dir}/customers.csv"
+    pd.DataFrame({"customer_id": ["a"], "age": ["1"], "region": ["x"], "signup_date": ["2024-01-01"],
+                  "plan": ["p"], "acq_channel": ["c"], "contract_type": ["m"]}).to_csv(cust, index=False)
+    tix = f"{tmp_dir}/support_tickets.csv"
+    ids = ["z9", "a", "m1", "b7", "z9", "c3", "q0", "a0"]
+    pd.DataFrame({"ticket_id": [str(i) for i in range(len(ids))], "customer_id": ids,
+                  "created_date": ["2024-01-01"] * len(ids), "priority": ["low"] * len(ids),
+                  "category": ["x"] * len(ids), "resolved": ["No"] * len(ids)}).to_csv(tix, index=False)
+    c, t = read_raw_csv(spark, cust, S.CUSTOMERS), read_raw_csv(spark, tix, S.TICKETS)
+    assert [r.customer_id for r in orphan_sample(t, c, 5).collect()] == ["z9", "m1", "b7", "c3", "q0"]
+    assert S.INGEST_ORDER not in orphan_rows(t, c).columns and orphan_rows(t, c).count() == 7
