@@ -209,7 +209,7 @@ def fingerprint_links(classes: DataFrame, n_classes: int, max_bits: int = 4, thi
                              pa.array([as_query] * n, pa.bool_()), pa.array(fps[own], pa.int64())], schema=DEALT)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
+        table = pa.Table.from_batches(list(batches), schema=DEALT)
         if not table.num_rows:
             return
         k, shard, as_query, fp = (c.to_numpy() for c in table.columns)
