@@ -1,9 +1,9 @@
 """Token ids of whole texts by the ``tokenizers`` library, with a bounded word cache.
 
-A text is split at single spaces into chunks, a chunk into the tokenizer's own pre-tokens. BPE never
+A text is split at spaces into chunks, a chunk into the tokenizer's own pre-tokens. BPE never
 merges across pre-tokens, so the ids of a text are its pre-tokens' ids in order; both steps are
-cached, and only pre-tokens that are not in the cache reach the library. The split rules are those
-in the vocabulary files and are read from them.
+cached, and only pre-tokens that are not in the cache reach the library, many in one call. The split
+rules are those in the vocabulary files and are read from them.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def vocabulary_path(name_or_path: str) -> str:
     return public_tokenizers.path(name_or_path)
 
 
-def encoder(name_or_path: str, cache_entries: int = 400_000) -> CachedEncoder:
+def encoder(name_or_path: str, cache_entries: int = 1_000_000) -> CachedEncoder:
     """The encoder of this Python worker for a vocabulary; opened once per worker."""
     key = (name_or_path, cache_entries)
     if key not in _OPEN:
@@ -50,9 +50,8 @@ class CachedEncoder:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         self.cache_entries = cache_entries
-        self.words: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # chunks; where spaces are kept, of a chunk with the space before it
+        self.bare: dict[str, bytes] = {}  # where spaces are kept: pre-tokens without one
         self.added = [t["content"] for t in spec.get("added_tokens") or ()]
         normal = spec.get("normalizer") or {}
         kinds = [x["type"] for x in normal.get("normalizers", [normal] if normal else [])]
@@ -61,62 +60,116 @@ class CachedEncoder:
         split = next((s for s in steps if s.get("type") == "Split"), None)
         byte = next((s for s in steps if s.get("type") == "ByteLevel"), None)
         self.keeps_space = split is None
+        vocab = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
         if split and kinds == ["NFC", "Replace", "Lowercase"] and split["behavior"] == "Removed" and split["invert"]:
             self.pattern = regex.compile(split["pattern"]["Regex"])
+            end = spec["model"].get("end_of_word_suffix") or "\0"
+            self.edge[[i for t, i in vocab.items() if t.endswith(end)]] = True  # ids that end a pre-token
         elif not kinds and byte and byte["use_regex"] and not byte["add_prefix_space"]:
             self.pattern = regex.compile(BYTE_LEVEL_PATTERN)
+            self.edge[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # ids that begin with a space
         else:
             self.pattern = None  # unknown rules: every text goes to the library whole
         self.lower = "Lowercase" in kinds
         # letters whose lower case and composed form don't depend on their neighbours
         self.plain = regex.compile("[^\x00-įı-ɏ]")
-        self.odd_space = regex.compile(r"\s |\s\s| \s|^\s|\s$") if self.keeps_space else None
 
     def _whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that are not in the cache, by pre-tokens."""
-        split = {c: self.pattern.findall(c) for c in chunks}
-        if len(self.parts) > self.cache_entries:
-            self.parts.clear()
-        new = list({p for ps in split.values() for p in ps if p not in self.parts})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.parts[p] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return {c: b"".join([self.parts[p] for p in ps]) for c, ps in split.items()}
+        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _learn_parts(self, parts: list[str], into: dict[str, bytes], cut: int) -> None:
+        """Ids of pre-tokens, many in one text: where they meet shows in the ids. Keys lose ``cut``
+        characters. Where the count differs from the pre-tokens', each is encoded by itself."""
+        for at in range(0, len(parts), 4096):
+            some = parts[at:at + 4096]
+            ids = np.array(self.tokenizer.encode(("" if cut else " ").join(some), add_special_tokens=False).ids, dtype="<u4")
+            edges = np.flatnonzero(self.edge[ids])
+            bounds = [*edges, len(ids)] if self.keeps_space else [0, *(edges + 1)]
+            if (cut or not self.keeps_space) and len(edges) == len(some) and bounds[0] == 0 and bounds[-1] == len(ids):
+                into.update((p[cut:], ids[i:j].tobytes()) for p, i, j in zip(some, bounds, bounds[1:], strict=False))
+            else:
+                for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                    into[p[cut:]] = _bytes(e.ids)
+
+    def _learn(self, chunks: set[str], bare: set[str]) -> None:
+        """Put chunks and bare pre-tokens into the caches."""
+        words, spaced = self.words, self.keeps_space
+        mixed = {}
+        letters = set()
+        for c in chunks:
+            if c.isalpha():
+                letters.add(c)
+            elif spaced and (not c or c[0].isspace()):
+                words[c] = ODD
+            else:
+                mixed[c] = parts = self.pattern.findall(" " + c if spaced else c)
+                for p in parts:
+                    if not spaced:
+                        letters.add(p)
+                    elif p[0] == " " and len(p) > 1:
+                        letters.add(p[1:])
+                    else:
+                        bare.add(p)
+        new = list(letters.difference(words))
+        if spaced:
+            self._learn_parts([" " + w for w in new], words, 1)
+            self._learn_parts(list(bare.difference(self.bare)), self.bare, 0)
+            for c, parts in mixed.items():
+                words[c] = b"".join([words[p[1:]] if p[0] == " " and len(p) > 1 else self.bare[p] for p in parts])
+        else:
+            self._learn_parts(new, words, 0)
+            for c, parts in mixed.items():
+                words[c] = b"".join([words[p] for p in parts])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; null counts as empty."""
-        plan: list = []
-        wanted, wanted_first = set(), set()
-        if len(self.words) + len(self.first) > self.cache_entries:
+        if len(self.words) + len(self.bare) > self.cache_entries:
             self.words.clear()
-            self.first.clear()
-        for text in texts:
+            self.bare.clear()
+        words, spaced = self.words, self.keeps_space
+        out: list[bytes] = [b""] * len(texts)
+        plan = []
+        wanted: set[str] = set()
+        bare: set[str] = set()
+        for k, text in enumerate(texts):
             if not text:
-                plan.append(b"")
                 continue
-            odd = self.plain.search(text)
-            if self.pattern is None or (odd and self.lower) or any(t in text for t in self.added):
-                plan.append(self._whole(text))
-            elif self.keeps_space and self.odd_space.search(text):
-                parts = self.pattern.findall(text)
-                wanted_first.update(p for p in parts if p not in self.first)
-                plan.append((parts, []))
-            else:
-                chunks = (text.lower() if self.lower else text).split(" ")
-                head = chunks[:1] if self.keeps_space else []
-                rest = chunks[len(head):]
-                wanted_first.update(p for p in head if p not in self.first)
-                wanted.update(c for c in rest if c not in self.words)
-                plan.append((head, rest))
-        if wanted:
-            if self.keeps_space:
-                self.words.update((c[1:], ids) for c, ids in self._learn({" " + c for c in wanted}).items())
-            else:
-                self.words.update(self._learn(wanted))
-        if wanted_first:
-            self.first.update(self._learn(wanted_first))
-        words, first = self.words, self.first
-        return [p if isinstance(p, bytes) else
-                b"".join([first[w] for w in p[0]]) + b"".join([words[w] for w in p[1]]) for p in plan]
+            if self.pattern is None or (self.lower and self.plain.search(text)) or any(t in text for t in self.added):
+                out[k] = self._whole(text)
+                continue
+            chunks = (text.lower() if self.lower else text).split(" ")
+            head = ()
+            if spaced:
+                head = self.pattern.findall(chunks[0])
+                bare.update(head)
+                del chunks[0]
+            found = list(map(words.get, chunks))
+            if None in found:
+                wanted.update([c for c, ids in zip(chunks, found, strict=True) if ids is None])
+            plan.append((k, head, chunks, found))
+        self._learn(wanted, bare)
+        odd = {}
+        for k, head, chunks, found in plan:
+            if None in found:
+                found = map(words.__getitem__, chunks)
+            if spaced:
+                found = list(found)
+                if ODD in found:  # white space runs across chunks: by pre-tokens
+                    odd[k] = self.pattern.findall(texts[k])
+                    continue
+                out[k] = b"".join(map(self.bare.__getitem__, head))
+            out[k] += b"".join(found)
+        if odd:
+            self._learn(set(), {p for parts in odd.values() for p in parts})
+            for k, parts in odd.items():
+                out[k] = b"".join(map(self.bare.__getitem__, parts))
+        return out
+
+
+#: In the place of the ids of a chunk that white space joins to the one before it.
+ODD = b"odd"
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return np.asarray(ids, dtype="<u4").tobytes()
