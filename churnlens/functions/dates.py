@@ -8,23 +8,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from churnlens.functions._util import as_col
-from churnlens.params import DAY_FIRST_FORMAT
+from churnlens.params import DAY_FIRST_FORMATS, TIME_OF_DAY
+
+
+def without_time(c) -> Column:
+    """The date part of a text: a time of day at the end is left off."""
+    return F.regexp_replace(F.trim(as_col(c)), TIME_OF_DAY, "")
 
 
 def parse_date(c, fmt: str) -> Column:
-    """One layout; bad text -> NULL (``cast`` would throw under ANSI mode)."""
-    return F.try_to_date(as_col(c), fmt)
+    """One layout, with or without a time of day; bad text -> NULL (``cast`` would throw under
+    ANSI mode)."""
+    return F.try_to_date(without_time(c), fmt)
 
 
 def parse_mixed_date(c, formats: Sequence[str], day_first_fallback: bool = True) -> Column:
-    """First layout that parses wins; month-first layouts come first.
+    """First layout that parses wins; month-first layouts come first. A time of day is left off.
 
     With ``day_first_fallback`` a value such as 13-04-2024 that no month-first layout accepts
-    is read day-first, and a value with a time part keeps its date, as pandas' mixed parser does.
+    is read day-first, as pandas' mixed parser does.
     """
-    col = as_col(c)
+    col = without_time(c)
     tries = [F.try_to_date(col, f) for f in formats]
     if day_first_fallback:
-        tries.append(F.try_to_date(col, DAY_FIRST_FORMAT))
-        tries.append(F.to_date(F.try_to_timestamp(col)))
+        tries += [F.try_to_date(col, f) for f in DAY_FIRST_FORMATS]
     return F.coalesce(*tries)

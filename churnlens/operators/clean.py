@@ -52,8 +52,8 @@ def clean_subscriptions(raw: DataFrame, params: ChurnParams) -> DataFrame:
     """Parse dates, standardise text, then one rule chain (first match wins):
     Active with a churn date -> date nulled; churn before signup -> date nulled."""
     df = raw.withColumns({
-        "signup_date": parse_date("signup_date", params.iso_date_format),
-        "churn_date": parse_date("churn_date", params.iso_date_format),
+        "signup_date": parse_date("signup_date", params.date_format(S.SUBSCRIPTIONS, "signup_date")),
+        "churn_date": parse_date("churn_date", params.date_format(S.SUBSCRIPTIONS, "churn_date")),
         **{c: clean_text(c) for c in SUBSCRIPTION_TEXT},
     })
     churn, signup = F.col("churn_date"), F.col("signup_date")
@@ -71,7 +71,7 @@ def clean_subscriptions(raw: DataFrame, params: ChurnParams) -> DataFrame:
 def clean_tickets(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> DataFrame:
     """Parse created_date, standardise text, flag tickets of unknown customers."""
     df = raw.withColumns({
-        "created_date": parse_date("created_date", params.iso_date_format),
+        "created_date": parse_date("created_date", params.date_format(S.TICKETS, "created_date")),
         **{c: clean_text(c) for c in TICKET_TEXT},
     })
     return flag_missing_key(df, customers.select("customer_id"), "customer_id", "orphan_flag").drop(S.INGEST_ORDER)
@@ -80,7 +80,7 @@ def clean_tickets(raw: DataFrame, customers: DataFrame, params: ChurnParams) ->
 def clean_usage(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> DataFrame:
     """Parse month, clip negative metrics to 0 (NULL stays NULL), flag unknown customers."""
     df = raw.withColumns({
-        "month": parse_date("month", params.iso_date_format),
+        "month": parse_date("month", params.date_format(S.USAGE, "month")),
         **{c: clip_lower(c, 0) for c in USAGE_METRICS},
     })
     return flag_missing_key(df, customers.select("customer_id"), "customer_id", "orphan_flag").drop(S.INGEST_ORDER)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.buckets import engagement_tier, tenure_bucket
 from churnlens.functions.numeric import clip_lower, np_round
-from churnlens.operators.joins import JOIN_KEY, left_join_split_hot, with_join_key
+from churnlens.operators.joins import JOIN_KEY, left_join_unique, with_join_key
 from churnlens.params import PRIORITY_CRITICAL, RESOLVED_NO, STATUS_CHURNED, ChurnParams
 
 USAGE_AVERAGES = {
@@ -112,6 +112,7 @@ def ticket_customer_agg(tickets: DataFrame, params: ChurnParams, known_only: boo
 
 
 SUBSCRIPTION_COLUMNS = ("plan", "mrr", "contract_type", "signup_date", "churn_date", "status", "sub_flag")
+CUSTOMER_COLUMNS = ("customer_id", "age", "region", "signup_date", "plan", "acq_channel", "contract_type", "age_flag")
 COLLIDING = ("plan", "contract_type", "signup_date")
 
 FEATURE_COLUMNS = (
@@ -127,20 +128,26 @@ FEATURE_COLUMNS = (
 
 def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: DataFrame,
                       tickets: DataFrame, params: ChurnParams) -> DataFrame:
-    """One row per customer (per matching subscription row), 32 columns.
+    """One row per customer (per matching subscription row), 32 columns, then the columns of
+    customers and subscriptions beyond the known ones (with ``_cust`` / ``_sub`` where both have one).
 
     customers LEFT JOIN the per-customer usage and ticket aggregates, then LEFT JOIN
-    subscriptions (NULL key matches NULL key, like ``merge``), all on ``JOIN_KEY``: one shuffle
-    per input and none between the joins. Customers are unique per key after deduplication,
-    so no join can pair many rows with many. Orphan fact rows aggregate under ids no customer
+    subscriptions (NULL key matches NULL key, like ``merge``), all on ``JOIN_KEY``; the join with
+    subscriptions is salted, since a key may hold many of them. Customers are unique per key after
+    deduplication, so no join can pair many rows with many. Orphan fact rows aggregate under ids no customer
     has, so the LEFT JOIN from customers drops them: the result equals filtering on
     ``orphan_flag`` first, without evaluating that flag's join.
     """
-    cust = with_join_key(customers.select(
-        *[F.col(c).alias(f"{c}_cust") if c in COLLIDING else F.col(c) for c in customers.columns]))
-    subs = with_join_key(subscriptions).select(
-        *JOIN_KEY,
-        *[F.col(c).alias(f"{c}_sub") if c in COLLIDING else F.col(c) for c in SUBSCRIPTION_COLUMNS])
+    more_cust = [c for c in customers.columns if c not in CUSTOMER_COLUMNS]
+    more_subs = [c for c in subscriptions.columns if c not in ("customer_id", *SUBSCRIPTION_COLUMNS)]
+    colliding = {*COLLIDING, *(set(more_cust) & set(more_subs))}
+
+    def named(columns, suffix):
+        return [F.col(c).alias(f"{c}{suffix}" if c in colliding else c) for c in columns]
+    cust = with_join_key(customers).select(*JOIN_KEY, *named(CUSTOMER_COLUMNS, "_cust"), *named(more_cust, "_cust"))
+    subs = with_join_key(subscriptions).select(*JOIN_KEY, *named(SUBSCRIPTION_COLUMNS, "_sub"), *named(more_subs, "_sub"))
+    more = [f"{c}{suffix}" if c in colliding else c
+            for suffix, columns in (("_cust", more_cust), ("_sub", more_subs)) for c in columns]
     keys = list(JOIN_KEY)
     # customer grain first: customers and both fact aggregates are unique per key, so these
     # joins cannot be skewed and run co-partitioned
@@ -149,7 +156,7 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
             .join(ticket_customer_agg(tickets, params, known_only=False, by=JOIN_KEY), keys, "left"))
 
     # the one join whose right side can be skewed (a key with many subscription rows)
-    df = left_join_split_hot(cust, subs, keys, params.hot_key_rows, params.hot_key_sample, params.hot_key_max)
+    df = left_join_unique(cust, subs, keys)
 
     as_of = F.lit(params.as_of)
     churned = F.coalesce(F.col("status") == STATUS_CHURNED, F.lit(False))
@@ -167,7 +174,7 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
         "days_since_last_active": F.datediff(as_of, F.col("last_active_month")).cast("double"),
     })
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in ZERO_FILL})
-    return df.select(*FEATURE_COLUMNS)
+    return df.select(*FEATURE_COLUMNS, *more)
 
 
 def summary_kpis(features: DataFrame) -> DataFrame:

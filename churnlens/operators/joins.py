@@ -1,9 +1,14 @@
 """Join helpers.
 
 Join strategy is left to Spark: with AQE on, a side whose *measured* shuffle output is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` is turned into a broadcast at run time, and
-skewed partitions of a sort-merge join are split (``spark.sql.adaptive.skewJoin.enabled``).
+``spark.sql.adaptive.autoBroadcastJoinThreshold`` is turned into a broadcast at run time.
 Nothing here broadcasts a table whose size grows with the data.
+
+A key may hold a large share of a table's rows. AQE splits such a partition only where both join
+inputs come straight from an exchange and the hot side may be split (not the right side of a left
+join), so joins of row-level tables are salted instead: the rows of the table that may be skewed
+are spread over ``SALTS`` values, and the rows of the side that is unique per key are copied to each.
+The plan is the same for any data and building it starts no job.
 """
 
 from __future__ import annotations
@@ -11,29 +16,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SALTS = 16
 
 # A null-safe join key as two real columns: (coalesce(id, ''), isnull(id)). NULL ids match
 # each other (like pandas merge / isin); because the pair is a column on every side, an
 # aggregate grouped by it and a join on it share one hash partitioning (no re-shuffle between
 # them), which a plain ``<=>`` condition would not give.
 JOIN_KEY = ("_jk", "_jk_null")
+SALT = "_salt"
 
 
 def with_join_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
     return df.withColumns({"_jk": F.coalesce(F.col(key), F.lit("")), "_jk_null": F.col(key).isNull()})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows with a salt from a hash of all their columns: the same for every attempt of a task."""
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+
+
+def copied(df: DataFrame) -> DataFrame:
+    """Each row once per salt."""
+    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def flag_missing_key(facts: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
     """Add ``flag`` = True where ``facts[key]`` has no match among ``keys[key]`` (NULL matches
     NULL, as ``Series.isin`` does).
 
-    The key side is reduced to its distinct keys with a hash aggregate on ``JOIN_KEY``, so the
-    left join cannot multiply fact rows and the aggregate's partitioning is the join's: only
-    the facts are shuffled for it (or nothing, when AQE broadcasts a small key set).
+    The key side is reduced to its distinct keys, so the left join cannot multiply fact rows, and
+    the join is salted, so neither an id that many facts share nor their NULL ids meet in one task.
     """
     known = with_join_key(keys.select(key)).select(*JOIN_KEY).distinct().withColumn("_hit", F.lit(True))
-    joined = with_join_key(facts).join(known, list(JOIN_KEY), "left")
-    return joined.withColumn(flag, F.col("_hit").isNull()).drop("_hit").select(*facts.columns, flag)
+    joined = spread(with_join_key(facts)).join(copied(known), [*JOIN_KEY, SALT], "left")
+    return joined.withColumn(flag, F.col("_hit").isNull()).select(*facts.columns, flag)
 
 
 def rows_missing_key(facts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -42,38 +58,12 @@ def rows_missing_key(facts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return facts.join(k, facts[key].eqNullSafe(k["_key"]), "left_anti")
 
 
-def hot_keys(df: DataFrame, keys, min_rows: int, sample_fraction: float, max_keys: int, seed: int = 17) -> DataFrame:
-    """Keys that look like they hold at least ``min_rows`` rows, from a sample of ``df``.
-
-    At most ``max_keys`` keys are returned (most frequent first), so the result, and anything
-    reduced to one row per returned key, has a proven size bound and may be broadcast.
-    Sampling only chooses which keys take the broadcast path; callers stay exact for any
-    choice (keys not returned go through the ordinary shuffle join). The sample is seeded, so a
-    recomputed task picks the same keys.
-    """
-    threshold = max(1, int(min_rows * sample_fraction))
-    sampled = df.select(*keys) if sample_fraction >= 1.0 else df.select(*keys).sample(False, sample_fraction, seed)
-    counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= threshold)
-    return counts.orderBy(F.col("_n").desc(), *keys).limit(max_keys).select(*keys)
-
-
-def left_join_split_hot(left: DataFrame, right: DataFrame, keys, min_rows: int, sample_fraction: float,
-                        max_keys: int) -> DataFrame:
-    """``left LEFT JOIN right USING (keys)`` that stays balanced when a few keys hold a large
-    share of ``right``; ``left`` must hold each key at most once.
-
-    AQE can split a skewed *left* side of a left outer join, not the right. So keys that
-    ``hot_keys`` finds frequent in ``right`` are handled apart. Their values (at most
-    ``max_keys`` rows of key columns, a proven bound) are fetched once, and their ``left``
-    rows (at most one per key) are broadcast to the ``right`` rows where those already are.
-    Every other key takes the ordinary shuffle join. Each hot key has ``right`` rows, so the
-    inner join there equals the left join. With no hot key this is the plain left join.
-    """
+def left_join_unique(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """``left LEFT JOIN right USING (keys)`` for a ``left`` that holds each key at most once and a
+    ``right`` where a key may hold many rows: the salted inner join, and the rows of ``left`` whose
+    key is not among the distinct keys of ``right``."""
     keys = list(keys)
-    hot_rows = hot_keys(right, keys, min_rows, sample_fraction, max_keys).collect()
-    if not hot_rows:
-        return left.join(right, keys, "left")
-    hot = F.broadcast(left.sparkSession.createDataFrame(hot_rows, right.select(*keys).schema))
-    cold = left.join(hot, keys, "left_anti").join(right.join(hot, keys, "left_anti"), keys, "left")
-    hot_part = right.join(hot, keys, "left_semi").join(F.broadcast(left.join(hot, keys, "left_semi")), keys, "inner")
-    return cold.unionByName(hot_part.select(*cold.columns))
+    found = copied(left).join(spread(right), [*keys, SALT]).drop(SALT)
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
+    alone = left.join(right.select(*keys).distinct(), keys, "left_anti").select("*", *empty)
+    return found.unionByName(alone)

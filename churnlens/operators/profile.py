@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from churnlens import schemas as S
 from churnlens.functions.dates import parse_date, parse_mixed_date
 from churnlens.functions.numeric import np_round
-from churnlens.operators.joins import flag_missing_key, rows_missing_key
+from churnlens.operators.joins import rows_missing_key
 from churnlens.params import (
     ACTIVE_WITH_CHURN_DATE, CHURN_BEFORE_SIGNUP, FINDINGS, NEGATIVE_AGE, NULL_RATE_HIGH,
     NULL_RATE_MEDIUM, STATUS_ACTIVE, STATUS_CHURNED, ChurnParams,
@@ -83,6 +83,21 @@ def head_rows(df: DataFrame, n: int = 5) -> DataFrame:
     return df.orderBy(order).limit(n).select(*data_columns(df))
 
 
+def head_tables(raw: dict[str, DataFrame], n: int = 5) -> DataFrame:
+    """The first ``n`` rows of every table as (table_name, position, column_name, value): in ingest
+    order where rows carry one, else in the order of all columns."""
+    frames = []
+    for t, df in raw.items():
+        cols = data_columns(df)
+        order = [F.col(c).asc_nulls_first() for c in ([S.INGEST_ORDER] if S.INGEST_ORDER in df.columns else cols)]
+        first = df.orderBy(*order).limit(n)
+        place = F.row_number().over(Window.orderBy(*order)).cast("long").alias("position")  # n rows
+        shown = first.select(place, *[F.col(c).cast("string").alias(c) for c in cols])
+        frames.append(shown.unpivot("position", cols, "column_name", "value")
+                      .select(F.lit(t).alias("table_name"), "position", "column_name", "value"))
+    return _union(frames)
+
+
 # ---------------------------------------------------------------------------
 # PRF3-4, 21, 24: null rates
 # ---------------------------------------------------------------------------
@@ -121,29 +136,12 @@ def remaining_nulls(silver: dict[str, DataFrame]) -> DataFrame:
 
 def _extra_rows(df: DataFrame, cols: list[str]) -> DataFrame:
     """Group rows with equal ``cols`` (NULLs equal): total rows, rows beyond the first of each
-    group, and number of groups. Partial aggregation runs before the shuffle, so a heavily
-    repeated value is reduced per input partition first.
-
-    For several columns (whole-row duplicates) the rows are first grouped by a 96-bit hash of
-    the columns, which shuffles a few bytes per row instead of the row; only rows whose hash
-    repeats are then grouped by their full values, so the count stays exact (a hash collision
-    can only add a candidate, never a duplicate).
-    """
-    if len(cols) == 1:
-        groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-        return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total"),
-                          F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("extra"),
-                          F.count(F.lit(1)).alias("groups"))
-    hashed = df.select(F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"), *cols)
-    by_hash = hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
-    totals = by_hash.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total"),
-                         F.lit(0).cast("long").alias("extra"))
-    candidates = hashed.join(by_hash.where(F.col("_n") > 1).select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
-    exact = (candidates.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-             .agg(F.lit(0).cast("long").alias("total"),
-                  F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("extra")))
-    both = totals.unionByName(exact).agg(F.sum("total").alias("total"), F.sum("extra").alias("extra"))
-    return both.select("total", "extra", (F.col("total") - F.col("extra")).alias("groups"))
+    group, and number of groups. One grouping; partial aggregation runs before the shuffle, so a
+    heavily repeated value is reduced per input partition first."""
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total"),
+                      F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("extra"),
+                      F.count(F.lit(1)).alias("groups"))
 
 
 def duplicate_key_count(df: DataFrame, key: str) -> int:
@@ -228,8 +226,8 @@ def date_sample(customers: DataFrame, n: int = 20, column: str = "signup_date")
 # ---------------------------------------------------------------------------
 
 def subscription_rules(subscriptions: DataFrame, params: ChurnParams) -> DataFrame:
-    churn = parse_date("churn_date", params.iso_date_format)
-    signup = parse_date("signup_date", params.iso_date_format)
+    churn = parse_date("churn_date", params.date_format(S.SUBSCRIPTIONS, "churn_date"))
+    signup = parse_date("signup_date", params.date_format(S.SUBSCRIPTIONS, "signup_date"))
     status = F.col("status")
     return subscriptions.agg(
         F.count_if((status == STATUS_ACTIVE) & churn.isNotNull()).alias("active_with_churn_date"),
@@ -284,10 +282,12 @@ def distinct_values(silver: dict[str, DataFrame]) -> DataFrame:
 
 
 def value_counts(silver: dict[str, DataFrame]) -> DataFrame:
-    return _union([silver[t].where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value"))
+    """Rows per value of the flag columns, most frequent first within a column."""
+    counts = _union([silver[t].where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value"))
                    .agg(F.count(F.lit(1)).alias("n_rows"))
                    .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "value", "n_rows")
                    for t, cols in VALUE_COUNT_COLUMNS.items() for c in cols])
+    return counts.orderBy("table_name", "column_name", F.col("n_rows").desc(), "value")
 
 
 DATE_COLUMNS = {
@@ -308,7 +308,7 @@ def _date_loss_pairs(table: str, params: ChurnParams) -> list[tuple[str, Column]
             strict = parse_mixed_date(c, params.customer_date_formats, False)
             pairs.append((f"{c}_day_first", F.count_if(strict.isNull() & parsed.isNotNull())))
         else:
-            parsed = parse_date(c, params.iso_date_format)
+            parsed = parse_date(c, params.date_format(table, c))
         pairs.append((f"{c}_lost", F.count_if(F.col(c).isNotNull() & parsed.isNull())))
     return pairs
 
@@ -369,10 +369,9 @@ def quality_report(raw: dict[str, DataFrame], params: ChurnParams) -> DataFrame:
         F.col("extra").cast("double").alias("value"))
     shapes = date_formats(cust).where(F.col("date_shape").isNotNull())
     mixed = long_metrics(shapes, S.CUSTOMERS, [("mixed_date_formats", (F.count(F.lit(1)) > 1).cast("double"))])
-    churn = parse_date("churn_date", params.iso_date_format)
-    signup = parse_date("signup_date", params.iso_date_format)
-    flagged = flag_missing_key(tix, cust.select("customer_id"), "customer_id", "_orphan")
-    tickets = long_metrics(flagged, S.TICKETS, [("total_rows", n), ("orphan_records", F.count_if(F.col("_orphan")))])
+    churn = parse_date("churn_date", params.date_format(S.SUBSCRIPTIONS, "churn_date"))
+    signup = parse_date("signup_date", params.date_format(S.SUBSCRIPTIONS, "signup_date"))
+    orphans = rows_missing_key(tix, cust.select("customer_id"), "customer_id")
     parts = [
         long_metrics(cust, S.CUSTOMERS, [
             ("total_rows", n), ("null_region_%", pct_null("region")), ("null_age_%", pct_null("age")),
@@ -383,7 +382,8 @@ def quality_report(raw: dict[str, DataFrame], params: ChurnParams) -> DataFrame:
             ("active_with_churn_date", F.count_if((F.col("status") == STATUS_ACTIVE) & F.col("churn_date").isNotNull())),
             ("churn_before_signup", F.count_if(churn < signup)),
             ("null_churn_date_%", pct_null("churn_date"))]),
-        tickets,
+        long_metrics(tix, S.TICKETS, [("total_rows", n)]),
+        long_metrics(orphans, S.TICKETS, [("orphan_records", n)]),
         long_metrics(usage, S.USAGE, [("total_rows", n)]),
     ]
     return _union(parts)

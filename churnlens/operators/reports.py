@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from churnlens.functions.buckets import ticket_bucket
 from churnlens.functions.numeric import exact_mean, pct_half_up, safe_ratio
-from churnlens.operators.joins import left_join_split_hot
 from churnlens.params import ENGAGEMENT_LABELS, STATUS_CHURNED, TENURE_LABELS, ChurnParams
 
 
@@ -20,9 +19,33 @@ def _is_churned():
     return F.when(F.col("status") == STATUS_CHURNED, F.lit(1)).otherwise(F.lit(0))
 
 
+def _exact(c):
+    """A money column as DECIMAL: its sums don't depend on the order rows arrive in."""
+    return F.col(c).cast("decimal(20,6)")
+
+
+def _per_key(subscriptions: DataFrame, *keys: str, params: ChurnParams | None = None) -> DataFrame:
+    """Subscriptions reduced to one row per ``keys``: rows ``n``, churned ``c``, and the sums and
+    counts behind the means of mrr and tenure (to the churn date or as_of, not clipped)."""
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(_is_churned()).cast("long").alias("c")]
+    if "mrr" in subscriptions.columns:
+        aggs += [F.sum(_exact("mrr")).alias("mrr_sum"), F.count("mrr").alias("mrr_n")]
+    if params is not None:
+        tenure = F.datediff(F.coalesce(F.col("churn_date"), F.lit(params.as_of)), F.col("signup_date"))
+        aggs += [F.sum(tenure).cast("long").alias("days_sum"), F.count(tenure).alias("days_n")]
+    return subscriptions.groupBy(*keys).agg(*aggs)
+
+
+def _mean(total: str, n: str, alias: str):
+    """Mean of rows already summed per key, rounded to a whole number."""
+    return F.round(F.try_divide(F.sum(total).cast("double"), F.sum(n)), 0).alias(alias)
+
+
 def _rate_aggs(total_name: str = "total_customers", churned_name: str | None = "churned_customers"):
-    total = F.count(F.lit(1))
-    churned = F.sum(_is_churned())
+    """Rates over rows that stand for ``n`` rows with ``c`` churned; a customer without a
+    subscription (n NULL) counts as one row."""
+    total = F.sum(F.coalesce(F.col("n"), F.lit(1)))
+    churned = F.coalesce(F.sum("c"), F.lit(0))
     aggs = [total.alias(total_name)]
     if churned_name:
         aggs.append(churned.cast("long").alias(churned_name))
@@ -36,7 +59,7 @@ def _by_rate(df: DataFrame, *tie_break: str) -> DataFrame:
 
 def churn_by_plan(subscriptions: DataFrame) -> DataFrame:
     """REP1: customers, churned and churn % per subscription plan."""
-    out = subscriptions.groupBy("plan").agg(*_rate_aggs())
+    out = _per_key(subscriptions.select("plan", "status"), "plan").groupBy("plan").agg(*_rate_aggs())
     return _by_rate(out, "plan")
 
 
@@ -51,49 +74,45 @@ def churn_trend_monthly(subscriptions: DataFrame, dense_calendar: bool = False)
     monthly = (subscriptions
                .where((F.col("status") == STATUS_CHURNED) & F.col("churn_date").isNotNull())
                .groupBy(F.trunc("churn_date", "MM").alias("churn_month"))
-               .agg(F.count(F.lit(1)).alias("churned_count"), F.sum("mrr").alias("mrr_lost")))
+               .agg(F.count(F.lit(1)).alias("churned_count"), F.sum(_exact("mrr")).alias("mrr_lost")))
     if dense_calendar:
         span = monthly.agg(F.min("churn_month").alias("lo"), F.max("churn_month").alias("hi"))
         calendar = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("churn_month"))
         monthly = (calendar.join(monthly, "churn_month", "left")
                    .select("churn_month", F.coalesce("churned_count", F.lit(0)).alias("churned_count"),
-                           F.coalesce("mrr_lost", F.lit(0.0)).alias("mrr_lost")))
+                           F.coalesce("mrr_lost", F.lit(0)).cast("decimal(30,6)").alias("mrr_lost")))
     w = Window.orderBy("churn_month")
     running = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return (monthly.select(
-        "churn_month", "churned_count", "mrr_lost",
+        "churn_month", "churned_count", F.col("mrr_lost").cast("double").alias("mrr_lost"),
         # NULL for the first month; DOUBLE like the other nullable numeric outputs
         (F.col("churned_count") - F.lag("churned_count", 1).over(w)).cast("double").alias("change_vs_prev_month"),
         F.sum("churned_count").over(running).alias("cumulative_churned"),
-        F.sum("mrr_lost").over(running).alias("cumulative_mrr_lost"),
+        F.sum("mrr_lost").over(running).cast("double").alias("cumulative_mrr_lost"),
     ).orderBy("churn_month"))
 
 
-def _customers_with_subscription(customers: DataFrame, subscriptions: DataFrame, params: ChurnParams) -> DataFrame:
-    """customers LEFT JOIN subscriptions ON customer_id = customer_id (SQL equality: NULL ids do
-    not match), split for keys with many subscription rows."""
-    c = customers.select("customer_id", "plan", "contract_type", "acq_channel")
-    s = subscriptions.select(
-        "customer_id", F.col("plan").alias("s_plan"), F.col("contract_type").alias("s_contract_type"),
-        "status", "mrr", "signup_date", "churn_date")
-    return left_join_split_hot(c, s, ["customer_id"], params.hot_key_rows, params.hot_key_sample, params.hot_key_max)
-
-
 def churn_by_plan_contract(customers: DataFrame, subscriptions: DataFrame,
                            params: ChurnParams | None = None) -> DataFrame:
-    """REP3: churn % and mean MRR per (plan, contract), subscription values first."""
-    j = _customers_with_subscription(customers, subscriptions, params or ChurnParams())
+    """REP3: churn % and mean MRR per (plan, contract), subscription values first (SQL equality:
+    NULL ids do not match). Subscriptions are summed per customer, plan and contract before the
+    join, so a key with many of them is a few rows there."""
+    s = _per_key(subscriptions.select("customer_id", F.col("plan").alias("s_plan"),
+                                      F.col("contract_type").alias("s_contract_type"), "status", "mrr"),
+                 "customer_id", "s_plan", "s_contract_type")
+    j = customers.select("customer_id", "plan", "contract_type").join(s, "customer_id", "left")
     out = (j.groupBy(F.coalesce("s_plan", "plan").alias("plan_final"),
                      F.coalesce("s_contract_type", "contract_type").alias("contract_type_final"))
-           .agg(*_rate_aggs(), F.round(F.avg("mrr"), 0).alias("avg_mrr")))
+           .agg(*_rate_aggs(), _mean("mrr_sum", "mrr_n", "avg_mrr")))
     return _by_rate(out, "plan_final", "contract_type_final")
 
 
 def churn_by_ticket_bucket(subscriptions: DataFrame, tickets: DataFrame) -> DataFrame:
-    """REP4: churn % per ticket-volume bucket; all tickets count, orphans included."""
+    """REP4: churn % per ticket-volume bucket; all tickets count, orphans included. Both tables are
+    summed per customer before the join."""
     per_customer = tickets.groupBy("customer_id").agg(F.count(F.lit(1)).alias("total_tickets"))
-    t = per_customer.withColumnRenamed("customer_id", "t_customer_id")
-    j = subscriptions.join(t, subscriptions["customer_id"] == t["t_customer_id"], "left")
+    subs = _per_key(subscriptions.select("customer_id", "status"), "customer_id")
+    j = subs.join(per_customer, "customer_id", "left")
     out = (j.groupBy(ticket_bucket("total_tickets").alias("ticket_bucket"))
            .agg(*_rate_aggs("customers", None)))
     return _by_rate(out, "ticket_bucket")
@@ -101,13 +120,13 @@ def churn_by_ticket_bucket(subscriptions: DataFrame, tickets: DataFrame) -> Data
 
 def channel_performance(customers: DataFrame, subscriptions: DataFrame, params: ChurnParams) -> DataFrame:
     """REP5: per acquisition channel: customers, churn %, mean tenure (to churn date or
-    as_of, not clipped) and mean MRR."""
-    j = _customers_with_subscription(customers, subscriptions, params)
-    tenure = F.datediff(F.coalesce(F.col("churn_date"), F.lit(params.as_of)), F.col("signup_date"))
+    as_of, not clipped) and mean MRR. Subscriptions are summed per customer before the join."""
+    s = _per_key(subscriptions.select("customer_id", "status", "mrr", "signup_date", "churn_date"),
+                 "customer_id", params=params)
+    j = customers.select("customer_id", "acq_channel").join(s, "customer_id", "left")
     out = (j.groupBy("acq_channel")
-           .agg(*_rate_aggs(churned_name=None),
-                F.round(F.avg(tenure), 0).alias("avg_tenure_days"),
-                F.round(F.avg("mrr"), 0).alias("avg_mrr")))
+           .agg(*_rate_aggs(churned_name=None), _mean("days_sum", "days_n", "avg_tenure_days"),
+                _mean("mrr_sum", "mrr_n", "avg_mrr")))
     return _by_rate(out, "acq_channel")
 
 

@@ -54,8 +54,12 @@ NULL_RATE_HIGH = 20.0
 NULL_RATE_MEDIUM = 5.0
 
 # Customer signup dates come in several layouts; month-first wins.
-CUSTOMER_DATE_FORMATS = ("M-d-yyyy", "yyyy/M/d", "yyyy-M-d")
-DAY_FIRST_FORMAT = "d-M-yyyy"
+CUSTOMER_DATE_FORMATS = ("M-d-yyyy", "yyyy/M/d", "yyyy-M-d", "M/d/yyyy", "M/d/yy", "M-d-yy", "d MMM yyyy", "MMM d, yyyy",
+                         "yyyyMMdd", "yyyy.M.d", "M.d.yyyy")
+# Layouts that are tried day-first when no month-first one fits.
+DAY_FIRST_FORMATS = ("d-M-yyyy", "d/M/yyyy", "d.M.yyyy")
+# A time of day behind a date, left off before the date is read.
+TIME_OF_DAY = r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
 ISO_DATE_FORMAT = "yyyy-M-d"
 
 
@@ -69,16 +73,15 @@ class ChurnParams:
     # pandas' mixed parser still reads 13-04-2024 as 13 April; keep that by default.
     day_first_fallback: bool = True
     iso_date_format: str = ISO_DATE_FORMAT
+    # other layouts of single-layout columns: (("subscriptions", "churn_date", "M/d/yyyy"), ...)
+    column_date_formats: tuple[tuple[str, str, str], ...] = ()
     null_tokens: tuple[str, ...] = field(default=PANDAS_NULL_TOKENS)
     # per-column overrides: ((table, column, tokens), ...), e.g. keep a region code "NA"
     column_null_tokens: tuple[tuple[str, str, tuple[str, ...]], ...] = ()
     # also bound the recency windows above by as_of (rows dated later are then left out)
     recency_upper_bound: bool = False
-    # a subscription key with at least this many rows is joined by broadcast (skew split);
-    # found on a sample of this fraction; at most this many such keys
-    hot_key_rows: int = 1_000_000
-    hot_key_sample: float = 0.01
-    hot_key_max: int = 1000
+    # quoted CSV fields may hold line breaks; a file is then read by one task
+    csv_multiline: bool = False
 
     def tokens_for(self, table: str, column: str) -> tuple[str, ...]:
         for t, c, tokens in self.column_null_tokens:
@@ -86,6 +89,12 @@ class ChurnParams:
                 return tokens
         return self.null_tokens
 
+    def date_format(self, table: str, column: str) -> str:
+        for t, c, fmt in self.column_date_formats:
+            if t == table and c == column:
+                return fmt
+        return self.iso_date_format
+
     @property
     def cutoff(self) -> dt.date:
         """First day inside the recency window (inclusive)."""

@@ -1,14 +1,19 @@
 """Named queries over a test-data directory: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Every query derives the raw churn tables from the test-data tables, so its work grows
-with the data. Silver and gold are lazy plans; Catalyst prunes what a query does not use.
+Every query derives the raw churn tables from the test-data tables while it runs, so its work
+grows with the data. Raw, silver and gold are lazy plans; Catalyst prunes what a query does not use.
+The read-back queries write the derived tables with the sinks into the shared folder and read them
+again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from churnlens import schemas as S
 from churnlens.operators import features as FE
@@ -17,10 +22,52 @@ from churnlens.operators import reports as RP
 from churnlens.params import TESTDATA_PARAMS as P
 from churnlens.plans import sql_reports
 from churnlens.plans.layers import gold_from_testdata, raw_from_testdata, silver_from_testdata
+from churnlens.session import checkpoint_dir
+from churnlens.sinks import write_csv_export, write_quality_json, write_table
+from churnlens.sources.csv import null_token_hits, read_raw_csv, read_raw_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _shared(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written as CSV in another column order with an extra column, read back by name."""
+    raw = raw_from_testdata(spark, sf_dir)[S.CUSTOMERS]
+    folder = _shared(spark, "customers-csv")
+    columns = [c for c in reversed(S.RAW_COLUMNS[S.CUSTOMERS])]
+    write_csv_export(raw.select(*columns, F.upper("plan").alias("note")), folder)
+    return read_raw_csv(spark, folder, S.CUSTOMERS, P).drop(S.INGEST_ORDER)
+
+
+def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscriptions (silver) written partitioned by status and read back."""
+    folder = _shared(spark, "subscriptions")
+    write_table(silver_from_testdata(spark, sf_dir, P)[S.SUBSCRIPTIONS], folder, partition_by=["status"])
+    return spark.read.parquet(folder)
+
+
+def quality_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested quality report written as JSON and read back as (section, metric, value)."""
+    folder = _shared(spark, "quality-report")
+    write_quality_json(PR.quality_report(raw_from_testdata(spark, sf_dir), P), folder)
+    sections = ", ".join(f"{t} map<string,double>" for t in S.TABLES)
+    nested = spark.read.schema(sections).json(folder)
+    parts = [nested.select(F.lit(t).alias("section"), F.explode(t).alias("metric", "value")) for t in S.TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null tokens found per column of the tickets written as CSV with unreadable values as tokens."""
+    raw = raw_from_testdata(spark, sf_dir)[S.TICKETS]
+    folder = _shared(spark, "tickets-csv")
+    token = F.when(F.col("created_date").rlike("[0-9]"), F.col("created_date")).otherwise(F.lit("n/a"))
+    write_csv_export(raw.withColumn("created_date", token), folder)
+    return null_token_hits(read_raw_text(spark, folder, S.TICKETS, P), S.TICKETS, P)
+
+
 def _silver(table: str) -> Query:
     return lambda spark, sf: silver_from_testdata(spark, sf, P)[table]
 
@@ -45,7 +92,7 @@ QUERIES: dict[str, Query] = {
     # profiling of the raw tables
     "profile_shape": _on_raw(PR.table_shapes),
     "profile_columns": _on_raw(PR.column_types),
-    "profile_head": _on_raw(lambda r: PR.head_rows(r[S.CUSTOMERS], 5)),
+    "profile_head": _on_raw(lambda r: PR.head_tables(r, 5)),
     "profile_null_rates": _on_raw(PR.null_rates),
     "profile_duplicates": _on_raw(PR.duplicates),
     "profile_age": _on_raw(lambda r: PR.age_profile(r[S.CUSTOMERS])),
@@ -100,4 +147,9 @@ QUERIES: dict[str, Query] = {
     "churned_vs_active_tickets": _on_gold(RP.churned_vs_active_tickets),
     "segment_gap": _on_gold(RP.segment_gaps),
     "channel_volume": _on_gold(RP.channel_volume),
+    # sources and sinks
+    "csv_round_trip": csv_round_trip,
+    "parquet_round_trip": parquet_round_trip,
+    "quality_json_round_trip": quality_json_round_trip,
+    "null_tokens": null_tokens,
 }

@@ -28,6 +28,7 @@ from churnlens.plans.layers import gold_from_silver, silver_from_raw
 from churnlens.session import build_session, session_defaults
 from churnlens.sinks import write_csv_export, write_quality_json, write_table
 from churnlens.sources import raw_tables_from_testdata, read_raw_tables, read_silver
+from churnlens.sources.csv import malformed_rows
 
 # Facts are written sorted by date inside each task: recency filters then skip row groups.
 DATE_ORDER = {S.USAGE: ["month"], S.TICKETS: ["created_date"]}
@@ -100,14 +101,20 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=None, help="analysis date, YYYY-MM-DD")
     ap.add_argument("--recency-days", type=int, default=90)
     ap.add_argument("--no-csv", action="store_true")
-    ap.add_argument("--strict", action="store_true", help="fail when subscriptions repeat a customer")
+    ap.add_argument("--strict", action="store_true", help="fail on malformed CSV lines and when subscriptions repeat a customer")
     ap.add_argument("--recency-upper-bound", action="store_true", help="count recent rows only up to as_of")
+    ap.add_argument("--multiline", action="store_true", help="quoted CSV fields may hold line breaks")
     a = ap.parse_args(argv)
     default_as_of = "2001-06-01" if a.testdata else "2025-06-01"
     params = ChurnParams(as_of=dt.date.fromisoformat(a.as_of or default_as_of), recency_days=a.recency_days,
-                         recency_upper_bound=a.recency_upper_bound)
+                         recency_upper_bound=a.recency_upper_bound, csv_multiline=a.multiline)
     spark = SparkSession.getActiveSession() or build_session("churnlens-job")
     raw = read_raw_tables(spark, a.raw_dir, params) if a.raw_dir else raw_tables_from_testdata(spark, a.testdata)
+    if a.raw_dir:
+        bad = spark.read.parquet(write_table(malformed_rows(spark, a.raw_dir, params),
+                                             f"{a.out.rstrip('/')}/profile/malformed_rows"))
+        if a.strict and (n := bad.agg({"malformed_rows": "sum"}).first()[0]):
+            raise ValueError(f"{n} malformed lines in {a.raw_dir}")
     for name, path in run(spark, raw, a.out, params, csv_export=not a.no_csv, strict=a.strict).items():
         print(f"{name}\t{path}")
 

@@ -1,80 +1,14 @@
-"""Bronze -> silver -> gold as DataFrames shared by all queries of a session.
-
-Bronze for the test data (the raw churn tables derived from the TPC-H-style tables) is
-written once per session and directory as Parquet into the shared folder named by
-``spark.checkpoint.dir`` and read back, as a deployment reads its raw files: every query then
-scans that table instead of re-deriving it (lineitem joined to orders and so on) and
-the lineage stops there. Silver and gold stay lazy plans over it; every query still reads and
-processes the data in full. Without a configured checkpoint folder (outside local mode) bronze
-stays a lazy plan too.
-"""
+"""Raw -> silver -> gold as lazy plans. Building one starts no job and reads nothing."""
 
 from __future__ import annotations
 
-import hashlib
-import threading
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlens import schemas as S
 from churnlens.operators import clean, features
 from churnlens.params import ChurnParams
-from churnlens.session import CHECKPOINT_CONF, checkpoint_dir
-from churnlens.sinks.writers import write_table
 from churnlens.sources.testdata import raw_tables_from_testdata
 
-_DEFINED: dict[tuple, tuple[weakref.ref, object]] = {}
-_LOCK = threading.RLock()
-
-
-def _once(kind: str, spark: SparkSession, sf_dir: str, params, build):
-    key = (kind, id(spark), sf_dir.rstrip("/"), params)
-    with _LOCK:
-        hit = _DEFINED.get(key)
-        if hit is not None and hit[0]() is spark:
-            return hit[1]
-        value = build()
-        _DEFINED[key] = (weakref.ref(spark), value)
-        return value
-
-
-def _shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's shared checkpoint folder; in local mode one is set up if none is named.
-    None when neither applies (bronze then stays a lazy plan)."""
-    named = spark.conf.get(CHECKPOINT_CONF, None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a Spark Connect session has no SparkContext
-        return named
-    named = named or sc.getCheckpointDir()
-    if named:
-        return named
-    if sc.master.startswith("local"):
-        return checkpoint_dir(spark)
-    return None
-
-
-def _session_tag(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return f"session-{id(spark):x}"
-
-
-def _bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = raw_tables_from_testdata(spark, sf_dir)
-    folder = _shared_folder(spark)
-    if folder is None:
-        return raw
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    base = f"{folder.rstrip('/')}/churnlens-bronze/{_session_tag(spark)}/{tag}"
-    out = {}
-    for t, df in raw.items():
-        write_table(df, f"{base}/{t}")
-        out[t] = spark.read.parquet(f"{base}/{t}")
-    return out
-
 
 def silver_from_raw(raw: dict[str, DataFrame], params: ChurnParams) -> dict[str, DataFrame]:
     return clean.clean_all(raw, params)
@@ -86,14 +20,12 @@ def gold_from_silver(silver: dict[str, DataFrame], params: ChurnParams) -> DataF
 
 
 def raw_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return _once("raw", spark, sf_dir, None, lambda: _bronze(spark, sf_dir))
+    return raw_tables_from_testdata(spark, sf_dir)
 
 
 def silver_from_testdata(spark: SparkSession, sf_dir: str, params: ChurnParams) -> dict[str, DataFrame]:
-    return _once("silver", spark, sf_dir, params,
-                 lambda: silver_from_raw(raw_from_testdata(spark, sf_dir), params))
+    return silver_from_raw(raw_from_testdata(spark, sf_dir), params)
 
 
 def gold_from_testdata(spark: SparkSession, sf_dir: str, params: ChurnParams) -> DataFrame:
-    return _once("gold", spark, sf_dir, params,
-                 lambda: gold_from_silver(silver_from_testdata(spark, sf_dir, params), params))
+    return gold_from_silver(silver_from_testdata(spark, sf_dir, params), params)

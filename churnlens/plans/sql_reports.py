@@ -1,92 +1,79 @@
 """The five report queries as Spark SQL over the star-schema temp views.
 
-Same results as the DataFrame versions in ``operators.reports``; Catalyst compiles both to
-the same kind of plan. ``CURRENT_DATE`` is replaced by the job's ``as_of`` parameter so the
-result does not depend on the day the job runs.
+Four reports are one statement with different parts: ``units`` gives rows that stand for n
+subscriptions (or for one customer without any) with c of them churned, already summed per customer,
+``labels`` names the segment, ``means`` the further columns. The trend report is a statement of its
+own. ``CURRENT_DATE`` is the job's ``as_of`` parameter, so a result doesn't depend on the day of the
+run. Sums of money are DECIMAL.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from churnlens import schemas as S
 from churnlens.params import ChurnParams
 from churnlens.sources.silver import register_views
 
-# churn_rate_pct = ROUND(100 * c / n, 1), half away from zero, exact on integers
-# (same formula as numeric.pct_half_up), over per-group counts n (rows) and c (churned)
-_PCT = ("CASE WHEN n > 0 THEN CAST((c * 2000 + n - pmod(c * 2000 + n, n * 2)) / (n * 2) AS DOUBLE) / 10.0D END"
-        " AS churn_rate_pct")
+# 100 * churned / rows to one decimal, half away from zero: exact in DECIMAL
+RATE = "CAST(ROUND(CAST(100 * SUM(c) AS DECIMAL(38, 12)) / SUM(n), 1) AS DOUBLE)"
+
+SUBSCRIPTION_UNITS = """
+    SELECT customer_id, plan, contract_type, COUNT(*) AS n, SUM(INT(status = 'Churned')) AS c,
+           SUM(CAST(mrr AS DECIMAL(20, 6))) AS mrr, COUNT(mrr) AS mrr_n,
+           SUM(DATEDIFF(COALESCE(churn_date, :as_of), signup_date)) AS days,
+           COUNT(DATEDIFF(COALESCE(churn_date, :as_of), signup_date)) AS days_n
+    FROM dim_subscriptions GROUP BY customer_id, plan, contract_type"""
+
+CUSTOMER_UNITS = f"""
+    SELECT COALESCE(u.plan, k.plan) AS plan_final, COALESCE(u.contract_type, k.contract_type) AS contract_type_final,
+           k.acq_channel, COALESCE(u.n, 1) AS n, COALESCE(u.c, 0) AS c, u.mrr, u.mrr_n, u.days, u.days_n
+    FROM dim_customers k LEFT JOIN ({SUBSCRIPTION_UNITS}) u ON u.customer_id = k.customer_id"""
+
+TICKET_UNITS = f"""
+    SELECT CASE WHEN f.tickets IS NULL THEN '0 tickets' WHEN f.tickets <= 2 THEN '1-2 tickets'
+                WHEN f.tickets <= 5 THEN '3-5 tickets' ELSE '6+ tickets' END AS ticket_bucket, u.n, u.c
+    FROM ({SUBSCRIPTION_UNITS}) u
+    LEFT JOIN (SELECT customer_id, COUNT(*) AS tickets FROM fact_support_tickets GROUP BY customer_id) f
+      ON f.customer_id = u.customer_id"""
+
+MEAN_MRR = "ROUND(TRY_DIVIDE(DOUBLE(SUM(mrr)), SUM(mrr_n)), 0) AS avg_mrr"
+MEAN_DAYS = "ROUND(TRY_DIVIDE(DOUBLE(SUM(days)), SUM(days_n)), 0) AS avg_tenure_days"
+
+
+@dataclass(frozen=True)
+class SegmentReport:
+    units: str
+    labels: tuple[str, ...]
+    total: str = "total_customers"
+    churned: str | None = "churned_customers"
+    means: tuple[str, ...] = ()
+
+    def sql(self) -> str:
+        measures = [f"SUM(n) AS {self.total}", *([f"SUM(c) AS {self.churned}"] if self.churned else []),
+                    f"{RATE} AS churn_rate_pct", *self.means]
+        labels = ", ".join(self.labels)
+        order = ", ".join(f"{c} NULLS FIRST" for c in ("churn_rate_pct DESC", *self.labels))
+        return f"SELECT {labels}, {', '.join(measures)} FROM ({self.units}) GROUP BY {labels} ORDER BY {order}"
+
+
+TREND = """
+    SELECT churn_month, churned_count, DOUBLE(lost) AS mrr_lost,
+           DOUBLE(churned_count - LAG(churned_count) OVER (ORDER BY churn_month)) AS change_vs_prev_month,
+           SUM(churned_count) OVER (ORDER BY churn_month) AS cumulative_churned,
+           DOUBLE(SUM(lost) OVER (ORDER BY churn_month)) AS cumulative_mrr_lost
+    FROM (SELECT TRUNC(churn_date, 'MM') AS churn_month, COUNT(*) AS churned_count, SUM(CAST(mrr AS DECIMAL(20, 6))) AS lost
+          FROM dim_subscriptions WHERE status = 'Churned' AND churn_date IS NOT NULL GROUP BY 1)
+    ORDER BY churn_month"""
 
 SQL = {
-    "churn_by_plan": f"""
-        WITH per_plan AS (
-            SELECT plan, count(*) AS n, count_if(status = 'Churned') AS c
-            FROM dim_subscriptions
-            GROUP BY plan)
-        SELECT plan, n AS total_customers, c AS churned_customers, {_PCT}
-        FROM per_plan
-        ORDER BY churn_rate_pct DESC NULLS FIRST, plan NULLS FIRST""",
-    "churn_trend_monthly": """
-        WITH per_month AS (
-            SELECT trunc(churn_date, 'MM') AS churn_month, count(*) AS churned_count, sum(mrr) AS mrr_lost
-            FROM dim_subscriptions
-            WHERE status = 'Churned' AND churn_date IS NOT NULL
-            GROUP BY trunc(churn_date, 'MM'))
-        SELECT churn_month, churned_count, mrr_lost,
-               CAST(churned_count - lag(churned_count) OVER by_month AS DOUBLE) AS change_vs_prev_month,
-               sum(churned_count) OVER to_date_frame AS cumulative_churned,
-               sum(mrr_lost) OVER to_date_frame AS cumulative_mrr_lost
-        FROM per_month
-        WINDOW by_month AS (ORDER BY churn_month),
-               to_date_frame AS (ORDER BY churn_month RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-        ORDER BY churn_month""",
-    "churn_by_plan_contract": f"""
-        WITH joined AS (
-            SELECT coalesce(s.plan, c.plan) AS plan_final,
-                   coalesce(s.contract_type, c.contract_type) AS contract_type_final,
-                   s.status, s.mrr
-            FROM dim_customers c LEFT JOIN dim_subscriptions s ON c.customer_id = s.customer_id),
-        per_segment AS (
-            SELECT plan_final, contract_type_final, count(*) AS n, count_if(status = 'Churned') AS c,
-                   round(avg(mrr), 0) AS avg_mrr
-            FROM joined
-            GROUP BY plan_final, contract_type_final)
-        SELECT plan_final, contract_type_final, n AS total_customers, c AS churned_customers, {_PCT}, avg_mrr
-        FROM per_segment
-        ORDER BY churn_rate_pct DESC NULLS FIRST, plan_final NULLS FIRST, contract_type_final NULLS FIRST""",
-    "churn_by_ticket_bucket": f"""
-        WITH tickets_per_customer AS (
-            SELECT customer_id, count(*) AS total_tickets
-            FROM fact_support_tickets
-            GROUP BY customer_id),
-        bucketed AS (
-            SELECT CASE WHEN coalesce(t.total_tickets, 0) = 0 THEN '0 tickets'
-                        WHEN t.total_tickets <= 2 THEN '1-2 tickets'
-                        WHEN t.total_tickets <= 5 THEN '3-5 tickets'
-                        ELSE '6+ tickets' END AS ticket_bucket,
-                   s.status
-            FROM dim_subscriptions s LEFT JOIN tickets_per_customer t ON s.customer_id = t.customer_id),
-        per_bucket AS (
-            SELECT ticket_bucket, count(*) AS n, count_if(status = 'Churned') AS c
-            FROM bucketed
-            GROUP BY ticket_bucket)
-        SELECT ticket_bucket, n AS customers, {_PCT}
-        FROM per_bucket
-        ORDER BY churn_rate_pct DESC NULLS FIRST, ticket_bucket NULLS FIRST""",
-    "channel_performance": f"""
-        WITH joined AS (
-            SELECT c.acq_channel, s.status, s.mrr,
-                   datediff(coalesce(s.churn_date, DATE '{{as_of}}'), s.signup_date) AS tenure_days
-            FROM dim_customers c LEFT JOIN dim_subscriptions s ON c.customer_id = s.customer_id),
-        per_channel AS (
-            SELECT acq_channel, count(*) AS n, count_if(status = 'Churned') AS c,
-                   round(avg(tenure_days), 0) AS avg_tenure_days, round(avg(mrr), 0) AS avg_mrr
-            FROM joined
-            GROUP BY acq_channel)
-        SELECT acq_channel, n AS total_customers, {_PCT}, avg_tenure_days, avg_mrr
-        FROM per_channel
-        ORDER BY churn_rate_pct DESC NULLS FIRST, acq_channel NULLS FIRST""",
+    "churn_by_plan": SegmentReport(SUBSCRIPTION_UNITS, ("plan",)).sql(),
+    "churn_trend_monthly": TREND,
+    "churn_by_plan_contract": SegmentReport(CUSTOMER_UNITS, ("plan_final", "contract_type_final"), means=(MEAN_MRR,)).sql(),
+    "churn_by_ticket_bucket": SegmentReport(TICKET_UNITS, ("ticket_bucket",), "customers", None).sql(),
+    "channel_performance": SegmentReport(CUSTOMER_UNITS, ("acq_channel",), churned=None, means=(MEAN_DAYS, MEAN_MRR)).sql(),
 }
 
 
@@ -94,4 +81,4 @@ def run(silver: dict[str, DataFrame], name: str, params: ChurnParams) -> DataFra
     """Register the silver tables as views and run one report query."""
     register_views(silver)
     spark = silver[S.CUSTOMERS].sparkSession
-    return spark.sql(SQL[name].replace("{as_of}", params.as_of.isoformat()))
+    return spark.sql(SQL[name], args={"as_of": params.as_of} if ":as_of" in SQL[name] else None)

@@ -14,7 +14,7 @@ TICKETS = "tickets"
 USAGE = "usage"
 TABLES = (CUSTOMERS, SUBSCRIPTIONS, TICKETS, USAGE)
 
-# Column order of each raw file.
+# Known columns of each raw file, in the order results list them.
 RAW_COLUMNS = {
     CUSTOMERS: ("customer_id", "age", "region", "signup_date", "plan", "acq_channel", "contract_type"),
     SUBSCRIPTIONS: ("customer_id", "plan", "mrr", "contract_type", "signup_date", "churn_date", "status"),
@@ -50,9 +50,5 @@ SILVER = {CUSTOMERS: DIM_CUSTOMERS, SUBSCRIPTIONS: DIM_SUBSCRIPTIONS, TICKETS: F
 INGEST_ORDER = "_ingest_order"
 
 
-def text_schema(table: str) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS[table]])
-
-
 def raw_type(table: str, column: str) -> T.DataType:
     return RAW_TYPES[table].get(column, T.StringType())

@@ -30,7 +30,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def write_csv_export(df: DataFrame, path: str, pandas_style: bool = True, mode: str = "overwrite") -> str:
-    """CSV with a header for BI tools. Empty strings and NULLs are both written as nothing
+    """CSV with a header for BI tools; blanks around values are kept. Empty strings and NULLs are both written as nothing
     (as pandas ``to_csv`` does); with ``pandas_style`` booleans are written True/False.
     The export stays split in part files: one file would funnel the table through one task."""
     out = df
@@ -40,7 +40,8 @@ def write_csv_export(df: DataFrame, path: str, pandas_style: bool = True, mode:
             if isinstance(f.dataType, T.BooleanType) else F.col(f.name)
             for f in df.schema.fields])
     (out.write.mode(mode).option("header", True).option("emptyValue", "")
-     .option("nullValue", "").option("dateFormat", "yyyy-MM-dd").csv(path))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("nullValue", "").option("escape", '"').option("dateFormat", "yyyy-MM-dd").csv(path))
     return path
 
 

@@ -1,20 +1,27 @@
 """Raw CSV source (bronze).
 
-* explicit all-text schema: no inference pass, nothing rejected for a bad value;
+* columns are matched by the names in the header: any order, columns beyond the known ones are
+  carried through, a missing known column stops the read with its name, and files whose headers
+  differ fail instead of mixing silently;
+* every column is read as text (no inference pass, nothing rejected for a bad value);
 * pandas' null tokens become NULL (configurable);
 * numeric columns are typed with ``try_cast`` (bad numbers -> NULL, never an error);
 * every row gets an ingest-order key (file, split start, row position inside the split), so
   "keep the first duplicate" / "first seen" mean first in file order, even across many
   files/splits (cleaning drops the key from the silver tables);
 * quotes inside quoted fields are doubled (""), as pandas writes them;
-* records stay one per line (``multiLine`` off) so large files split across tasks; a quoted
-  field with a line break would need ``multiLine``, which reads each file in one task.
+* a line that doesn't have the header's fields is counted by ``malformed_rows``. Records are one
+  per line unless ``ChurnParams.csv_multiline`` is set; then quoted fields may hold line breaks and
+  each file is read by one task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlens import schemas as S
 from churnlens.functions.text import null_tokens_to_null
@@ -36,24 +43,58 @@ def type_raw(df: DataFrame, table: str, params: ChurnParams) -> DataFrame:
     return df.select(*cols)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the first file's header (its first line alone is read)."""
+    return spark.read.option("header", True).option("escape", '"').csv(path).columns
+
+
+def csv_schema(spark: SparkSession, path: str, table: str) -> T.StructType:
+    """All-text schema in the order of the files' header, with a column for malformed lines."""
+    names = _header(spark, path)
+    missing = [c for c in S.RAW_COLUMNS[table] if c not in names]
+    if missing:
+        raise ValueError(f"{path}: {table} lacks the columns {', '.join(missing)}")
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+
+
+def _read_text(spark: SparkSession, path: str, table: str, params: ChurnParams, whole_lines: bool = False) -> DataFrame:
+    """Known columns in their usual order, then the others, then the text of a malformed line. With
+    ``whole_lines`` a line's fields are all parsed even where few are used, so that it is judged whole."""
+    schema = csv_schema(spark, path, table)
+    df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+          .option("multiLine", params.csv_multiline).option("enforceSchema", False).option("columnPruning", not whole_lines)
+          .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path))
+    known = list(S.RAW_COLUMNS[table])
+    others = [f.name for f in schema.fields if f.name not in (*known, CORRUPT)]
+    return df.select(*known, *others, CORRUPT, F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("pos")).alias(S.INGEST_ORDER))
+
+
 def read_raw_csv(spark: SparkSession, path: str, table: str, params: ChurnParams | None = None) -> DataFrame:
     params = params or ChurnParams()
-    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-              .option("multiLine", False).schema(S.text_schema(table)))
-    df = reader.csv(path).withColumn(
-        S.INGEST_ORDER,
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("pos"),
-        ),
-    )
-    return type_raw(df, table, params)
-
-
-def read_raw_text(spark: SparkSession, path: str, table: str) -> DataFrame:
+    return type_raw(_read_text(spark, path, table, params).drop(CORRUPT), table, params)
+
+
+def read_raw_text(spark: SparkSession, path: str, table: str, params: ChurnParams | None = None) -> DataFrame:
     """The raw file with every value as text, before null tokens and types are applied."""
-    return spark.read.option("header", True).option("escape", '"').schema(S.text_schema(table)).csv(path)
+    return _read_text(spark, path, table, params or ChurnParams()).drop(CORRUPT, S.INGEST_ORDER)
+
+
+def malformed_rows(spark: SparkSession, raw_dir: str, params: ChurnParams | None = None) -> DataFrame:
+    """table_name, keyed_rows, malformed_rows: lines with a first field or malformed, and the
+    malformed ones, which don't have the header's fields. (Spark reads the column of malformed lines
+    only beside another one.)"""
+    params, base = params or ChurnParams(), raw_dir.rstrip("/")
+    counts = [_read_text(spark, f"{base}/{S.RAW_FILES[t]}", t, params, whole_lines=True)
+              .agg(F.count_if(F.col(S.RAW_COLUMNS[t][0]).isNotNull() | F.col(CORRUPT).isNotNull()).alias("keyed_rows"),
+                   F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed_rows"))
+              .select(F.lit(t).alias("table_name"), "keyed_rows", "malformed_rows") for t in S.TABLES]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def null_token_hits(text: DataFrame, table: str, params: ChurnParams | None = None) -> DataFrame:

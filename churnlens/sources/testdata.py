@@ -29,6 +29,7 @@ PLANS = ("BASIC", "standard", " Enterprise ", "premium")
 CATEGORIES = ("billing", "TECHNICAL", " account", "Other")                       # by o_orderkey % 4
 DUPLICATE_REGION = "unknown"          # region carried by the repeated customer rows
 ORPHAN_CUSTOMER_ID = "Customer#X"
+UNREADABLE_DATE = "not a date"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,7 +68,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = (F.when(k % 97 == 3, F.lit(None).cast("string"))
               .when(k % 3 == 0, F.lower("r_name"))
               .otherwise(F.concat(F.lit(" "), F.col("r_name"), F.lit(" "))))
-    signup = (F.when(k % 3 == 0, F.date_format("d", "MM-dd-yyyy"))
+    # day-first where no month-first reading exists, then an unreadable one, then the usual layouts
+    signup = (F.when((k % 41 == 6) & (F.dayofmonth("d") > 12), F.date_format("d", "dd-MM-yyyy"))
+              .when(k % 89 == 12, F.lit(UNREADABLE_DATE))
+              .when(k % 3 == 0, F.date_format("d", "MM-dd-yyyy"))
               .when(k % 3 == 1, F.date_format("d", "yyyy/MM/dd"))
               .otherwise(_iso(F.col("d"))))
     # repeated rows (k % 100 = 1) arrive after the originals (seq 1) with a different region;
@@ -75,8 +79,9 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.explode(F.when(k % 100 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     b = b.select("*", seq.alias("seq"))
     rows = b.select(
-        F.col("c_name").alias("customer_id"),
+        F.when(k % 149 == 20, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("customer_id"),
         F.when(k % 86 == 5, F.lit(-5.0)).when(k % 60 == 7, F.lit(None).cast("double"))
+         .when(k % 73 == 9, F.lit(120.0))
          .otherwise((F.lit(18) + k % 60).cast("double")).alias("age"),
         F.when(F.col("seq") == 1, F.lit(DUPLICATE_REGION)).otherwise(region).alias("region"),
         signup.alias("signup_date"),
@@ -89,8 +94,11 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a few customers without a subscription, a few with two, a few ids that no customer has
     b = _customer_base(spark, sf_dir).where(F.col("k") % 50 != 9)
     k, d = F.col("k"), F.col("d")
+    again = F.explode(F.when(k % 101 == 30, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    b = b.select("*", again.alias("again"))
     plan = (F.when(k % 29 == 0, F.lit(None).cast("string"))
             .when(k % 7 == 0, F.lit("basic")).otherwise(_pick(PLANS, k % 4)))
     contract = (F.when(k % 31 == 0, F.lit(None).cast("string"))
@@ -100,21 +108,24 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .when(churned & (k % 67 == 1), F.lit(None).cast("date"))
                   .when(churned, F.date_add(d, ((k * 37) % 900).cast("int")))
                   .when(k % 83 == 0, F.date_add(d, 5)))
+    customer_id = (F.when(k % 149 == 20, F.lit(None).cast("string"))
+                   .when(k % 131 == 40, F.concat(F.lit("Gone#"), k.cast("string"))).otherwise(F.col("c_name")))
     return b.select(
-        F.col("c_name").alias("customer_id"),
+        customer_id.alias("customer_id"),
         plan.alias("plan"),
-        (F.lit(20) + k % 180).cast("double").alias("mrr"),
+        F.when(k % 113 == 50, F.lit(-9.5)).otherwise((F.lit(20) + k % 180 + F.col("again")).cast("double")).alias("mrr"),
         contract.alias("contract_type"),
-        _iso(d).alias("signup_date"),
-        _iso(churn_date).alias("churn_date"),
-        F.when(churned, F.lit("churned")).otherwise(F.lit(" ACTIVE")).alias("status"),
+        F.when(k % 127 == 60, F.lit(UNREADABLE_DATE)).otherwise(_iso(d)).alias("signup_date"),
+        F.when(churned & (k % 59 == 7), F.lit(UNREADABLE_DATE)).otherwise(_iso(churn_date)).alias("churn_date"),
+        # some already as cleaning writes them, so that the rules on raw text find rows
+        F.when(churned, F.when(k % 4 == 1, F.lit("Churned")).otherwise(F.lit("churned")))
+         .otherwise(F.when(k % 2 == 0, F.lit("Active")).otherwise(F.lit(" ACTIVE"))).alias("status"),
     )
 
 
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = (_read(spark, sf_dir, "orders")
-         .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-         .where(F.col("o_orderkey") % 3 == 0))
+         .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"))
     ok = F.col("o_orderkey")
     priority = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(" critical"))
                 .when(F.col("o_orderpriority") == "2-HIGH", F.lit("HIGH"))
@@ -122,9 +133,9 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(F.lit("low ")))
     return o.select(
         ok.cast("string").alias("ticket_id"),
-        F.when(ok % 750 == 0, F.lit(ORPHAN_CUSTOMER_ID))
+        F.when(ok % 750 == 0, F.lit(ORPHAN_CUSTOMER_ID)).when(ok % 970 == 1, F.lit(None).cast("string"))
          .otherwise(_customer_key(F.col("o_custkey"))).alias("customer_id"),
-        _iso(F.col("o_orderdate")).alias("created_date"),
+        F.when(ok % 1009 == 5, F.lit(UNREADABLE_DATE)).otherwise(_iso(F.col("o_orderdate"))).alias("created_date"),
         priority.alias("priority"),
         _pick(CATEGORIES, ok % 4).alias("category"),
         F.when(F.col("o_orderstatus") == "O", F.lit("no")).otherwise(F.lit("YES ")).alias("resolved"),
@@ -146,11 +157,11 @@ def raw_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ck = F.col("o_custkey")
     modulus = F.when(ck % 3 == 0, F.lit(8)).when(ck % 3 == 1, F.lit(25)).otherwise(F.lit(51))
     return per_month.select(
-        _customer_key(ck).alias("customer_id"),
-        _iso(F.col("m")).alias("month"),
+        F.when(ck % 157 == 30, F.concat(F.lit("Gone#"), ck.cast("string"))).otherwise(_customer_key(ck)).alias("customer_id"),
+        F.when((ck % 163 == 40) & (F.col("n") == 1), F.lit(UNREADABLE_DATE)).otherwise(_iso(F.col("m"))).alias("month"),
         (F.col("q").cast("long") % modulus - 2).alias("logins"),
-        (F.col("n") - 1).alias("features_used"),
-        (F.col("q") * 3).cast("double").alias("active_minutes"),
+        F.when(ck % 37 == 8, -F.col("n")).otherwise(F.col("n") - 1).alias("features_used"),
+        F.when(ck % 43 == 9, F.lit(-1.0)).otherwise((F.col("q") * 3).cast("double")).alias("active_minutes"),
     )
 
 

@@ -118,12 +118,22 @@ def test_repairs_count_lost_and_day_first_dates(spark):
     assert got[("tickets", "created_date_lost")] == 0 and got[("usage", "month_lost")] == 1
 
 
-def test_left_join_split_hot_equals_left_join(spark):
-    from churnlens.operators.joins import left_join_split_hot
+def test_left_join_unique_equals_left_join(spark):
+    from churnlens.operators.joins import left_join_unique
     left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, l int")
-    right_rows = [("a", i) for i in range(50)] + [("b", 1), ("zz", 7), (None, 8), (None, 9)]
+    right_rows = [("a", i) for i in range(50)] + [("a", 1), ("b", 1), ("zz", 7), (None, 8), (None, 9)]
     right = spark.createDataFrame(right_rows, "k string, r int")
     plain = left.join(right, ["k"], "left")
-    for min_rows, fraction in ((10, 1.0), (1, 1.0), (10 ** 9, 0.01)):
-        split = left_join_split_hot(left, right, ["k"], min_rows, fraction, 100)
-        assert sorted(split.collect(), key=repr) == sorted(plain.collect(), key=repr)
+    got = left_join_unique(left, right, ["k"])
+    assert got.columns == plain.columns
+    assert sorted(got.collect(), key=repr) == sorted(plain.collect(), key=repr)
+
+
+def test_orphan_flag_on_hot_and_null_ids(spark):
+    from churnlens.operators.joins import flag_missing_key
+    facts = spark.createDataFrame([(f"t{i}", "gone") for i in range(40)] + [("x", "a"), ("y", None), ("y", None)],
+                                  "ticket_id string, customer_id string")
+    for keys, null_known in (([("a",), ("a",)], False), ([("a",), (None,)], True)):
+        rows = flag_missing_key(facts, spark.createDataFrame(keys, "customer_id string"), "customer_id", "o").collect()
+        assert len(rows) == 43
+        assert {(r.customer_id, r.o) for r in rows} == {("gone", True), ("a", False), (None, not null_known)}

@@ -81,35 +81,26 @@ def test_rows_equal_customers_when_subscription_key_unique(spark):
     assert df.where(F.col("customer_id") == "zz").count() == 0
 
 
-def test_hot_subscription_keys_take_the_broadcast_path_with_equal_results(spark):
-    import dataclasses
+def test_a_customer_with_many_subscriptions(spark):
     customers, subs, usage, tickets = _tables(spark)
-    # customer "a" gets many subscription rows; with a low threshold it is a hot key
     many = subs.where(F.col("customer_id") == "a")
     for _ in range(4):
         many = many.unionByName(many)
-    subs_skewed = subs.unionByName(many)
-    hot_p = dataclasses.replace(P, hot_key_rows=5, hot_key_sample=1.0, hot_key_max=10)
-    cold_p = dataclasses.replace(P, hot_key_rows=10 ** 9)
-    hot = customer_features(customers, subs_skewed, usage, tickets, hot_p)
-    plain = customer_features(customers, subs_skewed, usage, tickets, cold_p)
-    assert hot.count() == plain.count() == (customers.count() - 1) + 17  # "a": 1 + 16 copies
-    assert sorted(map(tuple, hot.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
-
-
-def test_forced_hot_path_on_test_data_equals_normal_path(spark):
-    import dataclasses
-    from churnlens import schemas as S
-    from churnlens.params import TESTDATA_PARAMS
-    from churnlens.plans.layers import silver_from_testdata
-    from tests.conftest import SF_SMALL
-    silver = silver_from_testdata(spark, SF_SMALL, TESTDATA_PARAMS)
-    args = (silver[S.CUSTOMERS], silver[S.SUBSCRIPTIONS], silver[S.USAGE], silver[S.TICKETS])
-    forced = customer_features(*args, dataclasses.replace(TESTDATA_PARAMS, hot_key_rows=1, hot_key_sample=1.0,
-                                                          hot_key_max=50))
-    normal = customer_features(*args, TESTDATA_PARAMS)
-    assert forced.exceptAll(normal).count() == 0 and normal.exceptAll(forced).count() == 0
-    assert forced.count() == normal.count()
+    df = customer_features(customers, subs.unionByName(many), usage, tickets, P)
+    assert df.count() == (customers.count() - 1) + 17  # "a": 1 + 16 copies
+    once = customer_features(customers, subs, usage, tickets, P)
+    assert df.exceptAll(once).distinct().count() == 1 and once.exceptAll(df).count() == 0
+
+
+def test_columns_beyond_the_known_ones_reach_the_flat_table(spark):
+    customers, subs, usage, tickets = _tables(spark)
+    c = customers.withColumns({"email": F.lit("e"), "note": F.lit("c")})
+    s = subs.withColumns({"seats": F.lit(3), "note": F.lit("s")})
+    df = customer_features(c, s, usage, tickets, P)
+    plain = customer_features(customers, subs, usage, tickets, P)
+    assert df.columns == [*plain.columns, "email", "note_cust", "seats", "note_sub"]
+    assert df.drop("email", "note_cust", "seats", "note_sub").exceptAll(plain).count() == 0
+    assert {r.email for r in df.collect()} == {"e"}
 
 
 def test_standalone_usage_and_ticket_aggregates(spark):

@@ -67,31 +67,58 @@ def test_reports_windows_run_after_aggregation(spark, silver):
     assert plan.index("Window") < plan.index("HashAggregate")  # window above the aggregate
 
 
-def test_flat_table_shuffles_each_input_once(spark, silver):
-    """Customers, subscriptions and the two fact aggregates are each shuffled once, on the
-    same key columns, and the joins between them need no further exchange (no hot key in the
-    test data, so no broadcast branch)."""
+@contextlib.contextmanager
+def _no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _final_plan(gold_from_silver(silver, TESTDATA_PARAMS))
+        yield
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
-    assert plan.count("Exchange hashpartitioning(") == 4
-    assert plan.count("Exchange hashpartitioning(_jk") == 4
-    assert plan.count("SortMergeJoin") == 3
 
 
-def test_orphan_flag_joins_on_the_key_aggregate_partitioning(spark):
+def test_flat_table_join_with_subscriptions_is_salted(spark, silver):
+    with _no_broadcast(spark):
+        plan = _plan(gold_from_silver(silver, TESTDATA_PARAMS))
+    # customers and subscriptions meet on the key and the salt; the fact aggregates join on the key
+    assert plan.count("Exchange hashpartitioning(_jk") >= 4
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(_jk" in x and "_salt" in x]) == 2
+
+
+def test_building_plans_starts_no_job(spark, silver):
+    from churnlens.operators import reports as RP
+    group = "plans-only"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        gold = gold_from_silver(silver, TESTDATA_PARAMS)
+        RP.segment_gaps(gold)
+        RP.channel_performance(silver[S.CUSTOMERS], silver[S.SUBSCRIPTIONS], TESTDATA_PARAMS)
+        RP.churn_by_plan_contract(silver[S.CUSTOMERS], silver[S.SUBSCRIPTIONS], TESTDATA_PARAMS)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+
+
+def test_queries_scan_the_given_tables(spark):
+    from churnlens.plans.catalog import QUERIES
+    for name in ("clean_tickets", "customer_features", "profile_duplicates"):
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
+        assert "testdata/sf0.001" in plan and "bronze" not in plan, name
+
+
+def test_orphan_flag_is_salted(spark):
     from churnlens.operators.clean import clean_tickets
     raw = raw_tables_from_testdata(spark, SF_SMALL)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
+    with _no_broadcast(spark):
         plan = _plan(clean_tickets(raw[S.TICKETS], raw[S.CUSTOMERS].select("customer_id"), TESTDATA_PARAMS))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
-    assert plan.count("Exchange hashpartitioning(_jk") == 2
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(_jk" in x and "_salt" in x]) == 2
     assert "SortAggregate" not in plan
+
+
+def test_duplicate_check_groups_each_table_once(spark):
+    from churnlens.operators.profile import duplicates
+    raw = raw_tables_from_testdata(spark, SF_SMALL)
+    with _no_broadcast(spark):
+        plan = _plan(duplicates({S.TICKETS: raw[S.TICKETS]}))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(") == 2

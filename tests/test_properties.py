@@ -50,13 +50,21 @@ def _date_text(draw):
     d = draw(st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2030, 12, 31)))
     pad = draw(st.booleans())
     m, dd = (f"{d.month:02d}", f"{d.day:02d}") if pad else (str(d.month), str(d.day))
-    layout = draw(st.sampled_from(["mdy", "ymd_slash", "iso", "dmy", "junk"]))
+    layout = draw(st.sampled_from(["mdy", "ymd_slash", "iso", "dmy", "mdy_slash", "mdy_short", "day_name",
+                                  "compact", "ymd_dot", "mdy_time", "iso_time", "junk"]))
     if layout == "mdy":
         return f"{m}-{dd}-{d.year}"
     if layout == "ymd_slash":
         return f"{d.year}/{m}/{dd}"
     if layout == "iso":
         return f"{d.year}-{m}-{dd}"
+    others = {"mdy_slash": f"{m}/{dd}/{d.year}", "mdy_short": f"{m}/{dd}/{d.year % 100:02d}",
+              "day_name": d.strftime("%d %b %Y"), "compact": d.strftime("%Y%m%d"), "ymd_dot": f"{d.year}.{d.month:02d}.{d.day:02d}",
+              "mdy_time": f"{d.month:02d}-{d.day:02d}-{d.year} 10:00", "iso_time": f"{d.isoformat()} 07:08:09"}
+    if layout == "mdy_short" and d.year < 2000:
+        return d.isoformat()
+    if layout in others:
+        return others[layout]
     if layout == "dmy":   # only day-first readable when the day is above 12
         return f"{dd}-{m}-{d.year}"
     return draw(st.sampled_from(["junk", "", "2024-13-45", "31-31-2024", "n/a"]))

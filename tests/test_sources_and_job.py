@@ -45,7 +45,7 @@ def test_csv_round_trip_gives_the_same_silver_and_gold(spark, tmp_dir):
     b = silver_from_raw(from_csv, TESTDATA_PARAMS)
     for t in S.TABLES:
         cols = a[t].columns
-        assert sorted(a[t].select(cols).collect()) == sorted(b[t].select(cols).collect(), key=None), t
+        assert sorted(a[t].select(cols).collect(), key=repr) == sorted(b[t].select(cols).collect(), key=repr), t
     ga = gold_from_silver(a, TESTDATA_PARAMS)
     gb = gold_from_silver(b, TESTDATA_PARAMS)
     assert ga.exceptAll(gb).count() == 0 and gb.exceptAll(ga).count() == 0
@@ -75,7 +75,7 @@ def test_job_writes_every_output(spark, tmp_dir):
         assert glob.glob(f"{path}/part-*"), name
     gold = spark.read.parquet(written[S.FEATURES])
     assert len(gold.columns) == 32
-    assert gold.count() == spark.read.parquet(written[S.DIM_CUSTOMERS]).count()
+    assert gold.select("customer_id").distinct().count() == spark.read.parquet(written[S.DIM_CUSTOMERS]).count()
     report = json.loads(open(glob.glob(f"{written['quality_report']}/part-*.json")[0]).read())
     assert set(report) == {"customers", "subscriptions", "tickets", "usage"}
     assert report["tickets"]["orphan_records"] > 0 and "null_region_%" in report["customers"]
@@ -144,7 +144,9 @@ def test_csv_quotes_written_by_pandas(spark, tmp_dir):
 
 def test_job_command_line_on_csv_drop(spark, tmp_dir):
     _write_csv_drop(spark, f"{tmp_dir}/raw")
-    job.main(["--raw-dir", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/out", "--as-of", "2001-06-01", "--strict"])
+    job.main(["--raw-dir", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/out", "--as-of", "2001-06-01"])
+    bad = {r.table_name: r.malformed_rows for r in spark.read.parquet(f"{tmp_dir}/out/profile/malformed_rows").collect()}
+    assert bad == dict.fromkeys(S.TABLES, 0)
     gold = spark.read.parquet(f"{tmp_dir}/out/{S.FEATURES}")
     expected = gold_from_silver(silver_from_raw(raw_tables_from_testdata(spark, SF_SMALL), TESTDATA_PARAMS),
                                 TESTDATA_PARAMS)
@@ -166,3 +168,57 @@ def test_orphan_sample_is_first_seen_in_file_order(spark, tmp_dir):
     c, t = read_raw_csv(spark, cust, S.CUSTOMERS), read_raw_csv(spark, tix, S.TICKETS)
     assert [r.customer_id for r in orphan_sample(t, c, 5).collect()] == ["z9", "m1", "b7", "c3", "q0"]
     assert S.INGEST_ORDER not in orphan_rows(t, c).columns and orphan_rows(t, c).count() == 7
+
+
+CUSTOMER_ROW = {"customer_id": ["a"], "age": ["30"], "region": ["x"], "signup_date": ["2024-01-01"], "plan": ["p"],
+                "acq_channel": ["c"], "contract_type": ["m"]}
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_dir):
+    path = f"{tmp_dir}/customers.csv"
+    order = ["customer_id", "region", "age", "email", "contract_type", "plan", "signup_date", "acq_channel"]
+    pd.DataFrame(CUSTOMER_ROW | {"email": ["e@x"]})[order].to_csv(path, index=False)
+    df = read_raw_csv(spark, path, S.CUSTOMERS)
+    row = df.first()
+    assert df.columns == [*S.RAW_COLUMNS[S.CUSTOMERS], "email", S.INGEST_ORDER]
+    assert (row.region, row.age, row.email, row.acq_channel) == ("x", 30.0, "e@x", "c")
+
+
+def test_csv_without_a_known_column_fails_with_its_name(spark, tmp_dir):
+    path = f"{tmp_dir}/customers.csv"
+    pd.DataFrame({k: v for k, v in CUSTOMER_ROW.items() if k != "plan"}).to_csv(path, index=False)
+    with pytest.raises(ValueError, match="plan"):
+        read_raw_csv(spark, path, S.CUSTOMERS)
+
+
+def test_csv_files_with_different_headers_do_not_mix(spark, tmp_dir):
+    folder = f"{tmp_dir}/customers.csv"
+    os.makedirs(folder)
+    pd.DataFrame(CUSTOMER_ROW).to_csv(f"{folder}/a.csv", index=False)
+    pd.DataFrame(CUSTOMER_ROW)[list(reversed(CUSTOMER_ROW))].to_csv(f"{folder}/b.csv", index=False)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, folder, S.CUSTOMERS).collect()
+
+
+def test_quoted_line_breaks_are_counted_or_read(spark, tmp_dir):
+    from churnlens.sources.csv import malformed_rows
+    for t in S.TABLES:
+        pd.DataFrame({c: ["1"] for c in S.RAW_COLUMNS[t]}).to_csv(f"{tmp_dir}/{S.RAW_FILES[t]}", index=False)
+    pd.DataFrame({"ticket_id": ["1", "2"], "customer_id": ["a", "b"], "created_date": ["2024-01-01"] * 2,
+                  "priority": ["low"] * 2, "category": ["two\nlines", "y"], "resolved": ["No", "Yes"],
+                  }).to_csv(f"{tmp_dir}/{S.RAW_FILES[S.TICKETS]}", index=False)
+    count = {r.table_name: r.malformed_rows for r in malformed_rows(spark, tmp_dir).collect()}
+    assert count[S.TICKETS] > 0 and count[S.USAGE] == 0
+    whole = ChurnParams(csv_multiline=True)
+    rows = read_raw_csv(spark, f"{tmp_dir}/{S.RAW_FILES[S.TICKETS]}", S.TICKETS, whole).orderBy("ticket_id").collect()
+    assert [(r.customer_id, r.category, r.resolved) for r in rows] == [("a", "two\nlines", "No"), ("b", "y", "Yes")]
+    count = {r.table_name: r.malformed_rows for r in malformed_rows(spark, tmp_dir, whole).collect()}
+    assert count[S.TICKETS] == 0
+
+
+def test_single_layout_dates_with_a_time_and_a_layout_per_column(spark):
+    from churnlens.functions import parse_date
+    df = spark.createDataFrame([("2024-01-02 00:00:00",), ("2024-01-02T10:30:00Z",), ("2024-1-2",), ("x",)], "v string")
+    assert [str(r[0]) for r in df.select(parse_date("v", "yyyy-M-d")).collect()] == ["2024-01-02"] * 3 + ["None"]
+    p = ChurnParams(column_date_formats=(("subscriptions", "churn_date", "M/d/yyyy"),))
+    assert p.date_format("subscriptions", "churn_date") == "M/d/yyyy" and p.date_format("usage", "month") == "yyyy-M-d"

@@ -37,11 +37,9 @@ def main(argv):
     print("# Physical plans\n")
     print(f"AQE final plans of the registered queries on `{sf}` with automatic broadcast switched off, ")
     print("so joins show the strategy used when both sides are large (explicit, size-bounded broadcasts ")
-    print("stay). Scans read the per-session bronze copy of the derived test-data tables. Counts are ")
+    print("stay). Scans read the given test-data tables. Counts are ")
     print("operator occurrences; `Python` counts Python evaluation nodes (none expected). Queries run ")
-    print("from the raw tables, so cleaning is part of each plan: `customer_features` shows the customer ")
-    print("dedupe's exchange on top of the four of the flat table itself (four when it reads the written ")
-    print("silver tables, see tests/test_plans.py).\n")
+    print("from the given tables, so deriving and cleaning the raw tables is part of each plan.\n")
     print("| query | " + " | ".join(m.replace("Exchange ", "Ex ") for m in MARKERS) + " | Python |")
     print("|" + " --- |" * (len(MARKERS) + 2))
     for name, fn in E.queries().items():
