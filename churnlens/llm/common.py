@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,3 +89,17 @@ def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """doc_id, text, label of the sample's documents; the sample is bounded by its row limit."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.join(F.broadcast(sample), "doc_id")
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
+    """Coefficients of a logistic model with a ridge on all but the constant."""
+    b = np.zeros(x.shape[1])
+    penalty = np.full(len(b), ridge)
+    penalty[0] = 1e-6
+    for _ in range(rounds):
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ b, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * b)
+        b += np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return b

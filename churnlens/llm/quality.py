@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import fold, labelled_sample, map_rows, sampled_texts
+from churnlens.llm.common import fold, labelled_sample, logistic, map_rows, sampled_texts
 
 FOLD, HELD_OUT, THRESHOLD = 4, 2, 0.7
 
@@ -66,59 +67,54 @@ NAMES = ("words", "word_length", "symbols", "capitals", "digits", "points", "dis
 
 
 class Discriminant:
-    """Means, cached Cholesky factors and log determinants of the two classes."""
+    """Means, cached Cholesky factors and log determinants of the two classes, and the coefficients
+    that turn log density differences into scores."""
 
-    def __init__(self, n: dict[int, float], total: dict[int, np.ndarray], outer: dict[int, np.ndarray],
-                 shrink: float = 0.1, diagonal: float = 0.05):
-        self.rows = sum(n.values())
-        self.share = (n[1] + 0.5) / (self.rows + 1.0)
-        self.trained = min(n.values()) >= 2
+    def __init__(self, x: np.ndarray, y: np.ndarray, shrink: float = 0.1, diagonal: float = 0.05):
+        self.share = (y.sum() + 0.5) / (len(y) + 1.0)
+        self.trained = min(y.sum(), len(y) - y.sum()) >= 2
         if not self.trained:
             return
-        mean = {c: total[c] / n[c] for c in (0, 1)}
-        cov = {c: outer[c] / n[c] - np.outer(mean[c], mean[c]) for c in (0, 1)}
-        pooled = sum(n[c] * cov[c] for c in (0, 1)) / self.rows
+        rows = {c: x[y == c] for c in (0, 1)}
+        self.mean = {c: r.mean(axis=0) for c, r in rows.items()}
+        cov = {c: (r - self.mean[c]).T @ (r - self.mean[c]) / len(r) for c, r in rows.items()}
+        pooled = sum(len(rows[c]) * cov[c] for c in (0, 1)) / len(y)
         floor = 1e-6 + 1e-3 * np.diag(pooled)
-        self.mean, self.factor, self.log_det = mean, {}, {}
+        self.factor, self.log_det = {}, {}
         for c in (0, 1):
-            own = shrink + (1 - shrink) * len(floor) / (len(floor) + n[c])  # few rows: more of the pooled one
+            own = shrink + (1 - shrink) * len(floor) / (len(floor) + len(rows[c]))  # few rows: more of the pooled one
             s = (1 - own) * cov[c] + own * pooled
             s = (1 - diagonal) * s + diagonal * np.diag(np.diag(s)) + np.diag(floor)
             self.factor[c] = np.linalg.cholesky(s)
             self.log_det[c] = 2.0 * np.log(np.diag(self.factor[c])).sum()
+        odds = np.arcsinh(self.log_odds(x))
+        self.coefficients = logistic(np.column_stack([np.ones(len(y)), odds]), y.astype(float), ridge=0.1)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        if not self.trained:
-            return np.full(len(x), self.share if self.rows else 0.5)
+    def log_odds(self, x: np.ndarray) -> np.ndarray:
         log_density = {}
         for c in (0, 1):
             z = np.linalg.solve(self.factor[c], (x - self.mean[c]).T)
             log_density[c] = -0.5 * ((z * z).sum(axis=0) + self.log_det[c])
-        odds = log_density[1] - log_density[0] + np.log(self.share / (1 - self.share))
-        return 1.0 / (1.0 + np.exp(-np.clip(odds, -700, 700)))
+        return log_density[1] - log_density[0] + np.log(self.share / (1 - self.share))
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        if not self.trained:
+            return np.full(len(x), self.share)
+        a, b = self.coefficients
+        return 1.0 / (1.0 + np.exp(-np.clip(a + b * np.arcsinh(self.log_odds(x)), -700, 700)))
 
 
 def fit(texts: DataFrame) -> Discriminant:
-    """The model of ``texts`` (text, label): counts, sums and products are added up in Spark."""
-    import pyarrow as pa
-
-    d = len(NAMES)
-    schema = pa.schema([("label", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("value", pa.float64())])
+    """The model of ``texts`` (text, label), a bounded sample: its statistics are taken in Spark and
+    come to the driver as one short row a document."""
+    schema = pa.schema([("label", pa.int32()), ("x", pa.list_(pa.float64()))])
 
-    def sums(rows: Iterator[tuple]) -> Iterator[tuple]:
-        acc = {c: np.zeros((d + 1, d + 1)) for c in (0, 1)}
+    def measured(rows: Iterator[tuple]) -> Iterator[tuple]:
         for text, label in rows:
-            x = np.array([1.0, *statistics(text)])
-            acc[label] += np.outer(x, x)
-        for c, m in acc.items():
-            if m[0, 0]:
-                yield from ((c, i, j, float(m[i, j])) for i in range(d + 1) for j in range(i, d + 1))
-    added = (map_rows(texts.select("text", "label"), sums, schema, "label int, i int, j int, value double")
-             .groupBy("label", "i", "j").agg(F.sum("value").alias("value")).collect())  # 2 classes x statistics squared
-    m = {c: np.zeros((d + 1, d + 1)) for c in (0, 1)}
-    for r in added:
-        m[r["label"]][r["i"], r["j"]] = m[r["label"]][r["j"], r["i"]] = r["value"]
-    return Discriminant({c: m[c][0, 0] for c in m}, {c: m[c][0, 1:] for c in m}, {c: m[c][1:, 1:] for c in m})
+            yield label, statistics(text)
+    got = map_rows(texts.select("text", "label"), measured, schema, "label int, x array<double>").toPandas()
+    got = got.iloc[np.lexsort(np.array(got["x"].tolist()).reshape(len(got), -1).T)] if len(got) else got
+    return Discriminant(np.array(got["x"].tolist()).reshape(len(got), len(NAMES)), got["label"].to_numpy(dtype=int))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 40_000) -> Discriminant:

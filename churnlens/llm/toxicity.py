@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import fold, labelled_sample, map_rows, sampled_texts
+from churnlens.llm.common import fold, labelled_sample, logistic, map_rows, sampled_texts
 
 FOLD, HELD_OUT, THRESHOLD = 5, 0, 0.5
 STEMS = range(3, 8)
@@ -202,20 +202,6 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(x @ self.coefficients, -700, 700)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
-    """Coefficients of a logistic model with a ridge on all but the constant."""
-    b = np.zeros(x.shape[1])
-    penalty = np.full(len(b), ridge)
-    penalty[0] = 1e-6
-    for _ in range(rounds):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * b)
-        b += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    return b
-
-
 def sketch(text: str | None) -> int:
     """The smallest hash of a text's word triples; near copies share it nearly always."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
