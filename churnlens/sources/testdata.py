@@ -74,9 +74,10 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(k % 3 == 0, F.date_format("d", "MM-dd-yyyy"))
               .when(k % 3 == 1, F.date_format("d", "yyyy/MM/dd"))
               .otherwise(_iso(F.col("d"))))
-    # repeated rows (k % 100 = 1) arrive after the originals (seq 1) with a different region;
-    # generated from the same scan with explode instead of a second pass over customers
-    seq = F.explode(F.when(k % 100 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    # repeated rows arrive after the originals, with a different region (k % 100 = 1, seq 1) or as
+    # they were (k % 211 = 3, seq 2); generated from the same scan with explode instead of a second
+    # pass over customers
+    seq = F.explode(F.array_compact(F.array(F.lit(0), F.when(k % 100 == 1, F.lit(1)), F.when(k % 211 == 3, F.lit(2)))))
     b = b.select("*", seq.alias("seq"))
     rows = b.select(
         F.when(k % 149 == 20, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("customer_id"),

@@ -28,7 +28,7 @@ def _write_csv_drop(spark, folder):
     os.makedirs(folder, exist_ok=True)
     cust = raw[S.CUSTOMERS].orderBy(S.INGEST_ORDER).toPandas()
     first = cust[cust[S.INGEST_ORDER].map(lambda r: r["seq"]) == 0]
-    repeats = cust[cust[S.INGEST_ORDER].map(lambda r: r["seq"]) == 1]
+    repeats = cust[cust[S.INGEST_ORDER].map(lambda r: r["seq"]) > 0]
     cols = list(S.RAW_COLUMNS[S.CUSTOMERS])
     os.makedirs(f"{folder}/customers.csv", exist_ok=True)
     first[cols].to_csv(f"{folder}/customers.csv/part-0.csv", index=False)
