@@ -96,10 +96,10 @@ class CachedEncoder:
         """Put chunks and bare pre-tokens into the caches."""
         words, spaced = self.words, self.keeps_space
         mixed = {}
-        letters = set()
+        new, letters = set(), set()
         for c in chunks:
             if c.isalpha():
-                letters.add(c)
+                new.add(c)
             elif spaced and (not c or c[0].isspace()):
                 words[c] = ODD
             else:
@@ -111,7 +111,7 @@ class CachedEncoder:
                         letters.add(p[1:])
                     else:
                         bare.add(p)
-        new = list(letters.difference(words))
+        new = list(new | letters.difference(words))
         if spaced:
             self._learn_parts([" " + w for w in new], words, 1)
             self._learn_parts(list(bare.difference(self.bare)), self.bare, 0)
@@ -151,10 +151,9 @@ class CachedEncoder:
         self._learn(wanted, bare)
         odd = {}
         for k, head, chunks, found in plan:
-            if None in found:
-                found = map(words.__getitem__, chunks)
+            if None in found:  # a lookup costs most of all here, so only new chunks have a second one
+                found = [words[c] if ids is None else ids for c, ids in zip(chunks, found, strict=True)]
             if spaced:
-                found = list(found)
                 if ODD in found:  # white space runs across chunks: by pre-tokens
                     odd[k] = self.pattern.findall(texts[k])
                     continue
