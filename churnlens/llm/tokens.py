@@ -103,7 +103,11 @@ class CachedEncoder:
             elif spaced and (not c or c[0].isspace()):
                 words[c] = ODD
             else:
-                mixed[c] = parts = self.pattern.findall(" " + c if spaced else c)
+                if c[-1:] in POINTS and c[:-1].isalpha():  # letters and a point are two pre-tokens
+                    parts = [" " + c[:-1] if spaced else c[:-1], c[-1]]
+                else:
+                    parts = self.pattern.findall(" " + c if spaced else c)
+                mixed[c] = parts
                 for p in parts:
                     if not spaced:
                         letters.add(p)
@@ -166,6 +170,7 @@ class CachedEncoder:
         return out
 
 
+POINTS = (",", ".")
 #: In the place of the ids of a chunk that white space joins to the one before it.
 ODD = b"odd"
 
