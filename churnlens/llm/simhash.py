@@ -261,9 +261,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed:
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
     links = fingerprint_links(classes, classes.count(), max_bits, **options)
     roots = components(links)
-    members = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    ids = members.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    members = written(classes.join(roots, classes["fp"] == roots["node"], "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "component-members")
+    ids = written(members.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")
+    # written tables on both sides again: a component of very many fingerprints is split
     named = written(members.join(ids, "root").select("fp", "component_id"), "fingerprint-components")
     # both sides are plain written tables: a fingerprint that many documents share is split
     return prints.join(named, "fp").select(
