@@ -1,4 +1,4 @@
-"""Compact physical-plan summary of every registered query (AQE final plan, after running it).
+"""Compact physical-plan summary of every churn query (AQE final plan, after running it).
 
     python tools/plan_summary.py [sf_dir] > PLANS.md
 """
@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from churnlens.plans.catalog import QUERIES  # noqa: E402
 from churnlens.session import build_session  # noqa: E402
 
 MARKERS = ("Exchange hashpartitioning", "Exchange SinglePartition", "Exchange rangepartitioning",
@@ -42,7 +42,7 @@ def main(argv):
     print("from the given tables, so deriving and cleaning the raw tables is part of each plan.\n")
     print("| query | " + " | ".join(m.replace("Exchange ", "Ex ") for m in MARKERS) + " | Python |")
     print("|" + " --- |" * (len(MARKERS) + 2))
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = final_plan(fn(spark, sf))
         counts = [len(re.findall(re.escape(m), plan)) for m in MARKERS]
         py = len(re.findall(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)", plan))
