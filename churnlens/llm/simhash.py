@@ -32,13 +32,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from churnlens.llm.common import map_rows, written
 
-PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 DEALT = pa.schema([("tree", pa.int32()), ("shard", pa.int64()), ("is_query", pa.bool_()), ("fp", pa.int64())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -66,14 +64,15 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, **longs: Column) -> DataFrame:
+    """doc_id, the columns ``longs``, fp (the fingerprint as a signed long)."""
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for doc_id, text in rows:
+        for *kept, text in rows:
             fp = fingerprint(text, shingle, seed)
-            yield doc_id, fp - (1 << 64) if fp >> 63 else fp
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_rows(slim, run, PRINTS, "doc_id long, fp long")
+            yield *kept, fp - (1 << 64) if fp >> 63 else fp
+    named = {"doc_id": F.col("doc_id"), **longs}
+    slim = docs.select(*(c.cast("long").alias(k) for k, c in named.items()), F.col("text").cast("string").alias("text"))
+    return map_rows(slim, run, pa.schema([(k, pa.int64()) for k in (*named, "fp")]), ", ".join(f"{k} long" for k in (*named, "fp")))
 
 
 def fields(thirds: int) -> list[int]:
@@ -255,15 +254,21 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def component_members(prints: DataFrame, first: Column, max_bits: int = 4, **options) -> DataFrame:
+    """fp, first (that aggregate of its rows) and root (smallest fingerprint of its component) of
+    every fingerprint, written."""
+    classes = written(prints.groupBy("fp").agg(first.alias("first")), "fingerprint-classes")
+    links = fingerprint_links(classes, classes.count(), max_bits, **options)
+    roots = components(links)
+    return written(classes.join(roots, classes["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")), "component-members")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42, **options) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links)."""
     prints = written(fingerprints(docs, shingle, seed), "fingerprints")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
-    links = fingerprint_links(classes, classes.count(), max_bits, **options)
-    roots = components(links)
-    members = written(classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "component-members")
-    ids = written(members.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")
+    members = component_members(prints, F.min("doc_id"), max_bits, **options)
+    ids = written(members.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
     # written tables on both sides again: a component of very many fingerprints is split
     named = written(members.join(ids, "root").select("fp", "component_id"), "fingerprint-components")
     # both sides are plain written tables: a fingerprint that many documents share is split
@@ -271,17 +276,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each component: the one whose doc_id names it. Of rows that
-    share that doc_id the first in text order stays; rows without a doc_id all stay."""
-    found = near_duplicates(docs, **options)
-    keepers = written(found.filter(F.col("doc_id") == F.col("component_id"))
-                      .select(F.col("doc_id").alias("__keep")).distinct(), "kept-documents")
-    named = docs.join(keepers, docs["doc_id"] == keepers["__keep"])
-    first = Window.partitionBy("__keep").orderBy("text")
-    # rows are numbered on the partitioning of the join; nearly always there is one a doc_id
-    one = named.withColumn("__n", F.row_number().over(first)).filter("__n = 1")
-    return one.select(*(docs[c] for c in docs.columns)).unionByName(docs.filter(F.col("doc_id").isNull()))
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42, **options) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, of rows that share it the
+    first by a hash of the text. Rows that share a doc_id but not a component are nothing to each
+    other; rows without a doc_id all stay."""
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    prints = written(fingerprints(rows, shingle, seed, content=F.xxhash64("text"), row=F.col("__row")), "fingerprints")
+    # one row a fingerprint, then one a component, both summed up before their shuffle
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content", "row"))
+    members = component_members(prints, first, max_bits, **options)
+    kept = members.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
+    one = rows.join(written(kept, "kept-rows"), "__row", "left_semi").filter(F.col("doc_id").isNotNull())
+    return one.unionByName(rows.filter(F.col("doc_id").isNull())).select(*docs.columns)
 
 
 def brute_force(rows: list[tuple[int, str]], shingle: int = 4, max_bits: int = 4) -> dict[int, int]:

@@ -133,6 +133,16 @@ def test_awkward_rows(spark):
         assert op(documents(spark, [])).count() == 0
 
 
+def test_one_row_of_each_group_whatever_the_doc_ids(spark):
+    words = lambda g: " ".join(f"w{g}x{k}" for k in range(30))
+    rows = [(0, words(g)) for g in range(40)]  # one doc_id, unrelated texts
+    rows += [(0, words(3)), (0, words(3)), (5, words(100)), (9, words(100)), (5, words(101)), (8, words(101)), (9, words(102))]
+    docs = documents(spark, rows)
+    want = sorted([(0, words(g)) for g in range(40)] + [(5, words(100)), (5, words(101)), (9, words(102))], key=repr)
+    assert tuples(simhash.keep_one(docs), "doc_id", "text") == want
+    assert tuples(simhash.keep_one(docs.repartition(5)), "doc_id", "text") == want
+
+
 def test_documents_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
