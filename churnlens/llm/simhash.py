@@ -276,18 +276,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42, **options) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42, null_ids_stay: bool = True,
+             **options) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest doc_id, of rows that share it the
     first by a hash of the text. Rows that share a doc_id but not a component are nothing to each
-    other; rows without a doc_id all stay."""
+    other. Rows without a doc_id all stay, or if not ``null_ids_stay`` are copies like all others: the
+    first by a hash of the text stays of a component that has no doc_id at all."""
     rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
     prints = written(fingerprints(rows, shingle, seed, content=F.xxhash64("text"), row=F.col("__row")), "fingerprints")
     # one row a fingerprint, then one a component, both summed up before their shuffle
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content", "row"))
     members = component_members(prints, first, max_bits, **options)
     kept = members.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
-    one = rows.join(written(kept, "kept-rows"), "__row", "left_semi").filter(F.col("doc_id").isNotNull())
-    return one.unionByName(rows.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    one = rows.join(written(kept, "kept-rows"), "__row", "left_semi")
+    if null_ids_stay:
+        one = one.filter(F.col("doc_id").isNotNull()).unionByName(rows.filter(F.col("doc_id").isNull()))
+    return one.select(*docs.columns)
 
 
 def brute_force(rows: list[tuple[int, str]], shingle: int = 4, max_bits: int = 4) -> dict[int, int]:

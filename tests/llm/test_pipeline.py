@@ -10,7 +10,7 @@ import corpus_pipeline
 from churnlens.llm import quality, simhash, toxicity
 from churnlens.llm.common import written
 from tests.conftest import SF_SMALL
-from tests.llm.helpers import documents
+from tests.llm.helpers import documents, tuples
 
 
 def test_stages_feed_one_another(spark):
@@ -34,6 +34,13 @@ def test_stages_feed_one_another(spark):
     assert corpus_pipeline.run(spark, SF_SMALL).count() == kept[5].count()
 
 
+def test_copies_without_an_id_are_copies(spark):
+    words = lambda g: " ".join(f"w{g}x{k}" for k in range(30))
+    rows = [(7, words(1)), (8, words(1)), (None, words(1)), (None, words(1)), (None, words(2)), (None, words(2)), (None, words(3))]
+    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, documents(spark, rows), SF_SMALL)
+    assert tuples(got, "doc_id", "text") == sorted([(7, words(1)), (None, words(2)), (None, words(3))], key=repr)
+
+
 def test_empty_documents(spark):
     empty = documents(spark, [])
     for _, stage in corpus_pipeline.STAGES:
