@@ -3,8 +3,9 @@
 Words become symbols: insult, threat, target, negation, report, other. Four small transducers read
 the symbols of a clause: one carries the scope of a negation, one that of reported speech, one that
 of a target, and one turns insults and threats into marks. Their composition is a single table
-(state, symbol) -> (state, mark), so a clause is matched in one walk, and a mark says whether the
-insult or threat is plain, aimed at a target, negated or reported. A match weighs as its word; the
+(state, symbol) -> (state, mark). A target may also follow its insult or threat ("kill you"), so the
+target transducer reads the clause from its end too, and the walk from its start gets what
+that one saw; a mark says whether the insult or threat is plain, aimed at a target, negated or reported. A match weighs as its word; the
 matches of a document are summed per mark, and a logistic model on these sums gives the score, so how
 much a negated or reported insult counts is learned from the labels.
 
@@ -54,6 +55,7 @@ REPORTS = frozenset("said says say called calls claimed wrote quoted sagte sagt
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 SYMBOLS = range(6)
 KINDS = ("plain", "aimed", "negated", "reported")
+FROM_END = (frozenset(), frozenset({"aimed"}))
 CLAUSE = re.compile(r"[.!?;:\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -74,23 +76,31 @@ class Transducer:
             return mine * other.states + theirs, flags
         return Transducer(self.states * other.states, step)
 
-    def table(self) -> list[list[tuple[int, str | None]]]:
-        """[state][symbol] -> (next state, mark); the mark of an insult or threat is its strongest flag."""
-        out = []
-        for s in range(self.states):
-            row = []
-            for symbol in SYMBOLS:
-                state, flags = self.step(s, frozenset(), symbol)
-                mark = None
-                if "match" in flags:
-                    mark = next((k for k in ("negated", "reported", "aimed") if k in flags), "plain")
-                row.append((state, mark))
-            out.append(row)
+    def ahead(self) -> list[list[tuple[int, frozenset]]]:
+        """[state][symbol] -> (next state, flags), for the walk from the end of a clause."""
+        return [[self.step(s, frozenset(), symbol) for symbol in SYMBOLS] for s in range(self.states)]
+
+    def table(self) -> dict[frozenset, list[list[tuple[int, str | None]]]]:
+        """[flags from the other end][state][symbol] -> (next state, mark); the mark of an insult or
+        threat is its strongest flag."""
+        out = {}
+        for seen in FROM_END:
+            out[seen] = []
+            for s in range(self.states):
+                row = []
+                for symbol in SYMBOLS:
+                    state, flags = self.step(s, seen, symbol)
+                    mark = None
+                    if "match" in flags:
+                        mark = next((k for k in ("negated", "reported", "aimed") if k in flags), "plain")
+                    row.append((state, mark))
+                out[seen].append(row)
         return out
 
 
 def scope(opens: int, flag: str) -> Transducer:
-    """Marks insults and threats within ``SCOPE`` words after the opening symbol."""
+    """Marks insults and threats within ``SCOPE`` words after the opening symbol (before it, if the
+    clause is read from its end)."""
     def step(state: int, flags: frozenset, symbol: int) -> tuple[int, frozenset]:
         if symbol == opens:
             return SCOPE, flags
@@ -119,6 +129,7 @@ def matcher() -> Transducer:
 
 GRAMMAR = (scope(NEGATION, "negated").then(rest_of_clause(REPORT, "reported"))
            .then(scope(TARGET, "aimed")).then(matcher()).table())
+AHEAD = scope(TARGET, "aimed").ahead()
 
 
 def entries_of(word: str) -> list[str]:
@@ -161,6 +172,19 @@ def symbol(word: str, weight: float) -> int:
 THREAT_WEIGHT = 1.0
 
 
+def marks(symbols: list[int]) -> Iterator[tuple[int, str]]:
+    """(position, mark) of the matches of a clause: one walk from its end, one from its start."""
+    state, ends = 0, []
+    for s in reversed(symbols):
+        state, flags = AHEAD[state][s]
+        ends.append(flags)
+    state = 0
+    for k, s in enumerate(symbols):
+        state, mark = GRAMMAR[ends[-1 - k]][state][s]
+        if mark:
+            yield k, mark
+
+
 def match(text: str | None, lexicon: Lexicon) -> list[float]:
     """Sums of a document: weight of its matches per kind, heaviest clause, matched clauses, weight
     per hundred words (all as log(1 + x)), and whether there is any match."""
@@ -173,13 +197,14 @@ def match(text: str | None, lexicon: Lexicon) -> list[float]:
     sums = dict.fromkeys(KINDS, 0.0)
     heaviest = clauses = 0.0
     for clause in CLAUSE.split(low):
-        state, total = 0, 0.0
-        for w in WORD.findall(clause):
-            own = weight(w)
-            state, mark = GRAMMAR[state][symbol(w, own)]
-            if mark:
-                sums[mark] += own or THREAT_WEIGHT
-                total += own or THREAT_WEIGHT
+        total = 0.0
+        own = [(weight(w), w) for w in WORD.findall(clause)]
+        symbols = [symbol(w, x) for x, w in own]
+        if INSULT not in symbols and THREAT not in symbols:
+            continue
+        for k, mark in marks(symbols):
+            sums[mark] += own[k][0] or THREAT_WEIGHT
+            total += own[k][0] or THREAT_WEIGHT
         if total:
             clauses += 1
             heaviest = max(heaviest, total)

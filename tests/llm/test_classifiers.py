@@ -97,6 +97,17 @@ def test_grammar_marks():
     assert kinds("") == kinds(None) == [0, 0, 0, 0]
 
 
+@pytest.mark.parametrize("text", [
+    "I will kill you", "kill them", "we shall destroy her", "ich werde dich töten", "wir töten dich", "wir werden töten euch alle",
+    "je vais te tuer", "je vais tuer vous", "on va détruire toi", "te voy a matar", "voy a matar a usted", "vamos a destruir a ellos"])
+def test_threats_before_or_after_their_target(text):
+    aimed = lambda t: [round(float(np.expm1(v)), 6) for v in toxicity.match(t, toxicity.Lexicon({}))[:4]]
+    assert aimed(text) == [0, 1, 0, 0]
+    assert aimed("never kill them") == [0, 0, 1, 0]
+    assert aimed("kill the lights in the house for you") == [0, 0, 0, 0]  # out of the target's scope
+    assert aimed("kill and destroy you") == [0, 2, 0, 0] and aimed("kill it. you") == [0, 0, 0, 0]
+
+
 def test_composition_is_the_step_by_step_run():
     one, two = toxicity.scope(toxicity.NEGATION, "negated"), toxicity.rest_of_clause(toxicity.REPORT, "reported")
     both = one.then(two)
