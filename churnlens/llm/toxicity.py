@@ -3,9 +3,9 @@
 Words become symbols: insult, threat, target, negation, report, other. Four small transducers read
 the symbols of a clause: one carries the scope of a negation, one that of reported speech, one that
 of a target, and one turns insults and threats into marks. Their composition is a single table
-(state, symbol) -> (state, mark). A target may also follow its insult or threat ("kill you"), so the
-target transducer reads the clause from its end too, and the walk from its start gets what
-that one saw; a mark says whether the insult or threat is plain, aimed at a target, negated or reported. A match weighs as its word; the
+(state, symbol) -> (state, mark). A target or a report may also follow its insult or threat ("kill
+you", '"fool", he said'), so these two transducers read the clause from its end too, and the walk from
+its start gets what they saw; a mark says whether the insult or threat is plain, aimed at a target, negated or reported. A match weighs as its word; the
 matches of a document are summed per mark, and a logistic model on these sums gives the score, so how
 much a negated or reported insult counts is learned from the labels.
 
@@ -55,8 +55,11 @@ REPORTS = frozenset("said says say called calls claimed wrote quoted sagte sagt
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 SYMBOLS = range(6)
 KINDS = ("plain", "aimed", "negated", "reported")
-FROM_END = (frozenset(), frozenset({"aimed"}))
-CLAUSE = re.compile(r"[.!?;:\n]+")
+FROM_END = tuple(map(frozenset, ((), ("aimed",), ("reported",), ("aimed", "reported"))))
+# A clause ends at a sentence end, a semicolon or a blank line, not at a colon or a line break, and not
+# where a quote closes right before its report ('"you fool!" he said').
+CLAUSE = re.compile(r"(?<![.!?;])[.!?;]++(?![\"'\u201c\u201d\u2019\u00ab\u00bb]\s*+,?\s*+(?:[^\W\d_]+\s+){0,2}(?:" + "|".join(sorted(REPORTS))
+                    + r")\b)|\n[^\S\n]*\n\s*")
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -111,7 +114,8 @@ def scope(opens: int, flag: str) -> Transducer:
 
 
 def rest_of_clause(opens: int, flag: str) -> Transducer:
-    """Marks insults and threats from the opening symbol to the end of the clause."""
+    """Marks insults and threats from the opening symbol to the end of the clause (to its start, if the
+    clause is read from its end)."""
     def step(state: int, flags: frozenset, symbol: int) -> tuple[int, frozenset]:
         if state and symbol in (INSULT, THREAT):
             flags = flags | {flag}
@@ -129,7 +133,7 @@ def matcher() -> Transducer:
 
 GRAMMAR = (scope(NEGATION, "negated").then(rest_of_clause(REPORT, "reported"))
            .then(scope(TARGET, "aimed")).then(matcher()).table())
-AHEAD = scope(TARGET, "aimed").ahead()
+AHEAD = rest_of_clause(REPORT, "reported").then(scope(TARGET, "aimed")).ahead()
 
 
 def entries_of(word: str) -> list[str]:

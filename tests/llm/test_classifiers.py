@@ -108,6 +108,18 @@ def test_threats_before_or_after_their_target(text):
     assert aimed("kill and destroy you") == [0, 2, 0, 0] and aimed("kill it. you") == [0, 0, 0, 0]
 
 
+def test_reports_and_negations_cross_colons_and_lines():
+    lexicon = toxicity.Lexicon({"fool$": 2.0})
+    kinds = lambda t: [round(float(np.expm1(v)), 6) for v in toxicity.match(t, lexicon)[:4]]
+    reported = ["she said: you fool", "he wrote:\nyou fool", "she said that this man\nis a fool", '"fool", he said',
+                '"you fool!" he said', "\u201cyou fool!\u201d, the man said", "er sagte: fool", "il a dit: fool", '"fool", dijo ella']
+    assert [kinds(t) for t in reported] == [[0, 0, 0, 2]] * len(reported)
+    assert kinds("he is not\na fool") == [0, 0, 2, 0] and kinds("you\nfool") == [0, 2, 0, 0]
+    assert kinds("i will kill\nyou") == [0, 1, 0, 0]
+    for t in ("she said so.\n\na fool", "she said so\n \r\na fool", "a fool! she said so", "a fool... she said so", "a fool; she said so"):
+        assert kinds(t) == [2, 0, 0, 0]  # sentence ends and blank lines end a clause
+
+
 def test_composition_is_the_step_by_step_run():
     one, two = toxicity.scope(toxicity.NEGATION, "negated"), toxicity.rest_of_clause(toxicity.REPORT, "reported")
     both = one.then(two)
