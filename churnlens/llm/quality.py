@@ -137,5 +137,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that the classifier doesn't reject, with all their columns."""
-    return docs.filter(scorer(train(docs, labels, **options), F.col("text")) >= THRESHOLD)
+    """The documents that the classifier doesn't reject, with all their columns. Without training rows
+    of both classes it rejects none."""
+    model = train(docs, labels, **options)
+    return docs.filter(scorer(model, F.col("text")) >= THRESHOLD) if model.trained else docs

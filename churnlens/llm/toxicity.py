@@ -317,5 +317,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that aren't judged toxic, with all their columns."""
-    return docs.filter(scorer(train(docs, labels, **options), F.col("text")) < THRESHOLD)
+    """The documents that aren't judged toxic, with all their columns. Without training rows of both
+    classes none is."""
+    model = train(docs, labels, **options)
+    return docs if model.coefficients is None else docs.filter(scorer(model, F.col("text")) < THRESHOLD)

@@ -10,7 +10,7 @@ import corpus_pipeline
 from churnlens.llm import quality, simhash, toxicity
 from churnlens.llm.common import written
 from tests.conftest import SF_SMALL
-from tests.llm.helpers import documents, tuples
+from tests.llm.helpers import documents, labels, tuples
 
 
 def test_stages_feed_one_another(spark):
@@ -47,6 +47,15 @@ def test_empty_documents(spark):
         assert stage(spark, empty, SF_SMALL).count() == 0
 
 
+def test_without_labels_nothing_is_rejected(spark, tmp_path):
+    rows = [(k, f"text number {k} of a few") for k in range(6)]
+    for name, marks in (("none", []), ("one-class", [(k, 0, 1) for k in range(6)])):
+        labels(spark, marks).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        for stage in ("quality", "toxicity"):
+            got = dict(corpus_pipeline.STAGES)[stage](spark, documents(spark, rows), f"{tmp_path}/{name}")
+            assert tuples(got, "doc_id", "text") == sorted(rows, key=repr)
+
+
 def test_entry_registers_every_query_and_bears_their_absence():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
