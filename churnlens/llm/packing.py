@@ -135,7 +135,7 @@ class Packer:
             self.rests.append(piece)
 
     def pack(self) -> None:
-        """Fill windows from the rests; those that fill none stay."""
+        """Fill windows from the rests; less than a window stays."""
         classes: list[list[Piece]] = [[] for _ in range(self.units + 1)]
         for p in self.rests:
             classes[-(-p.length // self.width)].append(p)
@@ -165,26 +165,32 @@ class Packer:
                 pool = [p for w in windows[i:] for p in w]
                 break
             self._close(held)
+        pool.sort(key=lambda p: p.length)
+        for _ in range(sum(p.length for p in pool) // self.window):
+            self._lay(pool, self.window)
         self.rests = pool
 
+    def _lay(self, queue: list[Piece], room: int) -> None:
+        """Lay ``room`` ids from the end of ``queue`` end to end as a sequence."""
+        held = []
+        while room:
+            p = queue.pop()
+            if p.length > room:
+                p, rest = p.cut(room)
+                queue.append(rest)
+            held.append(p)
+            room -= p.length
+        self._close(held)
+
     def finish(self) -> None:
-        """Lay the last rests end to end: whole windows, then powers of two."""
+        """Lay the last rests, less than a window, end to end in powers of two."""
         self.pack()
         left = sum(p.length for p in self.rests)
-        queue = sorted(self.rests, key=lambda p: p.length)
-        self.rests = []
+        queue, self.rests = sorted(self.rests, key=lambda p: p.length), []
         while left:
-            room = self.window if left >= self.window else 1 << (left.bit_length() - 1)
+            room = 1 << (left.bit_length() - 1)
             left -= room
-            held = []
-            while room:
-                p = queue.pop()
-                if p.length > room:
-                    p, rest = p.cut(room)
-                    queue.append(rest)
-                held.append(p)
-                room -= p.length
-            self._close(held)
+            self._lay(queue, room)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_id: int = 1, window: int = 2048,

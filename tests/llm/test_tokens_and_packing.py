@@ -146,3 +146,20 @@ def test_packing_many_documents_in_chunks(spark):
     short = {r.doc_id for r in pieces if r.doc_tokens < 2048}
     cuts = sum(1 for r in pieces if r.doc_id in short) - len(short)
     assert cuts < 0.6 * len(short)  # most rests stay whole
+
+
+def test_copies_of_one_length_leave_less_than_a_window():
+    for length in (1100, 1, 700, 2047, 1024):
+        packer = packing.Packer(2048, 64, 4, 0)
+        for _ in range(3):
+            for k in range(500):
+                packer.add(packing.Piece(k, 0, length, length, bytes(4 * length)))
+            packer.pack()
+            assert sum(p.length for p in packer.rests) < 2048
+        packer.finish()
+        assert not packer.rests and sum(p.length for p, _, _ in packer.out) == 1500 * length
+        sizes = {}
+        for p, sequence, offset in packer.out:
+            assert offset == sizes.get(sequence, 0)
+            sizes[sequence] = offset + p.length
+        assert sum(n == 2048 for n in sizes.values()) == 1500 * length // 2048
