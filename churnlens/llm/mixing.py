@@ -125,13 +125,18 @@ def taken_blocks(schedule: DataFrame, plan: DataFrame, block_words: int) -> Data
     return at.select("slot", "sid", "block", words.cast("long").alias("words")).filter(F.col("words") > 0)
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeat: int = 3, block_words: int = 128,
-        seed: int = 20) -> DataFrame:
+def mix(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken, and source, content (hash of the text), of every
     document row."""
+    return taken_rows(docs, F.monotonically_increasing_id(), **options).drop("row")
+
+
+def taken_rows(docs: DataFrame, row: Column, weights: Sequence[int] = (5, 2, 1), max_repeat: int = 3,
+               block_words: int = 128, seed: int = 20) -> DataFrame:
+    """The columns of ``mix`` and row, the number of the document row that ``row`` gives."""
     content = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), content.alias("content"),
-                                F.monotonically_increasing_id().alias("row")), "sized-documents")
+                                row.alias("row")), "sized-documents")
     n_docs = sized.count()
     plan = written(source_plan(source_targets(sized, weights, max_repeat), block_words), "source-plan")
     total_slots = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
@@ -157,21 +162,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeat: int = 3
     overlap = F.greatest(F.lit(0), F.least(F.col("first") + F.col("size"), at + F.col("words")) - F.greatest(F.col("first"), at))
     return (pieces.join(taken, ["sid", "block"], "left")
             .groupBy("row", "doc_id", "source", "content", "size", "source_size", "target")
-            .agg(F.coalesce(F.sum(F.when(F.col("words").isNotNull(), overlap)), F.lit(0)).cast("long").alias("taken"))
-            .drop("row"))
+            .agg(F.coalesce(F.sum(F.when(F.col("words").isNotNull(), overlap)), F.lit(0)).cast("long").alias("taken")))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of ``docs`` as the mix takes them: each as often as its taken words make whole
-    texts (taken / size, halves up), none of size 0. Rows with equal doc_id, source and text share
-    their taken words."""
-    taken = mix(docs, **options).filter(F.col("size") > 0)
-    key = ["doc_id", "source", "content"]
-    copies = F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int")
-    times = written(taken.groupBy(*key).agg(copies.alias("copies")).filter("copies > 0"), "mix-copies")
-    renamed = times.select(*(F.col(c).alias(f"__{c}") for c in (*key, "copies")))
-    keyed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    found = keyed.join(renamed, keyed["doc_id"].eqNullSafe(renamed["__doc_id"]) & keyed["source"].eqNullSafe(renamed["__source"])
-                       & (keyed["__text_hash"] == renamed["__content"]))
-    return (found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .select(*(keyed[c] for c in docs.columns)))
+    """The documents of ``docs`` as the mix takes them: each row as often as its taken words make whole
+    texts (taken / size, halves up), none of size 0."""
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    times = taken_rows(rows, F.col("__row"), **options).filter(F.col("size") > 0)
+    times = written(times.select(F.col("row").alias("__row"), copies.alias("__copies")).filter("__copies > 0"), "mix-copies")
+    return (rows.join(times, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+            .select(*docs.columns))

@@ -103,3 +103,13 @@ def test_mixed_documents_are_repeated_as_taken(spark):
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns and mixed.count() == want
     assert set(tuples(mixed, "doc_id", "text", "source")) <= {(r[0], r[1], r[2]) for r in rows}
+
+
+def test_repeated_rows_are_rounded_one_by_one(spark):
+    # one rounding for all equal rows of a source would take each of them as often
+    rows = [(None, "w " * 128, s) for s in ("a", "b", "c") for _ in range(400)]
+    docs = documents(spark, rows)
+    target = plain_targets(dict.fromkeys("abc", 400 * 128))
+    got = dict(mixing.mixed_documents(docs).groupBy("source").count().collect())
+    for s in "abc":
+        assert abs(got.get(s, 0) - target[s] / 128) <= 1
