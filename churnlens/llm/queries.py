@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import ann, mixing, packing, quality, simhash, tokenfile, topk, toxicity, urlfilter, warc
+from churnlens.llm import ann, dedup, mixing, packing, quality, simhash, tokenfile, topk, toxicity, urlfilter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,8 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": lambda s, d: ann.nearest(_table(s, d, "embeddings")),
     "op9_url_filter": lambda s, d: urlfilter.judge_urls(_table(s, d, "pages"), URL_RULES).drop("trust", "distrust"),
     "op10_simhash": lambda s, d: simhash.near_duplicates(_table(s, d, "documents")),
+    "op12_exact_dedup": lambda s, d: dedup.deduplicate(s, f"{d}/documents.parquet").select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256"),
 }
 
 
@@ -103,4 +105,14 @@ SELECT page_id, ruled.host, path, fit.rule AS rule,
 FROM ruled LEFT JOIN verdicts ON verdicts.host = ruled.host"""
 
 
-ORACLE: dict[str, str] = {"op1_exact_top_k": top_k_sql(), "op6_warc": WARC_SQL, "op9_url_filter": url_sql()}
+DEDUP_SQL = """
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY norm)::BIGINT AS group_size,
+       row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
+FROM d WINDOW best AS (PARTITION BY norm ORDER BY points DESC, doc_id NULLS LAST)"""
+
+ORACLE: dict[str, str] = {"op1_exact_top_k": top_k_sql(), "op6_warc": WARC_SQL, "op9_url_filter": url_sql(),
+                          "op12_exact_dedup": DEDUP_SQL}
