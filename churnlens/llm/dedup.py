@@ -39,6 +39,7 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else several MB per store are reserved
 }
 
 
@@ -68,6 +69,7 @@ def ingest(spark: SparkSession, path: str, store: str, digest: Callable[[Column]
     session = spark.newSession()  # the settings hold for these two queries only
     for k, v in STATE_CONF.items():
         session.conf.set(k, v)
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     limit = ({"maxFilesPerTrigger": str(max_files_per_trigger)} if max_files_per_trigger
              else {"maxBytesPerTrigger": str(max_bytes_per_trigger)})
     path = path.rstrip("/")
