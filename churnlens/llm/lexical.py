@@ -120,7 +120,7 @@ def query_terms(items: DataFrame) -> DataFrame:
     one = items.filter("item_id IS NOT NULL").groupBy(F.col("item_id").cast("long").alias("item_id")).agg(
         F.min(F.col("text").cast("string")).alias("text"))
     words = F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(SEPARATORS), F.lit(0))
-    return one.select("item_id", F.explode(words).cast("binary").alias("term")).groupBy("item_id", "term").agg(
+    return one.select("item_id", F.explode(words.cast("array<binary>")).alias("term")).groupBy("item_id", "term").agg(
         F.count("*").alias("n"))
 
 

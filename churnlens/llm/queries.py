@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import ann, dedup, mixing, packing, quality, simhash, tokenfile, topk, toxicity, urlfilter, warc
+from churnlens.llm import (
+    ann, dedup, lexical, mixing, packing, quality, simhash, spelling, tokenfile, topk, toxicity, urlfilter, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +31,10 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": lambda s, d: ann.nearest(_table(s, d, "embeddings")),
     "op9_url_filter": lambda s, d: urlfilter.judge_urls(_table(s, d, "pages"), URL_RULES).drop("trust", "distrust"),
     "op10_simhash": lambda s, d: simhash.near_duplicates(_table(s, d, "documents")),
+    "op11_spelling": lambda s, d: spelling.variants(_table(s, d, "documents"), change=spelling.with_slips),
     "op12_exact_dedup": lambda s, d: dedup.deduplicate(s, f"{d}/documents.parquet").select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"),
+    "op13_ranked_search": lambda s, d: lexical.ranked_search(_table(s, d, "documents"), _table(s, d, "benchmark")),
 }
 
 
@@ -114,5 +118,66 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
        row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW best AS (PARTITION BY norm ORDER BY points DESC, doc_id NULLS LAST)"""
 
+SPELLING_SQL = """
+WITH RECURSIVE tables AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc
+), runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (
+  SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS marked, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(marked, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)),
+    lambda h, b: xor(crc[(xor(h, b) & 255) + 1], h >> 8))) AS h
+  FROM counted, tables
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+), less AS (
+  SELECT word, n, i, left(word, i::INTEGER - 1) || substr(word, i::INTEGER + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), forms AS (
+  SELECT word, CASE WHEN near_n >= 2 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), steps AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.at WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT s.word, s.at AS root FROM steps s JOIN forms f ON f.word = s.at WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+RANKED_SQL = r"""
+WITH terms AS (
+  SELECT d.row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents) d
+), tfs AS (
+  SELECT row, doc_id, term, count(*) AS tf, sum(count(*)) OVER (PARTITION BY row)::HUGEINT AS n FROM terms GROUP BY row, doc_id, term
+), sums AS (SELECT count(DISTINCT row)::HUGEINT AS total, sum(tf)::HUGEINT AS length FROM tfs
+), dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT item_id, min(text) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id)
+), weighed AS (
+  SELECT item_id, term, count(*) * floor(1000 * ln((2 * total + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM asked JOIN dfs USING (term), sums GROUP BY item_id, term, total, df
+), scores AS (
+  SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * total) // length))))::BIGINT AS score
+  FROM weighed JOIN tfs USING (term), sums GROUP BY item_id, row, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10"""
+
 ORACLE: dict[str, str] = {"op1_exact_top_k": top_k_sql(), "op6_warc": WARC_SQL, "op9_url_filter": url_sql(),
-                          "op12_exact_dedup": DEDUP_SQL}
+                          "op11_spelling": lambda s, d: spelling.variants(_table(s, d, "documents"), change=spelling.with_slips),
+    "op11_spelling": SPELLING_SQL, "op12_exact_dedup": DEDUP_SQL,
+                          "op13_ranked_search": RANKED_SQL}

@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from churnlens.llm import lexical
+from tests.llm.helpers import documents
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def plain_terms(text):
+    return TERM.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def brute_force(docs, items, k=10):
+    """(item, rank, doc_id, score) by scoring every document."""
+    counted = [(d, Counter(plain_terms(t))) for d, t in docs]
+    counted = [(d, c) for d, c in counted if c]
+    total, length = len(counted), sum(sum(c.values()) for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    one = {}
+    for i, t in items:
+        if i is not None and t is not None:
+            one[i] = min(t, one.get(i, t))
+    out = []
+    for item, text in one.items():
+        scores = []
+        for d, c in counted:
+            m = 100 - 75 + 75 * sum(c.values()) * total // length
+            s = sum(n * math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1))) * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m))
+                    for t, n in Counter(plain_terms(text)).items() if c[t])
+            if s > 0:
+                scores.append((-s, d is None, d or 0, d))
+        out += [(item, r, d, -s) for r, (s, _, _, d) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def benchmark(spark, rows):
+    df = spark.createDataFrame(rows, "item_id long, text string")
+    return df.withColumns({"term": F.lit("x"), "n": F.lit(1), "weight": F.lit(2)})
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect()), key=repr)
+
+
+def corpus(n, seed=5):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(60)] + ["Über", "naïve", "東京", "ÉTÉ"]
+    weights = [1 / (i + 1) for i in range(len(vocabulary))]
+    docs = [(i, " ".join(rng.choices(vocabulary, weights, k=rng.randint(1, 60)))) for i in range(n)]
+    return docs + [(n + i, docs[i][1]) for i in range(0, n, 3)]
+
+
+@pytest.mark.parametrize("leaf", [1, 40, 10_000])
+def test_equals_brute_force(spark, leaf):
+    """Down to single documents, with intervals, and scored whole; several shards and query blocks."""
+    docs = corpus(120)
+    items = [(i, " ".join(docs[i * 3][1].split()[:12])) for i in range(25)] + [(90, "w0 w0 W1 w2"), (91, "w59"), (92, "nowhere")]
+    found = lexical.ranked_search(documents(spark, docs).repartition(3), benchmark(spark, items), shard_postings=300, leaf=leaf, block=7)
+    assert result(found) == brute_force(docs, items)
+
+
+def test_awkward_rows(spark):
+    docs = [(1, None), (2, ""), (3, "... !"), (4, "alpha-BETA"), (None, "alpha beta"), (5, "alpha beta"), (5, "alpha beta"),
+            (6, "gamma " * 50_000 + "alpha"), (7, "Ünder ünder"), (8, "a\x00b\x7fc 1_2"), (-9, "alpha beta"), (10, "delta")]
+    items = [(1, "Alpha"), (1, "beta"), (2, None), (3, ""), (None, "alpha"), (4, "gamma gamma delta"), (5, "ÜNDER ünder"), (6, "B c 2")]
+    found = lexical.ranked_search(documents(spark, docs).repartition(2), benchmark(spark, items), k=3, shard_postings=4, leaf=1)
+    assert result(found) == brute_force(docs, items, 3)
+
+
+def test_empty_tables(spark):
+    docs, items = documents(spark, []), benchmark(spark, [(1, "alpha")])
+    assert result(lexical.ranked_search(docs, items)) == []
+    assert result(lexical.ranked_search(documents(spark, [(1, "alpha"), (2, "b")]), items.filter("false"))) == []
+
+
+def test_an_index_serves_many_searches(spark):
+    docs = corpus(40)
+    index = lexical.build_index(documents(spark, docs), 200)
+    for items in ([(1, "w1 w2")], [(2, "w3 Über"), (3, "w4")]):
+        assert result(lexical.search_index(index, benchmark(spark, items), k=4)) == brute_force(docs, items, 4)
+
+
+def test_intervals_are_passed_over():
+    """On mixed documents most postings of a query lie in intervals that the bounds leave out."""
+    shard_of = lexical.ShardBuilder()
+    rng = random.Random(1)
+    length = 0
+    for d in range(4000):
+        lang = d % 4
+        words = [f"{lang}-{min(int(rng.expovariate(0.02)), 900)}".encode() for _ in range(rng.randint(20, 80))]
+        length += len(words)
+        shard_of.add(d, words)
+    shard = lexical.Shard(*shard_of.row(), 4000, length)
+    query = [f"1-{i}".encode() for i in (3, 40, 90, 160, 300)]
+    maxima = lexical.RangeMaxima(shard, query)
+    search = lexical.Search(shard, maxima, 10, 32)
+    search.run(query, [500, 900, 1500, 2500, 4000], 1)
+    assert search.splits > 10
+    assert search.scored < 0.6 * search.held
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 50), min_size=1, max_size=80), st.data())
+def test_range_maxima(impacts, data):
+    words = [[b"x"] for _ in impacts]
+    builder = lexical.ShardBuilder()
+    for i, w in enumerate(words):
+        builder.add(i, w)
+    shard = lexical.Shard(*builder.row(), len(words), len(words))
+    import numpy as np
+
+    shard.impact = np.array(impacts, dtype=np.int64)
+    maxima = lexical.RangeMaxima(shard, [b"x"])
+    a = data.draw(st.integers(0, len(impacts) - 1))
+    b = data.draw(st.integers(a + 1, len(impacts)))
+    at = int(maxima.arg(np.array([a]), np.array([b]))[0])
+    assert a <= at < b and impacts[at] == max(impacts[a:b])
