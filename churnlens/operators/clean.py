@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens import schemas as S
-from churnlens.functions.dates import parse_date, parse_mixed_date
+from churnlens.functions.dates import column_layouts, parse_by_layout, parse_date, parse_mixed_date
 from churnlens.functions.numeric import clip_lower
 from churnlens.functions.text import clean_text
 from churnlens.operators.joins import flag_missing_key
@@ -31,6 +31,21 @@ def dedupe_first(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(first).select(key, "_first.*")
 
 
+def with_layouts(df: DataFrame, table: str, params: ChurnParams) -> DataFrame:
+    """``df`` with the layouts of its date columns, where rows have a file order and the layouts aren't named."""
+    columns = [c for c in S.SINGLE_LAYOUT_DATES.get(table, ()) if not params.has_date_format(table, c)]
+    if not columns or S.INGEST_ORDER not in df.columns or S.LAYOUTS in df.columns:
+        return df
+    return df.withColumn(S.LAYOUTS, column_layouts(df, columns, S.INGEST_ORDER))
+
+
+def parsed_date(df: DataFrame, table: str, column: str, params: ChurnParams) -> Column:
+    """A single-layout date column: by its named layout; else by the one that ``with_layouts`` found; else ISO."""
+    if params.has_date_format(table, column) or S.LAYOUTS not in df.columns:
+        return parse_date(column, params.date_format(table, column))
+    return parse_by_layout(column, F.col(S.LAYOUTS)[column], params.customer_date_formats)
+
+
 def clean_customers(raw: DataFrame, params: ChurnParams) -> DataFrame:
     """Dedupe (keep first), parse mixed-format signup dates, flag and null negative ages,
     standardise text."""
@@ -51,9 +66,10 @@ def clean_customers(raw: DataFrame, params: ChurnParams) -> DataFrame:
 def clean_subscriptions(raw: DataFrame, params: ChurnParams) -> DataFrame:
     """Parse dates, standardise text, then one rule chain (first match wins):
     Active with a churn date -> date nulled; churn before signup -> date nulled."""
+    raw = with_layouts(raw, S.SUBSCRIPTIONS, params)
     df = raw.withColumns({
-        "signup_date": parse_date("signup_date", params.date_format(S.SUBSCRIPTIONS, "signup_date")),
-        "churn_date": parse_date("churn_date", params.date_format(S.SUBSCRIPTIONS, "churn_date")),
+        "signup_date": parsed_date(raw, S.SUBSCRIPTIONS, "signup_date", params),
+        "churn_date": parsed_date(raw, S.SUBSCRIPTIONS, "churn_date", params),
         **{c: clean_text(c) for c in SUBSCRIPTION_TEXT},
     })
     churn, signup = F.col("churn_date"), F.col("signup_date")
@@ -65,25 +81,37 @@ def clean_subscriptions(raw: DataFrame, params: ChurnParams) -> DataFrame:
     return df.withColumns({
         "sub_flag": flag,
         "churn_date": F.when(active_dated | before_signup, F.lit(None).cast("date")).otherwise(churn),
-    }).drop(S.INGEST_ORDER)
+    }).drop(S.INGEST_ORDER, S.LAYOUTS)
 
 
-def clean_tickets(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> DataFrame:
-    """Parse created_date, standardise text, flag tickets of unknown customers."""
-    df = raw.withColumns({
-        "created_date": parse_date("created_date", params.date_format(S.TICKETS, "created_date")),
+def ticket_columns(raw: DataFrame, params: ChurnParams) -> DataFrame:
+    """Tickets with created_date parsed and text standardised: the part that needs no other table."""
+    raw = with_layouts(raw, S.TICKETS, params)
+    return raw.withColumns({
+        "created_date": parsed_date(raw, S.TICKETS, "created_date", params),
         **{c: clean_text(c) for c in TICKET_TEXT},
-    })
-    return flag_missing_key(df, customers.select("customer_id"), "customer_id", "orphan_flag").drop(S.INGEST_ORDER)
+    }).drop(S.LAYOUTS)
 
 
-def clean_usage(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> DataFrame:
-    """Parse month, clip negative metrics to 0 (NULL stays NULL), flag unknown customers."""
-    df = raw.withColumns({
-        "month": parse_date("month", params.date_format(S.USAGE, "month")),
+def usage_columns(raw: DataFrame, params: ChurnParams) -> DataFrame:
+    """Usage with month parsed and negative metrics clipped to 0 (NULL stays NULL)."""
+    raw = with_layouts(raw, S.USAGE, params)
+    return raw.withColumns({
+        "month": parsed_date(raw, S.USAGE, "month", params),
         **{c: clip_lower(c, 0) for c in USAGE_METRICS},
-    })
-    return flag_missing_key(df, customers.select("customer_id"), "customer_id", "orphan_flag").drop(S.INGEST_ORDER)
+    }).drop(S.LAYOUTS)
+
+
+def clean_tickets(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> DataFrame:
+    """``ticket_columns`` and the flag of tickets of unknown customers."""
+    return flag_missing_key(ticket_columns(raw, params), customers.select("customer_id"), "customer_id", "orphan_flag",
+                            params.salts).drop(S.INGEST_ORDER)
+
+
+def clean_usage(raw: DataFrame, customers: DataFrame, params: ChurnParams) -> DataFrame:
+    """``usage_columns`` and the flag of usage of unknown customers."""
+    return flag_missing_key(usage_columns(raw, params), customers.select("customer_id"), "customer_id", "orphan_flag",
+                            params.salts).drop(S.INGEST_ORDER)
 
 
 def clean_all(raw: dict[str, DataFrame], params: ChurnParams) -> dict[str, DataFrame]:

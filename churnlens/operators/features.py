@@ -134,12 +134,13 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
     customers LEFT JOIN the per-customer usage and ticket aggregates, then LEFT JOIN
     subscriptions (NULL key matches NULL key, like ``merge``), all on ``JOIN_KEY``; the join with
     subscriptions is salted, since a key may hold many of them. Customers are unique per key after
-    deduplication, so no join can pair many rows with many. Orphan fact rows aggregate under ids no customer
+    deduplication, so no join can pair many rows with many. Bucketed tables (``read_star``) are grouped
+    and joined without an exchange. Orphan fact rows aggregate under ids no customer
     has, so the LEFT JOIN from customers drops them: the result equals filtering on
     ``orphan_flag`` first, without evaluating that flag's join.
     """
-    more_cust = [c for c in customers.columns if c not in CUSTOMER_COLUMNS]
-    more_subs = [c for c in subscriptions.columns if c not in ("customer_id", *SUBSCRIPTION_COLUMNS)]
+    more_cust = [c for c in customers.columns if c not in (*CUSTOMER_COLUMNS, *JOIN_KEY)]
+    more_subs = [c for c in subscriptions.columns if c not in ("customer_id", *SUBSCRIPTION_COLUMNS, *JOIN_KEY)]
     colliding = {*COLLIDING, *(set(more_cust) & set(more_subs))}
 
     def named(columns, suffix):
@@ -155,8 +156,10 @@ def customer_features(customers: DataFrame, subscriptions: DataFrame, usage: Dat
             .join(usage_customer_agg(usage, params, known_only=False, by=JOIN_KEY), keys, "left")
             .join(ticket_customer_agg(tickets, params, known_only=False, by=JOIN_KEY), keys, "left"))
 
-    # the one join whose right side can be skewed (a key with many subscription rows)
-    df = left_join_unique(cust, subs, keys)
+    # the one join whose right side can be skewed (a key with many subscription rows); a table is
+    # bucketed only where no key is hot, and then meets its partners where it lies
+    colocated = set(JOIN_KEY) <= set(subscriptions.columns)
+    df = cust.join(subs, keys, "left") if colocated else left_join_unique(cust, subs, keys, params.salts)
 
     as_of = F.lit(params.as_of)
     churned = F.coalesce(F.col("status") == STATUS_CHURNED, F.lit(False))

@@ -7,7 +7,8 @@ Nothing here broadcasts a table whose size grows with the data.
 A key may hold a large share of a table's rows. AQE splits such a partition only where both join
 inputs come straight from an exchange and the hot side may be split (not the right side of a left
 join), so joins of row-level tables are salted instead: the rows of the table that may be skewed
-are spread over ``SALTS`` values, and the rows of the side that is unique per key are copied to each.
+are spread over ``salts`` values (``ChurnParams.salts``: about the tasks a hot key may take), and the
+rows of the side that is unique per key are copied to each.
 The plan is the same for any data and building it starts no job.
 """
 
@@ -27,20 +28,24 @@ SALT = "_salt"
 
 
 def with_join_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
+    """``df`` with the key columns; a table that was written with them (bucketed) keeps its own."""
+    if set(JOIN_KEY) <= set(df.columns):
+        return df
     return df.withColumns({"_jk": F.coalesce(F.col(key), F.lit("")), "_jk_null": F.col(key).isNull()})
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, salts: int) -> DataFrame:
     """Rows with a salt from a hash of all their columns: the same for every attempt of a task."""
-    return df.withColumn(SALT, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
 
 
-def copied(df: DataFrame) -> DataFrame:
-    """Each row once per salt."""
-    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def copied(df: DataFrame, salts: int, where=None) -> DataFrame:
+    """Each row once per salt; rows that are not ``where`` only once, with salt 0."""
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    return df.withColumn(SALT, F.explode(every if where is None else F.when(where, every).otherwise(F.array(F.lit(0)))))
 
 
-def flag_missing_key(facts: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
+def flag_missing_key(facts: DataFrame, keys: DataFrame, key: str, flag: str, salts: int = SALTS) -> DataFrame:
     """Add ``flag`` = True where ``facts[key]`` has no match among ``keys[key]`` (NULL matches
     NULL, as ``Series.isin`` does).
 
@@ -48,7 +53,7 @@ def flag_missing_key(facts: DataFrame, keys: DataFrame, key: str, flag: str) ->
     the join is salted, so neither an id that many facts share nor their NULL ids meet in one task.
     """
     known = with_join_key(keys.select(key)).select(*JOIN_KEY).distinct().withColumn("_hit", F.lit(True))
-    joined = spread(with_join_key(facts)).join(copied(known), [*JOIN_KEY, SALT], "left")
+    joined = spread(with_join_key(facts), salts).join(copied(known, salts), [*JOIN_KEY, SALT], "left")
     return joined.withColumn(flag, F.col("_hit").isNull()).select(*facts.columns, flag)
 
 
@@ -58,12 +63,18 @@ def rows_missing_key(facts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return facts.join(k, facts[key].eqNullSafe(k["_key"]), "left_anti")
 
 
-def left_join_unique(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+def left_join_unique(left: DataFrame, right: DataFrame, keys, salts: int = SALTS) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` for a ``left`` that holds each key at most once and a
-    ``right`` where a key may hold many rows: the salted inner join, and the rows of ``left`` whose
-    key is not among the distinct keys of ``right``."""
+    ``right`` where a key may hold many rows.
+
+    The distinct keys of ``right`` tell each left row whether it has partners. One with partners is
+    copied to all salts, one without to a single salt; then follows one left join on key and salt. Copies
+    that met no partner in their salt go; ``left`` is computed once and its rows without partners
+    are not multiplied.
+    """
     keys = list(keys)
-    found = copied(left).join(spread(right), [*keys, SALT]).drop(SALT)
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
-    alone = left.join(right.select(*keys).distinct(), keys, "left_anti").select("*", *empty)
-    return found.unionByName(alone)
+    present = right.select(*keys).distinct().withColumn("_partners", F.lit(True))
+    flagged = left.join(present, keys, "left").withColumn("_partners", F.col("_partners").isNotNull())
+    copies = copied(flagged, salts, F.col("_partners"))
+    joined = copies.join(spread(right, salts).withColumn("_met", F.lit(True)), [*keys, SALT], "left")
+    return joined.where(~F.col("_partners") | F.col("_met").isNotNull()).drop(SALT, "_partners", "_met")

@@ -1,4 +1,5 @@
-"""Profiling and data-quality report (raw = bronze tables, before cleaning).
+"""Profiling (raw = bronze tables, before cleaning), one report at a time; ``metrics.py`` has those that
+draw on several tables.
 
 Each table is profiled with one aggregate (a single scan); per-column results are turned
 into rows with ``unpivot``/``stack``; sections are combined with ``unionByName`` into long
@@ -15,20 +16,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens import schemas as S
-from churnlens.functions.dates import parse_date, parse_mixed_date
+from churnlens.functions.dates import parse_mixed_date
 from churnlens.functions.numeric import np_round
+from churnlens.operators.clean import parsed_date, with_layouts
 from churnlens.operators.joins import rows_missing_key
 from churnlens.params import (
-    ACTIVE_WITH_CHURN_DATE, CHURN_BEFORE_SIGNUP, FINDINGS, NEGATIVE_AGE, NULL_RATE_HIGH,
-    NULL_RATE_MEDIUM, STATUS_ACTIVE, STATUS_CHURNED, ChurnParams,
+    ACTIVE_WITH_CHURN_DATE, CHURN_BEFORE_SIGNUP, NULL_RATE_HIGH, NULL_RATE_MEDIUM, STATUS_ACTIVE, STATUS_CHURNED, ChurnParams,
 )
+from churnlens.session import shared_table
 
 KEYS = {S.CUSTOMERS: "customer_id", S.SUBSCRIPTIONS: "customer_id", S.TICKETS: "ticket_id"}
 USAGE_METRICS = ("logins", "features_used", "active_minutes")
 
 
 def data_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c != S.INGEST_ORDER]
+    return [c for c in df.columns if c not in (S.INGEST_ORDER, S.LAYOUTS)]
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -156,15 +158,51 @@ def assert_unique_key(df: DataFrame, key: str, what: str) -> None:
         raise ValueError(f"{what}: {n} rows repeat an existing {key}")
 
 
+PRINT = ("_print1", "_print2")
+
+
+def row_print(cols: list[str]) -> list[Column]:
+    """A 16-byte fingerprint of a row: equal rows (NULLs equal) have equal ones."""
+    parts = [x for c in cols for x in (F.col(c), F.col(c).isNull())]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit("2"), *parts)]
+
+
+def shared_prints(df: DataFrame, cols: list[str], prints=row_print) -> DataFrame:
+    """Fingerprints that several rows have, with their rows ``n`` and ``groups`` 1, and one row with NULL
+    fingerprints for all rows whose fingerprint is their own (``n`` rows, as many ``groups``). Only the
+    fingerprints are shuffled."""
+    per_print = (df.select(*[p.alias(name) for p, name in zip(prints(cols), PRINT, strict=True)])
+                 .groupBy(*PRINT).agg(F.count(F.lit(1)).alias("_n")))
+    named = [F.when(F.col("_n") > 1, F.col(name)).alias(name) for name in PRINT]
+    return per_print.groupBy(*named).agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("groups"))
+
+
+def full_row_duplicates(df: DataFrame, prints=row_print) -> DataFrame:
+    """``_extra_rows`` over all columns by fingerprint, then exact: only rows that share a fingerprint
+    with another row are compared whole. The shared fingerprints are written first, so that the planner
+    knows their size: it sends them to the rows if they are small and shuffles the rows by fingerprint
+    only if not. Copies collapse in the partial aggregate before they are shuffled."""
+    cols = data_columns(df)
+    shared = shared_table(shared_prints(df, cols, prints), "row-prints")
+    alone = shared.where(F.col(PRINT[0]).isNull()).select("n", "groups")
+    keyed = df.select(*cols, *[p.alias(name) for p, name in zip(prints(cols), PRINT, strict=True)])
+    suspects = keyed.join(shared.where(F.col(PRINT[0]).isNotNull()).select(*PRINT), list(PRINT), "left_semi")
+    equal = suspects.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(1).cast("long").alias("groups"))
+    return alone.unionByName(equal).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total"),
+        F.coalesce(F.sum(F.col("n") - F.col("groups")), F.lit(0)).cast("long").alias("extra"),
+        F.coalesce(F.sum("groups"), F.lit(0)).cast("long").alias("groups"))
+
+
 def duplicates(raw: dict[str, DataFrame]) -> DataFrame:
     """Per table and check (full row, key): rows, duplicate rows, rows left after dedupe."""
     frames = []
     for t, df in raw.items():
-        checks = [("full_row", data_columns(df))]
+        checks = [("full_row", full_row_duplicates(df))]
         if t in KEYS:
-            checks.append((f"key:{KEYS[t]}", [KEYS[t]]))
-        for name, cols in checks:
-            frames.append(_extra_rows(df, cols).select(
+            checks.append((f"key:{KEYS[t]}", _extra_rows(df, [KEYS[t]])))
+        for name, counts in checks:
+            frames.append(counts.select(
                 F.lit(t).alias("table_name"), F.lit(name).alias("check_name"),
                 F.col("total").alias("total_rows"), F.col("extra").alias("duplicate_rows"),
                 F.col("groups").alias("rows_after_dedupe")))
@@ -226,8 +264,9 @@ def date_sample(customers: DataFrame, n: int = 20, column: str = "signup_date")
 # ---------------------------------------------------------------------------
 
 def subscription_rules(subscriptions: DataFrame, params: ChurnParams) -> DataFrame:
-    churn = parse_date("churn_date", params.date_format(S.SUBSCRIPTIONS, "churn_date"))
-    signup = parse_date("signup_date", params.date_format(S.SUBSCRIPTIONS, "signup_date"))
+    subscriptions = with_layouts(subscriptions, S.SUBSCRIPTIONS, params)
+    churn = parsed_date(subscriptions, S.SUBSCRIPTIONS, "churn_date", params)
+    signup = parsed_date(subscriptions, S.SUBSCRIPTIONS, "signup_date", params)
     status = F.col("status")
     return subscriptions.agg(
         F.count_if((status == STATUS_ACTIVE) & churn.isNotNull()).alias("active_with_churn_date"),
@@ -258,7 +297,7 @@ def orphan_sample(facts: DataFrame, customers: DataFrame, n: int = 5) -> DataFra
 
 
 # ---------------------------------------------------------------------------
-# PRF19-20, 23: values after cleaning and repair counts
+# PRF19-20: values after cleaning; dates lost by reading them
 # ---------------------------------------------------------------------------
 
 DISTINCT_COLUMNS = {
@@ -290,15 +329,10 @@ def value_counts(silver: dict[str, DataFrame]) -> DataFrame:
     return counts.orderBy("table_name", "column_name", F.col("n_rows").desc(), "value")
 
 
-DATE_COLUMNS = {
-    S.CUSTOMERS: ("signup_date",),
-    S.SUBSCRIPTIONS: ("signup_date", "churn_date"),
-    S.TICKETS: ("created_date",),
-    S.USAGE: ("month",),
-}
+DATE_COLUMNS = {S.CUSTOMERS: ("signup_date",), **S.SINGLE_LAYOUT_DATES}
 
 
-def _date_loss_pairs(table: str, params: ChurnParams) -> list[tuple[str, Column]]:
+def _date_loss_pairs(df: DataFrame, table: str, params: ChurnParams) -> list[tuple[str, Column]]:
     """Per date column of a raw table: values that do not parse (set to NULL), and for customer
     signup dates, values read only through the day-first / timestamp fallback."""
     pairs = []
@@ -308,85 +342,14 @@ def _date_loss_pairs(table: str, params: ChurnParams) -> list[tuple[str, Column]
             strict = parse_mixed_date(c, params.customer_date_formats, False)
             pairs.append((f"{c}_day_first", F.count_if(strict.isNull() & parsed.isNotNull())))
         else:
-            parsed = parse_date(c, params.date_format(table, c))
+            parsed = parsed_date(df, table, c, params)
         pairs.append((f"{c}_lost", F.count_if(F.col(c).isNotNull() & parsed.isNull())))
     return pairs
 
 
 def _date_losses(raw: dict[str, DataFrame], params: ChurnParams) -> list[DataFrame]:
-    return [long_metrics(raw[t], t, _date_loss_pairs(t, params)) for t in DATE_COLUMNS]
-
-
-def repairs(raw: dict[str, DataFrame], silver: dict[str, DataFrame], params: ChurnParams | None = None) -> DataFrame:
-    """Rows touched by each cleaning rule (table_name, rule, n_rows): one aggregate per raw
-    table (before-cleaning counts, date-parse losses) and one per silver table (flags)."""
-    params = params or ChurnParams()
-
-    def rows(df, table, pairs):
-        return long_metrics(df, table, pairs).select(
-            F.col("section").alias("table_name"), F.col("metric").alias("rule"),
-            F.col("value").cast("long").alias("n_rows"))
-
-    n = F.count(F.lit(1))
-    raw_metrics = {
-        S.CUSTOMERS: [("rows_before_dedupe", n)],
-        S.SUBSCRIPTIONS: [],
-        S.TICKETS: [],
-        S.USAGE: [(f"clip_{c}", F.count_if(F.col(c) < 0)) for c in USAGE_METRICS],
-    }
-    parts = [rows(raw[t], t, pairs + _date_loss_pairs(t, params)) for t, pairs in raw_metrics.items()]
-    parts += [
-        rows(silver[S.CUSTOMERS], S.CUSTOMERS, [
-            ("rows_after_dedupe", n),
-            (NEGATIVE_AGE, F.count_if(F.col("age_flag") == NEGATIVE_AGE)),
-            ("signup_date_unparsed", F.count_if(F.col("signup_date").isNull())),
-        ]),
-        rows(silver[S.SUBSCRIPTIONS], S.SUBSCRIPTIONS, [
-            (ACTIVE_WITH_CHURN_DATE, F.count_if(F.col("sub_flag") == ACTIVE_WITH_CHURN_DATE)),
-            (CHURN_BEFORE_SIGNUP, F.count_if(F.col("sub_flag") == CHURN_BEFORE_SIGNUP)),
-        ]),
-        rows(silver[S.TICKETS], S.TICKETS, [("orphan_flag", F.count_if(F.col("orphan_flag")))]),
-        rows(silver[S.USAGE], S.USAGE, [("orphan_flag", F.count_if(F.col("orphan_flag")))]),
-    ]
-    return _union(parts)
-
-
-# ---------------------------------------------------------------------------
-# PRF25-26: quality report and findings
-# ---------------------------------------------------------------------------
-
-def quality_report(raw: dict[str, DataFrame], params: ChurnParams) -> DataFrame:
-    """The quality report as (section, metric, value) rows; ``sinks.write_quality_json``
-    nests it into one JSON object per section."""
-    cust, subs, tix, usage = (raw[t] for t in S.TABLES)
-    n = F.count(F.lit(1))
-
-    def pct_null(c):
-        return np_round(F.avg(F.col(c).isNull().cast("double")) * F.lit(100), 2)
-
-    full_dupes = _extra_rows(cust, data_columns(cust)).select(
-        F.lit(S.CUSTOMERS).alias("section"), F.lit("duplicate_rows").alias("metric"),
-        F.col("extra").cast("double").alias("value"))
-    shapes = date_formats(cust).where(F.col("date_shape").isNotNull())
-    mixed = long_metrics(shapes, S.CUSTOMERS, [("mixed_date_formats", (F.count(F.lit(1)) > 1).cast("double"))])
-    churn = parse_date("churn_date", params.date_format(S.SUBSCRIPTIONS, "churn_date"))
-    signup = parse_date("signup_date", params.date_format(S.SUBSCRIPTIONS, "signup_date"))
-    orphans = rows_missing_key(tix, cust.select("customer_id"), "customer_id")
-    parts = [
-        long_metrics(cust, S.CUSTOMERS, [
-            ("total_rows", n), ("null_region_%", pct_null("region")), ("null_age_%", pct_null("age")),
-            ("negative_age_rows", F.count_if(F.col("age") < 0))]),
-        full_dupes, mixed,
-        long_metrics(subs, S.SUBSCRIPTIONS, [
-            ("total_rows", n),
-            ("active_with_churn_date", F.count_if((F.col("status") == STATUS_ACTIVE) & F.col("churn_date").isNotNull())),
-            ("churn_before_signup", F.count_if(churn < signup)),
-            ("null_churn_date_%", pct_null("churn_date"))]),
-        long_metrics(tix, S.TICKETS, [("total_rows", n)]),
-        long_metrics(orphans, S.TICKETS, [("orphan_records", n)]),
-        long_metrics(usage, S.USAGE, [("total_rows", n)]),
-    ]
-    return _union(parts)
+    tables = {t: with_layouts(raw[t], t, params) for t in DATE_COLUMNS}
+    return [long_metrics(df, t, _date_loss_pairs(df, t, params)) for t, df in tables.items()]
 
 
 # Metric behind each finding: (section, metric) in the report / repair rows.
@@ -399,36 +362,3 @@ FINDING_METRICS = {
     "churn before signup": ("subscriptions", CHURN_BEFORE_SIGNUP),
     "orphan records": ("tickets", "orphan_records"),
 }
-
-
-def quality_findings(raw: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
-    """The fixed findings list with the measured count behind each and its severity."""
-    cust = raw[S.CUSTOMERS]
-    n = F.count(F.lit(1))
-    dup_ids = _extra_rows(cust, ["customer_id"]).select(
-        F.lit(S.CUSTOMERS).alias("section"), F.lit("duplicate_customer_ids").alias("metric"),
-        F.col("extra").cast("double").alias("value"))
-    shapes = long_metrics(date_formats(cust).where(F.col("date_shape").isNotNull()), S.CUSTOMERS,
-                          [("date_formats", n)])
-    raw_counts = long_metrics(cust, S.CUSTOMERS, [
-        ("negative_age_rows", F.count_if(F.col("age") < 0)),
-        ("null_region_rows", F.count_if(F.col("region").isNull()))])
-    flags = long_metrics(silver[S.SUBSCRIPTIONS], S.SUBSCRIPTIONS, [
-        (ACTIVE_WITH_CHURN_DATE, F.count_if(F.col("sub_flag") == ACTIVE_WITH_CHURN_DATE)),
-        (CHURN_BEFORE_SIGNUP, F.count_if(F.col("sub_flag") == CHURN_BEFORE_SIGNUP))])
-    orphans = long_metrics(silver[S.TICKETS], S.TICKETS, [("orphan_records", F.count_if(F.col("orphan_flag")))])
-    metrics = _union([dup_ids, shapes, raw_counts, flags, orphans])
-
-    finding_of = {f"{sec}/{met}": issue for issue, (sec, met) in FINDING_METRICS.items()}
-    order = {issue: i + 1 for i, (_, issue, _) in enumerate(FINDINGS)}
-    severity = {issue: sev for _, issue, sev in FINDINGS}
-    key = F.concat_ws("/", "section", "metric")
-    issue = F.element_at(F.create_map(*[F.lit(x) for kv in finding_of.items() for x in kv]), key)
-    return metrics.select(
-        F.element_at(F.create_map(*[F.lit(x) for kv in order.items() for x in kv]), issue).alias("finding_id"),
-        F.col("section").alias("table_name"), issue.alias("issue"),
-        F.col("metric"), F.col("value").cast("long").alias("n_rows"),
-        F.element_at(F.create_map(*[F.lit(x) for kv in severity.items() for x in kv]), issue).alias("severity"),
-    )
-
-

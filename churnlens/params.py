@@ -72,16 +72,20 @@ class ChurnParams:
     customer_date_formats: tuple[str, ...] = CUSTOMER_DATE_FORMATS
     # pandas' mixed parser still reads 13-04-2024 as 13 April; keep that by default.
     day_first_fallback: bool = True
+    # single-layout columns of tables without an order of rows; with one, a column's first value shows its layout
     iso_date_format: str = ISO_DATE_FORMAT
-    # other layouts of single-layout columns: (("subscriptions", "churn_date", "M/d/yyyy"), ...)
+    # layouts of single-layout columns that are known: (("subscriptions", "churn_date", "M/d/yyyy"), ...)
     column_date_formats: tuple[tuple[str, str, str], ...] = ()
     null_tokens: tuple[str, ...] = field(default=PANDAS_NULL_TOKENS)
     # per-column overrides: ((table, column, tokens), ...), e.g. keep a region code "NA"
     column_null_tokens: tuple[tuple[str, str, tuple[str, ...]], ...] = ()
     # also bound the recency windows above by as_of (rows dated later are then left out)
     recency_upper_bound: bool = False
-    # quoted CSV fields may hold line breaks; a file is then read by one task
-    csv_multiline: bool = False
+    # salts of the joins whose row-level side may be skewed: about the tasks that a hot key may take
+    salts: int = 16
+    # quoted CSV fields may hold line breaks. None: files that have such fields are found and read by one
+    # task each, the others stay split; True: every file is read by one task; False: a record is a line
+    csv_multiline: bool | None = None
 
     def tokens_for(self, table: str, column: str) -> tuple[str, ...]:
         for t, c, tokens in self.column_null_tokens:
@@ -89,6 +93,9 @@ class ChurnParams:
                 return tokens
         return self.null_tokens
 
+    def has_date_format(self, table: str, column: str) -> bool:
+        return any((t, c) == (table, column) for t, c, _ in self.column_date_formats)
+
     def date_format(self, table: str, column: str) -> str:
         for t, c, fmt in self.column_date_formats:
             if t == table and c == column:

@@ -8,7 +8,6 @@ again.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,26 +16,23 @@ from pyspark.sql import functions as F
 
 from churnlens import schemas as S
 from churnlens.operators import features as FE
+from churnlens.operators import metrics as ME
 from churnlens.operators import profile as PR
 from churnlens.operators import reports as RP
 from churnlens.params import TESTDATA_PARAMS as P
 from churnlens.plans import sql_reports
 from churnlens.plans.layers import gold_from_testdata, raw_from_testdata, silver_from_testdata
-from churnlens.session import checkpoint_dir
+from churnlens.session import shared_folder, shared_table
 from churnlens.sinks import write_csv_export, write_quality_json, write_table
 from churnlens.sources.csv import null_token_hits, read_raw_csv, read_raw_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _shared(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers written as CSV in another column order with an extra column, read back by name."""
     raw = raw_from_testdata(spark, sf_dir)[S.CUSTOMERS]
-    folder = _shared(spark, "customers-csv")
+    folder = shared_folder(spark, "customers-csv")
     columns = [c for c in reversed(S.RAW_COLUMNS[S.CUSTOMERS])]
     write_csv_export(raw.select(*columns, F.upper("plan").alias("note")), folder)
     return read_raw_csv(spark, folder, S.CUSTOMERS, P).drop(S.INGEST_ORDER)
@@ -44,15 +40,34 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscriptions (silver) written partitioned by status and read back."""
-    folder = _shared(spark, "subscriptions")
+    folder = shared_folder(spark, "subscriptions")
     write_table(silver_from_testdata(spark, sf_dir, P)[S.SUBSCRIPTIONS], folder, partition_by=["status"])
     return spark.read.parquet(folder)
 
 
+def profile_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows touched per cleaning rule, from a written metric table."""
+    return ME.repairs_from(shared_table(ME.measure(raw_from_testdata(spark, sf_dir), P), "metrics"))
+
+
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report, from a written metric table and the duplicates of customers."""
+    raw = raw_from_testdata(spark, sf_dir)
+    metrics = ME.measure(raw, P).unionByName(ME.duplicate_metrics({S.CUSTOMERS: raw[S.CUSTOMERS]}))
+    return ME.quality_report_from(shared_table(metrics, "metrics"))
+
+
+def quality_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The findings list with its counts, from a written metric table and the customers' date layouts."""
+    raw = raw_from_testdata(spark, sf_dir)
+    metrics = ME.measure(raw, P).unionByName(ME.layout_metrics(raw[S.CUSTOMERS]))
+    return ME.quality_findings_from(shared_table(metrics, "metrics"))
+
+
 def quality_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested quality report written as JSON and read back as (section, metric, value)."""
-    folder = _shared(spark, "quality-report")
-    write_quality_json(PR.quality_report(raw_from_testdata(spark, sf_dir), P), folder)
+    folder = shared_folder(spark, "quality-report")
+    write_quality_json(quality_report(spark, sf_dir), folder)
     sections = ", ".join(f"{t} map<string,double>" for t in S.TABLES)
     nested = spark.read.schema(sections).json(folder)
     parts = [nested.select(F.lit(t).alias("section"), F.explode(t).alias("metric", "value")) for t in S.TABLES]
@@ -62,7 +77,7 @@ def quality_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null tokens found per column of the tickets written as CSV with unreadable values as tokens."""
     raw = raw_from_testdata(spark, sf_dir)[S.TICKETS]
-    folder = _shared(spark, "tickets-csv")
+    folder = shared_folder(spark, "tickets-csv")
     token = F.when(F.col("created_date").rlike("[0-9]"), F.col("created_date")).otherwise(F.lit("n/a"))
     write_csv_export(raw.withColumn("created_date", token), folder)
     return null_token_hits(read_raw_text(spark, folder, S.TICKETS, P), S.TICKETS, P)
@@ -80,10 +95,6 @@ def _on_raw(fn) -> Query:
     return lambda spark, sf: fn(raw_from_testdata(spark, sf))
 
 
-def _on_raw_silver(fn) -> Query:
-    return lambda spark, sf: fn(raw_from_testdata(spark, sf), silver_from_testdata(spark, sf, P))
-
-
 def _on_gold(fn) -> Query:
     return lambda spark, sf: fn(gold_from_testdata(spark, sf, P))
 
@@ -105,13 +116,13 @@ QUERIES: dict[str, Query] = {
     "orphan_usage": _on_raw(lambda r: PR.orphan_rows(r[S.USAGE], r[S.CUSTOMERS])),
     "orphan_ticket_sample": _on_raw(lambda r: PR.orphan_sample(r[S.TICKETS], r[S.CUSTOMERS], 5)),
     "orphan_subscriptions": _on_raw(lambda r: PR.orphan_rows(r[S.SUBSCRIPTIONS], r[S.CUSTOMERS])),
-    "quality_report": _on_raw(lambda r: PR.quality_report(r, P)),
+    "quality_report": quality_report,
     # checks after cleaning
     "profile_remaining_nulls": _on_silver(PR.remaining_nulls),
     "profile_distinct": _on_silver(PR.distinct_values),
     "profile_value_counts": _on_silver(PR.value_counts),
-    "profile_repairs": _on_raw_silver(lambda r, s: PR.repairs(r, s, P)),
-    "quality_findings": _on_raw_silver(PR.quality_findings),
+    "profile_repairs": profile_repairs,
+    "quality_findings": quality_findings,
     # cleaning (silver)
     "clean_customers": _silver(S.CUSTOMERS),
     "clean_subscriptions": _silver(S.SUBSCRIPTIONS),

@@ -50,5 +50,11 @@ SILVER = {CUSTOMERS: DIM_CUSTOMERS, SUBSCRIPTIONS: DIM_SUBSCRIPTIONS, TICKETS: F
 INGEST_ORDER = "_ingest_order"
 
 
+# Date columns of one layout each (customers' signup dates are mixed).
+SINGLE_LAYOUT_DATES = {SUBSCRIPTIONS: ("signup_date", "churn_date"), TICKETS: ("created_date",), USAGE: ("month",)}
+# Column with the layouts that were found for a table's date columns.
+LAYOUTS = "_layouts"
+
+
 def raw_type(table: str, column: str) -> T.DataType:
     return RAW_TYPES[table].get(column, T.StringType())

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -51,12 +52,29 @@ def session_defaults(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set one only when it is unset
-    (local tests), never override the cluster's."""
+    """The shared folder named by ``spark.checkpoint.dir``; set one only when it is unset and Spark runs
+    in this one process (tests, local runs), never override the cluster's."""
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"{CHECKPOINT_CONF} is not set: on a cluster ({master}) it must name a folder that the "
+                           "driver and all executors share")
     local = tempfile.mkdtemp(prefix="churnlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set(CHECKPOINT_CONF, local)
     return spark.sparkContext.getCheckpointDir() or local
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: its lineage is cut, and its size is
+    known to the planner."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

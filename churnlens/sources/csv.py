@@ -10,13 +10,15 @@
   "keep the first duplicate" / "first seen" mean first in file order, even across many
   files/splits (cleaning drops the key from the silver tables);
 * quotes inside quoted fields are doubled (""), as pandas writes them;
-* a line that doesn't have the header's fields is counted by ``malformed_rows``. Records are one
-  per line unless ``ChurnParams.csv_multiline`` is set; then quoted fields may hold line breaks and
-  each file is read by one task.
+* quoted fields may hold line breaks: a first pass over the lines finds the files in which a line ends
+  inside quotes, and only these are read by one task each; the others stay split
+  (``ChurnParams.csv_multiline`` turns this off, or on for every file);
+* a record that doesn't have the header's fields is counted by ``malformed_rows``.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,19 +62,43 @@ def csv_schema(spark: SparkSession, path: str, table: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
 
 
+def _one_form(file: str) -> str:
+    """A file's name without an empty authority: file:///x and file:/x are the same."""
+    return re.sub(r"^(\w+):///", r"\1:/", file)
+
+
+def files_with_open_quotes(spark: SparkSession, path: str) -> list[str]:
+    """The files with a line that holds an odd number of quotes: there a field goes on in the next line (or
+    a stray quote stands, which reading the file whole doesn't harm). One narrow pass over the lines; what
+    comes to the driver are names of files that it lists anyway."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_count("value", F.lit('"')).alias("quotes"))
+    return sorted(r["file"] for r in lines.where(F.col("quotes") % 2 == 1).select("file").distinct().collect())
+
+
 def _read_text(spark: SparkSession, path: str, table: str, params: ChurnParams, whole_lines: bool = False) -> DataFrame:
-    """Known columns in their usual order, then the others, then the text of a malformed line. With
-    ``whole_lines`` a line's fields are all parsed even where few are used, so that it is judged whole."""
+    """Known columns in their usual order, then the others, then the text of a malformed record. With
+    ``whole_lines`` a record's fields are all parsed even where few are used, so that it is judged whole."""
     schema = csv_schema(spark, path, table)
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-          .option("multiLine", params.csv_multiline).option("enforceSchema", False).option("columnPruning", not whole_lines)
-          .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path))
     known = list(S.RAW_COLUMNS[table])
     others = [f.name for f in schema.fields if f.name not in (*known, CORRUPT)]
-    return df.select(*known, *others, CORRUPT, F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("pos")).alias(S.INGEST_ORDER))
+
+    def rows(paths, multiline: bool) -> DataFrame:
+        df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+              .option("multiLine", multiline).option("enforceSchema", False).option("columnPruning", not whole_lines)
+              .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(paths))
+        return df.select(*known, *others, CORRUPT, F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("pos")).alias(S.INGEST_ORDER))
+
+    if params.csv_multiline is not None:
+        return rows(path, params.csv_multiline)
+    whole = files_with_open_quotes(spark, path)
+    if not whole:
+        return rows(path, False)
+    split = sorted({_one_form(f) for f in spark.read.text(path).inputFiles()} - {_one_form(f) for f in whole})
+    parts = ([rows(split, False)] if split else []) + [rows(whole, True)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str, params: ChurnParams | None = None) -> DataFrame:

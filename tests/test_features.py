@@ -119,3 +119,18 @@ def test_standalone_usage_and_ticket_aggregates(spark):
          for x in ticket_features(tickets).collect()}
     assert t == {"a": (2, 1, 1)}
     assert {x.customer_id: x.tickets_last90d for x in recent_tickets(tickets, P).collect()} == {"a": 1}
+
+
+def test_presence_flagged_join_equals_a_left_join(spark):
+    """Hot, NULL, missing and unique keys, any number of salts."""
+    from churnlens.operators.joins import left_join_unique
+    left = spark.createDataFrame([("hot", False, 1), ("", True, 2), ("none", False, 3), ("one", False, 4)],
+                                 "_jk string, _jk_null boolean, a int")
+    right = spark.createDataFrame([("hot", False, i) for i in range(500)] + [("", True, i) for i in range(70)]
+                                  + [("one", False, 1), ("one", False, 1), ("other", False, 9)], "_jk string, _jk_null boolean, b int")
+    want = left.join(right, ["_jk", "_jk_null"], "left")
+    for salts in (1, 3, 40):
+        got = left_join_unique(left, right, ["_jk", "_jk_null"], salts)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert left_join_unique(left, right.limit(0), ["_jk", "_jk_null"]).count() == 4

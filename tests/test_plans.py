@@ -116,9 +116,62 @@ def test_orphan_flag_is_salted(spark):
     assert "SortAggregate" not in plan
 
 
-def test_duplicate_check_groups_each_table_once(spark):
-    from churnlens.operators.profile import duplicates
+def test_duplicate_check_moves_fingerprints_only(spark):
+    """No exchange of the full-row check carries a whole row: the rows that share a fingerprint get the
+    shared ones broadcast (their written size is known), the others are counted by 16 bytes."""
+    from churnlens.operators.profile import data_columns, full_row_duplicates, shared_prints
     raw = raw_tables_from_testdata(spark, SF_SMALL)
+    tickets = raw[S.TICKETS]
     with _no_broadcast(spark):
-        plan = _plan(duplicates({S.TICKETS: raw[S.TICKETS]}))
-    assert "Join" not in plan and plan.count("Exchange hashpartitioning(") == 2
+        prints = _plan(shared_prints(tickets, data_columns(tickets)))
+    assert "Join" not in prints and prints.count("Exchange hashpartitioning(") == 2
+    assert not [x for x in prints.splitlines() if "Exchange" in x and "category" in x]
+    plan = _final_plan(full_row_duplicates(raw[S.CUSTOMERS]))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_flat_table_on_bucketed_silver_has_no_exchange(spark):
+    """Written silver, bucketed by customer id: fact aggregates and all joins of the flat table run where
+    the rows lie, and give the rows of the plain layout."""
+    from churnlens.sources import read_star
+    out = tempfile.mkdtemp(prefix="churnlens-star-", dir="/tmp")
+    raw = raw_tables_from_testdata(spark, SF_SMALL)
+    written = job.run(spark, raw, out, TESTDATA_PARAMS, csv_export=False, profile=False, buckets=6)
+    again = spark.newSession()  # a session that has not written the tables
+    star = read_star(again, out)
+    again.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    again.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    gold = gold_from_silver(star, TESTDATA_PARAMS)
+    plan = _final_plan(gold)
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 3
+    want = {tuple(r) for r in gold_from_silver({t: spark.createDataFrame(df.collect(), df.schema) for t, df in
+                                                read_silver(spark, out).items()}, TESTDATA_PARAMS).collect()}
+    assert {tuple(r) for r in gold.collect()} == want
+    assert {tuple(r) for r in spark.read.parquet(written[S.FEATURES]).collect()} == want
+    assert not set(read_silver(spark, out)[S.USAGE].columns) & {"_jk", "_jk_null"}
+
+
+def test_a_hot_customer_keeps_its_table_out_of_buckets(spark):
+    from pyspark.sql import functions as F
+    from churnlens.sinks import key_fits_buckets
+    from churnlens.sources import read_star
+    raw = dict(raw_tables_from_testdata(spark, SF_SMALL))
+    hot = raw[S.SUBSCRIPTIONS].where("customer_id = 'Customer#000000001'").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(900))))
+    raw[S.SUBSCRIPTIONS] = raw[S.SUBSCRIPTIONS].unionByName(hot.drop("copy"))
+    assert not key_fits_buckets(raw[S.SUBSCRIPTIONS], 8) and key_fits_buckets(raw[S.SUBSCRIPTIONS].where("false"), 8)
+    out = tempfile.mkdtemp(prefix="churnlens-star-", dir="/tmp")
+    written = job.run(spark, raw, out, TESTDATA_PARAMS, csv_export=False, profile=False, buckets=8)
+    star = read_star(spark, out)
+    assert "_jk" not in star[S.SUBSCRIPTIONS].columns and "_jk" in star[S.CUSTOMERS].columns
+    gold = spark.read.parquet(written[S.FEATURES])
+    plain = gold_from_silver(read_silver(spark, out), TESTDATA_PARAMS)
+    assert gold.exceptAll(plain).count() == 0 and plain.exceptAll(gold).count() == 0
+
+
+def test_metric_reports_read_each_table_once_or_twice(spark, silver):
+    """The metric table reads the facts once and customers twice (rows, ids); reports read only it."""
+    from churnlens.operators import metrics as ME
+    raw = {t: spark.read.parquet(silver[t].inputFiles()[0].rsplit("/", 2)[0] + f"/bronze/{t}") for t in S.TABLES}
+    plan = _final_plan(ME.measure(raw, TESTDATA_PARAMS))
+    scans = [x for x in plan.splitlines() if "Scan parquet" in x]
+    assert [sum(f"bronze/{t}" in x for x in scans) for t in S.TABLES] == [2, 1, 1, 1]

@@ -207,8 +207,13 @@ def test_quoted_line_breaks_are_counted_or_read(spark, tmp_dir):
     pd.DataFrame({"ticket_id": ["1", "2"], "customer_id": ["a", "b"], "created_date": ["2024-01-01"] * 2,
                   "priority": ["low"] * 2, "category": ["two\nlines", "y"], "resolved": ["No", "Yes"],
                   }).to_csv(f"{tmp_dir}/{S.RAW_FILES[S.TICKETS]}", index=False)
-    count = {r.table_name: r.malformed_rows for r in malformed_rows(spark, tmp_dir).collect()}
+    by_line = ChurnParams(csv_multiline=False)
+    count = {r.table_name: r.malformed_rows for r in malformed_rows(spark, tmp_dir, by_line).collect()}
     assert count[S.TICKETS] > 0 and count[S.USAGE] == 0
+    count = {r.table_name: r.malformed_rows for r in malformed_rows(spark, tmp_dir).collect()}
+    assert count[S.TICKETS] == count[S.USAGE] == 0  # by default the file is found and read whole
+    found = read_raw_csv(spark, f"{tmp_dir}/{S.RAW_FILES[S.TICKETS]}", S.TICKETS).orderBy("ticket_id").collect()
+    assert [(r.customer_id, r.category, r.resolved) for r in found] == [("a", "two\nlines", "No"), ("b", "y", "Yes")]
     whole = ChurnParams(csv_multiline=True)
     rows = read_raw_csv(spark, f"{tmp_dir}/{S.RAW_FILES[S.TICKETS]}", S.TICKETS, whole).orderBy("ticket_id").collect()
     assert [(r.customer_id, r.category, r.resolved) for r in rows] == [("a", "two\nlines", "No"), ("b", "y", "Yes")]
@@ -222,3 +227,105 @@ def test_single_layout_dates_with_a_time_and_a_layout_per_column(spark):
     assert [str(r[0]) for r in df.select(parse_date("v", "yyyy-M-d")).collect()] == ["2024-01-02"] * 3 + ["None"]
     p = ChurnParams(column_date_formats=(("subscriptions", "churn_date", "M/d/yyyy"),))
     assert p.date_format("subscriptions", "churn_date") == "M/d/yyyy" and p.date_format("usage", "month") == "yyyy-M-d"
+
+
+def test_only_files_with_quoted_line_breaks_are_read_whole(spark, tmp_dir):
+    """Two clean files stay split into many tasks; the third, with breaks and quotes, is read by one, and all
+    rows come as pandas reads them."""
+    from churnlens.sources.csv import files_with_open_quotes
+    folder = f"{tmp_dir}/support_tickets.csv"
+    os.makedirs(folder)
+    frames = []
+    for k in range(3):
+        n = 400
+        text = ["two\nlines", 'a "b",\r\nc', "plain", "one, two"] if k == 1 else ["plain", "one, two", 'in "quotes"', "x"]
+        frames.append(pd.DataFrame({
+            "ticket_id": [f"{k}-{i}" for i in range(n)], "customer_id": ["c"] * n, "created_date": ["2024-01-01"] * n,
+            "priority": ["low"] * n, "category": [text[i % 4] for i in range(n)], "resolved": ["No"] * n}))
+        frames[-1].to_csv(f"{folder}/part-{k}.csv", index=False)
+    assert [f.rsplit("/", 1)[1] for f in files_with_open_quotes(spark, folder)] == ["part-1.csv"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        raw = read_raw_csv(spark, folder, S.TICKETS)
+        where = raw.withColumn("task", F.spark_partition_id()).groupBy(F.col(f"{S.INGEST_ORDER}.file").alias("file")).agg(
+            F.countDistinct("task").alias("tasks"))
+        tasks = {r.file.rsplit("/", 1)[1]: r.tasks for r in where.collect()}
+        assert tasks["part-0.csv"] > 3 and tasks["part-2.csv"] > 3 and tasks["part-1.csv"] == 1
+        got = {(r.ticket_id, r.category) for r in raw.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = pd.concat([pd.read_csv(f"{folder}/part-{k}.csv") for k in range(3)])
+    assert got == set(zip(want["ticket_id"], want["category"], strict=True)) and len(got) == 1200
+
+
+@pytest.mark.parametrize("first,others", [
+    ("13/04/2024", ["05/06/2024", "31/12/2023", "2024-01-01", "12/31/2024", "x", None, "1/2/2024"]),
+    ("05/04/2024", ["06/07/2024", "13/04/2024", "2024-01-01", None, "1/2/2024"]),
+    ("2024-03-05", ["2024-12-31", "05/06/2024", "2024-13-01", "x", None]),
+    ("2024/03/05", ["2024/12/31", "05/06/2024", "2024-03-05", None]),
+    ("20240305", ["20241231", "2024-03-05", None]),
+    ("5.4.2024", ["13.4.2024", "6.7.2024", "2024-03-05", None]),
+])
+def test_a_columns_layout_is_that_of_its_first_value(spark, tmp_dir, first, others):
+    """As pandas.to_datetime infers it, without a parameter."""
+    import warnings
+
+    from churnlens.operators.clean import clean_usage
+    values = [None, first, *others]
+    pd.DataFrame({"customer_id": ["a"] * len(values), "month": values, "logins": range(len(values)),
+                  "features_used": 1, "active_minutes": 1.0}).to_csv(f"{tmp_dir}/usage_monthly.csv", index=False)
+    raw = read_raw_csv(spark, f"{tmp_dir}/usage_monthly.csv", S.USAGE)
+    got = [r.month for r in clean_usage(raw, raw, ChurnParams()).orderBy("logins").collect()]
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        want = pd.to_datetime(pd.read_csv(f"{tmp_dir}/usage_monthly.csv", dtype={"month": str})["month"], errors="coerce")
+    assert got == [None if pd.isna(d) else d.date() for d in want]
+
+
+def test_layouts_are_found_while_the_query_runs(spark, tmp_dir):
+    """No job when the plan is built, no join in it; a named layout goes first; all rules use the same one."""
+    from churnlens.operators.clean import clean_subscriptions
+    from churnlens.operators.profile import subscription_rules
+    rows = {"customer_id": ["a", "b", "c"], "plan": ["p"] * 3, "mrr": [1.0] * 3, "contract_type": ["m"] * 3,
+            "signup_date": ["13/04/2024", "01/02/2024", "05/06/2024"], "churn_date": ["14/05/2024", "01/01/2024", None],
+            "status": ["Churned", "Churned", "Churned"]}
+    pd.DataFrame(rows).to_csv(f"{tmp_dir}/subscriptions.csv", index=False)
+    raw = read_raw_csv(spark, f"{tmp_dir}/subscriptions.csv", S.SUBSCRIPTIONS)
+    group = "layout-plan"
+    spark.sparkContext.setJobGroup(group, group)
+    df = clean_subscriptions(raw, ChurnParams())
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext._jsc.sc().clearJobGroup()
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [(str(r.signup_date), r.sub_flag) for r in df.orderBy("customer_id").collect()] == [
+        ("2024-04-13", ""), ("2024-02-01", "CHURN_BEFORE_SIGNUP"), ("2024-06-05", "")]
+    rules = subscription_rules(raw, ChurnParams()).first()
+    assert (rules.churn_before_signup, rules.churned_without_date) == (1, 1)
+    named = ChurnParams(column_date_formats=(("subscriptions", "signup_date", "M/d/yyyy"),))
+    assert [str(r.signup_date) for r in clean_subscriptions(raw, named).orderBy("customer_id").collect()] == ["None", "2024-01-02", "2024-05-06"]
+
+
+def test_one_sorted_csv_file(spark, tmp_dir):
+    from churnlens.sinks import write_csv_file
+    rows = [(f"c{(7 * i) % 500:03d}", i if i % 3 else None, i % 2 == 0, ["", "a,b", 'q "x"', " pad ", None, "two\nlines"][i % 6]) for i in range(500)]
+    df = spark.createDataFrame(rows, "customer_id string, n long, flag boolean, text string").repartition(7)
+    path = write_csv_file(df, f"{tmp_dir}/table.csv", ["customer_id"])
+    assert os.path.isfile(path) and os.listdir(tmp_dir) == ["table.csv"] or sorted(os.listdir(tmp_dir)) == [".table.csv.crc", "table.csv"]
+    got = pd.read_csv(path)
+    want = pd.DataFrame(sorted(rows), columns=["customer_id", "n", "flag", "text"])
+    want["text"] = want["text"].replace("", None)
+    pd.testing.assert_frame_equal(got, want.astype({"n": "float64"}), check_dtype=False)
+    assert open(path).read().count("customer_id") == 1
+    write_csv_file(df.limit(0), path, ["customer_id"])  # replaces the file; a header alone
+    assert open(path).read() == "customer_id,n,flag,text\n"
+
+
+def test_job_exports_single_files_and_buckets(spark, tmp_dir):
+    raw = raw_tables_from_testdata(spark, SF_SMALL)
+    written = job.run(spark, raw, f"{tmp_dir}/out", TESTDATA_PARAMS, csv_export=False, profile=False, buckets=4, single_csv=True)
+    gold = pd.read_csv(f"{tmp_dir}/out/export/{S.FEATURES}.csv")
+    assert len(gold) == spark.read.parquet(written[S.FEATURES]).count() and len(gold.columns) == 32
+    ids = gold["customer_id"].dropna().tolist()
+    assert ids == sorted(ids)
