@@ -7,12 +7,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlens.session import checkpoint_dir
 
 
+#: Rows of an Arrow batch that are Python values at once: texts may be long.
+SLICE = 256
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors share."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -27,6 +31,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def replaced(df: DataFrame, name: str, old: str | None) -> tuple[DataFrame, str]:
+    """``df`` written and read back, and its folder; the folder ``old`` of the table that it replaces is
+    removed, once the new one is whole. For rounds that each need only the last one's table."""
+    spark = df.sparkSession
+    path = run_folder(spark, name)
+    df.write.parquet(path)
+    if old:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like ``wanted`` that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def fold(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``; a null key counts as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus
@@ -52,15 +79,26 @@ def to_batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], schema: pa.Schema,
              ddl: str, batch: int = 4096) -> DataFrame:
-    """``fn`` turns the row tuples of a partition into output tuples; data moves in Arrow batches."""
+    """``fn`` turns the row tuples of a partition into output tuples; data moves in Arrow batches, of
+    which ``SLICE`` rows at a time become Python values."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for b in batches:
-                yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+                for at in range(0, b.num_rows, SLICE):
+                    yield from zip(*(c.to_pylist() for c in b.slice(at, SLICE).columns), strict=True)
         yield from batched(schema, fn(rows()), batch)
     return df.mapInArrow(run, ddl)
 
 
+def scored_by(score: Callable[[list], np.ndarray], text: Column) -> Column:
+    """``score`` of the texts, ``SLICE`` at a time, as a double column."""
+    @F.arrow_udf("double")
+    def run(batch: pa.Array) -> pa.Array:
+        parts = [score(batch.slice(at, SLICE).to_pylist()) for at in range(0, len(batch), SLICE)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+    return run(text)
+
+
 def open_fs(uri: str):
     """The Arrow file system and the path in it for a folder or file URI, as tasks use them to
     write and read the binary formats of this package (file, hdfs, s3 and gs URIs)."""
@@ -71,9 +109,15 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
-def files_by_task(manifest: DataFrame, files: int) -> DataFrame:
-    """One row per file, dealt so that every file is a task of its own as far as the cluster goes."""
-    return manifest.repartition(max(1, files), F.col("path"))
+def files_by_task(manifest: DataFrame, task_mb: int = 256) -> DataFrame:
+    """The rows of ``manifest`` (path, bytes, ...), dealt to tasks by their running bytes: at most about
+    ``task_mb`` a task, and less where that would leave cores idle. The running sum sees one row a file."""
+    spark = manifest.sparkSession
+    files, total = manifest.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, min(files, max(2 * spark.sparkContext.defaultParallelism, -(-total // (task_mb << 20)))))
+    before = F.coalesce(F.sum("bytes").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    task = F.least(F.floor(before * tasks / F.lit(max(1, total))), F.lit(tasks - 1)).cast("int")
+    return manifest.withColumn("task", task).repartitionById(tasks, F.col("task")).drop("task")
 
 
 def labelled_sample(labels: DataFrame, label: str, modulus: int, held_out: int, rows: int) -> DataFrame:

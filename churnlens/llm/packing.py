@@ -10,7 +10,10 @@ windows, are filled greedily from the rests that no combination took, which are
 left goes on to the next chunk, and at the end of a partition the last ids, less than a window, are
 cut into sequences whose lengths are powers of two. So no sequence needs padding.
 
-Each task packs the documents it reads; nothing is shuffled, and memory is bounded by a chunk. Which
+Each task packs the documents it reads; nothing is shuffled, and memory is bounded by a chunk and 256
+documents. Pieces share their document's buffer, so a long text costs its length. The larger a chunk,
+the less rounding down leaves to fill up windows with; at about a million ids nearly all windows of
+rests come from a combination, in a partition of any size. Which
 sequence a document lands in follows the input's partitioning; sequence_id holds the partition in its
 upper half.
 
@@ -45,11 +48,20 @@ class Piece(NamedTuple):
     start: int
     length: int
     doc_tokens: int
-    ids: bytes  # of the piece, four bytes each
+    ids: bytes  # four bytes each, of the document from ``base`` on
+    base: int = 0
 
     def cut(self, length: int) -> tuple[Piece, Piece]:
-        return (self._replace(length=length, ids=self.ids[:4 * length]),
-                self._replace(start=self.start + length, length=self.length - length, ids=self.ids[4 * length:]))
+        """Two pieces that share the buffer: nothing is copied."""
+        return self._replace(length=length), self._replace(start=self.start + length, length=self.length - length)
+
+    def own_ids(self) -> memoryview:
+        at = 4 * (self.start - self.base)
+        return memoryview(self.ids)[at:at + 4 * self.length]
+
+    def compact(self) -> Piece:
+        """The piece with a buffer of its own ids alone."""
+        return self._replace(ids=bytes(self.own_ids()), base=self.start)
 
 
 @lru_cache(maxsize=4)
@@ -84,6 +96,7 @@ def solve_nnls(a: np.ndarray, b: np.ndarray, rounds: int | None = None) -> np.nd
     """x >= 0 that minimises |a x - b|, by the active-set method."""
     n = a.shape[1]
     x, free = np.zeros(n), np.zeros(n, dtype=bool)
+    ridge = 1e-13 * max(1.0, float((a * a).sum(axis=0).max(initial=0.0)))  # for sets of dependent columns
     tolerance = 1e-9 * max(1.0, float(np.abs(b).max(initial=0.0)))
     for _ in range(rounds or 3 * a.shape[0]):
         gain = a.T @ (b - a @ x)
@@ -94,7 +107,8 @@ def solve_nnls(a: np.ndarray, b: np.ndarray, rounds: int | None = None) -> np.nd
         free[best] = True
         while True:
             own = np.flatnonzero(free)
-            z = np.linalg.lstsq(a[:, own], b, rcond=None)[0]
+            some = a[:, own]
+            z = np.linalg.solve(some.T @ some + ridge * np.eye(len(own)), some.T @ b)
             if (z > 1e-12).all():
                 x[:] = 0
                 x[own] = z
@@ -119,6 +133,7 @@ class Packer:
         self.sequence = first_sequence
         self.rests: list[Piece] = []
         self.out: list[tuple[Piece, int, int]] = []
+        self.combined = self.laid = 0  # windows of rests filled by a combination, and end to end
 
     def _close(self, pieces: list[Piece]) -> None:
         offset = 0
@@ -131,8 +146,8 @@ class Packer:
         while piece.length >= self.window:
             head, piece = piece.cut(self.window)
             self._close([head])
-        if piece.length:
-            self.rests.append(piece)
+        if piece.length:  # a long document's buffer doesn't wait with its rest
+            self.rests.append(piece.compact() if piece.start else piece)
 
     def pack(self) -> None:
         """Fill windows from the rests; less than a window stays."""
@@ -165,9 +180,11 @@ class Packer:
                 pool = [p for w in windows[i:] for p in w]
                 break
             self._close(held)
+            self.combined += 1
         pool.sort(key=lambda p: p.length)
         for _ in range(sum(p.length for p in pool) // self.window):
             self._lay(pool, self.window)
+            self.laid += 1
         self.rests = pool
 
     def _lay(self, queue: list[Piece], room: int) -> None:
@@ -194,7 +211,7 @@ class Packer:
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_id: int = 1, window: int = 2048,
-                   units: int = 64, depth: int = 4, chunk_ids: int = 4_000_000, with_ids: bool = True) -> DataFrame:
+                   units: int = 64, depth: int = 4, chunk_ids: int = 1_000_000, with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids."""
     tail = struct.pack("<I", end_id)
 
@@ -207,9 +224,9 @@ def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_i
         def rows() -> Iterator[tuple]:
             held = 0
             for batch in batches:
-                doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for at in range(0, len(texts), 256):
-                    for doc_id, ids in zip(doc_ids[at:at + 256], enc.encode(texts[at:at + 256]), strict=True):
+                for at in range(0, batch.num_rows, 256):
+                    doc_ids, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
+                    for doc_id, ids in zip(doc_ids, enc.encode(texts), strict=True):
                         ids += tail
                         n = len(ids) // 4
                         packer.add(Piece(doc_id, 0, n, n, ids))
@@ -223,8 +240,9 @@ def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_i
 
         def given() -> Iterator[tuple]:
             for p, sequence, offset in packer.out:
-                yield (p.doc_id, p.start, p.length, zlib.crc32(p.ids), p.doc_tokens, sequence, offset,
-                       p.ids if with_ids else None)
+                ids = p.own_ids()
+                yield (p.doc_id, p.start, p.length, zlib.crc32(ids), p.doc_tokens, sequence, offset,
+                       bytes(ids) if with_ids else None)
             packer.out.clear()
         yield from batched(PIECES, rows())
 

@@ -19,12 +19,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import fold, labelled_sample, logistic, map_rows, sampled_texts
+from churnlens.llm.common import fold, labelled_sample, logistic, map_rows, sampled_texts, scored_by
 
 FOLD, HELD_OUT, THRESHOLD = 4, 2, 0.7
 
@@ -97,6 +96,9 @@ class Discriminant:
             log_density[c] = -0.5 * ((z * z).sum(axis=0) + self.log_det[c])
         return log_density[1] - log_density[0] + np.log(self.share / (1 - self.share))
 
+    def score_texts(self, texts: list) -> np.ndarray:
+        return self.score(np.array([statistics(t) for t in texts]).reshape(len(texts), len(NAMES)))
+
     def score(self, x: np.ndarray) -> np.ndarray:
         if not self.trained:
             return np.full(len(x), self.share)
@@ -121,18 +123,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 40_000) -> Disc
     return fit(sampled_texts(docs, labelled_sample(labels, "quality", FOLD, HELD_OUT, sample_rows)))
 
 
-def scorer(model: Discriminant, text: Column) -> Column:
-    @F.pandas_udf("double")
-    def score(batch: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([statistics(t) for t in batch]).reshape(len(batch), len(NAMES))))
-    return score(text)
-
-
 def quality_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     model = train(docs, labels, **options)
     scored = docs.select("doc_id", (fold(F.col("doc_id"), FOLD) == HELD_OUT).alias("held_out"),
-                         scorer(model, F.col("text")).alias("score"))
+                         scored_by(model.score_texts, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -140,4 +135,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that the classifier doesn't reject, with all their columns. Without training rows
     of both classes it rejects none."""
     model = train(docs, labels, **options)
-    return docs.filter(scorer(model, F.col("text")) >= THRESHOLD) if model.trained else docs
+    return docs.filter(scored_by(model.score_texts, F.col("text")) >= THRESHOLD) if model.trained else docs

@@ -33,8 +33,9 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 WITH_CHECKSUM = 0x80
 
 MANIFEST = pa.schema([("part", pa.int32()), ("file_no", pa.int32()), ("path", pa.string()),
-                      ("docs", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())])
-MANIFEST_DDL = "part int, file_no int, path string, docs long, ids long, bytes long"
+                      ("docs", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64()), ("first_id", pa.int64()),
+                      ("last_id", pa.int64()), ("holds_null", pa.bool_())])
+MANIFEST_DDL = "part int, file_no int, path string, docs long, ids long, bytes long, first_id long, last_id long, holds_null boolean"
 READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                   ("ids_crc32", pa.int64()), ("ids", pa.binary())])
 READ_DDL = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
@@ -114,8 +115,8 @@ class SeekableReader:
 def write_token_files(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 2,
                       folder: str | None = None, file_mb: int = 64, level: int = 3) -> DataFrame:
     """Encode every whole text, append ``end_id`` and write the files in ascending doc_id order.
-    Returns the manifest (part, file_no, path, docs, ids, bytes), itself written: it names exactly
-    the files of the task attempts that Spark committed, whatever was lost or repeated."""
+    Returns the manifest (part, file_no, path, docs, ids, bytes, first_id and last_id of its documents,
+    holds_null: whether some have no id), itself written: it names exactly the files of the task attempts that Spark committed, whatever was lost or repeated."""
     spark = docs.sparkSession
     folder = folder or run_folder(spark, "token-files")
     tail = struct.pack("<I", end_id)
@@ -131,32 +132,37 @@ def write_token_files(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", en
         def rows() -> Iterator[tuple]:
             out, name, number = None, "", 0
             for batch in batches:
-                ids = batch.column(0).to_pylist()
-                texts = batch.column(1).to_pylist()
-                for at in range(0, len(ids), 512):
-                    for doc_id, got in zip(ids[at:at + 512], enc.encode(texts[at:at + 512]), strict=True):
+                for at in range(0, batch.num_rows, 256):
+                    ids, texts = (c.to_pylist() for c in batch.slice(at, 256).columns[:2])
+                    for doc_id, got in zip(ids, enc.encode(texts), strict=True):
                         if out is None:
                             name = f"tokens-{part:06d}-{number:04d}-{uuid.uuid4().hex}.zst"
                             out = SeekableWriter(fs.open_output_stream(f"{base}/{name}", compression=None), level)
+                            span = (None, None, False)
                         out.add(doc_id, got + tail)
+                        # doc_ids rise, nulls come last
+                        first, last, nulls = span
+                        span = (first, last, True) if doc_id is None else (doc_id if first is None else first, doc_id, nulls)
                         if out.bytes >= limit:
                             out.close()
-                            yield part, number, f"{folder}/{name}", len(out.entries), out.ids, out.bytes
+                            yield part, number, f"{folder}/{name}", len(out.entries), out.ids, out.bytes, *span
                             out, number = None, number + 1
             if out is not None:
                 out.close()
-                yield part, number, f"{folder}/{name}", len(out.entries), out.ids, out.bytes
+                yield part, number, f"{folder}/{name}", len(out.entries), out.ids, out.bytes, *span
         yield from batched(MANIFEST, rows())
 
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .repartitionByRange(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    # the row number parts equal rows, which may be a third of all
+    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                           F.monotonically_increasing_id().alias("row"))
+               .repartitionByRange(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), "row")
                .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text"))
     return written(ordered.mapInArrow(write, MANIFEST_DDL), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame, wanted: list[int] | None = None, with_ids: bool = True) -> DataFrame:
     """The documents of the files: doc_id, start (ids before it in the whole order), n_tokens,
-    ids_crc32, ids. ``wanted`` decompresses only the frames of those doc_ids."""
+    ids_crc32, ids. ``wanted`` opens only the files, and decompresses only the frames, of those doc_ids."""
     order = Window.orderBy("part", "file_no").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = manifest.withColumn("base", F.coalesce(F.sum("ids").over(order), F.lit(0)))
     keep = None if wanted is None else set(wanted)
@@ -174,7 +180,11 @@ def read_token_files(manifest: DataFrame, wanted: list[int] | None = None, with_
                         yield doc_id, start, n, zlib.crc32(ids), ids if with_ids else None
                     start += n
 
-    dealt = files_by_task(files.select("path", "base"), manifest.count())
+    if keep is not None:  # only files whose doc_ids span a wanted one are opened
+        known = F.array(*(F.lit(w).cast("long") for w in sorted(keep - {None})))
+        spans = F.exists(known, lambda w: w.between(F.col("first_id"), F.col("last_id")))
+        files = files.filter(F.coalesce(spans, F.lit(False)) | (F.lit(None in keep) & F.col("holds_null")))
+    dealt = files_by_task(files.select("path", "bytes", "base")).select("path", "base")
     return map_rows(dealt, read, READ, READ_DDL, batch=1024)
 
 

@@ -28,7 +28,7 @@ def vocabulary_path(name_or_path: str) -> str:
     return public_tokenizers.path(name_or_path)
 
 
-def encoder(name_or_path: str, cache_entries: int = 1_000_000) -> CachedEncoder:
+def encoder(name_or_path: str, cache_entries: int = 400_000) -> CachedEncoder:
     """The encoder of this Python worker for a vocabulary; opened once per worker."""
     key = (name_or_path, cache_entries)
     if key not in _OPEN:
@@ -38,8 +38,10 @@ def encoder(name_or_path: str, cache_entries: int = 1_000_000) -> CachedEncoder:
 
 class CachedEncoder:
     """``encode(texts)`` gives each text's ids as little-endian uint32 bytes, equal to
-    ``tokenizer.encode(text, add_special_tokens=False).ids``. The caches are emptied when they hold
-    ``cache_entries`` entries, so memory stays bounded and the ids are the same."""
+    ``tokenizer.encode(text, add_special_tokens=False).ids``. The caches hold at most about
+    ``cache_entries`` entries, half of them new: when these are full they replace the old half, from
+    which words that occur again come back, so memory is bounded, frequent words are learned once and
+    the ids are the same."""
 
     def __init__(self, path: str, cache_entries: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -51,6 +53,7 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cache_entries = cache_entries
         self.words: dict[str, bytes] = {}  # chunks; where spaces are kept, of a chunk with the space before it
+        self.old: dict[str, bytes] = {}  # the half of the words that were learned earlier
         self.bare: dict[str, bytes] = {}  # where spaces are kept: pre-tokens without one
         self.added = [t["content"] for t in spec.get("added_tokens") or ()]
         normal = spec.get("normalizer") or {}
@@ -128,8 +131,9 @@ class CachedEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; null counts as empty."""
-        if len(self.words) + len(self.bare) > self.cache_entries:
-            self.words.clear()
+        if 2 * len(self.words) > self.cache_entries:
+            self.old, self.words = self.words, {}
+        if 2 * len(self.bare) > self.cache_entries:
             self.bare.clear()
         words, spaced = self.words, self.keeps_space
         out: list[bytes] = [b""] * len(texts)
@@ -150,7 +154,12 @@ class CachedEncoder:
                 del chunks[0]
             found = list(map(words.get, chunks))
             if None in found:
-                wanted.update([c for c, ids in zip(chunks, found, strict=True) if ids is None])
+                for c, ids in zip(chunks, found, strict=True):
+                    if ids is None:
+                        if (again := self.old.get(c)) is None:
+                            wanted.add(c)
+                        else:
+                            words[c] = again
             plan.append((k, head, chunks, found))
         self._learn(wanted, bare)
         odd = {}

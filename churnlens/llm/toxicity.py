@@ -31,12 +31,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import fold, labelled_sample, logistic, map_rows, sampled_texts
+from churnlens.llm.common import fold, labelled_sample, logistic, map_rows, sampled_texts, scored_by
 
 FOLD, HELD_OUT, THRESHOLD = 5, 0, 0.5
 STEMS = range(3, 8)
@@ -151,7 +150,7 @@ class Lexicon:
     def weight(self, word: str) -> float:
         w = self.seen.get(word)
         if w is None:
-            if len(self.seen) > 500_000:
+            if len(self.seen) > 200_000:
                 self.seen.clear()
             get = self.weights.get
             w = self.seen[word] = max((get(e, 0.0) for e in entries_of(word)), default=0.0)
@@ -239,7 +238,7 @@ def sketch(text: str | None) -> int:
     return min(map(zlib.crc32, map(b" ".join, zip(words, words[1:], words[2:], strict=False))))
 
 
-def lexicons(counts: pd.DataFrame, size: pd.DataFrame, least: int, ratio: float, entries: int) -> list[Lexicon]:
+def lexicons(counts, size: dict[tuple[int, int], int], least: int, ratio: float, entries: int) -> list[Lexicon]:
     """From document counts per entry and half the lexicons of half 0, half 1 and both."""
     out = []
     for halves in ([0], [1], [0, 1]):
@@ -301,18 +300,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 40_000, least:
     return Model(both, logistic(x, sums["label"].to_numpy(dtype=float)), 0.0)
 
 
-def scorer(model: Model, text: Column) -> Column:
-    @F.pandas_udf("double")
-    def score(batch: pd.Series) -> pd.Series:
-        return pd.Series(model.score(list(batch)))
-    return score(text)
-
-
 def toxicity_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     model = train(docs, labels, **options)
     scored = docs.select("doc_id", (fold(F.col("doc_id"), FOLD) == HELD_OUT).alias("held_out"),
-                         scorer(model, F.col("text")).alias("score"))
+                         scored_by(model.score, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -320,4 +312,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that aren't judged toxic, with all their columns. Without training rows of both
     classes none is."""
     model = train(docs, labels, **options)
-    return docs if model.coefficients is None else docs.filter(scorer(model, F.col("text")) < THRESHOLD)
+    return docs if model.coefficients is None else docs.filter(scored_by(model.score, F.col("text")) < THRESHOLD)

@@ -197,7 +197,7 @@ def read_records(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
             with fs.open_input_stream(at, compression=None) as stream:
                 for record in members(stream):
                     yield record_row(record, with_payload)
-    return map_rows(files_by_task(manifest.select("path"), manifest.count()), read, RECORDS, RECORDS_DDL, batch=256)
+    return map_rows(files_by_task(manifest.select("path", "bytes")).select("path"), read, RECORDS, RECORDS_DDL, batch=256)
 
 
 def field(name: str):

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from churnlens.llm import packing, tokenfile
@@ -163,3 +164,74 @@ def test_copies_of_one_length_leave_less_than_a_window():
             assert offset == sizes.get(sequence, 0)
             sizes[sequence] = offset + p.length
         assert sum(n == 2048 for n in sizes.values()) == 1500 * length // 2048
+
+
+@pytest.fixture()
+def small_parts(spark):
+    """Partitions of small tables are not put together."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_only_files_that_span_a_wanted_id_are_opened(spark, small_parts):
+    """The manifest bounds each file's doc_ids: a file that is gone doesn't matter to others' documents."""
+    rows = [(k, f"some words of {k}") for k in range(400)] + [(None, "no id")]
+    manifest = tokenfile.write_token_files(documents(spark, rows).repartition(8))
+    files = manifest.orderBy("part").collect()
+    assert len(files) > 2 and files[0].first_id == 0 and files[-1].holds_null
+    assert all(a.last_id < b.first_id for a, b in zip(files, files[1:], strict=False) if b.first_id is not None)
+    gone = manifest.withColumn("path", F.when(F.col("part") == files[1].part, F.lit("/tmp/no-such-file")).otherwise(F.col("path")))
+    got = tokenfile.read_token_files(gone, wanted=[files[0].last_id, files[2].first_id, None]).collect()
+    assert {r.doc_id for r in got} == {files[0].last_id, files[2].first_id, None}
+    starts = {r.doc_id: r.start for r in tokenfile.read_token_files(manifest).collect()}
+    assert all(r.start == starts[r.doc_id] for r in got)
+
+
+def test_equal_rows_are_parted(spark, small_parts):
+    """A third of all rows, alike in doc_id and text, is written by several tasks."""
+    docs = documents(spark, [(None, "the same words again")] * 4000 + [(k, f"text {k}") for k in range(8000)]).repartition(8)
+    manifest = tokenfile.write_token_files(docs)
+    assert manifest.filter("holds_null").count() > 1
+    assert tokenfile.read_token_files(manifest).count() == 12_000
+
+
+def test_frequent_words_outlive_the_cache():
+    from churnlens.llm.tokens import CachedEncoder, vocabulary_path
+    tokenizer = reference("byte_bpe_50k.json")
+    enc = CachedEncoder(vocabulary_path("byte_bpe_50k.json"), 40)
+    for k in range(60):
+        text = f"always here word{k} other{k * 7} and-more{k % 3}, again"
+        assert enc.encode([text]) == [ids_of(tokenizer, text)]
+        assert len(enc.words) + len(enc.old) < 120
+
+
+def test_rests_come_from_combinations_in_a_partition_of_any_size():
+    """Twenty million ids in one partition, in chunks of the default size: nine windows of rests in ten
+    are filled by a combination."""
+    import inspect
+    chunk = inspect.signature(packing.pack_documents).parameters["chunk_ids"].default
+    rng = np.random.default_rng(3)
+    packer, held, total = packing.Packer(2048, 64, 4, 0), 0, 0
+    while total < 20_000_000:
+        n = int(min(60_000, rng.lognormal(6.2, 1.2))) + 1
+        packer.add(packing.Piece(0, 0, n, n, b""))
+        held, total = held + n % 2048, total + n
+        if held >= chunk:
+            packer.pack()
+            packer.out.clear()
+            held = sum(p.length for p in packer.rests)
+    packer.finish()
+    assert packer.combined >= 0.9 * (packer.combined + packer.laid)
+
+
+def test_a_very_long_text_is_cut_in_linear_time():
+    import time
+    ids = bytes(4 * 4_000_000)
+    packer = packing.Packer(2048, 64, 4, 0)
+    began = time.process_time()
+    packer.add(packing.Piece(1, 0, 4_000_000, 4_000_000, ids))
+    assert time.process_time() - began < 0.3
+    packer.finish()
+    assert sum(p.length for p, _, _ in packer.out) == 4_000_000
+    assert all(len(p.own_ids()) == 4 * p.length for p, _, _ in packer.out) and len(packer.out[-1][0].ids) < 4 * 2048
