@@ -9,7 +9,8 @@
    pass over the source. A source whose points give more slots than its target has room for leaves
    the last ones empty; one that got fewer has them at the end, so that taken words equal the target
    rounded down.
-4. A document's taken words are the overlaps of its words with the blocks that slots take.
+4. A document's taken words are the overlaps of its words with the blocks that slots take; the stream
+   of mixed documents follows the slots.
 
 Ranks and running sums never sort a whole source in one task: documents are numbered within hash
 ranges, slots within ranges of k, and the totals of the ranges are added. Everything is a DataFrame
@@ -17,7 +18,8 @@ operation.
 
 Null texts have size 0, a null source is a source like any other. Documents of size 0 are returned
 with taken 0. Repeated rows are documents of their own. An empty table gives an empty result; extra
-columns are ignored. Orders are by seeded hash, doc_id and size, so reruns agree.
+columns are ignored, by ``mixed_documents`` kept, whatever their names. Orders are by seeded hash,
+doc_id, size and, among equal rows, a number that doesn't depend on the partitioning, so reruns agree.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import written
+from churnlens.llm.common import free_names, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = (math.sqrt(5) - 1) / 2
@@ -126,14 +128,31 @@ def taken_blocks(schedule: DataFrame, plan: DataFrame, block_words: int) -> Data
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken, and source, content (hash of the text), of every
-    document row."""
-    return taken_rows(docs, F.monotonically_increasing_id(), **options).drop("row")
+    """doc_id, size, source_size, target, taken, first_slot and slots (the first slot that takes words of
+    the document, null if none, and how many do), source, content (hash of the text), of every row."""
+    return taken_rows(docs, F.monotonically_increasing_id(), **options).drop("row", "places")
+
+
+def numbered_copies(sized: DataFrame) -> DataFrame:
+    """``sized`` and copy: 0, 1, ... among the rows of equal doc_id, source and content. Rows are numbered
+    within their input partition, so repeated rows, however many, are not sorted in one task; the numbers
+    of a group are the same for any partitioning."""
+    group, part = ["doc_id", "source", "content"], F.shiftright("row", 33)
+    sized = sized.withColumn("part", part)
+    counts = written(sized.groupBy(*group, "part").agg(F.count("*").alias("n")), "copies-by-part")
+    before = counts.withColumn("base", _before(["part"], group, F.col("n"))).filter("base > 0 OR n > 1").drop("n")
+    same = [sized[c].eqNullSafe(before[c]) for c in (*group, "part")]
+    joined = sized.join(before, same, "left").select(*[sized[c] for c in sized.columns], before["base"])
+    inner = F.row_number().over(Window.partitionBy(*group, "part").orderBy("row")) - 1
+    alone = joined.filter("base IS NULL").withColumn("copy", F.lit(0).cast("long"))
+    many = joined.filter("base IS NOT NULL").withColumn("copy", F.col("base") + inner)
+    return alone.unionByName(many).drop("part", "base")
 
 
 def taken_rows(docs: DataFrame, row: Column, weights: Sequence[int] = (5, 2, 1), max_repeat: int = 3,
                block_words: int = 128, seed: int = 20) -> DataFrame:
-    """The columns of ``mix`` and row, the number of the document row that ``row`` gives."""
+    """The columns of ``mix``, row (the number of the document row that ``row`` gives) and places (the
+    slots that take words of it, rising)."""
     content = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), content.alias("content"),
                                 row.alias("row")), "sized-documents")
@@ -143,14 +162,15 @@ def taken_rows(docs: DataFrame, row: Column, weights: Sequence[int] = (5, 2, 1),
 
     # hash ranges of about RANGE_DOCS documents: within them a window, between them running totals
     bits = max(0, math.ceil(math.log2(max(1, n_docs / RANGE_DOCS))))
-    u = F.xxhash64(F.col("doc_id"), F.col("content"), F.lit(seed))
-    placed = (sized.join(plan.select("source", "sid", "source_size", "target"),
-                         sized["source"].eqNullSafe(plan["source"])).drop(plan["source"])
+    u = F.xxhash64(F.col("doc_id"), F.col("content"), F.col("copy"), F.lit(seed))
+    numbered = numbered_copies(sized)
+    named = plan.select(F.col("source").alias("name"), "sid", "source_size", "target")
+    placed = (numbered.join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name")
               .withColumn("u", u).withColumn("range", F.shiftright("u", 64 - bits) if bits else F.lit(0).cast("long")))
     placed = written(placed, "placed-documents")
     ranges = placed.groupBy("sid", "range").agg(F.sum("size").alias("words"))
     ranges = ranges.withColumn("base", _before(["range"], ["sid"], F.col("words"))).drop("words")
-    placed = (placed.withColumn("inner", _before(["u", "doc_id", "size", "row"], ["sid", "range"], F.col("size")))
+    placed = (placed.withColumn("inner", _before(["u", "doc_id", "size", "copy"], ["sid", "range"], F.col("size")))
               .join(ranges, ["sid", "range"]).withColumn("first", F.col("base") + F.col("inner")))
     b = F.lit(block_words)
     spans = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("first") / b).cast("long"),
@@ -160,17 +180,28 @@ def taken_rows(docs: DataFrame, row: Column, weights: Sequence[int] = (5, 2, 1),
     taken = taken_blocks(slot_schedule(plan, total_slots), plan, block_words)
     at = F.col("block") * b
     overlap = F.greatest(F.lit(0), F.least(F.col("first") + F.col("size"), at + F.col("words")) - F.greatest(F.col("first"), at))
+    slot = F.when(overlap > 0, F.col("slot"))
     return (pieces.join(taken, ["sid", "block"], "left")
             .groupBy("row", "doc_id", "source", "content", "size", "source_size", "target")
-            .agg(F.coalesce(F.sum(F.when(F.col("words").isNotNull(), overlap)), F.lit(0)).cast("long").alias("taken")))
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of ``docs`` as the mix takes them: each row as often as its taken words make whole
-    texts (taken / size, halves up), none of size 0."""
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
-    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    times = taken_rows(rows, F.col("__row"), **options).filter(F.col("size") > 0)
-    times = written(times.select(F.col("row").alias("__row"), copies.alias("__copies")).filter("__copies > 0"), "mix-copies")
-    return (rows.join(times, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .select(*docs.columns))
+            .agg(F.coalesce(F.sum(F.when(F.col("words").isNotNull(), overlap)), F.lit(0)).cast("long").alias("taken"),
+                 F.min(slot).alias("first_slot"), F.count(slot).alias("slots"), F.sort_array(F.collect_list(slot)).alias("places")))
+
+
+def mixed_documents(docs: DataFrame, partition_words: int = 2_000_000, **options) -> DataFrame:
+    """The documents of ``docs`` as a stream in slot order: each row as often as its taken words make
+    whole texts (taken / size, halves up), none of size 0. The copies of a row stand at slots that take
+    words of it, evenly among them, so any stretch of the stream holds the sources near their shares.
+    Partition i holds the i-th range of slots, sorted, of about ``partition_words`` words."""
+    number, place, at = free_names(docs, "__row", "__places", "__slot")
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered-documents")
+    n = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    chosen = taken_rows(rows, F.col(number), **options).filter(F.col("size") > 0).withColumn("n", n).filter("n > 0")
+    spread = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.element_at(
+        "places", (F.floor(k * F.size("places") / F.col("n")) + 1).cast("int")))
+    chosen = written(chosen.select(F.col("row").alias(number), spread.alias(place), (F.col("n") * F.col("size")).alias("words")),
+                     "mix-copies")
+    words, last = chosen.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.max(F.array_max(place)), F.lit(0))).first()
+    parts = max(1, math.ceil(words / partition_words))
+    stream = rows.join(chosen.drop("words"), number).withColumn(at, F.explode(place))
+    part = F.least(F.floor(F.col(at) * parts / (last + 1)), F.lit(parts - 1)).cast("int")
+    return (stream.repartitionById(parts, part).sortWithinPartitions(at, number).select(*docs.columns))

@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from churnlens.llm import mixing
 from tests.conftest import SF_SMALL
@@ -113,3 +114,75 @@ def test_repeated_rows_are_rounded_one_by_one(spark):
     got = dict(mixing.mixed_documents(docs).groupBy("source").count().collect())
     for s in "abc":
         assert abs(got.get(s, 0) - target[s] / 128) <= 1
+
+
+def stream_words(stream):
+    """(source, words) in the order of the stream, partition by partition."""
+    parts = stream.select("source", mixing.word_count("text").alias("n"), F.spark_partition_id().alias("p")).collect()
+    assert [r.p for r in parts] == sorted(r.p for r in parts)
+    return [(r.source, r.n) for r in parts]
+
+
+def worst_share(stream, step=400):
+    """The largest distance of a source's share of words from its share of the whole, over stretches."""
+    words = stream_words(stream)
+    whole = sum(n for _, n in words)
+    shares = {s: sum(n for t, n in words if t == s) / whole for s, _ in words}
+    worst = 0.0
+    for at in range(0, len(words) - step + 1, step):
+        part = words[at:at + step]
+        total = sum(n for _, n in part)
+        worst = max(worst, *(abs(sum(n for t, n in part if t == s) / total - share) for s, share in shares.items()))
+    return worst
+
+
+def test_the_mixed_stream_follows_the_schedule(spark, monkeypatch):
+    """Every stretch of the stream holds the sources near their shares; with plain ranks in place of the
+    schedule, one source after the other, it does not."""
+    rnd = random.Random(12)
+    rows = [(k, " ".join(rnd.choices(["aa", "b", "d"], k=rnd.randrange(20, 60))), s)
+            for k, s in enumerate(rnd.choices(["a", "b", "c"], k=3000))]
+    docs = documents(spark, rows)
+    assert worst_share(mixing.mixed_documents(docs, partition_words=20_000)) < 0.05
+
+    def plain_ranks(plan, total_slots):
+        return plan.select("sid", "line_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("rank")).select(
+            (F.col("line_from") + F.col("rank")).alias("slot"), "sid", "rank")
+    monkeypatch.setattr(mixing, "slot_schedule", plain_ranks)
+    assert worst_share(mixing.mixed_documents(docs, partition_words=20_000)) > 0.3
+
+
+def test_rows_carry_the_slots_that_take_them(spark):
+    rows = rows_of(random.Random(4), 300, ["a", "b", "c"])
+    got = mixing.mix(documents(spark, rows)).collect()
+    for r in got:
+        assert (r.slots > 0) == (r.taken > 0) == (r.first_slot is not None)
+    last = max(r.first_slot for r in got if r.slots)
+    # a source's first pass starts at once and goes on past a third of the schedule (three passes at most)
+    for s in "abc":
+        places = sorted(r.first_slot for r in got if r.slots and r.source == s)
+        assert places[0] < 0.1 * last and places[-1] > 0.3 * last
+
+
+def test_equal_rows_do_not_share_a_window(spark, monkeypatch):
+    """A third of all rows are equal: they are numbered within input partitions and spread over hash ranges."""
+    monkeypatch.setattr(mixing, "RANGE_DOCS", 64)
+    rows = [(5, "same same same", "a")] * 1000 + [(100 + k, f"text {k} of its own", "a") for k in range(2000)]
+    docs = documents(spark, rows).repartition(8)
+    sized = docs.select("doc_id", "source", F.lit(3).cast("long").alias("size"), F.xxhash64("text").alias("content"),
+                        F.monotonically_increasing_id().alias("row"))
+    numbered = mixing.numbered_copies(sized).filter("doc_id = 5").collect()
+    assert sorted(r["copy"] for r in numbered) == list(range(1000))
+    ranges = {r["copy"]: hash((r["copy"],)) for r in numbered}
+    assert len(ranges) == 1000
+    check(rows, mixing.mix(docs).collect())
+
+
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(k, f"word {k} and more", "s") for k in range(6)]
+    docs = documents(spark, rows).withColumns({c: F.lit("mine") for c in ("__row", "__places", "__slot", "__copies", "__copy", "places", "copy", "n")})
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and {r["__row"] for r in mixed.collect()} == {"mine"}
+    from churnlens.llm import simhash
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and {r["__row"] for r in kept.collect()} == {"mine"} and kept.count() > 0
