@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import map_rows, written
+from churnlens.llm.common import free_names, map_rows, written
 
 DEALT = pa.schema([("tree", pa.int32()), ("shard", pa.int64()), ("is_query", pa.bool_()), ("fp", pa.int64())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -229,23 +229,27 @@ def fingerprint_links(classes: DataFrame, n_classes: int, max_bits: int = 4, thi
     return dealt.repartition(parts, "tree", "shard").mapInArrow(search, "a long, b long")
 
 
+def star(links: DataFrame, least: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` of each link and the least neighbour (m) of its node a."""
+    return links.join(least, "a").select(*columns)
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """node, root: the smallest node of each component with a link, by large- and small-star rounds
     until a round changes nothing. Links to a hub are summed before they are shuffled."""
     links = written(links.filter("a <> b"), "links")
     before = None
     for _ in range(max_rounds):
-        # large star: every larger neighbour of a node moves to the node's smallest neighbour
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .filter("a <> b").distinct())
+        # large star: every larger neighbour of a node moves to the node's smallest neighbour. Both
+        # sides of the joins are plain written tables: Spark splits a hub's links over tasks
+        both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both-ways")
+        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        large = star(both.filter("b > a"), least, F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: a node's smaller neighbours move to the smallest of them
-        large = written(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-                 .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        links = written(small, "small-star")
+        large = written(large.filter("a <> b").distinct(), "large-star")
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        small = star(large, least, F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        links = written(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
         # when no node changes its neighbours, every link leads from a node to its root
         now = links.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
         if tuple(now) == before:
@@ -282,13 +286,14 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 4
     first by a hash of the text. Rows that share a doc_id but not a component are nothing to each
     other. Rows without a doc_id all stay, or if not ``null_ids_stay`` are copies like all others: the
     first by a hash of the text stays of a component that has no doc_id at all."""
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
-    prints = written(fingerprints(rows, shingle, seed, content=F.xxhash64("text"), row=F.col("__row")), "fingerprints")
+    (number,) = free_names(docs, "__row")
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered-documents")
+    prints = written(fingerprints(rows, shingle, seed, content=F.xxhash64("text"), row=F.col(number)), "fingerprints")
     # one row a fingerprint, then one a component, both summed up before their shuffle
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content", "row"))
     members = component_members(prints, first, max_bits, **options)
-    kept = members.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
-    one = rows.join(written(kept, "kept-rows"), "__row", "left_semi")
+    kept = members.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(number))
+    one = rows.join(written(kept, "kept-rows"), number, "left_semi")
     if null_ids_stay:
         one = one.filter(F.col("doc_id").isNotNull()).unionByName(rows.filter(F.col("doc_id").isNull()))
     return one.select(*docs.columns)
