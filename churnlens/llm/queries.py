@@ -65,18 +65,13 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha1(p.payload) AS payload_digest,
 FROM p LEFT JOIN held ON p.n >= 1000 AND p.payload = held.payload"""
 
 
-def url_sql(rules=URL_RULES, iterations: int = 12, damping: float = 0.85, block_ratio: float = 2.0) -> str:
-    """The same verdicts with the rounds of the propagation written out one after the other."""
+def url_sql(rules=URL_RULES, rounds: int = 400, damping: float = 0.85, block_ratio: float = 2.0, tolerance: float = 1e-6) -> str:
+    """The same verdicts with the propagation as a recursive sum of what flows in each round."""
     rows = ", ".join(f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for r, v in rules)
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     host = lower.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")
-    rounds = "".join(f""", r{k} AS (
-  SELECT kind, host, sum(rank) AS rank FROM (
-    SELECT kind, host, rank FROM r0
-    UNION ALL SELECT s.kind, s.dst, r.rank * s.share * {damping} FROM r{k - 1} r JOIN steps s ON s.kind = r.kind AND s.host = r.host
-  ) GROUP BY kind, host)""" for k in range(1, iterations + 1))
     return f"""
-WITH rules(rule_host, rule_path, rule, verdict) AS (VALUES {rows}), parts AS (
+WITH RECURSIVE rules(rule_host, rule_path, rule, verdict) AS (VALUES {rows}), parts AS (
   SELECT page_id, {host} AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, html
   FROM pages
 ), ruled AS (
@@ -99,13 +94,17 @@ WITH rules(rule_host, rule_path, rule, verdict) AS (VALUES {rows}), parts AS (
 ), r0 AS (
   SELECT CASE fit.verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*)::DOUBLE * {1 - damping} AS rank
   FROM ruled WHERE fit IS NOT NULL AND host <> '' GROUP BY ALL
-){rounds}, verdicts AS (
-  SELECT host, round(coalesce(sum(rank) FILTER (kind = 'trust'), 0), 9) AS trust,
-         round(coalesce(sum(rank) FILTER (kind = 'distrust'), 0), 9) AS distrust
-  FROM r{iterations} GROUP BY host
+), flow(kind, host, amount, k) AS (
+  SELECT kind, host, rank, 0 FROM r0
+  UNION ALL
+  SELECT f.kind, s.dst, sum(f.amount * s.share * {damping}), max(f.k) + 1 FROM flow f JOIN steps s ON s.kind = f.kind AND s.host = f.host
+  WHERE f.k < {rounds} GROUP BY f.kind, s.dst
+), verdicts AS (
+  SELECT host, coalesce(sum(amount) FILTER (kind = 'trust'), 0) AS trust, coalesce(sum(amount) FILTER (kind = 'distrust'), 0) AS distrust
+  FROM flow GROUP BY host
 )
 SELECT page_id, ruled.host, path, fit.rule AS rule,
-       coalesce(fit.verdict, CASE WHEN distrust > 0 AND distrust >= round({block_ratio} * trust, 9) THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(fit.verdict, CASE WHEN distrust > 0 AND distrust >= {block_ratio * (1 - tolerance)} * trust THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled LEFT JOIN verdicts ON verdicts.host = ruled.host"""
 
 

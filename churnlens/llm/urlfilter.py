@@ -3,8 +3,9 @@
 Personalised PageRank runs twice over the weighted host graph: trust starts at the hosts of pages
 that an allow rule fits and follows the links, distrust starts at the hosts of blocked pages and
 follows them backwards (who links to a blocked host is suspect). Seeds weigh as many as their host's
-pages so judged. A host is blocked when its distrust is above zero and at least ``block_ratio`` times
-its trust; both are rounded to nine digits first, so that the order of sums can't turn a verdict.
+pages so judged. Ranks are carried to their fixed point. A host is blocked when its distrust is above
+zero and at least ``block_ratio`` times its trust, within a small relative tolerance, so that the order
+of sums can't turn a verdict and a rank counts however small the fan-in of hubs makes it.
 
 Null or unparsable urls have an empty host and path, fit no rule, take no part in the graph and are
 allowed; null html has no links; repeated page_ids are judged row by row. Links to the page's own
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import written
+from churnlens.llm.common import replaced, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
@@ -80,46 +81,54 @@ def seeds_of(ruled: DataFrame) -> DataFrame:
     return judged.groupBy(kind.alias("kind"), "host").agg(F.count("*").cast("double").alias("seed"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, iterations: int = 12, damping: float = 0.85,
-              write_every: int = 3) -> DataFrame:
-    """kind, host, rank after ``iterations`` rounds of rank = (1-d) seed + d sum(rank_in * share).
-    The state enters each round once, so plans grow by one join a round; every ``write_every``
-    rounds it is written to the shared folder. A host without links passes nothing on."""
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-7,
+              max_rounds: int = 2000) -> DataFrame:
+    """kind, host, rank: the fixed point of rank = (1-d) seed + d sum(rank_in * share), by rounds that
+    start at the seeds and end when no host's rank grows by more than ``tolerance`` of itself, a host just
+    reached counting as one that did. A host without links passes nothing on. Each round reads and
+    writes plain tables, so the links of a hub are split over tasks; the table it replaces is removed."""
     both = (edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight")
             .unionByName(edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"),
                                       F.col("src").alias("dst"), "weight")))
-    out = both.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
+    both = written(both, "host-links")
+    out = written(both.groupBy("kind", "src").agg(F.sum("weight").alias("all")), "host-link-sums")
     steps = written(both.join(out, ["kind", "src"])
                     .select("kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("all")).alias("share")),
                     "host-steps")
     start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
-    if steps.isEmpty():  # nothing to follow: every round gives the start again
+    if steps.isEmpty():  # nothing to follow: the start is the fixed point
         return start
-    state = start
-    for k in range(iterations):
+    none = F.lit(0.0)
+    state, folder = start, None
+    for _ in range(max_rounds):
         flow = state.join(steps, ["kind", "host"]).select(
             "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
-        state = start.unionByName(flow).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if k % write_every == write_every - 1:
-            state = written(state, "host-rank")
-    return state
-
-
-def host_verdicts(ranks: DataFrame, block_ratio: float = 2.0) -> DataFrame:
-    """host, trust, distrust, blocked."""
-    rank = lambda kind: F.round(F.coalesce(
-        F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)), 9)
+        parts = start.unionByName(flow).withColumn("before", none).unionByName(
+            state.select("kind", "host", none.alias("rank"), F.col("rank").alias("before")))
+        now, folder = replaced(parts.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before")),
+                               "host-rank", folder)
+        state = now.select("kind", "host", "rank")
+        grown = now.agg(F.max((F.col("rank") - F.col("before")) / F.col("rank"))).first()[0]
+        if grown is None or grown <= tolerance:
+            return state
+    raise RuntimeError(f"ranks did not settle in {max_rounds} rounds")
+
+
+def host_verdicts(ranks: DataFrame, block_ratio: float = 2.0, tolerance: float = 1e-6) -> DataFrame:
+    """host, trust, distrust, blocked: distrust, however small, is compared with ``block_ratio`` times the
+    trust, less a relative ``tolerance`` for what the rounds and the order of sums leave open."""
+    def rank(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
     both = ranks.groupBy("host").agg(rank("trust").alias("trust"), rank("distrust").alias("distrust"))
     return both.withColumn("blocked", (F.col("distrust") > 0)
-                           & (F.col("distrust") >= F.round(block_ratio * F.col("trust"), 9)))
+                           & (F.col("distrust") >= block_ratio * (1 - tolerance) * F.col("trust")))
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], iterations: int = 12, damping: float = 0.85,
-               block_ratio: float = 2.0) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: Sequence[Rule], damping: float = 0.85, block_ratio: float = 2.0) -> DataFrame:
     """page_id, host, path, rule, verdict, and the host's trust and distrust, of every page."""
     ruled = written(with_rule(pages, rules), "ruled-pages")
     seeds = written(seeds_of(ruled), "host-seeds")
-    hosts = written(host_verdicts(propagate(seeds, host_edges(pages), iterations, damping), block_ratio),
+    hosts = written(host_verdicts(propagate(seeds, host_edges(pages), damping), block_ratio),
                     "host-verdicts")
     # both sides are plain written tables: a hot host's pages are split by the skew join
     judged = ruled.join(hosts, "host", "left")
