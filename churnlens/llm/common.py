@@ -17,6 +17,12 @@ from churnlens.session import checkpoint_dir
 SLICE = 256
 
 
+def release() -> None:
+    """Give freed Arrow buffers back to the system: its pool would keep those of the largest batch in a
+    Python worker that Spark uses again for later stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors share."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -86,7 +92,9 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], sc
             for b in batches:
                 for at in range(0, b.num_rows, SLICE):
                     yield from zip(*(c.to_pylist() for c in b.slice(at, SLICE).columns), strict=True)
+                release()
         yield from batched(schema, fn(rows()), batch)
+        release()
     return df.mapInArrow(run, ddl)
 
 
@@ -95,6 +103,7 @@ def scored_by(score: Callable[[list], np.ndarray], text: Column) -> Column:
     @F.arrow_udf("double")
     def run(batch: pa.Array) -> pa.Array:
         parts = [score(batch.slice(at, SLICE).to_pylist()) for at in range(0, len(batch), SLICE)]
+        release()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
     return run(text)
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import batched, open_fs, run_folder, written
+from churnlens.llm.common import batched, open_fs, release, run_folder, written
 
 # What separates terms.
 SEPARATORS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -105,6 +105,7 @@ def build_index(docs: DataFrame, shard_postings: int = 300_000) -> DataFrame:
                     if len(shard.term) >= shard_postings:
                         yield shard.row()
                         shard = ShardBuilder()
+            release()
         if shard.ids:
             yield shard.row()
 
@@ -291,6 +292,7 @@ def search_index(index: DataFrame, items: DataFrame, k: int = 10, leaf: int = 51
                         for score, doc in found:
                             yield item, shard.doc_ids[doc], score
                     seen += len(queries)
+            release()
 
     found = index.mapInArrow(lambda batches: batched(FOUND, rows(batches)), "item_id long, doc_id long, score long")
     place = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import batched
+from churnlens.llm.common import batched, release
 from churnlens.llm.tokens import encoder
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -235,8 +235,10 @@ def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_i
                         packer.pack()
                         held = sum(p.length for p in packer.rests)
                     yield from given()
+                release()
             packer.finish()
             yield from given()
+            release()
 
         def given() -> Iterator[tuple]:
             for p, sequence, offset in packer.out:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import batched, files_by_task, map_rows, open_fs, run_folder, written
+from churnlens.llm.common import batched, files_by_task, map_rows, open_fs, release, run_folder, written
 from churnlens.llm.tokens import encoder
 
 # Magic numbers of the zstandard seekable format and of its skippable frames.
@@ -147,6 +147,7 @@ def write_token_files(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", en
                             out.close()
                             yield part, number, f"{folder}/{name}", len(out.entries), out.ids, out.bytes, *span
                             out, number = None, number + 1
+                release()
             if out is not None:
                 out.close()
                 yield part, number, f"{folder}/{name}", len(out.entries), out.ids, out.bytes, *span

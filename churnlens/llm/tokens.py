@@ -28,7 +28,7 @@ def vocabulary_path(name_or_path: str) -> str:
     return public_tokenizers.path(name_or_path)
 
 
-def encoder(name_or_path: str, cache_entries: int = 400_000) -> CachedEncoder:
+def encoder(name_or_path: str, cache_entries: int = 300_000) -> CachedEncoder:
     """The encoder of this Python worker for a vocabulary; opened once per worker."""
     key = (name_or_path, cache_entries)
     if key not in _OPEN:
