@@ -5,7 +5,7 @@ the symbols of a clause: one carries the scope of a negation, one that of report
 of a target, and one turns insults and threats into marks. Their composition is a single table
 (state, symbol) -> (state, mark). A target or a report may also follow its insult or threat ("kill
 you", '"fool", he said'), so these two transducers read the clause from its end too, and the walk from
-its start gets what they saw; a mark says whether the insult or threat is plain, aimed at a target, negated or reported. A match weighs as its word; the
+its start gets what they saw, and whether a negation follows a threat; a mark says whether the insult or threat is plain, aimed at a target, negated or reported. A match weighs as its word; the
 matches of a document are summed per mark, and a logistic model on these sums gives the score, so how
 much a negated or reported insult counts is learned from the labels.
 
@@ -14,7 +14,8 @@ training documents those are taken that occur in at least ``least`` documents an
 toxic ones; a word's weight is the highest log ratio among the entries that it begins with. Documents
 that share a sketch (exact and nearly all near copies) count once, else the words of one much copied
 text would pass for insults. Sums for the logistic model come from the entries of the other half of
-the training documents. Threat, target, negation and report words are fixed lists in four languages.
+the training documents. Threat, target, negation and report words are fixed lists in four languages;
+how much a threat of any form weighs is the log ratio of the training documents that aim one.
 
 Training rows: at most ``sample_rows`` labelled rows outside the held-out fold, the first in the
 order of a hash of doc_id; at most ``entries`` lexicon entries, the heaviest. Texts alone enter a
@@ -29,10 +30,12 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm.common import fold, labelled_sample, logistic, map_rows, sampled_texts, scored_by
@@ -42,8 +45,16 @@ STEMS = range(3, 8)
 SCOPE = 4
 
 # Words of the grammar's closed classes (English, German, French, Spanish).
-THREATS = frozenset("kill hurt destroy attack beat burn shoot töten umbringen vernichten verletzen tuer frapper "
-                    "détruire matar destruir golpear".split())
+THREATS = frozenset("""
+kill kills killed killing hurt hurts hurting destroy destroys destroyed destroying attack attacks attacked attacking
+beat beats beaten beating burn burns burned burnt burning shoot shoots shot shooting
+töten töte tötest tötet tötete getötet umbringen umbringe umbringt umgebracht vernichten vernichte vernichtet verletzen
+verletze verletzt schlagen schlage schlägt geschlagen
+tuer tue tues tuez tuent tuerai tuera tueront tué frapper frappe frappes frappez frapperai frappé détruire détruis détruit
+détruirai
+matar mato mata matas matan mataré matará matarán mató matado destruir destruyo destruye destruiré destruido golpear
+golpeo golpea golpearé golpeado
+""".split())
 TARGETS = frozenset("you your yours they them he she him her du dich dir ihr euch sie er tu toi te vous ils elles "
                     "lui vosotros ustedes usted ellos él ella".split())
 NEGATIONS = frozenset("not no never none nobody neither nor nicht kein keine nie niemand ne pas jamais aucun "
@@ -54,7 +65,8 @@ REPORTS = frozenset("said says say called calls claimed wrote quoted sagte sagt
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 SYMBOLS = range(6)
 KINDS = ("plain", "aimed", "negated", "reported")
-FROM_END = tuple(map(frozenset, ((), ("aimed",), ("reported",), ("aimed", "reported"))))
+SEEN_LATER = ("aimed", "reported", "negated")
+FROM_END = tuple(frozenset(c) for n in range(len(SEEN_LATER) + 1) for c in combinations(SEEN_LATER, n))
 # A clause ends at a sentence end, a semicolon or a blank line, not at a colon or a line break, and not
 # where a quote closes right before its report ('"you fool!" he said').
 CLAUSE = re.compile(r"(?<![.!?;])[.!?;]++(?![\"'\u201c\u201d\u2019\u00ab\u00bb]\s*+,?\s*+(?:[^\W\d_]+\s+){0,2}(?:" + "|".join(sorted(REPORTS))
@@ -100,13 +112,13 @@ class Transducer:
         return out
 
 
-def scope(opens: int, flag: str) -> Transducer:
-    """Marks insults and threats within ``SCOPE`` words after the opening symbol (before it, if the
+def scope(opens: int, flag: str, of: tuple[int, ...] = (INSULT, THREAT)) -> Transducer:
+    """Marks the symbols ``of`` within ``SCOPE`` words after the opening symbol (before it, if the
     clause is read from its end)."""
     def step(state: int, flags: frozenset, symbol: int) -> tuple[int, frozenset]:
         if symbol == opens:
             return SCOPE, flags
-        if state and symbol in (INSULT, THREAT):
+        if state and symbol in of:
             flags = flags | {flag}
         return max(0, state - 1), flags
     return Transducer(SCOPE + 1, step)
@@ -132,7 +144,8 @@ def matcher() -> Transducer:
 
 GRAMMAR = (scope(NEGATION, "negated").then(rest_of_clause(REPORT, "reported"))
            .then(scope(TARGET, "aimed")).then(matcher()).table())
-AHEAD = rest_of_clause(REPORT, "reported").then(scope(TARGET, "aimed")).ahead()
+# A negation behind its verb turns a threat ("ich töte dich nicht"), not an insult.
+AHEAD = (rest_of_clause(REPORT, "reported").then(scope(TARGET, "aimed")).then(scope(NEGATION, "negated", (THREAT,)))).ahead()
 
 
 def entries_of(word: str) -> list[str]:
@@ -141,10 +154,10 @@ def entries_of(word: str) -> list[str]:
 
 
 class Lexicon:
-    """Entry weights, with the weights of words seen so far (bounded)."""
+    """Entry weights and the weight of a threat, with the weights of words seen so far (bounded)."""
 
-    def __init__(self, weights: dict[str, float]):
-        self.weights = weights
+    def __init__(self, weights: dict[str, float], threat: float = 1.0):
+        self.weights, self.threat = weights, threat
         self.seen: dict[str, float] = {}
 
     def weight(self, word: str) -> float:
@@ -157,7 +170,7 @@ class Lexicon:
         return w
 
     def __getstate__(self) -> dict:
-        return {"weights": self.weights, "seen": {}}
+        return {"weights": self.weights, "threat": self.threat, "seen": {}}
 
 
 def symbol(word: str, weight: float) -> int:
@@ -172,9 +185,6 @@ def symbol(word: str, weight: float) -> int:
     return TARGET if word in TARGETS else OTHER
 
 
-THREAT_WEIGHT = 1.0
-
-
 def marks(symbols: list[int]) -> Iterator[tuple[int, str]]:
     """(position, mark) of the matches of a clause: one walk from its end, one from its start."""
     state, ends = 0, []
@@ -206,8 +216,8 @@ def match(text: str | None, lexicon: Lexicon) -> list[float]:
         if INSULT not in symbols and THREAT not in symbols:
             continue
         for k, mark in marks(symbols):
-            sums[mark] += own[k][0] or THREAT_WEIGHT
-            total += own[k][0] or THREAT_WEIGHT
+            sums[mark] += own[k][0] or lexicon.threat
+            total += own[k][0] or lexicon.threat
         if total:
             clauses += 1
             heaviest = max(heaviest, total)
@@ -217,6 +227,17 @@ def match(text: str | None, lexicon: Lexicon) -> list[float]:
 
 
 SUMS = len(KINDS) + 4
+#: The lexicon entry that stands for threats of every form.
+ANY_THREAT = "threat!"
+
+
+def threatens(text: str | None) -> bool:
+    """Whether a clause aims a threat at someone, neither negated nor reported."""
+    low = (text or "").lower()
+    if THREATS.isdisjoint(WORD.findall(low)):
+        return False
+    return any(mark == "aimed" for clause in CLAUSE.split(low)
+               for _, mark in marks([symbol(w, 0.0) for w in WORD.findall(clause)]))
 
 
 class Model:
@@ -247,10 +268,13 @@ def lexicons(counts, size: dict[tuple[int, int], int], least: int, ratio: float,
         n_pos = sum(int(size.get((h, 1), 0)) for h in halves)
         n_neg = sum(int(size.get((h, 0), 0)) for h in halves)
         log = np.log((pos + 0.5) / (n_pos + 1.0)) - np.log((neg + 0.5) / (n_neg + 1.0))
-        good = np.flatnonzero((pos >= least) & (log >= ratio))
-        good = good[np.argsort(-(log * np.sqrt(pos))[good], kind="stable")][:entries]
         names = counts["entry"].to_numpy()
-        out.append(Lexicon({names[k]: float(log[k]) for k in good}))
+        threat = np.flatnonzero(names == ANY_THREAT)
+        # as heavy as the labels say; at its default where they say next to nothing
+        known = len(threat) and pos[threat[0]] + neg[threat[0]] >= least
+        good = np.flatnonzero((pos >= least) & (log >= ratio) & (names != ANY_THREAT))
+        good = good[np.argsort(-(log * np.sqrt(pos))[good], kind="stable")][:entries]
+        out.append(Lexicon({names[k]: float(log[k]) for k in good}, *([max(0.0, float(log[threat[0]]))] if known else [])))
     return out
 
 
@@ -271,7 +295,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 40_000, least:
     def count(rows: Iterator[tuple]) -> Iterator[tuple]:
         seen: dict[str, list[int]] = {}
         for label, h, text in rows:
-            for e in {e for w in set(WORD.findall((text or "").lower())) for e in entries_of(w)}:
+            words = {e for w in set(WORD.findall((text or "").lower())) for e in entries_of(w)}
+            for e in words | ({ANY_THREAT} if threatens(text) else set()):
                 seen.setdefault(e, [0, 0, 0, 0])[2 * h + label] += 1
             if len(seen) > 300_000:
                 yield from ((e, *c) for e, c in seen.items())
@@ -282,10 +307,16 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 40_000, least:
                       "entry string, " + ", ".join(f"{k} long" for k in kinds))
     counts = counts.groupBy("entry").agg(*(F.sum(k).alias(k) for k in kinds))
     toxic = F.col("pos0") + F.col("pos1")
-    heavy = counts.filter((toxic >= least) & (toxic >= 0.1 * (toxic + F.col("neg0") + F.col("neg1"))))
-    # at most ``entries`` of each lexicon are kept; what is looked at is bounded by the sample
-    found = heavy.orderBy(F.desc(toxic / (F.col("neg0") + F.col("neg1") + 1)), F.desc(toxic), "entry").limit(4 * entries).toPandas()
     size = {(r["half"], r["label"]): r["n"] for r in texts.groupBy("half", "label").agg(F.count("*").alias("n")).collect()}
+    # an entry is in a lexicon if its log ratio there is high enough, so in one of the three; of those that
+    # are, the heaviest by one measure (log ratio times the root of the toxic documents) come first
+    def log_ratio(halves: tuple[int, ...]) -> Column:
+        pos, neg = (reduce(lambda a, b: a + b, [F.col(f"{kind}{h}") for h in halves]) for kind in ("pos", "neg"))
+        n_pos, n_neg = (sum(size.get((h, label), 0) for h in halves) for label in (1, 0))
+        return F.log((pos + 0.5) / (n_pos + 1.0)) - F.log((neg + 0.5) / (n_neg + 1.0))
+    best = F.greatest(*[log_ratio(halves) for halves in ((0,), (1,), (0, 1))])
+    heavy = counts.filter((F.col("entry") == ANY_THREAT) | (toxic >= least) & (best >= ratio))
+    found = heavy.orderBy(F.col("entry") != ANY_THREAT, F.desc(best * F.sqrt(toxic)), "entry").limit(4 * entries).toPandas()
     n_pos, n = sum(v for (_, y), v in size.items() if y), sum(size.values())
     if not n_pos or n_pos == n:
         return Model(Lexicon({}), None, (n_pos + 0.5) / (n + 1.0))

@@ -154,3 +154,102 @@ def test_discriminant_separates_by_spread_alone():
     score = quality.Discriminant(x, y).score(x)
     assert ((score >= 0.5) == (y == 1)).mean() > 0.99
     assert quality.Discriminant(x[:1], y[:1]).score(x[:2]).tolist() == [0.75, 0.75]
+
+
+def test_discriminant_equals_explicit_inverses(spark):
+    """Scores of the operator against the textbook formula, with inverses and determinants in full, on the
+    same training rows."""
+    docs, marks = tables(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    label = {}
+    for r in marks.collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.doc_id in texts and r.quality in (0, 1):
+            label[r.doc_id] = max(r.quality, label.get(r.doc_id, 0))
+    ids = sorted(label)
+    x = np.array([quality.statistics(texts[i]) for i in ids])
+    y = np.array([label[i] for i in ids])
+    share, d = (y.sum() + 0.5) / (len(y) + 1.0), x.shape[1]
+    mean = {c: x[y == c].mean(axis=0) for c in (0, 1)}
+    cov = {c: np.cov(x[y == c].T, bias=True) for c in (0, 1)}
+    pooled = sum((y == c).sum() * cov[c] for c in (0, 1)) / len(y)
+    inverse, determinant = {}, {}
+    for c in (0, 1):
+        own = 0.1 + 0.9 * d / (d + (y == c).sum())
+        s = (1 - own) * cov[c] + own * pooled
+        s = 0.95 * s + 0.05 * np.diag(np.diag(s)) + np.diag(1e-6 + 1e-3 * np.diag(pooled))
+        inverse[c], determinant[c] = np.linalg.inv(s), np.linalg.det(s)
+
+    def odds(v):
+        density = {c: -0.5 * ((v - mean[c]) @ inverse[c] @ (v - mean[c]) + np.log(determinant[c])) for c in (0, 1)}
+        return np.arcsinh(density[1] - density[0] + np.log(share / (1 - share)))
+    train = np.array([odds(v) for v in x])
+    # the two coefficients of the calibration, by plain Newton steps
+    b = np.zeros(2)
+    a = np.column_stack([np.ones(len(y)), train])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag([1e-6, 0.1]), a.T @ (y - p) - np.array([1e-6, 0.1]) * b)
+        b += np.clip(step, -5, 5)
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs, marks).collect()}
+    assert got.keys() == texts.keys()
+    for i, t in texts.items():
+        v = np.array(quality.statistics(t))
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-np.clip(b[0] + b[1] * odds(v), -700, 700))), abs=1e-6)
+
+
+@pytest.mark.parametrize("text", ["he killed them", "er tötet dich", "je te tue", "te mato", "they were beating her", "ils vont vous frapper",
+                                  "wir vernichten euch", "los mataremos o te mataré", "ihr werdet von uns geschlagen sie"])
+def test_inflected_threats(text):
+    plain, aimed, negated, reported = (float(np.expm1(v)) for v in toxicity.match(text, toxicity.Lexicon({}))[:4])
+    assert aimed >= 1 and plain == negated == reported == 0
+
+
+def test_negations_behind_a_threat_turn_it():
+    kinds = lambda t: [round(float(np.expm1(v)), 6) for v in toxicity.match(t, toxicity.Lexicon({"fool$": 2.0}))[:4]]
+    assert kinds("ich töte dich nicht") == [0, 0, 1, 0] and kinds("je ne tue pas vous") == [0, 0, 1, 0]
+    assert kinds("ich töte dich. nicht") == [0, 1, 0, 0]  # another clause
+    assert kinds("you fool do not know") == [0, 2, 0, 0]  # an insult isn't turned by what follows
+
+
+def test_the_weight_of_threats_is_learned(spark):
+    """Documents that aim a threat: mostly toxic in one corpus, as often clean in another."""
+    def corpus(toxic_share):
+        rows, marks = [], []
+        for k in range(600):
+            threat, toxic = k % 4 == 0, (k // 4) % 100 < toxic_share if k % 4 == 0 else k % 12 == 1
+            words = " ".join("abcdefghij"[int(c)] * 3 for c in str(k * 7919))
+            rows.append((k, f"{words} we will kill you {words}" if threat else f"{words} a calm day {words}"))
+            marks.append((k, 1, int(toxic)))
+        return documents(spark, rows), labels(spark, marks)
+    heavy = toxicity.train(*corpus(95)).lexicon.threat
+    light = toxicity.train(*corpus(25)).lexicon.threat
+    assert heavy > 2 > light >= 0
+
+
+def test_match_equals_a_step_by_step_reading():
+    """The composed tables against plain rules applied word by word."""
+    lexicon = toxicity.Lexicon({"fool$": 2.0, "stup": 3.0})
+    vocabulary = ["fool", "stupid", "kill", "killed", "you", "them", "not", "never", "said", "a", "day", "calm", "tree"]
+    rng = np.random.default_rng(4)
+
+    def plain(words):
+        sums = dict.fromkeys(toxicity.KINDS, 0.0)
+        for k, w in enumerate(words):
+            insult, threat = lexicon.weight(w), w in toxicity.THREATS
+            if not insult and not threat:
+                continue
+            def within(of, places):
+                return any(0 <= p < len(words) and words[p] in of for p in places)
+            before, after = range(k - toxicity.SCOPE, k), range(k + 1, k + 1 + toxicity.SCOPE)
+            aimed = within(toxicity.TARGETS, before) or within(toxicity.TARGETS, after)
+            negated = within(toxicity.NEGATIONS, before) or (not insult and within(toxicity.NEGATIONS, after))
+            reported = any(x in toxicity.REPORTS for x in words)
+            if not insult and not aimed:
+                continue
+            kind = "negated" if negated else "reported" if reported else "aimed" if aimed else "plain"
+            sums[kind] += insult or lexicon.threat
+        return list(sums.values())
+    for _ in range(400):
+        words = rng.choice(vocabulary, rng.integers(1, 14)).tolist()
+        got = [float(np.expm1(v)) for v in toxicity.match(" ".join(words), lexicon)[:4]]
+        assert got == pytest.approx(plain(words)), words
