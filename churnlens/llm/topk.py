@@ -2,9 +2,11 @@
 
 Vectors are cut into segments; a segment's mean and standard deviation bound its part of a distance
 from below: |a-b|^2 >= n ((mean_a - mean_b)^2 + (dev_a - dev_b)^2). Summed over the segments this
-bounds the whole distance, more tightly the finer the segments. For each block of vectors the bounds
-are computed coarse to fine, and a vector is dropped for a query as soon as its bound passes the
-distance of the query's k-th best so far; what survives all levels is computed exactly.
+bounds the whole distance, more tightly the finer the segments. The bounds are computed coarse to fine,
+each level for the pairs that the coarser ones left, and a vector is dropped for a query as soon as its
+bound passes the distance of the query's k-th best so far; what survives all levels is computed exactly.
+A level that is measured to drop less than it costs is left out until a later trial shows a gain (for
+directions without any structure the coarse levels can drop nothing); which levels run changes no result.
 
 Scores are inner products of the integer components floor(scale * x): a score s is the squared
 distance |q|^2 + |c|^2 - 2 s, so the largest scores of a query are searched with the limit
@@ -62,55 +64,86 @@ def dots(qs: np.ndarray, vs: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.nda
     return np.array([min(max(s, -LONG), LONG - 1) for s in whole], dtype=np.int64)
 
 
-def search(k: int, chunk: int = 256):
-    """The search of one block for ``search_blocks``."""
+class Gains:
+    """What each level has dropped so far. A level is left out while it drops less than its cost, which
+    next to an exact product is about ``weight`` times its features per component; every ``again``-th
+    time it is tried all the same, so that it comes back where the vectors allow it."""
+
+    def __init__(self, levels: list[int], dim: int, weight: float = 0.05, first: int = 100_000, again: int = 32):
+        self.cost = [weight * 2 * n / dim for n in levels]
+        self.seen, self.dropped, self.passed = ([0] * len(levels) for _ in range(3))
+        self.first, self.again = first, again
+        self.exact = self.pairs = 0
+
+    def worth(self, level: int) -> bool:
+        if self.seen[level] < self.first or self.dropped[level] >= self.cost[level] * self.seen[level]:
+            return True
+        self.passed[level] += 1
+        return self.passed[level] % self.again == 0
+
+    def note(self, level: int, before: int, after: int) -> None:
+        self.seen[level] += before
+        self.dropped[level] += before - after
+
+
+def pair_bounds(q: np.ndarray, v: np.ndarray, norms: np.ndarray, alive: np.ndarray) -> np.ndarray:
+    """Lower bounds from features q and v where ``alive``; other places hold anything. Few pairs are
+    computed one by one, many by columns that have some."""
+    out = np.full(alive.shape, np.inf)
+    if alive.mean() < 0.05:
+        i, j = np.nonzero(alive)
+        out[i, j] = norms[i, j] - 2.0 * np.einsum("nd,nd->n", q[i], v[j])
+    else:
+        columns = np.flatnonzero(alive.any(axis=0))
+        out[:, columns] = norms[:, columns] - 2.0 * (q @ v[columns].T)
+    return out
+
+
+def search(k: int, chunk: int = 256, slab: int = 512, watch=None):
+    """The search of one block for ``search_blocks``. Vectors come in slabs: those of the first are
+    computed exactly where earlier blocks gave no k-th best, later ones pass the levels from coarse to
+    fine, each level for the pairs that are still alive, and only survivors of all are computed.
+    ``watch`` gets the gains of each block (pairs, exact products, seen and dropped per level)."""
     def run(qids: np.ndarray, qs: np.ndarray, ids: np.ndarray, vs: np.ndarray, held: Found | None) -> Found:
         qs, vs = qs.astype(np.float64), vs.astype(np.float64)
         levels = levels_of(qs.shape[1])
-        q_levels = [segment_features(qs, n) for n in levels]
-        v_levels = [segment_features(vs, n) for n in levels]
+        gains = Gains(levels, qs.shape[1])
+        features: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of the levels that are used
         q_norm, v_norm = (qs * qs).sum(axis=1), (vs * vs).sum(axis=1)
-        found = [held] if held is not None else []
+        found = []
         for at in range(0, len(qs), chunk):
             rows = np.arange(at, min(at + chunk, len(qs)))
-            own = ids[None, :] == qids[rows][:, None]
-            norms = q_norm[rows][:, None] + v_norm[None, :]
-            margin = 1e-9 * (norms + 1.0)
-
-            def lower(level: int, rows=rows, norms=norms) -> np.ndarray:
-                return norms - 2.0 * (q_levels[level][rows] @ v_levels[level].T)
-
-            # the k nearest by the finest bound give a first k-th best
-            fine = np.where(own, np.inf, lower(len(levels) - 1))
-            few = min(k, fine.shape[1])
-            near = np.argpartition(fine, few - 1, axis=1)[:, :few]
-            i, j = np.repeat(rows, few), near.ravel()
-            real = ids[j] != qids[i]
-            i, j = i[real], j[real]
-            first = (i, ids[j], dots(qs, vs, i, j))
-            so_far = [first]
+            top = None
             if held is not None:
                 mine = (held[0] >= rows[0]) & (held[0] <= rows[-1])
-                so_far.append(tuple(x[mine] for x in held))
-            qpos, _, score = best(so_far, k)
-            full = np.bincount(qpos, minlength=len(qs))[rows] >= k
-            kth = np.full(len(qs), np.inf)
-            np.minimum.at(kth, qpos, score.astype(np.float64))
-            limit = norms - 2.0 * np.where(full, kth[rows], -np.inf)[:, None] + margin
-
-            alive = ~own
-            columns = np.arange(len(ids))
-            for level in range(len(levels)):
-                keep = alive.any(axis=0)
-                columns, alive, limit, norms = columns[keep], alive[:, keep], limit[:, keep], norms[:, keep]
-                if level == len(levels) - 1:
-                    bound = fine[:, columns]
-                else:
-                    bound = norms - 2.0 * (q_levels[level][rows] @ v_levels[level][columns].T)
-                alive &= bound <= limit
-            i, j = np.nonzero(alive)
-            i, j = rows[i], columns[j]
-            found.append(best([(i, ids[j], dots(qs, vs, i, j))], k))
+                top = tuple(x[mine] for x in held)
+            for first in range(0, len(vs), slab):
+                columns = np.arange(first, min(first + slab, len(vs)))
+                alive = ids[columns][None, :] != qids[rows][:, None]
+                gains.pairs += int(alive.sum())
+                if top is not None and len(top[0]):
+                    full = np.bincount(top[0] - at, minlength=len(rows)) >= k
+                    kth = np.full(len(rows), np.inf)
+                    np.minimum.at(kth, top[0] - at, top[2].astype(np.float64))
+                    norms = q_norm[rows][:, None] + v_norm[columns][None, :]
+                    limit = norms - 2.0 * np.where(full, kth, -np.inf)[:, None] + 1e-9 * (norms + 1.0)
+                    for level, n in enumerate(levels):
+                        if not full.any() or not gains.worth(level):
+                            continue
+                        if level not in features:
+                            features[level] = segment_features(qs, n), segment_features(vs, n)
+                        q, v = features[level]
+                        before = int(alive[full].sum())
+                        alive &= pair_bounds(q[rows], v[columns], norms, alive) <= limit
+                        gains.note(level, before, int(alive[full].sum()))
+                i, j = np.nonzero(alive)
+                gains.exact += len(i)
+                i, j = rows[i], columns[j]
+                new = (i, ids[j], dots(qs, vs, i, j))
+                top = best([new] if top is None else [top, new], k)
+            found.append(top)
+        if watch is not None:
+            watch(gains)
         return best(found, k)
     return run
 

@@ -2,7 +2,8 @@
 
 Candidates are packed into blocks of ``block_rows`` vectors where they are read, queries into blocks
 of ``query_rows``; every pair of blocks meets in one row of an equi-join on (dimension, query block,
-slot), the query blocks being copied to the slots over which candidate blocks are dealt. A task
+slot), the query blocks being copied to the slots over which candidate blocks are dealt: as many as
+there are cores, a few times over. Candidate blocks are copied once per query block. A task
 keeps the best k of each query over all the blocks it sees, so each gives k rows a query at most, and
 a ranking per query follows. Only vectors of the same dimension are compared.
 """
@@ -94,11 +95,14 @@ def best(found: list[Found], k: int) -> Found:
 
 def search_blocks(queries: DataFrame, vectors: DataFrame, k: int, dtype: str, score_type: str,
                   search: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Found | None], Found],
-                  block_rows: int, query_rows: int) -> DataFrame:
+                  block_rows: int, query_rows: int, slots_per_core: int = 4) -> DataFrame:
     """query_id, rank, vec_id, score. ``search(query_ids, queries, vec_ids, vectors, held)`` gives the
     pairs of a query position and a vector that may be among the k best, held ones included."""
     n_queries, n_vectors = queries.count(), vectors.count()
-    blocks, slots = max(1, -(-n_queries // query_rows)), max(1, -(-n_vectors // block_rows))
+    # candidate blocks are dealt over at most a few slots a core: query blocks are copied to slots, so what
+    # is shuffled grows with the queries and the cluster, not with queries times vectors
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    blocks, slots = max(1, -(-n_queries // query_rows)), max(1, min(-(-n_vectors // block_rows), slots_per_core * cores))
     number = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("number")
     q = (packed(queries.select("vec_id", "v", number).repartition(blocks, "number"), dtype, query_rows, key="number")
          .select("dim", F.col("block").alias("qblock"), F.col("ids").alias("qids"), F.col("data").alias("qdata"),

@@ -69,6 +69,30 @@ def test_bounds_never_pass_the_distance():
         last = bound
 
 
+def test_levels_decide_before_exact_products():
+    """On vectors with structure the coarse levels leave few pairs for the finer ones and for exact
+    products; on directions without any they are left out, and results are the same either way."""
+    rng = np.random.default_rng(9)
+    smooth = np.repeat(rng.standard_normal((3000, 4)) * 900, 16, axis=1) + rng.standard_normal((3000, 64)) * 20
+    loose = rng.standard_normal((3000, 64)) * 100
+    for vectors, structured in ((np.floor(smooth), True), (np.floor(loose), False)):
+        ids = np.arange(3000)
+        gains = []
+        qs, qids = vectors[:60], ids[:60]
+        got = topk.search(10, watch=gains.append)(qids, qs, ids, vectors, None)
+        scores = qs @ vectors.T
+        scores[np.arange(60), np.arange(60)] = -np.inf
+        want = {(q, n) for q in range(60) for n in sorted(range(3000), key=lambda n: (-scores[q, n], n))[:10]}  # noqa: B023
+        assert set(zip(got[0].tolist(), got[1].tolist(), strict=True)) == want
+        g = gains[0]
+        if structured:
+            later = g.pairs - 60 * 512  # the first slab gives the first k-th best
+            assert g.exact < 60 * 512 + 0.1 * later
+            assert g.dropped[1] > 0.5 * g.seen[1] and g.seen[-1] < 0.2 * g.pairs
+        else:
+            assert g.dropped[0] == g.dropped[1] == 0 and g.seen[0] <= 200_000
+
+
 def test_large_components_are_exact(spark):
     rows = [(0, [3.0e7, -1.0], 0), (1, [2.0e5, 1.0], 0), (2, [-1.0, 5.0e5], 0)]
     got = topk.exact_top_k(embeddings(spark, rows))
