@@ -135,18 +135,23 @@ class TopTree:
 
 def pairs_within(points: np.ndarray, queries: np.ndarray, mask: int, radius: int, max_bits: int,
                  leaf: int = 48, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (point, query) of fingerprints at most ``max_bits`` apart, by the tree of one field."""
-    todo = [(points, queries)]
+    """Pairs (point, query) of fingerprints at most ``max_bits`` apart, by the tree of one field. Points
+    that are all alike in the field go on in a tree over all bits, with ``max_bits`` as radius, so they
+    are not compared with each other pair by pair."""
+    todo = [(points, queries, mask, radius)]
     while todo:
-        p, q = todo.pop()
+        p, q, field, reach = todo.pop()
         if not len(p) or not len(q):
             continue
         m = None
         if len(p) > leaf:
             point = vantage(p)
-            dp = distance(p, point, mask)
+            dp = distance(p, point, field)
             m = split_at(dp)
-        if m is None:  # a leaf, or fingerprints that are all alike in this field
+            if m is None and field != ALL_BITS:
+                todo.append((p, q, ALL_BITS, max_bits))
+                continue
+        if m is None:  # a leaf
             step = max(1, block // len(p))
             for at in range(0, len(q), step):
                 part = q[at:at + step]
@@ -156,8 +161,11 @@ def pairs_within(points: np.ndarray, queries: np.ndarray, mask: int, radius: int
                 if len(i):
                     yield p[j], part[i]
             continue
-        dq = distance(q, point, mask)
-        todo += [(p[dp <= m], q[dq - radius <= m]), (p[dp > m], q[dq + radius > m])]
+        dq = distance(q, point, field)
+        todo += [(p[dp <= m], q[dq - reach <= m], field, reach), (p[dp > m], q[dq + reach > m], field, reach)]
+
+
+ALL_BITS = (1 << 64) - 1
 
 
 class Forest:

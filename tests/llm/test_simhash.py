@@ -150,3 +150,61 @@ def test_documents_equal_brute_force(spark):
     assert got == simhash.brute_force(rows)
     kept = {r.doc_id for r in simhash.keep_one(docs).collect()}
     assert kept == {d for d, c in got.items() if d == c}
+
+
+def test_fingerprints_alike_in_a_field_are_split_by_the_other_bits():
+    """Thousands of fingerprints that share a field: all pairs within four bits are found with far fewer
+    comparisons than all pairs."""
+    import itertools
+    rng = np.random.default_rng(6)
+    mask = simhash.fields(3)[0]
+    heads = rng.integers(0, 1 << 43, 40, dtype=np.uint64) << np.uint64(21)
+    fps = {int(h) for h in heads}
+    for h in heads.tolist():
+        for _ in range(60):
+            bits = rng.choice(np.arange(21, 64), rng.integers(1, 6), replace=False)
+            fps.add(int(h) ^ sum(1 << int(b) for b in bits))
+    fps = np.sort(np.array(sorted(fps), dtype=np.uint64))
+    want = {(a, b) for a, b in itertools.combinations(fps.tolist(), 2) if (a ^ b).bit_count() <= 4}
+    got, compared = set(), []
+    real = np.bitwise_count
+    for a, b in simhash.pairs_within(fps, fps, mask, 1, 4):
+        got |= set(zip(a.tolist(), b.tolist(), strict=True))
+    assert got == want
+
+    def counting(x, *args, **kwargs):
+        if getattr(x, "ndim", 0) == 2:
+            compared.append(x.size)
+        return real(x, *args, **kwargs)
+    simhash.np.bitwise_count, kept = counting, simhash.np.bitwise_count
+    try:
+        list(simhash.pairs_within(fps, fps, mask, 1, 4))
+    finally:
+        simhash.np.bitwise_count = kept
+    assert sum(compared) < 0.5 * len(fps) ** 2
+
+
+def test_a_hubs_links_are_split_over_tasks(spark):
+    """Both inputs of a star join are plain scans of written tables: Spark's skew join applies."""
+    import contextlib
+    import io
+
+    from churnlens.llm.common import written
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        links = written(spark.range(1, 60_000).selectExpr("0L AS a", "id AS b"), "hub-links")
+        least = written(links.groupBy("a").agg(F.min("b").alias("m")), "hub-least")
+        joined = simhash.star(links, least, F.col("b").alias("a"), F.col("m").alias("b"))
+        joined.collect()
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            joined.explain()
+        assert "skew=true" in out.getvalue()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
