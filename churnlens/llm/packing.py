@@ -211,14 +211,16 @@ class Packer:
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_id: int = 1, window: int = 2048,
-                   units: int = 64, depth: int = 4, chunk_ids: int = 1_000_000, with_ids: bool = True) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids."""
+                   units: int = 64, depth: int = 4, chunk_ids: int = 1_000_000, with_ids: bool = True,
+                   cache_entries: int = 1_000_000) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids. A worker
+    remembers the ids of ``cache_entries`` words: more of them cost memory, fewer cost time."""
     tail = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary, cache_entries)
         packer = Packer(window, units, depth, TaskContext.get().partitionId() << 32)
 
         def rows() -> Iterator[tuple]:

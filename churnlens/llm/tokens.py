@@ -28,7 +28,7 @@ def vocabulary_path(name_or_path: str) -> str:
     return public_tokenizers.path(name_or_path)
 
 
-def encoder(name_or_path: str, cache_entries: int = 300_000) -> CachedEncoder:
+def encoder(name_or_path: str, cache_entries: int = 1_000_000) -> CachedEncoder:
     """The encoder of this Python worker for a vocabulary; opened once per worker."""
     key = (name_or_path, cache_entries)
     if key not in _OPEN:
@@ -135,7 +135,7 @@ class CachedEncoder:
             self.old, self.words = self.words, {}
         if 2 * len(self.bare) > self.cache_entries:
             self.bare.clear()
-        words, spaced = self.words, self.keeps_space
+        words, old, spaced = self.words, self.old, self.keeps_space
         out: list[bytes] = [b""] * len(texts)
         plan = []
         wanted: set[str] = set()
@@ -154,12 +154,11 @@ class CachedEncoder:
                 del chunks[0]
             found = list(map(words.get, chunks))
             if None in found:
-                for c, ids in zip(chunks, found, strict=True):
-                    if ids is None:
-                        if (again := self.old.get(c)) is None:
-                            wanted.add(c)
-                        else:
-                            words[c] = again
+                new = [c for c, ids in zip(chunks, found) if ids is None]  # noqa: B905  one length
+                if old:
+                    words.update([(c, old[c]) for c in new if c in old])
+                    new = [c for c in new if c not in old]
+                wanted.update(new)
             plan.append((k, head, chunks, found))
         self._learn(wanted, bare)
         odd = {}
