@@ -38,7 +38,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    # executors that went through four stages before have less room for remembered words
+    return packing.pack_documents(docs, cache_entries=200_000)
 
 
 STAGES: list[tuple[str, Stage]] = [("quality", good), ("toxicity", clean), ("near_duplicates", distinct),
