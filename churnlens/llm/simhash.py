@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import free_names, map_rows, written
+from churnlens.llm.common import free_names, map_rows, replaced, written
 
 DEALT = pa.schema([("tree", pa.int32()), ("shard", pa.int64()), ("is_query", pa.bool_()), ("fp", pa.int64())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -245,24 +245,30 @@ def star(links: DataFrame, least: DataFrame, *columns: Column) -> DataFrame:
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """node, root: the smallest node of each component with a link, by large- and small-star rounds
     until a round changes nothing. Links to a hub are summed before they are shuffled."""
-    links = written(links.filter("a <> b"), "links")
+    folders: dict[str, str] = {}
+
+    def now(df: DataFrame, name: str) -> DataFrame:
+        """``df`` written; the table of that name of the round before is removed."""
+        table, folders[name] = replaced(df, name, folders.get(name))
+        return table
+    links = now(links.filter("a <> b"), "links")
     before = None
     for _ in range(max_rounds):
         # large star: every larger neighbour of a node moves to the node's smallest neighbour. Both
         # sides of the joins are plain written tables: Spark splits a hub's links over tasks
-        both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both-ways")
-        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        both = now(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both-ways")
+        least = now(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = star(both.filter("b > a"), least, F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: a node's smaller neighbours move to the smallest of them
-        large = written(large.filter("a <> b").distinct(), "large-star")
-        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        large = now(large.filter("a <> b").distinct(), "large-star")
+        least = now(large.groupBy("a").agg(F.min("b").alias("m")), "least-of-large")
         small = star(large, least, F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        links = written(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+        links = now(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
         # when no node changes its neighbours, every link leads from a node to its root
-        now = links.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if tuple(now) == before:
+        state = links.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
+        if tuple(state) == before:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = tuple(now)
+        before = tuple(state)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

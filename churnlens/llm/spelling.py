@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import map_rows, written
+from churnlens.llm.common import map_rows, replaced, written
 
 RUNS = re.compile("[A-Za-zÀ-ÿ]+")
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
@@ -174,11 +174,11 @@ def near_pairs(vocabulary: DataFrame, shortest: int = 2, longest: int = 4, frequ
 
 def roots(forms: DataFrame, max_rounds: int = 40) -> DataFrame:
     """word, root of ``forms`` (word, form): each round doubles the steps followed."""
-    now = written(forms.select("word", F.col("form").alias("root")), "spelling-roots")
+    now, folder = replaced(forms.select("word", F.col("form").alias("root")), "spelling-roots", None)
     for _ in range(max_rounds):
         on = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        now = written(now.join(on, "root", "left").select(
-            "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
+        now, folder = replaced(now.join(on, "root", "left").select(
+            "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots", folder)
         if now.filter("moved").isEmpty():
             return now.select("word", "root")
     raise RuntimeError(f"forms did not end in {max_rounds} rounds")
