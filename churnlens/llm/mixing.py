@@ -202,6 +202,7 @@ def mixed_documents(docs: DataFrame, partition_words: int = 2_000_000, **options
                      "mix-copies")
     words, last = chosen.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.max(F.array_max(place)), F.lit(0))).first()
     parts = max(1, math.ceil(words / partition_words))
-    stream = rows.join(chosen.drop("words"), number).withColumn(at, F.explode(place))
+    # chosen rows are a share of all rows, so the join is by sorting at every size
+    stream = rows.join(chosen.drop("words").hint("merge"), number).withColumn(at, F.explode(place))
     part = F.least(F.floor(F.col(at) * parts / (last + 1)), F.lit(parts - 1)).cast("int")
     return (stream.repartitionById(parts, part).sortWithinPartitions(at, number).select(*docs.columns))

@@ -307,7 +307,8 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 4
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content", "row"))
     members = component_members(prints, first, max_bits, **options)
     kept = members.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(number))
-    one = rows.join(written(kept, "kept-rows"), number, "left_semi")
+    # kept rows are a share of all rows, so the join is by sorting at every size
+    one = rows.join(written(kept, "kept-rows").hint("merge"), number, "left_semi")
     if null_ids_stay:
         one = one.filter(F.col("doc_id").isNotNull()).unionByName(rows.filter(F.col("doc_id").isNull()))
     return one.select(*docs.columns)
