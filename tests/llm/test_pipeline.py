@@ -59,7 +59,7 @@ def test_without_labels_nothing_is_rejected(spark, tmp_path):
 def test_entry_registers_every_query_and_bears_their_absence():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op") and n[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in names if n.startswith("op") and n[2].isdigit()}
     assert "pipeline" in names and set(entry.oracle_sql()) <= names
     code = ("import sys\n"
             "class Gone:\n"
