@@ -42,6 +42,24 @@ def test_cached_ids_equal_the_library(name):
         assert enc.encode(part) == [ids_of(tokenizer, t) for t in part]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_word_is_learned_once_whatever_sign_follows(name):
+    tokenizer, enc = reference(name), CachedEncoder(vocabulary_path(name), 10_000)
+    texts = [f"so word{sign} and wörd{sign}\nword{sign}" for sign in [",", ".", ";", "!", "?!", ")", "...", ":"]]
+    assert enc.encode(texts) == [ids_of(tokenizer, t) for t in texts]
+    # so, and, word, wörd (with and without a space before them), eight signs, a line feed, a space
+    assert len(enc.words) <= 4 + 2 + 8 + 2
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@pytest.mark.parametrize("letters", ["ab's't're 'll d'm \n\n,.1", "aé×÷Ð \n«ª'—s'l —中١", "  a\n\n\t'— "])
+def test_pieces_are_the_pre_tokens_of_each_text(name, letters):
+    rnd, tokenizer, enc = random.Random(7), reference(name), CachedEncoder(vocabulary_path(name), 3000)
+    for _ in range(10):
+        texts = ["".join(rnd.choices(letters, k=rnd.randrange(30))) for _ in range(100)]
+        assert enc.encode(texts) == [ids_of(tokenizer, t) for t in texts]
+
+
 ENCODERS = {n: (reference(n), CachedEncoder(vocabulary_path(n), 10_000)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
 
 
