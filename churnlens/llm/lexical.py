@@ -3,8 +3,10 @@
 The index: each task cuts its documents into shards of at most about ``shard_postings`` postings. A
 shard holds the ids and lengths of its documents and, per term, the posting list (documents and
 occurrences). Documents of a shard are laid out by their most frequent term and length, so that
-neighbours are alike. One row is one shard; nothing is shuffled, and statistics over all documents
-(documents with a term N, terms L, documents per query term df) are sums over the shards.
+neighbours are alike. Tasks write the shards to files in the shared folder, a Parquet row group each, and
+read them there one at a time: no shard passes through Spark, whose table of the index has one short row a
+file. Statistics over all documents (documents with a term N, terms L, documents per query term df) are
+sums over the shards.
 
 The search of a shard: a posting's impact is what its term's occurrences add to the score before the
 term's weight. A sparse table over each needed posting list answers which posting of any range has the
@@ -33,16 +35,18 @@ batch to the rows Arrow hands over. Empty tables give an empty result; extra col
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import batched, open_fs, release, run_folder, written
+from churnlens.llm.common import batched, files_by_task, open_fs, release, run_folder, to_batch, written
 
 # What separates terms.
 SEPARATORS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -52,7 +56,10 @@ BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() els
 SHARD = pa.schema([("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
                    ("terms", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())),
                    ("docs", pa.binary()), ("tfs", pa.binary())])
-SHARD_DDL = "doc_ids array<long>, lengths array<long>, terms array<binary>, counts array<long>, docs binary, tfs binary"
+INDEX = pa.schema([("part", pa.int32()), ("path", pa.string()), ("bytes", pa.int64()), ("docs", pa.int64()),
+                   ("length", pa.int64())])
+INDEX_DDL = "part int, path string, bytes long, docs long, length long"
+POSTED = pa.schema([("term", pa.binary()), ("n", pa.int64())])
 FOUND = pa.schema([("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -94,26 +101,76 @@ class ShardBuilder:
                 doc[by_list].astype("<i4").tobytes(), np.array(self.tf, dtype="<i8")[by_list].tobytes())
 
 
-def build_index(docs: DataFrame, shard_postings: int = 300_000) -> DataFrame:
-    """The shards of ``docs`` (doc_id, text), written to the shared folder."""
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        shard = ShardBuilder()
+class ShardFile:
+    """A file that shards are appended to, a row group each."""
+
+    def __init__(self, folder: str, part: int):
+        import pyarrow.parquet as pq
+
+        fs, base = open_fs(folder)
+        fs.create_dir(base, recursive=True)
+        name = f"shards-{part:06d}-{uuid.uuid4().hex}.parquet"
+        self.part, self.path, self.docs, self.length = part, f"{folder}/{name}", 0, 0
+        self.stream = fs.open_output_stream(f"{base}/{name}", compression=None)
+        self.writer = pq.ParquetWriter(self.stream, SHARD, use_dictionary=["lengths.list.element", "counts.list.element"],
+                                       write_statistics=False)
+
+    def add(self, shard: ShardBuilder) -> int:
+        """Bytes of the file so far."""
+        self.writer.write_batch(to_batch(SHARD, [shard.row()]))
+        self.docs += len(shard.lengths)
+        self.length += sum(shard.lengths)
+        return self.stream.tell()
+
+    def close(self) -> tuple:
+        self.writer.close()
+        size = self.stream.tell()
+        self.stream.close()
+        return self.part, self.path, size, self.docs, self.length
+
+
+def read_shards(path: str, columns: list[str] | None = None) -> Iterator[pa.Table]:
+    """The shards of a file, one at a time."""
+    import pyarrow.parquet as pq
+
+    fs, at = open_fs(path)
+    with fs.open_input_file(at) as stream:
+        file = pq.ParquetFile(stream)
+        for k in range(file.num_row_groups):
+            yield file.read_row_group(k, columns=columns, use_threads=False)
+            release()
+
+
+def build_index(docs: DataFrame, shard_postings: int = 300_000, file_mb: int = 16) -> DataFrame:
+    """The index of ``docs`` (doc_id, text): part (task), path, bytes, docs and length (terms) of its files. The
+    files are in the shared folder; the table names those of the task attempts that Spark committed."""
+    spark = docs.sparkSession
+    folder = run_folder(spark, "lexical-index")
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        from pyspark import TaskContext
+
+        part, shard, file = TaskContext.get().partitionId(), ShardBuilder(), None
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 if words := terms_of(text.as_py() or b""):
                     shard.add(doc_id.as_py(), words)
                     if len(shard.term) >= shard_postings:
-                        yield shard.row()
+                        file = file or ShardFile(folder, part)
+                        if file.add(shard) >= file_mb << 20:
+                            yield file.close()
+                            file = None
                         shard = ShardBuilder()
             release()
         if shard.ids:
-            yield shard.row()
+            file = file or ShardFile(folder, part)
+            file.add(shard)
+        if file:
+            yield file.close()
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary"))
-    spark, path = docs.sparkSession, run_folder(docs.sparkSession, "lexical-index")
-    index = slim.mapInArrow(lambda batches: batched(SHARD, shards(batches), 1), SHARD_DDL)
-    index.write.option("parquet.block.size", 8 << 20).parquet(path)  # few shards at once in a reader
-    return spark.read.schema(SHARD_DDL).parquet(path)
+    index = slim.mapInArrow(lambda batches: batched(INDEX, files(batches)), INDEX_DDL)
+    return written(index.repartition("part"), "lexical-files")  # a few files, however many tasks there are
 
 
 def query_terms(items: DataFrame) -> DataFrame:
@@ -129,12 +186,24 @@ def weight(total: int, df: Column) -> Column:
     return F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * total + 2.0) / (F.lit(2.0) * df + F.lit(1.0))))
 
 
-def weighted_queries(index: DataFrame, items: DataFrame, total: int) -> DataFrame:
+def posting_lists(files: DataFrame, wanted: str, block: int = 65_536) -> DataFrame:
+    """term, n (documents) of the posting lists in the files (path) whose terms are written in ``wanted``."""
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                for shard in read_shards(path, ["terms", "counts"]):
+                    held = pa.table([pc.list_flatten(shard["terms"]), pc.list_flatten(shard["counts"])], schema=POSTED)
+                    for terms in written_blocks(wanted, block, ["term"]):
+                        yield from held.filter(pc.is_in(held["term"], terms.column(0))).to_batches()
+    return files.mapInArrow(lists, "term binary, n long")
+
+
+def weighted_queries(files: DataFrame, items: DataFrame, total: int) -> DataFrame:
     """item_id, terms, weights (times occurrences) of the query terms that some document holds."""
-    terms = written(query_terms(items), "lexical-query-terms")
-    posted = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("p")).select("p.terms", "p.counts")
-    wanted = terms.select(F.col("term").alias("terms")).distinct()
-    df = posted.join(wanted, "terms").groupBy(F.col("terms").alias("term")).agg(F.sum("counts").alias("df"))
+    terms, wanted = written(query_terms(items), "lexical-query-terms"), run_folder(files.sparkSession, "lexical-wanted")
+    terms.select("term").distinct().write.parquet(wanted)
+    # written, since a join would take it for as small as the table of the files
+    df = written(posting_lists(files, wanted).groupBy("term").agg(F.sum("n").alias("df")), "lexical-frequencies")
     weighed = terms.join(df, "term").withColumn("weight", F.col("n") * weight(total, F.col("df"))).filter("weight > 0")
     return weighed.groupBy("item_id").agg(F.collect_list(F.struct("term", "weight")).alias("p")).select(
         "item_id", F.col("p.term").alias("terms"), F.col("p.weight").alias("weights"))
@@ -252,8 +321,8 @@ class Search:
         return found
 
 
-def query_blocks(folder: str, rows: int) -> Iterator[list[tuple]]:
-    """The written queries in blocks of at most ``rows``, in the same order for every reader."""
+def written_blocks(folder: str, rows: int, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows written in a folder in batches of at most ``rows``, in the same order for every reader."""
     import pyarrow.parquet as pq
 
     fs, path = open_fs(folder)
@@ -262,39 +331,47 @@ def query_blocks(folder: str, rows: int) -> Iterator[list[tuple]]:
     for info in sorted(fs.get_file_info(FileSelector(path)), key=lambda i: i.path):
         if info.base_name.endswith(".parquet"):
             with fs.open_input_file(info.path) as f:
-                for batch in pq.ParquetFile(f).iter_batches(rows, columns=["item_id", "terms", "weights"]):
-                    yield list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+                yield from pq.ParquetFile(f).iter_batches(rows, columns=columns)
+
+
+def query_blocks(folder: str, rows: int) -> Iterator[list[tuple]]:
+    """The written queries in blocks of at most ``rows``."""
+    for batch in written_blocks(folder, rows, ["item_id", "terms", "weights"]):
+        yield list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
 
 
 def search_index(index: DataFrame, items: DataFrame, k: int = 10, leaf: int = 512, block: int = 256) -> DataFrame:
     """item_id, rank, doc_id, score: the ``k`` best documents of ``index`` for each item (item_id, text)."""
     spark = index.sparkSession
-    sums = index.agg(F.coalesce(F.sum(F.size("doc_ids")), F.lit(0)).alias("n"), F.coalesce(F.sum(
-        F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)), F.lit(0)).alias("l")).first()
-    total, length = int(sums["n"]), max(1, int(sums["l"]))
+    total, length = (int(n or 0) for n in index.agg(F.sum("docs"), F.sum("length")).first())
+    length = max(1, length)
+    files = files_by_task(index.select("path", "bytes"), task_mb=16).select("path")
     folder = run_folder(spark, "lexical-queries")
-    weighted_queries(index, items, total).write.parquet(folder)
+    weighted_queries(files, items, total).write.parquet(folder)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        floors: list[int] = []  # per query, the k-th best score of a shard
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
         for batch in batches:
-            for at in range(batch.num_rows):
-                shard = Shard(*(c[at].as_py() for c in batch.columns), total, length)
-                seen = 0
-                for queries in query_blocks(folder, block):
-                    floors += [1] * (seen + len(queries) - len(floors))
-                    maxima = RangeMaxima(shard, sorted({t for _, terms, _ in queries for t in terms}))
-                    search = Search(shard, maxima, k, leaf)
-                    for q, (item, terms, weights) in enumerate(queries, seen):
-                        found = search.run(terms, weights, floors[q])
-                        if len(found) == k:
-                            floors[q] = max(floors[q], found[-1][0])
-                        for score, doc in found:
-                            yield item, shard.doc_ids[doc], score
-                    seen += len(queries)
-            release()
+            for path in batch.column(0).to_pylist():
+                for shard in read_shards(path):
+                    yield Shard(*(c[0].as_py() for c in shard.columns), total, length)
 
-    found = index.mapInArrow(lambda batches: batched(FOUND, rows(batches)), "item_id long, doc_id long, score long")
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        floors: list[int] = []  # per query, the k-th best score of a shard
+        for shard in shards(batches):
+            seen = 0
+            for queries in query_blocks(folder, block):
+                floors += [1] * (seen + len(queries) - len(floors))
+                maxima = RangeMaxima(shard, sorted({t for _, terms, _ in queries for t in terms}))
+                search = Search(shard, maxima, k, leaf)
+                for q, (item, terms, weights) in enumerate(queries, seen):
+                    found = search.run(terms, weights, floors[q])
+                    if len(found) == k:
+                        floors[q] = max(floors[q], found[-1][0])
+                    for score, doc in found:
+                        yield item, shard.doc_ids[doc], score
+                seen += len(queries)
+
+    found = files.mapInArrow(lambda batches: batched(FOUND, rows(batches)), "item_id long, doc_id long, score long")
     place = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).select(
         "item_id", "rank", "doc_id", "score")

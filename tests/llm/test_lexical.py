@@ -90,6 +90,33 @@ def test_an_index_serves_many_searches(spark):
         assert result(lexical.search_index(index, benchmark(spark, items), k=4)) == brute_force(docs, items, 4)
 
 
+def test_no_shard_passes_through_spark(spark):
+    """Spark's table of the index has a short row a file, in fewer files than tasks; files hold single shards."""
+    docs = corpus(300)
+    index = lexical.build_index(documents(spark, docs).repartition(6), 1000)
+    rows = index.collect()
+    assert max(len(str(tuple(r))) for r in rows) < 1000
+    assert len(index.inputFiles()) < 6
+    assert sum(r["docs"] for r in rows) == len(docs)
+    shards = [s for r in rows for s in lexical.read_shards(r["path"])]
+    assert len(shards) > len(rows) == 6
+    assert all(s.num_rows == 1 and sum(s["counts"][0].as_py()) < 1100 for s in shards)
+
+
+def test_files_are_cut_and_terms_wanted_in_blocks(spark):
+    docs = corpus(60)
+    index = lexical.build_index(documents(spark, docs).repartition(2), 100, file_mb=0)
+    assert all(len(list(lexical.read_shards(r["path"]))) == 1 for r in index.collect())
+    items = [(1, "w1 w2 Über nowhere"), (2, "w0"), (3, "w2 w2")]
+    assert result(lexical.search_index(index, benchmark(spark, items), k=5)) == brute_force(docs, items, 5)
+    wanted = lexical.run_folder(spark, "wanted")
+    terms = ["w0", "w2", "Über", "nowhere"]
+    spark.createDataFrame([(t.encode(),) for t in terms], "term binary").write.parquet(wanted)
+    found = lexical.posting_lists(index.select("path"), wanted, 1).groupBy("term").agg(F.sum("n")).collect()
+    df = Counter(t for _, text in docs for t in set(plain_terms(text)))
+    assert {bytes(t).decode(): n for t, n in found} == {t: df[t] for t in terms if df[t]}
+
+
 def test_intervals_are_passed_over():
     """On mixed documents most postings of a query lie in intervals that the bounds leave out."""
     shard_of = lexical.ShardBuilder()
